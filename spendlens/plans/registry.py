@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import ReportConfig, testing
 from ..operators.rollup import money_to_double
 from ..sources.catalog import fixture_catalog
-from . import search
+from . import display, search, social
 
 Builder = Callable[[object, ReportConfig], DataFrame]
 
@@ -19,6 +19,10 @@ def builders() -> dict[str, Builder]:
     for key in search.BRANCHES:
         out[key] = lambda cat, cfg, k=key: money_to_double(search.branch(cat, cfg, k))
     out["report_sea"] = search.report
+    for mod, rep in ((display, "report_display"), (social, "report_social")):
+        for key in mod.KEYS:
+            out[key] = lambda cat, cfg, k=key, m=mod: money_to_double(m.branch(cat, cfg, k))
+        out[rep] = mod.report
     return out
 
 
@@ -32,9 +36,11 @@ def queries(cfg: ReportConfig | None = None) -> dict[str, Callable[[SparkSession
 
 
 def oracle_sql(cfg: ReportConfig | None = None) -> dict[str, str]:
+    from ..oracle import channels as o_channels
     from ..oracle import search as o_search
 
     cfg = cfg or testing()
     out: dict[str, str] = {}
     out.update(o_search.sql(cfg))
+    out.update(o_channels.sql(cfg))
     return out
