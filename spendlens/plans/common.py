@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ReportConfig
 from ..functions.budget import with_budget
 from ..operators.context import condensed_context, planning_context
+from ..operators.unions import union_all
 from ..sources.catalog import bounded_broadcast
 
 CHANNEL_VIEW = (
@@ -28,16 +27,7 @@ def context_for(cat, cfg: ReportConfig, distinct: bool) -> DataFrame:
     return bounded_broadcast(ctx, cfg.broadcast_max_rows)
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    """UNION ALL by column name (the branches are built to one schema)."""
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
 def channel_view(branches: list[DataFrame]) -> DataFrame:
     """Union the branches and classify the budget; money cast to DOUBLE last."""
     u = union_all(branches)
     return with_budget(u).select(*CHANNEL_VIEW).withColumn("cost_euro", F.col("cost_euro").cast("double"))
-
-
-def lit_date(d):
-    return F.lit(d)

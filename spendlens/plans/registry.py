@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import ReportConfig, testing
 from ..operators.rollup import money_to_double
 from ..sources.catalog import fixture_catalog
-from . import display, search, social
+from . import affiliate, display, search, seasonal, social
 
 Builder = Callable[[object, ReportConfig], DataFrame]
 
@@ -23,6 +23,15 @@ def builders() -> dict[str, Builder]:
         for key in mod.KEYS:
             out[key] = lambda cat, cfg, k=key, m=mod: money_to_double(m.branch(cat, cfg, k))
         out[rep] = mod.report
+    for key in affiliate.KEYS:
+        out[key] = lambda cat, cfg, k=key: money_to_double(affiliate.branch(cat, cfg, k))
+    out["report_affiliate"] = affiliate.report
+    for key in seasonal.KEYS:
+        out[key] = lambda cat, cfg, k=key: seasonal.branch(cat, cfg, k)
+    out["report_seasonal_cost"] = seasonal.report
+    out["catalog_project"] = seasonal.project
+    out["catalog_weight"] = seasonal.weight
+    out["catalog_id"] = seasonal.ids
     return out
 
 
@@ -36,11 +45,15 @@ def queries(cfg: ReportConfig | None = None) -> dict[str, Callable[[SparkSession
 
 
 def oracle_sql(cfg: ReportConfig | None = None) -> dict[str, str]:
+    from ..oracle import affiliate as o_affiliate
     from ..oracle import channels as o_channels
+    from ..oracle import seasonal as o_seasonal
     from ..oracle import search as o_search
 
     cfg = cfg or testing()
     out: dict[str, str] = {}
     out.update(o_search.sql(cfg))
     out.update(o_channels.sql(cfg))
+    out.update(o_affiliate.sql(cfg))
+    out.update(o_seasonal.sql(cfg))
     return out
