@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import ReportConfig, testing
 from ..operators.rollup import money_to_double
 from ..sources.catalog import fixture_catalog
-from . import affiliate, display, search, seasonal, social
+from . import affiliate, branding, display, search, seasonal, social
 
 Builder = Callable[[object, ReportConfig], DataFrame]
 
@@ -32,6 +32,11 @@ def builders() -> dict[str, Builder]:
     out["catalog_project"] = seasonal.project
     out["catalog_weight"] = seasonal.weight
     out["catalog_id"] = seasonal.ids
+    for key in branding.KEYS:
+        out[key] = lambda cat, cfg, k=key: branding.branch(cat, cfg, k)
+    out["report_branding"] = branding.report
+    out["bra_digital_booked"] = branding.booked_leg
+    out["bra_digital_delivered"] = branding.delivered_leg
     return out
 
 
@@ -46,6 +51,7 @@ def queries(cfg: ReportConfig | None = None) -> dict[str, Callable[[SparkSession
 
 def oracle_sql(cfg: ReportConfig | None = None) -> dict[str, str]:
     from ..oracle import affiliate as o_affiliate
+    from ..oracle import branding as o_branding
     from ..oracle import channels as o_channels
     from ..oracle import seasonal as o_seasonal
     from ..oracle import search as o_search
@@ -56,4 +62,5 @@ def oracle_sql(cfg: ReportConfig | None = None) -> dict[str, str]:
     out.update(o_channels.sql(cfg))
     out.update(o_affiliate.sql(cfg))
     out.update(o_seasonal.sql(cfg))
+    out.update(o_branding.sql(cfg))
     return out
