@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import ReportConfig, testing
 from ..operators.rollup import money_to_double
 from ..sources.catalog import fixture_catalog
-from . import affiliate, branding, display, search, seasonal, social
+from . import affiliate, branding, display, search, seasonal, social, units
 
 Builder = Callable[[object, ReportConfig], DataFrame]
 
@@ -37,6 +37,7 @@ def builders() -> dict[str, Builder]:
     out["report_branding"] = branding.report
     out["bra_digital_booked"] = branding.booked_leg
     out["bra_digital_delivered"] = branding.delivered_leg
+    out.update(units.BUILDERS)
     return out
 
 
@@ -54,6 +55,7 @@ def oracle_sql(cfg: ReportConfig | None = None) -> dict[str, str]:
     from ..oracle import branding as o_branding
     from ..oracle import channels as o_channels
     from ..oracle import seasonal as o_seasonal
+    from ..oracle import units as o_units
     from ..oracle import search as o_search
 
     cfg = cfg or testing()
@@ -63,4 +65,5 @@ def oracle_sql(cfg: ReportConfig | None = None) -> dict[str, str]:
     out.update(o_affiliate.sql(cfg))
     out.update(o_seasonal.sql(cfg))
     out.update(o_branding.sql(cfg))
+    out.update(o_units.sql(cfg))
     return out
