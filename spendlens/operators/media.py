@@ -61,35 +61,64 @@ def booked_days(plan: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
     )
 
 
-def delivered_days(delivery: DataFrame, adgap_map: DataFrame, plan: DataFrame, lo: dt.date, hi: dt.date,
-                   max_rows: int) -> DataFrame:
-    """Delivered clicks and impressions per placement attributes and day.
-
-    As written, every delivery row joins every placement sharing its ad-gap id
-    group (without a date check) and is summed per placement attributes, so a
-    delivery counts once per matching placement. Here the delivery is
-    aggregated per (id group, day) first and multiplied by the number of
-    placements per attribute set: the placement side is a small dimension and
-    the fact side never fans out.
+LEVEL4_KEYS = ("adgap_ids", "campaign_scope", "channel", "media_type", "media_billing_type")
+
+
+def delivery_per_group(delivery: DataFrame, adgap_map: DataFrame, lo: dt.date, hi: dt.date,
+                       max_rows: int) -> DataFrame:
+    """Delivered clicks and impressions per (ad-gap id group, day).
+
+    The fact is aggregated per (ad-gap id, day) first (map-side partial sums),
+    then mapped to its id groups through the (small) mapping and summed again.
     """
     ad = (delivery.filter(F.col("reporting_date").between(F.lit(lo), F.lit(hi)))
           .groupBy(F.coalesce(F.col("banner_external_id"), F.col("campaign_external_id")).alias("adgap_id"),
                    F.col("reporting_date").alias("datum"))
           .agg(F.sum("clicks").alias("clicks"), F.sum("impressions").alias("impressions")))
     mapping = bounded_broadcast(adgap_map.select("adgap_id", "adgap_ids"), max_rows)
-    per_group = (ad.join(mapping, "adgap_id", "inner")
-                 .groupBy("adgap_ids", "datum")
-                 .agg(F.sum("clicks").alias("clicks"), F.sum("impressions").alias("impressions")))
-    attrs = placements(plan).groupBy(*PLACEMENT_KEYS).agg(F.count(F.lit(1)).cast("bigint").alias("_n"))
+    return (ad.join(mapping, "adgap_id", "inner")
+            .groupBy("adgap_ids", "datum")
+            .agg(F.sum("clicks").alias("clicks"), F.sum("impressions").alias("impressions")))
+
+
+def _times_placements(per_group: DataFrame, plan: DataFrame, keys, max_rows: int) -> DataFrame:
+    """Repeat each group's delivery once per matching placement, as a multiplier.
+
+    As written, every delivery row joins every placement sharing its id group
+    (without a date check) and is summed per placement attributes, so it counts
+    once per matching placement. The placements are counted per attribute set
+    (a small dimension, broadcast behind a bound) and the sums multiplied: the
+    fact side never fans out.
+    """
+    attrs = placements(plan).groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("_n"))
     attrs = bounded_broadcast(attrs, max_rows)
     j = per_group.join(attrs, "adgap_ids", "inner")
     return j.select(
-        "datum", *PLACEMENT_KEYS,
+        "datum", *keys,
         F.lit(0.0).alias("buchungsvolumen"), F.lit(0.0).alias("kosten_nnn"),
         (F.col("clicks") * F.col("_n")).alias("clicks"), (F.col("impressions") * F.col("_n")).alias("impressions"),
     )
 
 
+def delivered_days(delivery: DataFrame, adgap_map: DataFrame, plan: DataFrame, lo: dt.date, hi: dt.date,
+                   max_rows: int) -> DataFrame:
+    """The delivered leg at its written grain: per placement attributes and day."""
+    return _times_placements(delivery_per_group(delivery, adgap_map, lo, hi, max_rows), plan, PLACEMENT_KEYS,
+                             max_rows)
+
+
+def delivered_level4(delivery: DataFrame, adgap_map: DataFrame, plan: DataFrame, lo: dt.date, hi: dt.date,
+                     max_rows: int) -> DataFrame:
+    """The delivered leg already summed to the grain of the next level.
+
+    The next level groups by (id group, day, billing type, media type, scope,
+    channel) and its fee join keys (month, media type) are among those, so the
+    per-placement rows (creative type, client, duration) never need to exist.
+    """
+    return _times_placements(delivery_per_group(delivery, adgap_map, lo, hi, max_rows), plan, LEVEL4_KEYS,
+                             max_rows)
+
+
 def effective_cost(kosten: Column, volume: Column, impressions: Column, clicks: Column, billing: Column) -> Column:
     """Billing-type cost: CPM/vCPM unit price x impressions, CPC x clicks, else booked; NULL -> 0.
 

@@ -17,7 +17,7 @@ from ..config import ReportConfig
 from ..functions import budget as B
 from ..functions.text import has, has_upper, lacks
 from ..operators.fees import fee_rows, join_fee
-from ..operators.media import booked_days, delivered_days, effective_cost
+from ..operators.media import LEVEL4_KEYS, booked_days, delivered_days, delivered_level4, effective_cost
 from ..operators.reconcile import reconcile
 from ..operators.rollup import activity
 from ..operators.unions import union_all
@@ -119,20 +119,32 @@ def digital_legs(cat, cfg: ReportConfig):
     return booked, delivered
 
 
-def digital(cat, cfg):
-    """Booked and delivered legs, fee by month and media type, effective cost capped at booked.
+def digital_level4(cat, cfg: ReportConfig) -> DataFrame:
+    """Both legs with the month's fee, per (id group, day, billing, media type, scope, channel).
 
-    The reference aggregates five times; three of the levels repeat the keys of
-    the level below (one row per group), so they are projections here.
+    The delivered leg enters at this grain directly (see delivered_level4).
     """
-    booked, delivered = digital_legs(cat, cfg)
-    legs = union_all([booked, delivered])
+    lo, hi = cfg.branding_min_date, cfg.yesterday
+    booked = booked_days(cat["digital_mediaplan"], lo, hi)
+    delivered = delivered_level4(cat["bpn_adition_perf"], cat["adgap_id_mapping"], cat["digital_mediaplan"],
+                                 lo, hi, cfg.broadcast_max_rows)
+    cols = ("datum", *LEVEL4_KEYS, "buchungsvolumen", "kosten_nnn", "clicks", "impressions")
+    legs = union_all([booked.select(*cols), delivered.select(*cols)])
     fees = fee_rows(cat["agency_fee"], fv.FEE_DIGITAL, True, cfg.broadcast_max_rows)
     with_fee = join_fee(legs, "datum", fees, sub_channel=F.col("media_type"))
-    lvl4 = (with_fee.groupBy("adgap_ids", "datum", "media_billing_type", "media_type", "campaign_scope", "channel")
+    return (with_fee.groupBy("adgap_ids", "datum", "media_billing_type", "media_type", "campaign_scope", "channel")
             .agg(F.max("fee").alias("fee"), F.sum("kosten_nnn").alias("kosten_nnn"),
                  F.sum("impressions").alias("impressions"), F.sum("buchungsvolumen").alias("buchungsvolumen"),
                  F.sum("clicks").alias("clicks")))
+
+
+def digital(cat, cfg):
+    """Booked and delivered legs, fee by month and media type, effective cost capped at booked.
+
+    The reference aggregates five times; three of the levels repeat the keys of
+    the level below (one row per group), so they are projections here.
+    """
+    lvl4 = digital_level4(cat, cfg)
     eff = effective_cost(F.col("kosten_nnn"), F.col("buchungsvolumen"), F.col("impressions"), F.col("clicks"),
                          F.col("media_billing_type"))
     lvl3 = (lvl4.groupBy("datum", "campaign_scope", "adgap_ids", "channel")

@@ -122,14 +122,7 @@ def agency_fee_q(cat, cfg):
 
 def effective_media_cost_q(cat, cfg):
     """Digital per (day, scope, id group, channel): booked, effective and capped cost."""
-    booked, delivered = branding.digital_legs(cat, cfg)
-    legs = booked.unionByName(delivered)
-    fees = fee_rows(cat["agency_fee"], fv.FEE_DIGITAL, True, cfg.broadcast_max_rows)
-    lvl4 = (join_fee(legs, "datum", fees, sub_channel=F.col("media_type"))
-            .groupBy("adgap_ids", "datum", "media_billing_type", "media_type", "campaign_scope", "channel")
-            .agg(F.max("fee").alias("fee"), F.sum("kosten_nnn").alias("kosten_nnn"),
-                 F.sum("impressions").alias("impressions"), F.sum("buchungsvolumen").alias("buchungsvolumen"),
-                 F.sum("clicks").alias("clicks")))
+    lvl4 = branding.digital_level4(cat, cfg)
     eff = effective_cost(F.col("kosten_nnn"), F.col("buchungsvolumen"), F.col("impressions"), F.col("clicks"),
                          F.col("media_billing_type"))
     lvl3 = (lvl4.groupBy(F.col("datum").alias("reporting_date"), "campaign_scope", "adgap_ids", "channel")
