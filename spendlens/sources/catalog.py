@@ -154,11 +154,30 @@ def parquet_catalog(spark: SparkSession, root: str) -> Catalog:
     return Catalog(spark, lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}"))
 
 
-def fixture_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    """Sources derived from the TPC-H-like tables under ``sf_dir``."""
+def fixture_catalog(spark: SparkSession, sf_dir: str, materialize_dir: str | None = None) -> Catalog:
+    """Sources derived from the TPC-H-like tables under ``sf_dir``.
+
+    By default each binding is a lazy plan over the test tables (derived on every
+    run). With ``materialize_dir`` (a shared folder, e.g. under the session's
+    ``spark.checkpoint.dir``) each binding is written once as Parquet and read
+    back, like the stored source tables the reports read in production.
+    """
     base: dict[str, DataFrame] = {}
     fx: dict[str, DataFrame] = {}
 
+    def derive(binding: str) -> DataFrame:
+        df = spark_binding(spark, binding, base_tables())
+        if materialize_dir is None:
+            return df
+        path = f"{materialize_dir.rstrip('/')}/{binding}"
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001  (not written yet)
+            # several files, like a stored table: the test tables are single
+            # row-group files that one task would otherwise scan alone
+            df.repartition(max(1, spark.sparkContext.defaultParallelism)).write.mode("overwrite").parquet(path)
+            return spark.read.parquet(path)
+
     def base_tables():
         if not base:
             for t in BASE_TABLES:
@@ -168,7 +187,7 @@ def fixture_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     def load(name: str) -> DataFrame:
         binding, cols = SOURCES[name]
         if binding not in fx:
-            fx[binding] = spark_binding(spark, binding, base_tables())
+            fx[binding] = derive(binding)
         return fx[binding].select(*[F.col(src).alias(dst) for dst, src in cols.items()])
 
     return Catalog(spark, load)
