@@ -16,6 +16,7 @@ import os
 import statistics
 import sys
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -38,7 +39,9 @@ def main():
     builders = registry.builders()
     # sources are derived from the test tables once and stored as Parquet in the
     # session's checkpoint folder (not timed), then read like production tables
-    fixtures = f"{checkpoint_dir(spark).rstrip('/')}/spendlens-fixtures/{os.path.basename(sf_dir)}"
+    # a new folder per run: never read tables left by an earlier (or interrupted) run
+    fixtures = (f"{checkpoint_dir(spark).rstrip('/')}/spendlens-fixtures/"
+                f"{os.path.basename(sf_dir)}-{uuid.uuid4().hex[:12]}")
     t0 = time.perf_counter()
     catalog = lambda: fixture_catalog(spark, sf_dir, materialize_dir=fixtures)
     for name in ("google_keyword_perf", "planning_context_map", "adition_ad_identifier_map", "bing_adgroup_perf",
