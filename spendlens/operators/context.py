@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ReportConfig
@@ -40,16 +40,20 @@ def planning_context(mapping: DataFrame, distinct: bool = False) -> DataFrame:
 def condensed_context(ctx: DataFrame) -> DataFrame:
     """One row per non-NULL camp_id: the chosen mapping row plus ``ctx_rows``.
 
-    NULL keys never match an equi join, so they are dropped before the window;
-    the window partitions are the duplicates of one campaign id (small).
+    The chosen row is the smallest (channel, code, name) with NULLs last: a
+    ``min`` over a struct of (is-NULL flag, value) pairs, computed with partial
+    aggregation, so a campaign id holding a large share of the mapping is
+    combined map-side instead of landing whole in one task. NULL keys never
+    match an equi join and are dropped first.
     """
     keyed = ctx.filter(F.col("camp_id").isNotNull())
-    order = Window.partitionBy("camp_id").orderBy(*[F.asc_nulls_last(c) for c in CTX_COLUMNS])
+    fields = []
+    for c in CTX_COLUMNS:
+        fields += [F.col(c).isNull().alias(f"{c}_null"), F.col(c).alias(c)]
     return (
-        keyed.withColumn("_rn", F.row_number().over(order))
-        .withColumn("ctx_rows", F.count(F.lit(1)).over(Window.partitionBy("camp_id")).cast("int"))
-        .filter(F.col("_rn") == 1)
-        .drop("_rn")
+        keyed.groupBy("camp_id")
+        .agg(F.count(F.lit(1)).cast("int").alias("ctx_rows"), F.min(F.struct(*fields)).alias("_first"))
+        .select("camp_id", *[F.col(f"_first.{c}").alias(c) for c in CTX_COLUMNS], "ctx_rows")
     )
 
 

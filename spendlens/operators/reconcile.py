@@ -48,8 +48,15 @@ def reconcile(actual: DataFrame, plan: DataFrame, lo: dt.date, hi: dt.date) -> D
     )
 
 
-def last_actual_date(actual: DataFrame, partition: str) -> DataFrame:
-    """``MAX(day) OVER (PARTITION BY campaign)`` on the per-day actual rows."""
-    from pyspark.sql import Window
+def last_actual_date(actual: DataFrame, partition: str, max_rows: int) -> DataFrame:
+    """``MAX(day) OVER (PARTITION BY campaign)`` on the per-day actual rows.
 
-    return actual.withColumn("max_actual_date", F.max("a_date").over(Window.partitionBy(partition)))
+    Written as an aggregate joined back: the maximum per campaign is computed
+    with partial aggregation (a campaign holding a large share of the rows is
+    combined map-side) and the per-campaign table is broadcast behind a bound.
+    """
+    from ..sources.catalog import bounded_broadcast
+
+    last = actual.groupBy(partition).agg(F.max("a_date").alias("max_actual_date"))
+    return actual.join(bounded_broadcast(last, max_rows), actual[partition].eqNullSafe(last[partition]), "left") \
+        .drop(last[partition])

@@ -136,7 +136,7 @@ def effective_media_cost_q(cat, cfg):
 def last_actual_date_q(cat, cfg):
     """Per-day TV actuals with the last actual day of their campaign."""
     a = branding.tv_actuals(cat)
-    return last_actual_date(a, "a_name").select(
+    return last_actual_date(a, "a_name", cfg.broadcast_max_rows).select(
         F.col("a_date").alias("actual_date"), F.col("a_name").alias("campaign_name"), "max_actual_date",
         F.col("a_cost").cast("double").alias("cost"))
 
