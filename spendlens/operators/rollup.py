@@ -17,11 +17,6 @@ from pyspark.sql import functions as F
 
 from .context import Fallback, enrich
 
-VIEW_COLUMNS = (
-    "reporting_date", "planning_context_code", "planning_context_name", "channel", "camp_id",
-    "source_system", "impressions", "clicks", "cost_euro",
-)
-
 
 def activity(cols: list[Column], strict: bool) -> Column:
     """Sum of the coalesced metrics ``> 0`` (strict) or ``!= 0`` (loose)."""

@@ -21,8 +21,6 @@ from ..sources.catalog import bounded_broadcast
 from .common import CHANNEL_VIEW, label, union_all
 
 KEYS = ("aff_awin_cost", "aff_private_network_cost", "aff_fixcost_daily", "aff_clicks")
-ROW = ("reporting_date", "planning_context_code", "planning_context_name", "channel", "camp_id",
-       "source_system", "impressions", "clicks", "cost_euro")
 
 
 def context(cat, cfg: ReportConfig) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..config import ReportConfig
 from ..functions import budget as B
-from ..functions.text import has, has_upper, lacks
+from ..functions.text import has_upper, lacks
 from ..operators.fees import fee_rows, join_fee
 from ..operators.media import LEVEL4_KEYS, booked_days, delivered_days, delivered_level4, effective_cost
 from ..operators.reconcile import reconcile

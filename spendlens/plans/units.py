@@ -16,7 +16,6 @@ from ..operators.context import arm_value, condensed_context, planning_context,
 from ..operators.fees import fee_rows, join_fee
 from ..operators.media import effective_cost
 from ..operators.reconcile import last_actual_date, reconcile
-from ..operators.spread import date_spine
 from . import branding
 
 
@@ -149,8 +148,3 @@ BUILDERS = {
     "actual_vs_plan": actual_vs_plan_q, "agency_fee": agency_fee_q,
     "effective_media_cost": effective_media_cost_q, "last_actual_date": last_actual_date_q,
 }
-
-
-def spine(spark, cfg: ReportConfig) -> DataFrame:
-    """The configured calendar itself (for callers that want the as-written join)."""
-    return date_spine(spark, cfg.fixcost_calendar_start, cfg.fixcost_calendar_end)
