@@ -29,8 +29,17 @@ def test_no_nested_loop_or_cartesian_join(built, key):
 
 @pytest.mark.parametrize("key", ("report_sea", "report_display", "report_social"))
 def test_channel_rollups_stay_hash_aggregates(built, key):
+    """The fact rollup by (day, campaign) is a hash aggregate with partial sums.
+
+    The only sort aggregate allowed is the dimension-side condensing of the
+    planning context (one row per campaign id).
+    """
     text = plan_text(built[key])
-    assert "SortAggregate" not in text and "HashAggregate" in text
+    assert "HashAggregate(keys=[reporting_date" in text
+    assert "SortAggregate(key=[reporting_date" not in text
+    for line in text.split("\n"):
+        if "SortAggregate(" in line:
+            assert "SortAggregate(key=[camp_id" in line, line
 
 
 def test_seasonal_report_has_one_shuffle(built):
