@@ -173,9 +173,10 @@ def fixture_catalog(spark: SparkSession, sf_dir: str, materialize_dir: str | Non
         try:
             return spark.read.parquet(path)
         except Exception:  # noqa: BLE001  (not written yet)
-            # several files, like a stored table: the test tables are single
-            # row-group files that one task would otherwise scan alone
-            df.repartition(max(1, spark.sparkContext.defaultParallelism)).write.mode("overwrite").parquet(path)
+            # files of at most 100k rows, like a stored table: fact-sized sources
+            # get several files (the test tables are single row-group files that
+            # one task would otherwise scan alone), small dimensions stay one file
+            df.write.mode("overwrite").option("maxRecordsPerFile", 100_000).parquet(path)
             return spark.read.parquet(path)
 
     def base_tables():
