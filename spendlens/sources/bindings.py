@@ -47,11 +47,12 @@ SELECT cast(l_shipdate as date) AS reporting_date, {camp('l_partkey')} AS camp_i
   WHEN 3 THEN 'Web Prospecting' WHEN 4 THEN 'Performance Traffic' WHEN 5 THEN 'performance conversion dynamisch' WHEN 6 THEN 'CLT WKZ' END AS campaign_name,
  100 + l_suppkey % 5 AS account_id, 'Acct ' || cast(100 + l_suppkey % 5 as string) AS account_name,
  1 + l_suppkey % 4 AS customer_id, l_suppkey AS adgroup_id, l_partkey AS bid FROM {{lineitem}}""",
-    # planning context; unique per camp_id, covers 2/3 of the keys, some NULL channels
+    # planning context; unique per camp_id, a NULL key for every third part (those
+    # campaigns stay unmapped), some NULL channels
     "fx_map": f"""
-SELECT {camp('p_partkey')} AS camp_id, 'PC-' || p_brand AS planning_context_code,
+SELECT CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE {camp('p_partkey')} END AS camp_id, 'PC-' || p_brand AS planning_context_code,
  CASE WHEN p_partkey % 2 = 0 THEN 'AWIN' WHEN p_partkey % 5 = 0 THEN 'Private Network' ELSE p_type END AS planning_context_name,
- CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE 'Chan ' || p_type END AS channel_name FROM {{part}} WHERE p_partkey % 3 <> 0""",
+ CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE 'Chan ' || p_type END AS channel_name FROM {{part}}""",
     # banner -> campaign, with expired rows and '-1' unknowns
     "fx_ident": f"""
 SELECT p_partkey AS bid, CASE WHEN p_partkey % 11 = 0 THEN '-1' ELSE {camp('p_partkey')} END AS campaign_id,
@@ -74,27 +75,31 @@ SELECT {camp('o_custkey')} AS campaign, cast(o_totalprice as decimal(18,2)) AS c
     "fx_call": """
 SELECT event_id AS call_sk, ts - INTERVAL 23 YEAR AS event_created_at_utc, CASE WHEN event_type = 'error' THEN true ELSE false END AS bot FROM {events}""",
     "fx_call_link": """
-SELECT event_id AS call_sk, event_id % 40 AS campaign_sk FROM {events} WHERE event_id % 10 <> 0""",
+SELECT event_id AS call_sk, CASE WHEN event_id % 10 = 0 THEN -1 ELSE event_id % 40 END AS campaign_sk FROM {events}""",
     "fx_campaign_h": f"""
 SELECT p_partkey AS campaign_sk, {camp('p_partkey')} AS campaign_id FROM {{part}}""",
-    # broadcast actuals (TV / radio); mixed-case names carry the _WKZ_ and _VERTRIEB_ markers
+    # broadcast actuals (TV / radio); mixed-case names carry the _WKZ_ and _VERTRIEB_ markers;
+    # every third order has no campaign name
     "fx_actual": """
 SELECT cast(o_orderdate as date) AS actual_date, cast(o_orderdate as date) + CASE WHEN o_orderkey % 6 = 0 THEN 1 ELSE 0 END AS end_date,
- CASE o_custkey % 4 WHEN 0 THEN 'Spot_WKZ_a' WHEN 1 THEN 'spot_Vertrieb_b' WHEN 2 THEN 'Spot_VERTRIEB_c' ELSE 'spot_d' END AS campaign_name,
- cast(o_totalprice as decimal(18,2)) AS cost_euro_nnn, cast(o_orderkey % 50 as decimal(18,4)) AS contacts FROM {orders} WHERE o_orderkey % 3 <> 0""",
-    # plan; overlaps the actuals on part of their (date, campaign) keys
+ CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_custkey % 4 = 0 THEN 'Spot_WKZ_a' WHEN o_custkey % 4 = 1 THEN 'spot_Vertrieb_b'
+  WHEN o_custkey % 4 = 2 THEN 'Spot_VERTRIEB_c' ELSE 'spot_d' END AS campaign_name,
+ cast(o_totalprice as decimal(18,2)) AS cost_euro_nnn, cast(o_orderkey % 50 as decimal(18,4)) AS contacts FROM {orders}""",
+    # plan; overlaps the actuals on part of their (date, campaign) keys; odd orders have no
+    # campaign name
     "fx_plan": """
 SELECT cast(l_shipdate as date) AS planning_date,
- CASE l_orderkey % 4 WHEN 0 THEN 'SPOT_wkz_a' WHEN 1 THEN 'Spot_Vertrieb_b' WHEN 2 THEN 'spot_vertrieb_c' ELSE 'Spot_e' END AS campaign_name,
+ CASE WHEN l_orderkey % 2 = 1 THEN NULL WHEN l_orderkey % 4 = 0 THEN 'SPOT_wkz_a' ELSE 'spot_vertrieb_c' END AS campaign_name,
  CASE l_orderkey % 3 WHEN 0 THEN 'wkz' WHEN 1 THEN 'Vertrieb' ELSE NULL END AS budget_origin,
  CASE l_linenumber % 3 WHEN 0 THEN 'TV' WHEN 1 THEN 'Webradio' ELSE 'Hörfunk' END AS channel,
- cast(l_extendedprice as decimal(18,2)) AS cost_euro_nnn_planned, cast(l_quantity as bigint) AS gross_contacts_planned FROM {lineitem} WHERE l_orderkey % 2 = 0""",
-    # agency fees: one row per (month, channel, sub channel); every 5th month is missing
+ cast(l_extendedprice as decimal(18,2)) AS cost_euro_nnn_planned, cast(l_quantity as bigint) AS gross_contacts_planned FROM {lineitem}""",
+    # agency fees: one row per (month, channel, sub channel); every 5th month has no fee values
     "fx_fee": """
 SELECT cast(ym as string) AS year_month, ch AS channel_branding, sub AS sub_channel_branding,
- cast(cast(ym % 7 as decimal(9,4)) / 100 as decimal(9,4)) AS fee,
- cast(cast(ym % 3 as decimal(9,4)) / 10 as decimal(9,4)) AS discount,
- cast(0.02 as decimal(9,4)) AS managed_fee, cast(0.03 as decimal(9,4)) AS dsp_fee
+ CASE WHEN ym % 5 = 0 THEN NULL ELSE cast(cast(ym % 7 as decimal(9,4)) / 100 as decimal(9,4)) END AS fee,
+ CASE WHEN ym % 5 = 0 THEN NULL ELSE cast(cast(ym % 3 as decimal(9,4)) / 10 as decimal(9,4)) END AS discount,
+ CASE WHEN ym % 5 = 0 THEN NULL ELSE cast(0.02 as decimal(9,4)) END AS managed_fee,
+ CASE WHEN ym % 5 = 0 THEN NULL ELSE cast(0.03 as decimal(9,4)) END AS dsp_fee
 FROM (
  SELECT ym, 'TV' AS ch, cast(NULL as string) AS sub FROM m
  UNION ALL SELECT ym, 'Funk', cast(NULL as string) FROM m
@@ -120,17 +125,19 @@ SELECT CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE 'b' || cast(l_partkey % 60
  'b' || cast(l_suppkey % 60 as string) AS campaign_external_id, cast(l_shipdate as date) AS reporting_date,
  cast(l_quantity as bigint) AS clicks, cast(l_quantity * 10 as bigint) AS impressions FROM {lineitem}""",
     "fx_adgap": """
-SELECT 'b' || cast(p_partkey as string) AS adgap_id, 'g' || cast(p_partkey % 50 as string) AS adgap_ids FROM {part} WHERE p_partkey < 60""",
+SELECT DISTINCT 'b' || cast(p_partkey % 60 as string) AS adgap_id, 'g' || cast(p_partkey % 60 % 50 as string) AS adgap_ids FROM {part}""",
     # out-of-home costs
     "fx_dooh": """
 SELECT l_shipdate AS planning_date, CASE l_suppkey % 3 WHEN 0 THEN 'city_wkz_x' WHEN 1 THEN 'city_Vertrieb' ELSE 'city' END AS campaign_name,
  CASE l_linenumber WHEN 1 THEN 'Progr. Media' WHEN 2 THEN 'Versand' WHEN 3 THEN NULL ELSE 'Media' END AS cost_type,
  cast(l_extendedprice as decimal(18,2)) AS cost_euro_nn_without_bonus,
  cast(cast(l_extendedprice as decimal(18,2)) * (1 - cast(l_discount as decimal(4,2))) as decimal(18,4)) AS cost_euro_nnn FROM {lineitem}""",
-    # exchange rates: no rate on some days, like a weekday-only publication
+    # exchange rates: no rate value on some days, like a weekday-only publication
     "fx_rate": """
-SELECT DISTINCT cast(o_orderdate as date) AS reporting_date, cast(1 + extract(month FROM o_orderdate) / 100.0 as decimal(9,4)) AS exchange_rate_eur_to_usd
-FROM {orders} WHERE extract(day FROM o_orderdate) % 7 <> 0""",
+SELECT DISTINCT cast(o_orderdate as date) AS reporting_date,
+ CASE WHEN extract(day FROM o_orderdate) % 7 = 0 THEN NULL
+  ELSE cast(1 + extract(month FROM o_orderdate) / 100.0 as decimal(9,4)) END AS exchange_rate_eur_to_usd
+FROM {orders}""",
     # catalogue plan; the project-name regex has match, no-match and prefix-only cases
     "fx_print": """
 SELECT 'init' || cast(p_partkey % 20 as string) AS initiative_name,
@@ -148,8 +155,7 @@ SELECT 'o' || cast(s_suppkey % 60 as string) AS auftrag, CASE s_suppkey % 3 WHEN
 
 # months of the fee table; a CTE of the fee binding
 FEE_MONTHS = """
-SELECT DISTINCT extract(year FROM o_orderdate) * 100 + extract(month FROM o_orderdate) AS ym FROM {orders}
-WHERE (extract(year FROM o_orderdate) * 100 + extract(month FROM o_orderdate)) % 5 <> 0"""
+SELECT DISTINCT extract(year FROM o_orderdate) * 100 + extract(month FROM o_orderdate) AS ym FROM {orders}"""
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
