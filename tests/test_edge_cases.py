@@ -188,3 +188,27 @@ def test_single_marker_row_is_in_social_and_branding_views(spark, cfg):
                                   "campaign_persist": persist})
     assert social.branch(cat, cfg, "soc_pinterest").count() == 1
     assert branding.branch(cat, cfg, "bra_pinterest").count() == 1
+
+
+def test_results_do_not_depend_on_session_time_zone(spark, cfg):
+    """Timestamp handling (CET click day, banner validity, order day) is zone-independent."""
+    from conftest import SF_SMALL
+    from spendlens.plans import registry
+
+    qs = registry.queries(cfg)
+
+    def snapshot():
+        out = {}
+        for k in ("aff_clicks", "dis_adition", "aff_awin_cost"):
+            df = qs[k](spark, SF_SMALL)
+            out[k] = df.agg(F.count(F.lit(1)), F.sum("clicks"), F.sum("cost_euro"),
+                            F.min("reporting_date"), F.max("reporting_date")).first()
+        return out
+
+    base = snapshot()
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        other = snapshot()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert base == other
