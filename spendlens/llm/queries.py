@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendlens.llm.common import table
 from spendlens.llm.exact_dedup import exact_dedup
+from spendlens.llm.simhash import simhash_components
 from spendlens.llm.sentencepiece_tokens import sentencepiece_tokens
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -30,7 +35,7 @@ FROM n WINDOW same AS (PARTITION BY body)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_exact_dedup, op6_sentencepiece)}
+    return {f.__name__: f for f in (op1_simhash, op5_exact_dedup, op6_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
