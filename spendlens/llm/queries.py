@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlens.llm.common import table
+from spendlens.llm.decontamination import contamination
 from spendlens.llm.exact_dedup import exact_dedup
 from spendlens.llm.simhash import simhash_components
 from spendlens.llm.sentencepiece_tokens import sentencepiece_tokens
@@ -16,6 +17,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -24,6 +29,33 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_tokens(table(spark, sf_dir, "documents"))
 
 
+_OP4 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL
+), item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS t, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+  FROM b, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS u(i) WHERE len(w) > 0
+), doc_windows AS (
+  SELECT doc_id, i, t, array_to_string(w[i:i + t - 1], ' ') AS g
+  FROM d, (SELECT DISTINCT t FROM item_windows) AS lengths, unnest(range(1, len(w) - t + 2)) AS u(i)
+), hits AS (
+  SELECT doc_id, item_id, i, t FROM doc_windows JOIN item_windows USING (t, g)
+), hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, i, t FROM hits), unnest(range(i, i + t)) AS u(p)
+  GROUP BY doc_id
+), hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
 _OP5 = r"""
 WITH n AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
@@ -35,8 +67,8 @@ FROM n WINDOW same AS (PARTITION BY body)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op5_exact_dedup, op6_sentencepiece)}
+    return {f.__name__: f for f in (op1_simhash, op4_decontamination, op5_exact_dedup, op6_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": _OP5}
+    return {"op4_decontamination": _OP4, "op5_exact_dedup": _OP5}
