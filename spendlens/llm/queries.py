@@ -10,6 +10,7 @@ from spendlens.llm.common import table
 from spendlens.llm.decontamination import contamination
 from spendlens.llm.exact_dedup import exact_dedup
 from spendlens.llm.simhash import simhash_components
+from spendlens.llm.substring_dedup import substring_dedup
 from spendlens.llm.sentencepiece_tokens import sentencepiece_tokens
 
 
@@ -29,6 +30,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_tokens(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 _OP4 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -66,9 +71,30 @@ FROM n WINDOW same AS (PARTITION BY body)
 """
 
 
+_OP7 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS g FROM d, unnest(range(1, len(w) - 48)) AS u(i)
+), covered AS (
+  SELECT DISTINCT doc_id, p
+  FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM windows), unnest(range(i, i + 50)) AS u(p)
+  WHERE least < doc_id
+), kept AS (
+  SELECT doc_id, string_agg(w[p], ' ' ORDER BY p) AS body, count(*) AS n
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op4_decontamination, op5_exact_dedup, op6_sentencepiece)}
+    return {f.__name__: f for f in (op1_simhash, op4_decontamination, op5_exact_dedup, op6_sentencepiece,
+                                   op7_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": _OP4, "op5_exact_dedup": _OP5}
+    return {"op4_decontamination": _OP4, "op5_exact_dedup": _OP5,
+            "op7_substring_dedup": _OP7}
