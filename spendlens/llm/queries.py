@@ -10,6 +10,7 @@ from spendlens.llm.common import table
 from spendlens.llm.decontamination import contamination
 from spendlens.llm.exact_dedup import exact_dedup
 from spendlens.llm.simhash import simhash_components
+from spendlens.llm.secret_scan import secret_scan
 from spendlens.llm.substring_dedup import substring_dedup
 from spendlens.llm.sentencepiece_tokens import sentencepiece_tokens
 
@@ -34,6 +35,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 _OP4 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -90,11 +95,58 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+_OP8 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner,
+         coalesce(source, '?null') || '/' || coalesce(lang, '?null') AS repo FROM documents
+), patterns(kind, pattern, grp) AS (
+  VALUES ('assign', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2),
+         ('access', 'AKIA[A-Z0-9]+', 0), ('hex', '[0-9a-f]{24,}', 0), ('opaque', '[A-Za-z0-9]{16,}', 0)
+), parts AS (
+  SELECT doc_id, owner, repo, 'assign' AS kind, string_split_regex(text, pattern) AS gaps,
+         regexp_extract_all(text, pattern, 0) AS matches, regexp_extract_all(text, pattern, 2) AS vals
+  FROM d, patterns WHERE kind = 'assign'
+  UNION ALL
+  SELECT doc_id, owner, repo, kind, string_split_regex(text, pattern), regexp_extract_all(text, pattern, 0),
+         regexp_extract_all(text, pattern, 0)
+  FROM d, patterns WHERE kind <> 'assign'
+), rows_ AS (
+  SELECT doc_id, owner, repo, kind, i, length(gaps[i]) AS gap, length(matches[i]) AS size, vals[i] AS val
+  FROM parts, unnest(range(1, len(matches) + 1)) AS u(i)
+), placed AS (
+  SELECT doc_id, owner, repo, kind, size, val, sum(gap + size) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop,
+         length(regexp_replace(val, '[^0-9]', '', 'g')) >= 4 AND length(regexp_replace(val, '[^A-Za-z]', '', 'g')) >= 4 AS looks
+  FROM rows_
+), candidates AS (
+  SELECT *, stop - size AS start FROM placed
+  WHERE CASE kind WHEN 'assign' THEN length(val) >= 6 WHEN 'access' THEN size >= 20 WHEN 'hex' THEN true ELSE looks END
+), held AS (
+  SELECT val, count(DISTINCT owner) AS owners FROM candidates GROUP BY val
+), spans AS (
+  SELECT DISTINCT doc_id, kind, CASE kind WHEN 'assign' THEN 0 WHEN 'access' THEN 1 ELSE 2 END AS rank, start, stop, owners >= 3 AS copied
+  FROM candidates JOIN held USING (val) WHERE kind <> 'opaque'
+  UNION ALL
+  SELECT DISTINCT doc_id, 'live', 3, stop - length(val), stop, false
+  FROM candidates JOIN held USING (val) WHERE looks AND owners < 3
+), found AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (kind = 'live') AS n_live, count(*) FILTER (copied) AS n_copied,
+         string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, rank, stop) FILTER (rank < 3) AS base,
+         string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, rank, stop) AS spans
+  FROM spans GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+       coalesce(n_copied, 0) AS n_copied
+FROM d LEFT JOIN found USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op4_decontamination, op5_exact_dedup, op6_sentencepiece,
-                                   op7_substring_dedup)}
+                                   op7_substring_dedup, op8_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_decontamination": _OP4, "op5_exact_dedup": _OP5,
-            "op7_substring_dedup": _OP7}
+            "op7_substring_dedup": _OP7, "op8_secret_scan": _OP8}
