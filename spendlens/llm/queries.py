@@ -10,6 +10,7 @@ from spendlens.llm.common import table
 from spendlens.llm.decontamination import contamination
 from spendlens.llm.exact_dedup import exact_dedup
 from spendlens.llm.simhash import simhash_components
+from spendlens.llm.line_dedup import line_dedup
 from spendlens.llm.secret_scan import secret_scan
 from spendlens.llm.substring_dedup import substring_dedup
 from spendlens.llm.sentencepiece_tokens import sentencepiece_tokens
@@ -39,6 +40,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
 _OP4 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -142,11 +147,43 @@ FROM d LEFT JOIN found USING (doc_id)
 """
 
 
+_OP9 = r"""
+WITH lines AS (
+  SELECT doc_id, i - 1 AS line, regexp_extract_all(parts[i], '[^\x20\x09-\x0D]+') AS w
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents), unnest(range(1, len(parts) + 1)) AS u(i)
+), same AS (
+  SELECT doc_id, line, w, row_number() OVER (PARTITION BY w ORDER BY doc_id, line) AS nth FROM lines WHERE len(w) > 0
+), firsts AS (
+  SELECT row_number() OVER (ORDER BY doc_id, line) AS id, doc_id, line, w FROM same WHERE nth = 1
+), shingles AS (
+  SELECT DISTINCT id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM firsts, unnest(range(1, greatest(len(w) - 3, 2))) AS u(i)
+), sizes AS (
+  SELECT id, count(*) AS n FROM shingles GROUP BY id
+), pairs AS (
+  SELECT a.id AS a, b.id AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.id < b.id GROUP BY 1, 2
+), removed AS (
+  SELECT doc_id, line FROM same WHERE nth > 1
+  UNION
+  SELECT doc_id, line FROM firsts JOIN (
+    SELECT DISTINCT o.b FROM pairs o JOIN sizes x ON x.id = o.a JOIN sizes y ON y.id = o.b
+    WHERE 10 * shared >= 8 * (x.n + y.n - shared)
+  ) ON id = b
+), per_doc AS (
+  SELECT doc_id, count(*) AS n, string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) AS removed_lines FROM removed GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(string_split(coalesce(text, ''), chr(10))) AS BIGINT) AS n_lines, coalesce(n, 0) AS n_removed,
+       coalesce(removed_lines, '') AS removed_lines
+FROM documents LEFT JOIN per_doc USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op4_decontamination, op5_exact_dedup, op6_sentencepiece,
-                                   op7_substring_dedup, op8_secret_scan)}
+                                   op7_substring_dedup, op8_secret_scan, op9_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_decontamination": _OP4, "op5_exact_dedup": _OP5,
-            "op7_substring_dedup": _OP7, "op8_secret_scan": _OP8}
+            "op7_substring_dedup": _OP7, "op8_secret_scan": _OP8,
+            "op9_line_dedup": _OP9}
