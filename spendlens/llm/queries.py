@@ -10,6 +10,7 @@ from spendlens.llm.common import table
 from spendlens.llm.decontamination import contamination
 from spendlens.llm.exact_dedup import exact_dedup
 from spendlens.llm.simhash import simhash_components
+from spendlens.llm.language_id import language_id
 from spendlens.llm.line_dedup import line_dedup
 from spendlens.llm.secret_scan import secret_scan
 from spendlens.llm.substring_dedup import substring_dedup
@@ -20,6 +21,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -179,7 +184,7 @@ FROM documents LEFT JOIN per_doc USING (doc_id)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op4_decontamination, op5_exact_dedup, op6_sentencepiece,
+    return {f.__name__: f for f in (op1_simhash, op3_language_id, op4_decontamination, op5_exact_dedup, op6_sentencepiece,
                                    op7_substring_dedup, op8_secret_scan, op9_line_dedup)}
 
 
