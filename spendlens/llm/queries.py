@@ -14,6 +14,7 @@ from spendlens.llm.language_id import language_id
 from spendlens.llm.line_dedup import line_dedup
 from spendlens.llm.secret_scan import secret_scan
 from spendlens.llm.substring_dedup import substring_dedup
+from spendlens.llm.toxicity import toxicity
 from spendlens.llm.sentencepiece_tokens import sentencepiece_tokens
 
 
@@ -21,6 +22,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
@@ -184,7 +189,7 @@ FROM documents LEFT JOIN per_doc USING (doc_id)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_language_id, op4_decontamination, op5_exact_dedup, op6_sentencepiece,
+    return {f.__name__: f for f in (op1_simhash, op2_toxicity, op3_language_id, op4_decontamination, op5_exact_dedup, op6_sentencepiece,
                                    op7_substring_dedup, op8_secret_scan, op9_line_dedup)}
 
 
