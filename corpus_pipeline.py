@@ -1,18 +1,57 @@
-"""The corpus pipeline: stages over ``documents``, each a training-data operator."""
+"""The corpus pipeline: stages over ``documents``, each a training-data operator.
+
+Every stage takes all that the one before kept. Stages but the last return the columns of
+documents; rows are told apart by id and text, so of rows repeated in full one is left by
+exact deduplication. Null ids and texts pass where a stage's rule lets them: null texts have no
+letters, so language identification rejects them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlens.llm.common import stored, table
+from spendlens.llm.decontamination import contamination
+from spendlens.llm.exact_dedup import exact_dedup
+from spendlens.llm.language_id import language_id
 from spendlens.llm.sentencepiece_tokens import sentencepiece_tokens
+from spendlens.llm.simhash import simhash_components
+
+
+def _having(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose id is among ``ids`` (doc_id); a null id matches a null id."""
+    ids = ids.select(ids["doc_id"].alias("_kept")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept"]), "left_semi")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is predicted with enough confidence."""
+    return _having(docs, language_id(docs).where("accepted"))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    return _having(docs, exact_dedup(docs).where("kept")).dropDuplicates(["doc_id", "text"])
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by SimHash fingerprints."""
+    return _having(docs, simhash_components(docs).where("doc_id <=> component_id"))
+
+
+def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return _having(docs, contamination(docs, table(spark, sf_dir, "benchmark")).where("not contaminated"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of what is left."""
     return sentencepiece_tokens(docs)
 
 
-STAGES = [("sentencepiece", tokens)]
+STAGES = [("language id", language), ("exact dedup", exact), ("simhash near-dedup", near),
+          ("benchmark decontamination", clean_of_benchmark), ("sentencepiece", tokens)]
+#: A trained classifier and a tokenizer are not SQL; tests hold every stage against brute force.
 ORACLE_SQL = None
 
 

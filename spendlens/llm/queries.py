@@ -10,6 +10,7 @@ from spendlens.llm.common import table
 from spendlens.llm.decontamination import contamination
 from spendlens.llm.exact_dedup import exact_dedup
 from spendlens.llm.simhash import simhash_components
+from spendlens.llm.html_extraction import main_text
 from spendlens.llm.language_id import language_id
 from spendlens.llm.line_dedup import line_dedup
 from spendlens.llm.secret_scan import secret_scan
@@ -54,6 +55,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 _OP4 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -190,7 +195,7 @@ FROM documents LEFT JOIN per_doc USING (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_toxicity, op3_language_id, op4_decontamination, op5_exact_dedup, op6_sentencepiece,
-                                   op7_substring_dedup, op8_secret_scan, op9_line_dedup)}
+                                   op7_substring_dedup, op8_secret_scan, op9_line_dedup, op10_html_extraction)}
 
 
 def oracle_sql() -> dict[str, str]:
