@@ -122,7 +122,7 @@ class Model:
     offset: float
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 3e-3) -> np.ndarray:
     """Squared-hinge support vector machine by Newton steps on its support vectors."""
     w = np.zeros(x.shape[1])
     penalty = ridge * np.eye(len(w))
@@ -142,16 +142,24 @@ def _logistic(v: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and offset of a logistic fitted to margins (Platt's smoothed targets)."""
     n1, n0 = y.sum(), len(y) - y.sum()
     t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    a, b = 1.0, 0.0
+    x = np.stack([v, np.ones(len(v))], axis=1)
+    ridge = np.diag([1e-2, 1e-6])
+
+    def loss(theta):
+        z = x @ theta
+        return (np.logaddexp(0, z) - t * z).sum() + theta @ ridge @ theta / 2
+
+    theta = np.zeros(2)
     for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(a * v + b, -30, 30)))
-        g = np.array([((p - t) * v).sum() + 1e-3 * a, (p - t).sum()])
-        s = p * (1 - p)
-        h = np.array([[(s * v * v).sum() + 1e-3, (s * v).sum()], [(s * v).sum(), s.sum() + 1e-6]])
-        step = np.linalg.solve(h, g)
-        a, b = a - step[0], b - step[1]
-        if np.abs(step).max() < 1e-9:
+        p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (p - t) + ridge @ theta)
+        size = 1.0
+        while size > 1e-6 and loss(theta - size * step) > loss(theta):
+            size /= 2  # far out the curvature says too little
+        theta = theta - size * step
+        if np.abs(size * step).max() < 1e-7:
             break
+    a, b = theta
     return float(a), float(b)
 
 
@@ -211,8 +219,9 @@ def train(texts: list[str], labels: list[int]) -> Model | None:
         extra[:, :-1] += kernel(changed) @ nystrom - features[[place[t] for _, t in whole]]
         w = _svm(np.concatenate([np.array([b[i] for b, i in zip(bags, witness)]), negative, extra]),
                  np.concatenate([y, np.ones(len(extra))]), np.concatenate([weight, np.full(len(extra), 1.0)]))
-    best = np.array([(b @ w).max() for b in bags] + [(sums(doc) @ w).max() for doc in clean])
-    slope, offset = _logistic(best, np.concatenate([np.ones(len(toxic)), np.zeros(len(clean))]))
+    best = [(b @ w).max() for b in bags]
+    slope, offset = _logistic(np.array(best + [(sums(doc) @ w).max() for doc in clean]),
+                              np.concatenate([np.ones(len(best)), np.zeros(len(clean))]))
     return Model(landmarks, (nystrom @ w[:-1]).astype(np.float32), float(w[-1]), slope, offset)
 
 
