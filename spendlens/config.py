@@ -52,10 +52,8 @@ class ReportConfig:
     snap_branding_account_name: str = ""
     youtube_branding_accounts: tuple[int, ...] = ()
     tiktok_branding_account: int = 0
-    # dimension tables with at most this many rows are broadcast; larger ones
-    # fall back to a shuffle join (see sources.catalog.bounded_broadcast)
-    broadcast_max_rows: int = 2_000_000
-    extra: dict = field(default_factory=dict, compare=False)
+    # lineage labels by logical source name, where they differ from it
+    labels: dict[str, str] = field(default_factory=dict, compare=False)
 
     @property
     def yesterday(self) -> D:
@@ -78,14 +76,13 @@ class ReportConfig:
         return dataclasses.replace(self, **kw)
 
 
-def production(env: str, as_of: D, snap_branding_account_name: str) -> ReportConfig:
-    """Parameters as written in the reference queries.
+def production(env: str, as_of: D, snap_branding_account_name: str, accounts: dict,
+               labels: dict[str, str] | None = None) -> ReportConfig:
+    """Date floors and windows of the reports; whose accounts they are is the caller's.
 
-    The snap branding account is selected by its (lower-cased) account name,
-    which the caller supplies.
+    ``accounts`` holds the account fields of ``ReportConfig`` by name, ``labels`` the
+    lineage labels. The snap branding account is selected by its (lower-cased) name.
     """
-    from . import fixed_values as fv
-
     return ReportConfig(
         env=env,
         as_of=as_of,
@@ -97,7 +94,8 @@ def production(env: str, as_of: D, snap_branding_account_name: str) -> ReportCon
         fixcost_calendar_start=D(2017, 1, 1),
         fixcost_calendar_end=D(2049, 1, 1),
         snap_branding_account_name=snap_branding_account_name.lower(),
-        **fv.PRODUCTION_ACCOUNTS,
+        labels=labels or {},
+        **accounts,
     )
 
 

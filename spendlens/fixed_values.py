@@ -76,30 +76,30 @@ TIKTOK_RULES = dict(upper=True, arms=[
     dict(accounts=("tiktok_dynamic_account",), code="TI.MP-D.AS-SA.C", name="TikTok Dynamic Ads"),
 ])
 
-# lineage labels (source_system), prefixed with "<env>_"
-SRC_AFF_AWIN = "BIWD_ONLINEMARKETINGSTEUERUNG_CONS.AFFILIATE_COSTS_AWIN"
-SRC_AFF_PRIVATE_NETWORK = "BIWD_ONLINEMARKETINGSTEUERUNG_CONS.AFFILIATE_COSTS_EASYMARKETING"
-SRC_AFF_FIXCOST = "BIWA_ONLINEMARKETINGSTEUERUNG.AMOR_AFFILIATE_MARKETING_KPI_SA_PERSISTENT"
-SRC_AFF_CLICKS = "BIWA_ONLINEMARKETINGREPORTING.TRACKINGDATA_EXTERNAL_CALL_OTTODE_S"
-SRC_GOOGLE_KEYWORD = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_GOOGLE_KEYWORD_PERFORMANCE_REPORT"
-SRC_GOOGLE_DSA = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_GOOGLE_DSA_PERFORMANCE_REPORT_UNION"
-SRC_BING_KEYWORD = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_BING_KEYWORD_PERFORMANCE_REPORT_FICO"
-SRC_BING_DSA = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_BING_DSA_PERFORMANCE_REPORT"
-SRC_ADITION = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_ADITION_DISPLAY_PERFORMANCE"
-SRC_ADITION_PARTNER = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_ADITION_DISPLAY_PARTNER_PERFORMANCE"
-SRC_GOOGLE_ACE = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_GOOGLE_ADS_AD_PERFORMANCE"
-SRC_GOOGLE_AD = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_GOOGLE_AD_PERFORMANCE_REPORT"
-SRC_ODIN = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_ODIN_AD_PERFORMANCE"
-SRC_BING_AUDIENCE = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_BING_AD_PERFORMANCE_REPORT"
-SRC_FACEBOOK = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_FACEBOOK_AD_PERFORMANCE"
-SRC_PINTEREST = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_PINTEREST_PROMOTION_PIN_PERFORMANCE"
-SRC_SNAPCHAT = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_SNAP_AD_PERFORMANCE"
-SRC_TIKTOK = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_TIKTOK_AD_PERFORMANCE"
-SRC_TV = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_BPN_TV_FLIGHTS"
-SRC_RADIO = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_BPN_RADIO_CAMPAIGN_MARKETER"
-SRC_WEBRADIO = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_BPN_RADIO_CAMPAIGN_WEBRADIO"
-SRC_DIGITAL = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_BPN_DIGITALMEDIA_MEDIAPLAN"
-SRC_DOOH = "BIWC_SERVICE_CAMPAIGNDATA_PROV.MPC_JOSTVONBRANDIS_PERFORMANCE"
+# logical sources named by the lineage labels
+SRC_AFF_AWIN = "affiliate_costs_awin"
+SRC_AFF_PRIVATE_NETWORK = "affiliate_costs_private_network"
+SRC_AFF_FIXCOST = "affiliate_fixcost"
+SRC_AFF_CLICKS = "tracking_calls"
+SRC_GOOGLE_KEYWORD = "google_keyword_perf"
+SRC_GOOGLE_DSA = "google_dsa_perf"
+SRC_BING_KEYWORD = "bing_keyword_perf"
+SRC_BING_DSA = "bing_dsa_perf"
+SRC_ADITION = "adition_display_perf"
+SRC_ADITION_PARTNER = "adition_partner_perf"
+SRC_GOOGLE_ACE = "google_ads_ad_perf"
+SRC_GOOGLE_AD = "google_ad_perf"
+SRC_ODIN = "odin_ad_perf"
+SRC_BING_AUDIENCE = "bing_ad_perf"
+SRC_FACEBOOK = "facebook_ad_perf"
+SRC_PINTEREST = "pinterest_pin_perf"
+SRC_SNAPCHAT = "snap_ad_perf"
+SRC_TIKTOK = "tiktok_ad_perf"
+SRC_TV = "tv_flights"
+SRC_RADIO = "radio_marketer"
+SRC_WEBRADIO = "radio_webradio"
+SRC_DIGITAL = "digital_mediaplan"
+SRC_DOOH = "dooh_perf"
 
 # branding: channels, campaign types, name markers
 CH_TV = "TV"
@@ -156,24 +156,4 @@ CATALOG_PACKAGE = "Package"
 CATALOG_PACKAGE_EXTRA = 5
 CATALOG_WEIGHT_FACTOR = "1.04"
 CATALOG_SOURCES = ("OPP Creation", "PPC Creative", "OPP Shipping")
-
-# production account ids (names of the accounts are not needed)
-PRODUCTION_ACCOUNTS = dict(
-    google_ace_account=9540402182,
-    gdn_account=1361841724,
-    bing_audience_account=180481972,
-    odin_excluded_customers=(2, 4),
-    facebook_excluded_accounts=(
-        10156300243778735, 79042523, 10154137716208735, 10154135741873735, 10154137716063735,
-        10154135739178735, 10154715337948735, 10154354445848735, 10155493797143735,
-    ),
-    youtube_accounts=(1878078603, 5703347048),
-    tiktok_app_install_account=7018146072233000962,
-    tiktok_static_account=7078229405281124353,
-    tiktok_dynamic_account=7067878364589064193,
-    odin_branding_customer=4,
-    facebook_branding_account=79042523,
-    youtube_branding_accounts=(9972258233, 1878078603),
-    tiktok_branding_account=7031568624221437954,
-)
 # ------------------------------------------------------------ END FIXED VALUES

@@ -38,10 +38,9 @@ def catalog_weight(shipping_type: Column, h: Column, w: Column, content_weight:
 def catalog_id(project_corr: Column, season_col: Column, shipping_lower: Column) -> Column:
     """Helper id of a catalogue project: MD5 over project, season and shipping type.
 
-    The source system's byte layout of its MD5 input is not known, so this is
-    an id of our own: md5 of the values joined by '|', the shipping type
-    left out when NULL.
+    The source system's byte layout of its MD5 input is not known, so this is an id of
+    our own: each value as 'v' and its text, NULL as 'n', joined by '|'.
     """
-    season_txt = season_col.cast("string")
-    return F.when(shipping_lower.isNull(), F.md5(F.concat_ws("|", project_corr, season_txt))) \
-        .otherwise(F.md5(F.concat_ws("|", project_corr, season_txt, shipping_lower)))
+    parts = [F.coalesce(F.concat(F.lit("v"), c.cast("string")), F.lit("n"))
+             for c in (project_corr, season_col, shipping_lower)]
+    return F.md5(F.concat_ws("|", *parts))

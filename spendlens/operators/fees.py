@@ -5,24 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.catalog import bounded_broadcast
-
 
 def month_key(d: Column) -> Column:
     """``TO_CHAR(d, 'yyyymm')`` as a number: year * 100 + month."""
     return (F.year(d) * 100 + F.month(d)).cast("int")
 
 
-def fee_rows(fee: DataFrame, channel: str, case_fold: bool, max_rows: int) -> DataFrame:
-    """Fee rows of one branding channel with their numeric month key, broadcast if bounded.
+def fee_rows(fee: DataFrame, channel: str, case_fold: bool) -> DataFrame:
+    """Fee rows of one branding channel with their numeric month key.
 
     The channel literal is filtered on the (small) fee table before the join;
     ``case_fold`` compares on UPPER(channel) as most branches do.
     """
     ch = F.upper(F.col("channel_branding")) if case_fold else F.col("channel_branding")
-    rows = fee.filter(ch == channel).withColumn(
+    return fee.filter(ch == channel).withColumn(
         "fee_month", F.col("year_month").cast("decimal(6,0)").cast("int"))
-    return bounded_broadcast(rows, max_rows)
 
 
 def join_fee(df: DataFrame, date_col: str, fees: DataFrame, sub_channel: Column | None = None,

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..sources.catalog import bounded_broadcast
 from .spread import explode_days
 
 PLACEMENT_KEYS = ("adgap_ids", "campaign_scope", "channel", "media_type", "media_billing_type",
@@ -64,8 +63,7 @@ def booked_days(plan: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
 LEVEL4_KEYS = ("adgap_ids", "campaign_scope", "channel", "media_type", "media_billing_type")
 
 
-def delivery_per_group(delivery: DataFrame, adgap_map: DataFrame, lo: dt.date, hi: dt.date,
-                       max_rows: int) -> DataFrame:
+def delivery_per_group(delivery: DataFrame, adgap_map: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
     """Delivered clicks and impressions per (ad-gap id group, day).
 
     The fact is aggregated per (ad-gap id, day) first (map-side partial sums),
@@ -75,23 +73,21 @@ def delivery_per_group(delivery: DataFrame, adgap_map: DataFrame, lo: dt.date, h
           .groupBy(F.coalesce(F.col("banner_external_id"), F.col("campaign_external_id")).alias("adgap_id"),
                    F.col("reporting_date").alias("datum"))
           .agg(F.sum("clicks").alias("clicks"), F.sum("impressions").alias("impressions")))
-    mapping = bounded_broadcast(adgap_map.select("adgap_id", "adgap_ids"), max_rows)
-    return (ad.join(mapping, "adgap_id", "inner")
+    return (ad.join(adgap_map.select("adgap_id", "adgap_ids"), "adgap_id", "inner")
             .groupBy("adgap_ids", "datum")
             .agg(F.sum("clicks").alias("clicks"), F.sum("impressions").alias("impressions")))
 
 
-def _times_placements(per_group: DataFrame, plan: DataFrame, keys, max_rows: int) -> DataFrame:
+def _times_placements(per_group: DataFrame, plan: DataFrame, keys) -> DataFrame:
     """Repeat each group's delivery once per matching placement, as a multiplier.
 
     As written, every delivery row joins every placement sharing its id group
     (without a date check) and is summed per placement attributes, so it counts
     once per matching placement. The placements are counted per attribute set
-    (a small dimension, broadcast behind a bound) and the sums multiplied: the
+    (a dimension aggregate) and the sums multiplied: the
     fact side never fans out.
     """
     attrs = placements(plan).groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("_n"))
-    attrs = bounded_broadcast(attrs, max_rows)
     j = per_group.join(attrs, "adgap_ids", "inner")
     return j.select(
         "datum", *keys,
@@ -100,23 +96,19 @@ def _times_placements(per_group: DataFrame, plan: DataFrame, keys, max_rows: int
     )
 
 
-def delivered_days(delivery: DataFrame, adgap_map: DataFrame, plan: DataFrame, lo: dt.date, hi: dt.date,
-                   max_rows: int) -> DataFrame:
+def delivered_days(delivery: DataFrame, adgap_map: DataFrame, plan: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
     """The delivered leg at its written grain: per placement attributes and day."""
-    return _times_placements(delivery_per_group(delivery, adgap_map, lo, hi, max_rows), plan, PLACEMENT_KEYS,
-                             max_rows)
+    return _times_placements(delivery_per_group(delivery, adgap_map, lo, hi), plan, PLACEMENT_KEYS)
 
 
-def delivered_level4(delivery: DataFrame, adgap_map: DataFrame, plan: DataFrame, lo: dt.date, hi: dt.date,
-                     max_rows: int) -> DataFrame:
+def delivered_level4(delivery: DataFrame, adgap_map: DataFrame, plan: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
     """The delivered leg already summed to the grain of the next level.
 
     The next level groups by (id group, day, billing type, media type, scope,
     channel) and its fee join keys (month, media type) are among those, so the
     per-placement rows (creative type, client, duration) never need to exist.
     """
-    return _times_placements(delivery_per_group(delivery, adgap_map, lo, hi, max_rows), plan, LEVEL4_KEYS,
-                             max_rows)
+    return _times_placements(delivery_per_group(delivery, adgap_map, lo, hi), plan, LEVEL4_KEYS)
 
 
 def effective_cost(kosten: Column, volume: Column, impressions: Column, clicks: Column, billing: Column) -> Column:

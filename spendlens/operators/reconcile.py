@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -48,15 +48,11 @@ def reconcile(actual: DataFrame, plan: DataFrame, lo: dt.date, hi: dt.date) -> D
     )
 
 
-def last_actual_date(actual: DataFrame, partition: str, max_rows: int) -> DataFrame:
+def last_actual_date(actual: DataFrame, partition: str) -> DataFrame:
     """``MAX(day) OVER (PARTITION BY campaign)`` on the per-day actual rows.
 
-    Written as an aggregate joined back: the maximum per campaign is computed
-    with partial aggregation (a campaign holding a large share of the rows is
-    combined map-side) and the per-campaign table is broadcast behind a bound.
+    The input holds one row per campaign, day and class (aggregated with partial
+    sums), so a window partition is bounded by the calendar however many fact rows
+    a campaign has, and the fact is read once.
     """
-    from ..sources.catalog import bounded_broadcast
-
-    last = actual.groupBy(partition).agg(F.max("a_date").alias("max_actual_date"))
-    return actual.join(bounded_broadcast(last, max_rows), actual[partition].eqNullSafe(last[partition]), "left") \
-        .drop(last[partition])
+    return actual.withColumn("max_actual_date", F.max("a_date").over(Window.partitionBy(partition)))

@@ -31,7 +31,3 @@ def explode_days(df: DataFrame, start: str, end: str, lo: dt.date, hi: dt.date,
         .withColumn(out, F.explode(F.sequence(first, last)))
     )
 
-
-def date_spine(spark, lo: dt.date, hi: dt.date, out: str = "datum") -> DataFrame:
-    """The generated calendar itself (``CONNECT BY LEVEL`` in the reference)."""
-    return spark.range(1).select(F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias(out))

@@ -48,6 +48,12 @@ GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12"""
     out["catalog_project"] = f"""{head}
 SELECT project_name, {PROJECT} AS project_name_corr, season_year, {SEASON} AS season
 FROM (SELECT DISTINCT project_name, season_year FROM fx_print) p"""
+    out["catalog_id"] = f"""{head}
+SELECT project_name_corr, season, shipping_type,
+ md5(coalesce('v' || project_name_corr, 'n') || '|' || coalesce('v' || CAST(season AS VARCHAR), 'n') || '|'
+     || coalesce('v' || shipping_type, 'n')) AS id
+FROM (SELECT DISTINCT {PROJECT} AS project_name_corr, {SEASON} AS season, lower(p.shipping_type) AS shipping_type
+      FROM fx_print AS p) x"""
     out["catalog_weight"] = f"""{head}
 SELECT p.initiative_name, p.project_name, p.shipping_type AS pwm_shipping_type, p.height AS pwm_format_height,
  p.width AS pwm_format_width, {WEIGHT} AS katalog_gewicht_gesamt FROM fx_print AS p"""

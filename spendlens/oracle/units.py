@@ -61,20 +61,11 @@ FROM (SELECT budget_origin, CASE WHEN upper(budget_origin) = 'WKZ' THEN 3 ELSE 1
         parts.append(f"SELECT {q(name)} AS rule_set, campaign_name, account_id, {code} AS planning_context_code,"
                      f" {nm} AS planning_context_name FROM (SELECT DISTINCT campaign_name, account_id FROM fx_perf) p")
     out["context_fallback"] = h + "\n" + "\nUNION ALL\n".join(parts)
-    h = with_(["fx_actual", "fx_plan", "fx_fee", "fx_mediaplan", "fx_adition", "fx_adgap", "fx_dooh"])
-    lo, hi = d(cfg.branding_min_date), d(cfg.yesterday)
-    tv_actual = ob.tv_actual()
+    h = with_(["fx_actual", "fx_plan", "fx_fee", "fx_mediaplan", "fx_adition", "fx_adgap", "fx_dooh"], *ob.shared(cfg))
     out["actual_vs_plan"] = f"""{h}
-SELECT COALESCE(a.a_date, p.planning_date) AS reporting_date,
- CAST(COALESCE(a.budget_logic, p.budget_logic) AS INTEGER) AS budget_logic,
- COALESCE(a.campaign_type, p.campaign_type) AS campaign_type, COALESCE(a.is_plan, p.is_plan) AS is_plan,
- CAST(CASE WHEN (p.planning_date <= a.max_date OR p.planning_date IS NULL) THEN a.cost ELSE p.cost_euro_nnn_planned END AS DOUBLE) AS media_cost,
- CAST(COALESCE(a.cost, p.cost_euro_nnn_planned) AS DOUBLE) AS infra_base,
- CAST(CASE WHEN (p.planning_date <= a.max_date OR p.planning_date IS NULL) THEN a.volume ELSE p.gross_contacts_planned END AS DOUBLE) AS impressions
-FROM (SELECT CAST(g AS DATE) AS datum FROM generate_series({d(cfg.branding_calendar_start)}, {d(cfg.as_of)}, INTERVAL 1 DAY) t(g)) AS dd
-LEFT JOIN {tv_actual} AS a ON a.a_date = dd.datum
-FULL OUTER JOIN {ob._plan(fv.PLAN_TV)} AS p ON dd.datum = p.planning_date AND a.campaign_name = p.campaign_name
-WHERE (a.a_date BETWEEN {lo} AND {hi}) OR (p.planning_date BETWEEN {lo} AND {hi})"""
+SELECT day AS reporting_date, CAST(class AS INTEGER) AS budget_logic, type AS campaign_type, is_plan,
+ CAST(cost AS DOUBLE) AS media_cost, CAST(base AS DOUBLE) AS infra_base, CAST(volume AS DOUBLE) AS impressions
+FROM ({ob.reconciled(cfg, "tv_days", fv.PLAN_TV)}) r"""
     out["agency_fee"] = f"""{h}
 SELECT j.reporting_date, j.sub_channel, CAST(j.cost_euro_nnn AS DOUBLE) AS cost_euro_nnn,
  CAST(bba.fee AS DOUBLE) AS fee, CAST(bba.discount AS DOUBLE) AS discount,
@@ -84,13 +75,10 @@ FROM (SELECT CAST(planning_date AS DATE) AS reporting_date, cost_euro_nnn,
  FROM fx_dooh) j
 LEFT JOIN fx_fee AS bba ON CAST(bba.year_month AS DECIMAL(6)) = CAST(strftime(j.reporting_date, '%Y%m') AS DECIMAL(6))
  AND upper(bba.channel_branding) = '(D)OOH' AND upper(bba.sub_channel_branding) = upper(j.sub_channel)"""
-    lvl3 = ob.digital_levels(cfg)["lvl3"]
     out["effective_media_cost"] = f"""{h}
 SELECT reporting_date, campaign_scope, adgap_ids, channel, CAST(kosten_nnn AS DOUBLE) AS kosten_nnn,
- CAST(kosten_nnn_eff AS DOUBLE) AS kosten_nnn_eff,
- CAST(CASE WHEN kosten_nnn_eff > kosten_nnn THEN kosten_nnn ELSE kosten_nnn_eff END AS DOUBLE) AS media_cost,
- CAST(fee AS DOUBLE) AS fee
-FROM ({lvl3}) l3"""
+ CAST(kosten_nnn_eff AS DOUBLE) AS kosten_nnn_eff, CAST(media_cost AS DOUBLE) AS media_cost, CAST(fee AS DOUBLE) AS fee
+FROM digital_capped WHERE reporting_date <= {d(cfg.yesterday)}"""
     out["last_actual_date"] = f"""{h}
 SELECT actual_date, campaign_name, max(actual_date) OVER (PARTITION BY campaign_name) AS max_actual_date,
  CAST(cost AS DOUBLE) AS cost

@@ -17,7 +17,6 @@ from ..config import ReportConfig
 from ..functions.budget import with_budget
 from ..operators.context import planning_context
 from ..operators.spread import explode_days
-from ..sources.catalog import bounded_broadcast
 from .common import CHANNEL_VIEW, label, union_all
 
 KEYS = ("aff_awin_cost", "aff_private_network_cost", "aff_fixcost_daily", "aff_clicks")
@@ -25,7 +24,7 @@ KEYS = ("aff_awin_cost", "aff_private_network_cost", "aff_fixcost_daily", "aff_c
 
 def context(cat, cfg: ReportConfig) -> DataFrame:
     """The affiliate context is DISTINCT and joined row by row (no FIRST_VALUE here)."""
-    return bounded_broadcast(planning_context(cat["planning_context_map"], distinct=True), cfg.broadcast_max_rows)
+    return planning_context(cat["planning_context_map"], distinct=True)
 
 
 def in_window(c, cfg: ReportConfig):
@@ -41,47 +40,35 @@ def _with_context(rows: DataFrame, ctx: DataFrame, code: str | None, name: str |
     return j.withColumn("planning_context_code", code_c).withColumn("planning_context_name", name_c)
 
 
-def _finish(df: DataFrame, cfg: ReportConfig, suffix: str, clicks: int, cost) -> DataFrame:
-    return df.select(
-        "reporting_date", "planning_context_code", "planning_context_name",
-        F.lit(fv.CH_AFFILIATES).alias("channel"), "camp_id", F.lit(label(cfg, suffix)).alias("source_system"),
-        F.lit(0).cast("bigint").alias("impressions"), F.lit(clicks).cast("bigint").alias("clicks"),
-        cost.alias("cost_euro"))
-
-
-def awin_cost(cat, cfg, ctx):
+def awin_cost(cat, cfg):
     src = cat["affiliate_costs_awin"]
-    rows = (src.select(F.to_date("order_timestamp").alias("reporting_date"), "camp_id",
+    return (src.select(F.to_date("order_timestamp").alias("reporting_date"), "camp_id",
                        (F.col("nw_provision_hr") + F.col("nw_networkfee_hr")).alias("cost"))
             .filter(F.col("cost") != 0)
             .filter(in_window(F.col("reporting_date"), cfg)))
-    return _finish(_with_context(rows, ctx, *fv.PC_AWIN), cfg, fv.SRC_AFF_AWIN, 0, F.col("cost"))
 
 
-def private_network_cost(cat, cfg, ctx):
+def private_network_cost(cat, cfg):
     src = cat["affiliate_costs_private_network"]
-    rows = (src.select(F.to_date("order_timestamp").alias("reporting_date"), "camp_id",
+    return (src.select(F.to_date("order_timestamp").alias("reporting_date"), "camp_id",
                        F.col("nw_provision_hr").alias("cost"))
             .filter(F.col("cost") != 0)
             .filter(in_window(F.col("reporting_date"), cfg)))
-    return _finish(_with_context(rows, ctx, *fv.PC_PRIVATE_NETWORK), cfg, fv.SRC_AFF_PRIVATE_NETWORK, 0, F.col("cost"))
 
 
-def fixcost_daily(cat, cfg, ctx):
+def fixcost_daily(cat, cfg):
     """Fix costs spread evenly over their days, clipped to calendar and look-back window.
 
-    A zero duration gives NULL (the reference divides unguarded; ANSI Spark
-    would raise), so such rows keep their days with a NULL cost. The quotient
-    is a DOUBLE (IEEE division of the cost by the day count).
+    A zero duration gives NULL, so such rows keep their days with a NULL cost. The
+    quotient is a DECIMAL: sums do not depend on the order of the rows.
     """
     lo = max(cfg.fixcost_calendar_start, cfg.affiliate_from)
     hi = min(cfg.fixcost_calendar_end, cfg.as_of)
     src = cat["affiliate_fixcost"].filter(F.col("additional_costs") == "true")
     days = explode_days(src, "start_date", "end_date", lo, hi, out="reporting_date")
-    rows = days.select("reporting_date", F.col("campaign").alias("camp_id"),
-                       (F.col("cost_euro").cast("double")
-                        / F.nullif(F.col("duration_in_days"), F.lit(0)).cast("double")).alias("cost"))
-    return _finish(_with_context(rows, ctx, *fv.PC_PRIVATE_NETWORK), cfg, fv.SRC_AFF_FIXCOST, 0, F.col("cost"))
+    return days.select("reporting_date", F.col("campaign").alias("camp_id"),
+                       (F.col("cost_euro").cast("decimal(18,2)")
+                        / F.nullif(F.col("duration_in_days"), F.lit(0)).cast("decimal(10,0)")).alias("cost"))
 
 
 def _ts_lit(day: dt.date):
@@ -93,13 +80,13 @@ def cet_date(ts):
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit("CET"), ts.cast("timestamp_ntz")))
 
 
-def clicks(cat, cfg, ctx):
-    """Tracked calls without bots, one click each, on the CET day.
+def clicks(cat, cfg):
+    """Tracked calls without bots on the CET day, of campaigns in the two named contexts.
 
-    calls JOIN link is the one fact-to-fact join (a shuffle on the call key,
-    unique per call, so no skew); campaign hub and context are dimensions. A
-    plain range on the raw UTC timestamp (one day of margin for the CET offset)
-    lets the Parquet reader skip row groups before the exact CET-day test.
+    The contexts cut the campaign hub and the hub cuts the link before the one fact-to-fact
+    join (on the call key, unique per call), so that shuffle carries affiliate links only. A
+    plain range on the raw UTC timestamp (one day of margin for the CET offset) lets the
+    Parquet reader skip row groups before the exact CET-day test.
     """
     ts = F.col("event_created_at_utc")
     calls = (cat["tracking_calls"]
@@ -108,34 +95,63 @@ def clicks(cat, cfg, ctx):
              .filter(F.col("bot") == F.lit(False))
              .select("external_call_h_sk", cet_date(ts).alias("reporting_date"))
              .filter(in_window(F.col("reporting_date"), cfg)))
-    link = cat["tracking_call_campaign_link"].select("external_call_h_sk", "campaign_h_sk")
-    hub = bounded_broadcast(cat["campaign_hub"].select("campaign_h_sk", "campaign_id"), cfg.broadcast_max_rows)
-    rows = (calls.join(link, "external_call_h_sk", "inner")
-            .join(hub, "campaign_h_sk", "inner")
-            .select("reporting_date", F.col("campaign_id").alias("camp_id")))
-    named = ctx.filter(F.col("planning_context_name").isin(list(fv.AFF_CLICK_CONTEXT_NAMES)))
-    j = _with_context(rows, named, None, None, how="inner")
-    return _finish(j, cfg, fv.SRC_AFF_CLICKS, 1, F.lit(0).cast("decimal(18,2)"))
-
-
-BUILDERS = {"aff_awin_cost": awin_cost, "aff_private_network_cost": private_network_cost,
-            "aff_fixcost_daily": fixcost_daily, "aff_clicks": clicks}
+    named = click_context(context(cat, cfg)).select(F.col("camp_id").alias("_named"))
+    hub = (cat["campaign_hub"].select("campaign_h_sk", F.col("campaign_id").alias("camp_id"))
+           .join(named, F.col("camp_id") == F.col("_named"), "left_semi"))
+    link = cat["tracking_call_campaign_link"].select("external_call_h_sk", "campaign_h_sk").join(hub, "campaign_h_sk")
+    return (calls.join(link.select("external_call_h_sk", "camp_id"), "external_call_h_sk")
+            .select("reporting_date", "camp_id", F.lit(0).cast("decimal(18,2)").alias("cost")))
+
+
+def click_context(ctx: DataFrame) -> DataFrame:
+    return ctx.filter(F.col("planning_context_name").isin(list(fv.AFF_CLICK_CONTEXT_NAMES)))
+
+
+# branch: rows, source, fallback context, clicks of a row
+BRANCHES = {
+    "aff_awin_cost": (awin_cost, fv.SRC_AFF_AWIN, fv.PC_AWIN, 0),
+    "aff_private_network_cost": (private_network_cost, fv.SRC_AFF_PRIVATE_NETWORK, fv.PC_PRIVATE_NETWORK, 0),
+    "aff_fixcost_daily": (fixcost_daily, fv.SRC_AFF_FIXCOST, fv.PC_PRIVATE_NETWORK, 0),
+    "aff_clicks": (clicks, fv.SRC_AFF_CLICKS, None, 1),
+}
+
+
+def _in_context(cfg: ReportConfig, key: str, rows: DataFrame, ctx: DataFrame) -> DataFrame:
+    """rows (reporting_date, camp_id, clicks, cost) with their context, in view columns."""
+    _, source, fallback, _ = BRANCHES[key]
+    if fallback is None:
+        j = _with_context(rows, click_context(ctx), None, None, how="inner")
+    else:
+        j = _with_context(rows, ctx, *fallback)
+    return j.select(
+        "reporting_date", "planning_context_code", "planning_context_name",
+        F.lit(fv.CH_AFFILIATES).alias("channel"), "camp_id", F.lit(label(cfg, source)).alias("source_system"),
+        F.lit(0).cast("bigint").alias("impressions"), F.col("clicks").cast("bigint").alias("clicks"),
+        F.col("cost").alias("cost_euro"))
 
 
 def branch(cat, cfg: ReportConfig, key: str, ctx: DataFrame | None = None) -> DataFrame:
-    return BUILDERS[key](cat, cfg, context(cat, cfg) if ctx is None else ctx)
+    """A branch's single rows."""
+    rows, _, _, clicks_each = BRANCHES[key]
+    return _in_context(cfg, key, rows(cat, cfg).withColumn("clicks", F.lit(clicks_each)),
+                       context(cat, cfg) if ctx is None else ctx)
 
 
 def report(cat, cfg: ReportConfig) -> DataFrame:
-    """Union of the row-level branches, summed per day/context/channel/campaign/source.
+    """Sums per day, context, channel, campaign and source.
 
-    The context is a broadcast, so the branches need no shuffle; the sum's
-    partial aggregation collapses rows map-side (one shuffle in total besides
-    the calls-link join).
+    Each branch is summed per (day, campaign) first, so the context meets sums, not
+    raw rows: a campaign of many rows (or none at all, the NULL key) is combined
+    map-side before any join.
     """
     ctx = context(cat, cfg)
-    u = union_all([branch(cat, cfg, k, ctx) for k in KEYS])
+    parts = []
+    for key, (rows, _, _, clicks_each) in BRANCHES.items():
+        daily = rows(cat, cfg).groupBy("reporting_date", "camp_id").agg(
+            F.sum("cost").alias("cost"), (F.count(F.lit(1)) * clicks_each).alias("clicks"))
+        parts.append(_in_context(cfg, key, daily, ctx))
     keys = ["reporting_date", "planning_context_code", "planning_context_name", "channel", "camp_id", "source_system"]
-    agg = u.groupBy(*keys).agg(F.sum("clicks").cast("bigint").alias("clicks"), F.sum("cost_euro").alias("cost_euro"))
+    agg = union_all(parts).groupBy(*keys).agg(F.sum("clicks").cast("bigint").alias("clicks"),
+                                              F.sum("cost_euro").alias("cost_euro"))
     out = with_budget(agg.withColumn("impressions", F.lit(0).cast("bigint")))
     return out.select(*CHANNEL_VIEW).withColumn("cost_euro", F.col("cost_euro").cast("double"))

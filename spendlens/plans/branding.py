@@ -8,6 +8,7 @@ cost, impressions, day and source.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,6 @@ from ..operators.media import LEVEL4_KEYS, booked_days, delivered_days, delivere
 from ..operators.reconcile import reconcile
 from ..operators.rollup import activity
 from ..operators.unions import union_all
-from ..sources.catalog import bounded_broadcast
 from .common import label
 
 KEYS = ("bra_tv", "bra_radio", "bra_webradio", "bra_digital", "bra_dooh", "bra_odin",
@@ -85,7 +85,7 @@ def radio_actuals(cat, source: str, date_col: str, volume_col: str, same_day: bo
 def _actual_vs_plan(cat, cfg: ReportConfig, actual: DataFrame, plan_channel: str, fee_channel: str,
                     fee_case_fold: bool, channel: str, source: str) -> DataFrame:
     rows = reconcile(actual, plan_rows(cat, plan_channel), cfg.branding_min_date, cfg.yesterday)
-    fees = fee_rows(cat["agency_fee"], fee_channel, fee_case_fold, cfg.broadcast_max_rows)
+    fees = fee_rows(cat["agency_fee"], fee_channel, fee_case_fold)
     j = join_fee(rows, "reporting_date", fees)
     g = (j.groupBy("budget_logic", "campaign_type", "is_plan", "reporting_date")
          .agg(F.sum("media_cost").alias("media_cost"),
@@ -111,14 +111,6 @@ def webradio(cat, cfg):
 
 
 # ------------------------------------------------------------------- digital
-def digital_legs(cat, cfg: ReportConfig):
-    lo, hi = cfg.branding_min_date, cfg.yesterday
-    booked = booked_days(cat["digital_mediaplan"], lo, hi)
-    delivered = delivered_days(cat["bpn_adition_perf"], cat["adgap_id_mapping"], cat["digital_mediaplan"],
-                               lo, hi, cfg.broadcast_max_rows)
-    return booked, delivered
-
-
 def digital_level4(cat, cfg: ReportConfig) -> DataFrame:
     """Both legs with the month's fee, per (id group, day, billing, media type, scope, channel).
 
@@ -127,10 +119,10 @@ def digital_level4(cat, cfg: ReportConfig) -> DataFrame:
     lo, hi = cfg.branding_min_date, cfg.yesterday
     booked = booked_days(cat["digital_mediaplan"], lo, hi)
     delivered = delivered_level4(cat["bpn_adition_perf"], cat["adgap_id_mapping"], cat["digital_mediaplan"],
-                                 lo, hi, cfg.broadcast_max_rows)
+                                 lo, hi)
     cols = ("datum", *LEVEL4_KEYS, "buchungsvolumen", "kosten_nnn", "clicks", "impressions")
     legs = union_all([booked.select(*cols), delivered.select(*cols)])
-    fees = fee_rows(cat["agency_fee"], fv.FEE_DIGITAL, True, cfg.broadcast_max_rows)
+    fees = fee_rows(cat["agency_fee"], fv.FEE_DIGITAL, True)
     with_fee = join_fee(legs, "datum", fees, sub_channel=F.col("media_type"))
     return (with_fee.groupBy("adgap_ids", "datum", "media_billing_type", "media_type", "campaign_scope", "channel")
             .agg(F.max("fee").alias("fee"), F.sum("kosten_nnn").alias("kosten_nnn"),
@@ -177,13 +169,12 @@ def dooh(cat, cfg):
            # EXTRACT(YEAR ..) >= y written as a date range
            .filter(F.col("reporting_date") >= F.lit(dt.date(cfg.dooh_min_year, 1, 1)))
            .filter(F.col("reporting_date") <= F.lit(cfg.yesterday)))
-    fees = fee_rows(cat["agency_fee"], fv.FEE_DOOH, True, cfg.broadcast_max_rows)
+    fees = fee_rows(cat["agency_fee"], fv.FEE_DOOH, True)
     j = join_fee(jvb, "reporting_date", fees, sub_channel=F.upper(F.col("sub_channel")),
                  cols=("fee", "discount", "managed_fee", "dsp_fee"))
     u = F.upper(F.col("sub_channel"))
     nn, nnn = F.col("nn"), F.col("nnn")
-    media = F.when(u == fv.DOOH_PROGRAMMATIC, nn - nn * F.col("discount")) \
-        .when(u == fv.DOOH_PLAIN, nn - nn * F.col("discount"))
+    media = nn - nn * F.col("discount")  # both sub channels
     infra = F.when(u == fv.DOOH_PROGRAMMATIC,
                    nnn * F.col("managed_fee") + nnn * F.col("dsp_fee") + nnn * F.col("fee")) \
         .when(u == fv.DOOH_PLAIN, nnn * F.col("fee"))
@@ -198,7 +189,7 @@ def dooh(cat, cfg):
 
 
 # ------------------------------------------------------------------ in-house
-def _campaign_multiplier(cat, cfg: ReportConfig) -> DataFrame:
+def _campaign_multiplier(cat) -> DataFrame:
     """Rows per campaign id in the campaign table.
 
     The in-house branches LEFT JOIN the campaign table without using its
@@ -206,29 +197,31 @@ def _campaign_multiplier(cat, cfg: ReportConfig) -> DataFrame:
     id (a dimension aggregate) and multiplying the sums gives the same result
     without joining the fact row by row.
     """
-    m = (cat["campaign_persist"].filter(F.col("campaign_id").isNotNull())
+    return (cat["campaign_persist"].filter(F.col("campaign_id").isNotNull())
          .groupBy(F.col("campaign_id").alias("camp_id")).agg(F.count(F.lit(1)).cast("int").alias("_n")))
-    return bounded_broadcast(m, cfg.broadcast_max_rows)
 
 
-def _inhouse(cat, cfg, facts: DataFrame, *, logic, with_share_ws=True, channel: str, source: str,
-             tool_fee: bool, odin: bool = False) -> DataFrame:
-    """facts: reporting_date, camp_id, impressions, clicks, cost (+ rate for ODIN)."""
-    aggs = [F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
-            F.sum("cost").alias("media_cost")]
-    if tool_fee:
-        aggs.append(F.sum(F.col("cost") * F.lit(float(fv.TOOL_FEE)).cast("decimal(4,3)")).alias("_fee"))
-    if odin:
-        aggs += [F.sum(F.col("cost") * F.lit(fv.ODIN_SPEND_FEE).cast("decimal(3,2)")).alias("_spend_fee"),
-                 F.sum(F.col("impressions") / 1000 * F.lit(float(fv.ODIN_USD_PER_MILLE))).alias("_usd"),
-                 F.max("rate").alias("_rate")]
-    g = facts.groupBy("reporting_date", "camp_id").agg(*aggs)
-    g = g.join(_campaign_multiplier(cat, cfg), "camp_id", "left")
+def _inhouse(cat, cfg, facts: DataFrame, *, logic, channel: str, source: str, tool_fee: bool,
+             rates: DataFrame | None = None) -> DataFrame:
+    """facts: reporting_date, camp_id, impressions, clicks, cost; rates (ODIN): a row per day.
+
+    Sums are exact (BIGINT, DECIMAL) and are scaled after the aggregation.
+    """
+    g = facts.groupBy("reporting_date", "camp_id").agg(
+        F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"), F.sum("cost").alias("media_cost"))
+    g = g.join(_campaign_multiplier(cat), "camp_id", "left")
     n = F.coalesce(F.col("_n"), F.lit(1))
+    if rates is not None:
+        g = g.join(rates, "reporting_date", "left")
+        n = n * F.coalesce(F.col("_rates"), F.lit(1))
+    spend = F.col("media_cost")
     if tool_fee:
-        infra = F.col("_fee") * n
-    elif odin:
-        infra = F.col("_spend_fee") * n + (F.col("_usd") * n) / F.col("_rate")
+        infra = spend * F.lit(fv.TOOL_FEE).cast("decimal(4,3)") * n
+    elif rates is not None:
+        # exact in DECIMAL up to the one division
+        usd = F.col("impressions") * F.lit(str(Decimal(fv.ODIN_USD_PER_MILLE) / 1000)).cast("decimal(7,6)") * n
+        infra = (spend * F.lit(fv.ODIN_SPEND_FEE).cast("decimal(3,2)") * n).cast("double") \
+            + usd.cast("double") / F.col("_rate").cast("double")
     else:
         infra = F.lit(0)
     camp = F.col("camp_id")
@@ -239,7 +232,7 @@ def _inhouse(cat, cfg, facts: DataFrame, *, logic, with_share_ws=True, channel:
         logic(camp).alias("budget_logic"),
     ).withColumn("budget_logic_share", B.budget_share_ws(camp, F.col("budget_logic"))) \
         .withColumn("campaign_type", F.lit(fv.TYPE_BRANDING)).withColumn("is_plan", F.lit(False))
-    if odin:
+    if rates is not None:
         out = out.withColumn("clicks", F.lit(0))
     return _finish(out, channel, label(cfg, source), camp=F.col("camp_id"))
 
@@ -249,12 +242,12 @@ def odin(cat, cfg):
            .filter(F.col("reporting_date") >= F.lit(cfg.branding_min_date))
            .filter(activity([F.col("impressions"), F.col("net_revenue_euro")], strict=False))
            .filter(F.col("odin_customer_id") == cfg.odin_branding_customer))
-    rates = bounded_broadcast(cat["exchange_rates"].select("reporting_date", F.col("exchange_rate_eur_to_usd").alias("rate")),
-                              cfg.broadcast_max_rows)
-    facts = dat.join(rates, "reporting_date", "left").select(
-        "reporting_date", "camp_id", "impressions", "clicks", F.col("net_revenue_euro").alias("cost"), "rate")
+    # days with several rates repeat their rows; the largest rate counts
+    rates = cat["exchange_rates"].groupBy("reporting_date").agg(
+        F.max("exchange_rate_eur_to_usd").alias("_rate"), F.count(F.lit(1)).cast("int").alias("_rates"))
+    facts = dat.select("reporting_date", "camp_id", "impressions", "clicks", F.col("net_revenue_euro").alias("cost"))
     return _inhouse(cat, cfg, facts, logic=B.budget_logic_reduced, channel=fv.CH_DISPLAY_BRANDING,
-                    source=fv.SRC_ODIN, tool_fee=False, odin=True)
+                    source=fv.SRC_ODIN, tool_fee=False, rates=rates)
 
 
 def _social_excluded(camp: str, name: str) -> Column:
@@ -331,8 +324,10 @@ def report(cat, cfg: ReportConfig) -> DataFrame:
 
 
 def booked_leg(cat, cfg: ReportConfig) -> DataFrame:
-    return digital_legs(cat, cfg)[0]
+    """Booked days up to the run's day; the report's own cut at yesterday comes later."""
+    return booked_days(cat["digital_mediaplan"], cfg.branding_min_date, cfg.as_of)
 
 
 def delivered_leg(cat, cfg: ReportConfig) -> DataFrame:
-    return digital_legs(cat, cfg)[1]
+    return delivered_days(cat["bpn_adition_perf"], cat["adgap_id_mapping"], cat["digital_mediaplan"],
+                          cfg.branding_min_date, cfg.yesterday)

@@ -9,7 +9,6 @@ from ..config import ReportConfig
 from ..functions.budget import with_budget
 from ..operators.context import condensed_context, planning_context
 from ..operators.unions import union_all
-from ..sources.catalog import bounded_broadcast
 
 CHANNEL_VIEW = (
     "reporting_date", "planning_context_code", "planning_context_name", "channel", "camp_id",
@@ -17,14 +16,14 @@ CHANNEL_VIEW = (
 )
 
 
-def label(cfg: ReportConfig, suffix: str) -> str:
-    return f"{cfg.env}_{suffix}"
+def label(cfg: ReportConfig, source: str) -> str:
+    """Lineage label: the environment and the source's label (by default its logical name)."""
+    return f"{cfg.env}_{cfg.labels.get(source, source)}"
 
 
 def context_for(cat, cfg: ReportConfig, distinct: bool) -> DataFrame:
-    """Condensed planning context, broadcast behind a row-count check."""
-    ctx = condensed_context(planning_context(cat["planning_context_map"], distinct))
-    return bounded_broadcast(ctx, cfg.broadcast_max_rows)
+    """Condensed planning context; AQE picks the join by its measured size."""
+    return condensed_context(planning_context(cat["planning_context_map"], distinct))
 
 
 def channel_view(branches: list[DataFrame]) -> DataFrame:

@@ -11,7 +11,6 @@ from .. import fixed_values as fv
 from ..config import ReportConfig
 from ..operators.context import Fallback, rule_arm
 from ..operators.rollup import activity, rollup
-from ..sources.catalog import bounded_broadcast
 from .common import channel_view, context_for, label
 
 KEYS = ("dis_adition", "dis_adition_partner", "dis_google_ace", "dis_gdn", "dis_odin", "dis_bing_audience")
@@ -41,10 +40,12 @@ def _metrics(df, imp, clicks, cost):
 def adition(cat, cfg, ctx):
     dat = cat["adition_display_perf"].filter(F.col("business_date") >= F.lit(cfg.min_date)).filter(
         activity([F.col("dsp_impressions_bidon"), F.col("dsp_costs"), F.col("dsp_clicks")], strict=False))
-    ident = bounded_broadcast(_valid_idents(cat, cfg), cfg.broadcast_max_rows)
-    facts = dat.join(ident, "bid", "inner").select(
-        F.col("business_date").alias("reporting_date"), F.col("campaign_id").alias("camp_id"),
-        *_metrics(dat, "dsp_impressions_bidon", "dsp_clicks", "dsp_costs"))
+    # summed per (day, banner) before it meets the banners
+    daily = dat.groupBy(F.col("business_date").alias("reporting_date"), "bid").agg(
+        F.sum("dsp_impressions_bidon").alias("impressions"), F.sum("dsp_clicks").alias("clicks"),
+        F.sum("dsp_costs").alias("cost_euro"))
+    facts = daily.join(_valid_idents(cat, cfg), "bid", "inner").select(
+        "reporting_date", F.col("campaign_id").alias("camp_id"), "impressions", "clicks", "cost_euro")
     return rollup(facts, ctx, Fallback(fv.CH_DISPLAY), label(cfg, fv.SRC_ADITION))
 
 
@@ -55,15 +56,15 @@ def adition_partner(cat, cfg, ctx):
     counted per campaign (a dimension aggregate) and the metrics multiplied.
     """
     banners = _valid_idents(cat, cfg).groupBy("campaign_id").agg(F.count(F.lit(1)).cast("int").alias("_n"))
-    banners = bounded_broadcast(banners, cfg.broadcast_max_rows)
     dat = cat["adition_partner_perf"].filter(F.col("business_date") >= F.lit(cfg.min_date)).filter(
         activity([F.col("impressions"), F.col("budget"), F.col("clicks")], strict=True))
-    j = dat.join(banners, dat["camp_id"] == banners["campaign_id"], "inner")
+    daily = dat.groupBy(F.col("business_date").alias("reporting_date"), "camp_id").agg(
+        F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"), F.sum("budget").alias("cost_euro"))
+    j = daily.join(banners, daily["camp_id"] == banners["campaign_id"], "inner")
     n = F.col("_n")
     facts = j.select(
-        F.col("business_date").alias("reporting_date"), F.col("campaign_id").alias("camp_id"),
-        (F.col("impressions") * n).alias("impressions"), (F.col("clicks") * n).alias("clicks"),
-        (F.col("budget") * n).alias("cost_euro"))
+        "reporting_date", "camp_id", (F.col("impressions") * n).alias("impressions"),
+        (F.col("clicks") * n).alias("clicks"), (F.col("cost_euro") * n).alias("cost_euro"))
     return rollup(facts, ctx, Fallback(fv.CH_DISPLAY), label(cfg, fv.SRC_ADITION_PARTNER))
 
 

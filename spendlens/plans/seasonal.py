@@ -19,7 +19,6 @@ from .. import fixed_values as fv
 from ..config import ReportConfig
 from ..functions.catalog import catalog_id, catalog_weight, project_name_corr, season
 from ..operators.unions import union_all
-from ..sources.catalog import bounded_broadcast
 
 KEYS = ("cst_creation", "cst_creative", "cst_shipping")
 # key -> (cost table, order-number column of the plan, data source label)
@@ -60,8 +59,7 @@ def _rows(cat, cfg: ReportConfig, key: str, not_null_key: bool) -> DataFrame:
     if not_null_key:
         # the report keeps only rows with an order number; applied before the join
         plan = plan.filter(F.col(wbkz_col).isNotNull())
-    cost = bounded_broadcast(cat[cost_table].select("auftrag", "kostenartenbes", "wert_overall"),
-                             cfg.broadcast_max_rows)
+    cost = cat[cost_table].select("auftrag", "kostenartenbes", "wert_overall")
     j = derived(plan).join(cost, F.col(wbkz_col) == cost["auftrag"], "left")
     return j.select(
         "initiative_name", "project_name_corr", "shipping_type", "season",

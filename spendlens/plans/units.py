@@ -112,7 +112,7 @@ def agency_fee_q(cat, cfg):
         .otherwise(F.lit(fv.DOOH_PLAIN))
     rows = src.select(F.col("planning_date").cast("date").alias("reporting_date"), sub.alias("sub_channel"),
                       F.col("cost_euro_nnn").cast("double").alias("cost_euro_nnn"))
-    fees = fee_rows(cat["agency_fee"], fv.FEE_DOOH, True, cfg.broadcast_max_rows)
+    fees = fee_rows(cat["agency_fee"], fv.FEE_DOOH, True)
     j = join_fee(rows, "reporting_date", fees, sub_channel=F.upper(F.col("sub_channel")),
                  cols=("fee", "discount", "managed_fee", "dsp_fee"))
     return j.select("reporting_date", "sub_channel", "cost_euro_nnn",
@@ -135,7 +135,7 @@ def effective_media_cost_q(cat, cfg):
 def last_actual_date_q(cat, cfg):
     """Per-day TV actuals with the last actual day of their campaign."""
     a = branding.tv_actuals(cat)
-    return last_actual_date(a, "a_name", cfg.broadcast_max_rows).select(
+    return last_actual_date(a, "a_name").select(
         F.col("a_date").alias("actual_date"), F.col("a_name").alias("campaign_name"), "max_actual_date",
         F.col("a_cost").cast("double").alias("cost"))
 

@@ -154,6 +154,11 @@ def parquet_catalog(spark: SparkSession, root: str) -> Catalog:
     return Catalog(spark, lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}"))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def fixture_catalog(spark: SparkSession, sf_dir: str, materialize_dir: str | None = None) -> Catalog:
     """Sources derived from the TPC-H-like tables under ``sf_dir``.
 
@@ -170,14 +175,12 @@ def fixture_catalog(spark: SparkSession, sf_dir: str, materialize_dir: str | Non
         if materialize_dir is None:
             return df
         path = f"{materialize_dir.rstrip('/')}/{binding}"
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001  (not written yet)
+        if not _exists(spark, f"{path}/_SUCCESS"):
             # files of at most 100k rows, like a stored table: fact-sized sources
             # get several files (the test tables are single row-group files that
             # one task would otherwise scan alone), small dimensions stay one file
             df.write.mode("overwrite").option("maxRecordsPerFile", 100_000).parquet(path)
-            return spark.read.parquet(path)
+        return spark.read.parquet(path)
 
     def base_tables():
         if not base:
@@ -193,14 +196,3 @@ def fixture_catalog(spark: SparkSession, sf_dir: str, materialize_dir: str | Non
 
     return Catalog(spark, load)
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a dimension only behind a checked row bound.
-
-    ``limit(max_rows + 1).count()`` stops reading once the bound is passed, so
-    the check costs at most ``max_rows`` rows. Above the bound the plain
-    DataFrame is returned and the join falls back to a shuffle join (AQE may
-    still convert it at runtime from measured sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -1,22 +1,49 @@
-"""Report sinks: day-partitioned Parquet with dynamic partition overwrite."""
+"""Report sinks: day-partitioned Parquet."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
+DAY = "reporting_date"
+NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 
 def write_report(df: DataFrame, path: str, days: DataFrame | None = None) -> None:
     """Write a report partitioned by ``reporting_date``.
 
-    With ``days`` (a DataFrame with a ``reporting_date`` column) only those days
-    are recomputed and replaced: the semi join is pushed by Catalyst through the
-    union and below the day-keyed aggregations, and dynamic partition overwrite
-    leaves all other day partitions untouched. The day list is bounded by the
-    calendar, so it is broadcast.
+    Without ``days`` the whole dataset is replaced, so days that left the report go.
+
+    With ``days`` (a DataFrame with a ``reporting_date`` column) only those days are
+    rebuilt: the semi join is pushed by Catalyst through the union and below the
+    day-keyed aggregations. The rebuilt rows are staged in the shared folder once, the
+    partitions they hold are replaced, and partitions of rebuilt days without rows are
+    removed; other days stay. Day lists reach the driver; the calendar bounds them.
+
+    Rows are brought together by day before writing (large days are split by AQE), so a
+    day is a few files, not one per task.
     """
-    out = df
-    if days is not None:
-        out = df.join(F.broadcast(days.select("reporting_date").distinct()), "reporting_date", "left_semi")
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("reporting_date").parquet(path))
+    if days is None:
+        df.hint("rebalance", DAY).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+            .partitionBy(DAY).parquet(path)
+        return
+    spark = df.sparkSession
+    touched = days.select(F.col(DAY).cast("date").alias(DAY)).distinct()
+    staging = f"{checkpoint_dir(spark).rstrip('/')}/report-staging-{uuid.uuid4().hex}"
+    df.join(touched, DAY, "left_semi").write.parquet(staging)
+    staged = spark.read.schema(df.schema).parquet(staging)
+    staged.hint("rebalance", DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(DAY).parquet(path)
+    emptied = touched.join(staged.select(DAY).distinct(), DAY, "left_anti")
+    for (day,) in emptied.collect():
+        _remove(spark, f"{path.rstrip('/')}/{DAY}={day.isoformat() if day else NULL_DAY}")
+    _remove(spark, staging)
+
+
+def _remove(spark, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

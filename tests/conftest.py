@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -18,6 +19,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.driver.memory", "8g")
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spendlens-tests-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -135,17 +135,21 @@ def test_click_day_in_cet(spark, utc, day):
 
 
 def test_large_account_ids_in_tiktok_rules(spark):
-    prod = config.production("PRD", D(2024, 1, 1), "Brand Account")
+    prod = config.production(
+        "PRD", D(2024, 1, 1), "Brand Account",
+        dict(tiktok_app_install_account=9_000_000_000_000_000_001, tiktok_static_account=9_000_000_000_000_000_003),
+        labels={"tiktok_ad_perf": "OWN.LABEL"})
     schema = ("reporting_date date, camp_id string, tiktok_campaign_name string, tiktok_account_id bigint, "
               "impressions bigint, clicks bigint, cost_euro decimal(18,2)")
     perf = spark.createDataFrame([
-        (D(2023, 1, 1), "cT-SA.C-x", "brand", 7018146072233000962, 1, 1, Decimal("1.00")),
-        (D(2023, 1, 1), "cU-SA.C-x", "brand", 7078229405281124353, 1, 1, Decimal("1.00")),
+        (D(2023, 1, 1), "cT-SA.C-x", "brand", 9_000_000_000_000_000_001, 1, 1, Decimal("1.00")),
+        (D(2023, 1, 1), "cU-SA.C-x", "brand", 9_000_000_000_000_000_003, 1, 1, Decimal("1.00")),
     ], schema)
     cat = literal_catalog(spark, {"tiktok_ad_perf": perf, "planning_context_map": spark.createDataFrame([], MAP)})
     rows = {r.camp_id: r for r in social.branch(cat, prod, "soc_tiktok").collect()}
     assert rows["cT-SA.C-x"].planning_context_code == "TI.MP-S.AS-APP.BT-SA.C"
     assert rows["cU-SA.C-x"].planning_context_name == "TikTok Static Ads"
+    assert {r.source_system for r in rows.values()} == {"PRD_OWN.LABEL"}
     assert prod.snap_branding_account_name == "brand account"
 
 
