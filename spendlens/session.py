@@ -22,7 +22,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     master = master or f"local[{cpus}]"
     parts = shuffle_partitions or cpus
-    spark = (
+    builder = (
         SparkSession.builder.master(master).appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
@@ -33,10 +33,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(BROADCAST_BYTES))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SPENDLENS_DRIVER_MEMORY", "16g"))
-        .getOrCreate()
     )
     if shared:
-        spark.conf.set("spark.checkpoint.dir", shared)
+        builder = builder.config("spark.checkpoint.dir", shared)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -80,3 +80,18 @@ def test_reports_scale_with_input(spark, cfg):
     one = search.report(base, cfg).agg(F.sum("cost_euro"), F.sum("clicks")).first()
     two = search.report(doubled, cfg).agg(F.sum("cost_euro"), F.sum("clicks")).first()
     assert two[0] == pytest.approx(2 * one[0]) and two[1] == 2 * one[1]
+
+
+@pytest.mark.parametrize("key", sorted(registry.builders()))
+def test_building_a_plan_runs_no_job(spark, cfg, key):
+    cat = fixture_catalog(spark, SF_SMALL)
+    for name in cat:
+        cat[name]  # schemas are read from files here
+    sc = spark.sparkContext
+    group = f"build-{key}"
+    sc.setJobGroup(group, group)
+    try:
+        registry.builders()[key](cat, cfg)
+        assert list(sc.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
