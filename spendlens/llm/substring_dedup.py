@@ -107,13 +107,19 @@ def _cut(window: int, gram: int):
     return run
 
 
-def _numbered(batches):
-    """Segments with a number each."""
-    number = TaskContext.get().partitionId() << 40
-    for batch in batches:
-        numbers = pa.array(range(number, number + batch.num_rows), pa.int64())
-        number += batch.num_rows
-        yield pa.RecordBatch.from_arrays([numbers, *batch.columns], names=["segment", *batch.schema.names])
+def _numbered(window: int):
+    """Segments with a number each, and how many windows they have."""
+
+    def run(batches):
+        number = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            numbers = pa.array(range(number, number + batch.num_rows), pa.int64())
+            number += batch.num_rows
+            windows = [c.count(b" ") + 2 - window for c in batch.column("content").to_pylist()]
+            yield pa.RecordBatch.from_arrays([numbers, *batch.columns, pa.array(windows, pa.int32())],
+                                             names=["segment", *batch.schema.names, "windows"])
+
+    return run
 
 
 def _window_hashes(window: int):
@@ -276,12 +282,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distinct = stored(
         holds.groupBy("key", "digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"),
                                            F.max("content").alias("content"))
-        .mapInArrow(_numbered, "segment long, key long, digest binary, least long, most long, content binary"), "distinct")
+        .mapInArrow(_numbered(window), "segment long, key long, digest binary, least long, most long, content binary, "
+                                       "windows int"), "distinct")
     windows = stored(distinct.select("segment", "least", "most", "content")
                      .mapInArrow(_window_hashes(window), "segment long, least long, most long, at int, hash long"), "windows")
     twice = (windows.groupBy("hash").agg(F.min("least").alias("a"), F.max("most").alias("b"))
              .where("a < b").select("hash"))
-    places = windows.join(twice, "hash").groupBy("segment").agg(F.sort_array(F.collect_list("at")).alias("places"))
+    # a segment that two documents have needs no look at its windows
+    places = (windows.where("least = most").join(twice, "hash")
+              .groupBy("segment").agg(F.sort_array(F.collect_list("at")).alias("places"))
+              .union(distinct.where("least < most").select("segment", F.sequence(F.lit(0), F.col("windows") - 1))))
     trimmed = stored(distinct.join(places, "segment").select("segment", "key", "least", "content", "places")
                      .mapInArrow(_trim(window), "segment long, at int, key long, least long, content binary")
                      .withColumn("trimmed", F.sha2("content", 256)), "trimmed")
