@@ -4,10 +4,10 @@ A line's tokens are its shingles of five words (a line of fewer words is one tok
 set of hashes. A line is removed if an earlier line, by (document, line number), has a
 Jaccard similarity of at least 0.8 with it; lines are judged on the input.
 
-* Order. Tokens are ordered by rarity, then by hash. Rarity comes in tiers: of the tokens
-  that could be prefixes, those that more than a fixed share of all postings hold are common
-  (at most 1 / share tokens, so the list is safe to send along). Lines without a common
-  token in their prefix keep it.
+* Order. Tokens are ordered by rarity, then by hash. A word is common if its hash bucket holds
+  more than a fixed share of all words (so there are at most 1 / share common buckets); a token
+  is the rarer the fewer common words it has. Every word is counted; the counts are combined
+  before they are shuffled.
 * Prefix filter. Lines that similar share a token among each other's first
   n - ceil(0.8 n) + 1; only tokens that two lines hold are followed.
 * First round. Each line is verified against the earliest line of each of its prefix tokens.
@@ -30,27 +30,40 @@ from spendlens.llm.common import stored
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-#: Tokens are common if over this share of all postings holds them, by tier.
-COMMON_SHARES = (1 / (1 << 13), 1 / (1 << 9))
+#: Words are counted in so many buckets, and are common from this share of all words on.
+WORD_BUCKETS = 1 << 16
+COMMON_SHARE = 1 / (1 << 11)
 _LAST = (1 << 63) - 1
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.filter(F.split(F.translate(line, "\t\r\x0b\x0c", "    "), " "), lambda w: w != "")
 
 
-def _tokens(words: Column, n: int) -> Column:
-    """The set of shingle hashes; four bits are left for a tier."""
-    whole = F.array(F.xxhash64(F.array_join(words, " ")))
-    count = F.size(words)
-    shingles = F.transform(F.sequence(F.lit(0), F.greatest(count - n, F.lit(0))),
-                           lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(n)]))
-    return F.transform(F.array_distinct(F.when(count >= n, shingles).otherwise(whole)),
-                       lambda h: F.shiftrightunsigned(h, 4))
+def _bucket(word_hash: Column) -> Column:
+    return word_hash.bitwiseAND(WORD_BUCKETS - 1).cast("int")
 
 
-def _prefix_size(size: Column, similarity: float) -> Column:
-    return size - _least_overlap(size * F.lit(similarity)) + 1
+def _with_tokens(lines: DataFrame, n: int, common: list[int]) -> DataFrame:
+    """The set of a line's shingle hashes, each led by how many common words the shingle has; rarest first."""
+    hashed = lines.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).drop("words")
+    hashes, count = F.col("hashes"), F.size("hashes")
+    counted = hashed.withColumn("known", F.transform(hashes, lambda h: F.when(_bucket(h).isin(common), 1).otherwise(0))) \
+        if common else hashed.withColumn("known", F.transform(hashes, lambda h: F.lit(0)))
+
+    def token(parts: list[Column], known: Column) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(*parts), 4) + F.shiftleft(known.cast("long"), 60)
+
+    def shingle(i: Column) -> Column:
+        known = F.get("known", i)
+        for k in range(1, n):
+            known = known + F.get("known", i + k)
+        return token([F.get(hashes, i + k) for k in range(n)], known)
+
+    whole = F.array(token([hashes, count], F.lit(0)))
+    shingles = F.transform(F.sequence(F.lit(0), F.greatest(count - n, F.lit(0))), shingle)
+    return counted.select("doc_id", "line", F.sort_array(F.array_distinct(
+        F.when(count >= n, shingles).otherwise(whole))).alias("tokens"))
 
 
 def _least_overlap(x: Column) -> Column:
@@ -58,18 +71,6 @@ def _least_overlap(x: Column) -> Column:
     return F.ceil(x - F.lit(1e-9)).cast("int")
 
 
-def _postings(lines: DataFrame, similarity: float, common: tuple[set, ...]) -> DataFrame:
-    tokens = F.col("tokens")
-    for tier, members in enumerate(common, 1):
-        if members:
-            found = sorted(members)
-            tokens = F.transform(tokens, lambda t, tier=tier, found=found: F.when(
-                t.bitwiseAND((1 << 60) - 1).isin(found), t.bitwiseAND((1 << 60) - 1) + F.lit(tier << 60)).otherwise(t))
-    ordered = lines.withColumn("tokens", F.sort_array(tokens)).withColumn("size", F.size("tokens"))
-    return ordered.select("doc_id", "line", "size", F.posexplode(
-        F.slice("tokens", F.lit(1), _prefix_size(F.col("size"), similarity))).alias("at", "token"))
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """(doc_id, line) of pairs' lines that reach the similarity with (a_doc, a_line)."""
     a = sets.select(F.col("doc_id").alias("a_doc"), F.col("line").alias("a_line"), F.col("tokens").alias("a"))
@@ -80,39 +81,27 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
 
 def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS,
-                  similarity: float = SIMILARITY, common_shares: tuple[float, ...] = COMMON_SHARES) -> DataFrame:
+                  similarity: float = SIMILARITY, common_share: float = COMMON_SHARE) -> DataFrame:
     """(doc_id, line): the lines, counted from 0, that an earlier line is similar to."""
     lines = (docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc_id"),
-                         F.posexplode(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n")).alias("line", "body"))
-             .select("doc_id", "line", _words(F.col("body")).alias("words")).where("size(words) > 0"))
-    tokens = lines.select("doc_id", "line", _tokens(F.col("words"), shingle_words).alias("tokens"))
-
-    postings = _postings(tokens, similarity, ())
-    first = F.min(F.struct("doc_id", "line"))
-    held = postings.groupBy("token").agg(first.alias("first"), F.count("*").alias("n"))
-    shared = stored(postings.join(held.where("n > 1"), "token"), "line-postings")
-    # an upper bound of all postings would do; those of shared tokens make more tokens common, never more than 1 / share
-    total = shared.count()
-    counts = shared.groupBy("token").agg(F.count("*").alias("n"))
-    common = [set() for _ in common_shares]
-    for token, n in counts.where(F.col("n") > max(1000, total * min(common_shares))).collect():
-        tier = max(i for i, share in enumerate(common_shares) if n > total * share)
-        common[tier].add(token)
-    if any(common):
-        every = F.lit(False)
-        for members in common:
-            every = every | F.col("token").isin(sorted(members)) if members else every
-        touched = shared.where(every).select("doc_id", "line").distinct()
-        moved = _postings(tokens.join(touched, ["doc_id", "line"], "left_semi"), similarity, tuple(common))
-        stay = postings.join(touched, ["doc_id", "line"], "left_anti")
-        postings = stored(stay.select("doc_id", "line", "size", "at", "token")
-                          .union(moved.select("doc_id", "line", "size", "at", "token")), "line-prefixes")
-        held = postings.groupBy("token").agg(first.alias("first"), F.count("*").alias("n"))
-        shared = stored(postings.join(held.where("n > 1"), "token"), "line-postings-ordered")
+                         F.posexplode(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n")).alias("line", "body")))
+    worded = lines.select("doc_id", "line", _words(F.col("body")).alias("words")).where("size(words) > 0")
+
+    counts = stored(worded.select(F.explode("words").alias("word")).select(_bucket(F.xxhash64("word")).alias("bucket"))
+                    .groupBy("bucket").agg(F.count("*").alias("n")), "word-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    common = [r.bucket for r in counts.where(F.col("n") > total * common_share).collect()]  # at most 1 / share
+
+    sized = _with_tokens(worded, shingle_words, common).withColumn("size", F.size("tokens"))
+    prefix = F.col("size") - _least_overlap(F.col("size") * F.lit(similarity)) + 1
+    postings = sized.select("doc_id", "line", "size", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("at", "token"))
+    held = postings.groupBy("token").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"))
+    shared = stored(postings.join(held.where("n > 1").drop("n"), "token"), "line-postings")
 
     ids = shared.select("doc_id", "line").distinct()
-    sets = stored(lines.join(ids, ["doc_id", "line"], "left_semi").dropDuplicates(["doc_id", "line"]), "line-words")
-    sets = sets.select("doc_id", "line", _tokens(F.col("words"), shingle_words).alias("tokens"))
+    # whole lines are fetched once, for those that share a token
+    bodies = stored(lines.join(ids, ["doc_id", "line"], "left_semi").dropDuplicates(["doc_id", "line"]), "line-bodies")
+    sets = _with_tokens(bodies.select("doc_id", "line", _words(F.col("body")).alias("words")), shingle_words, [])
     later = shared.where("first < struct(doc_id, line)")
     settled = stored(_verified(later.select("doc_id", "line", F.col("first.doc_id").alias("a_doc"),
                                             F.col("first.line").alias("a_line")).distinct(), sets, similarity), "settled")

@@ -43,8 +43,8 @@ def test_whole_table(small):
     assert found == slow(rows_of(docs)) and any(r[2] for r in found)
 
 
-@pytest.mark.parametrize("shares", [D.COMMON_SHARES, (1e-9, 1e-3)])
-def test_many_near_lines_and_odd_rows(spark, odd_docs, no_docs, shares, monkeypatch):
+@pytest.mark.parametrize("share", [D.COMMON_SHARE, 0.05, 1.0])
+def test_many_near_lines_and_odd_rows(spark, odd_docs, no_docs, share):
     rng = random.Random(6)
     base = [f"w{i}" for i in range(40)]
     rows = []
@@ -58,12 +58,11 @@ def test_many_near_lines_and_odd_rows(spark, odd_docs, no_docs, shares, monkeypa
             lines.append(" ".join(w))
         rows.append((100 + i, "\n".join(lines)))
     docs = odd_docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert got(docs, common_shares=shares) == slow(rows_of(docs))
+    assert got(docs, common_share=share) == slow(rows_of(docs))
     assert D.line_dedup(no_docs).collect() == []
 
 
-def test_common_tokens_move_back(spark):
-    """Over a thousand lines with one shingle: the order by rarity is taken, the result stays."""
+def test_common_shingle_in_many_lines(spark):
     rows = [(i, f"one and the same five words {i} {i + 1} {i + 2} {i + 3} {i + 4} {i + 5}") for i in range(1500)]
     rows += [(2000 + i, rows[i * 7][1]) for i in range(20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
