@@ -57,6 +57,14 @@ def condensed_context(ctx: DataFrame) -> DataFrame:
     )
 
 
+def ambiguous_contexts(mapping: DataFrame) -> DataFrame:
+    """Campaign ids with several mapping rows: their facts count once per row, so this is worth a look."""
+    return (planning_context(mapping).filter(F.col("camp_id").isNotNull()).groupBy("camp_id")
+            .agg(F.count(F.lit(1)).alias("mapping_rows"),
+                 F.count_distinct(F.struct(*[F.coalesce(F.col(c), F.lit("")) for c in CTX_COLUMNS])).alias("contexts"))
+            .filter(F.col("mapping_rows") > 1))
+
+
 @dataclass(frozen=True)
 class Fallback:
     """What a branch puts where the mapping has no value.

@@ -7,9 +7,9 @@ from ..config import ReportConfig
 from .common import q, with_
 
 BR = {
-    "cst_creation": ("opp_wbkz", fv.CATALOG_SOURCES[0]),
-    "cst_creative": ("ppc_wbkz", fv.CATALOG_SOURCES[1]),
-    "cst_shipping": ("wbkz", fv.CATALOG_SOURCES[2]),
+    "cst_creation": ("opp_wbkz", "fx_print_cost", fv.CATALOG_SOURCES[0]),
+    "cst_creative": ("ppc_wbkz", "fx_creative_cost", fv.CATALOG_SOURCES[1]),
+    "cst_shipping": ("wbkz", "fx_shipping_cost", fv.CATALOG_SOURCES[2]),
 }
 
 PROJECT = (f"CASE WHEN regexp_full_match(p.project_name, {q(fv.CATALOG_PROJECT_MATCH)})"
@@ -23,17 +23,17 @@ WEIGHT = (f"CASE WHEN p.shipping_type = {q(fv.CATALOG_PACKAGE)} THEN ({_BASE})+{
 
 
 def branch(key: str) -> str:
-    col, source = BR[key]
+    col, cost_table, source = BR[key]
     return f"""SELECT DISTINCT p.initiative_name, {PROJECT} AS project_name_corr, lower(p.shipping_type) AS shipping_type,
  {SEASON} AS season, p.season_year AS season_year, {q(source)} AS data_source, p.{col} AS wbkz,
  p.pages_total AS pages_total, p.circulation_plan AS circulation_plan, p.circulation_actual AS circulation_actual,
  c.kostenartenbes AS kostenartenbeschreibung, c.wert_overall AS costs, p.is_test AS is_test,
  {WEIGHT} AS katalog_gewicht_gesamt
-FROM fx_print AS p LEFT JOIN fx_print_cost AS c ON p.{col} = c.auftrag"""
+FROM fx_print AS p LEFT JOIN {cost_table} AS c ON p.{col} = c.auftrag"""
 
 
 def sql(cfg: ReportConfig) -> dict[str, str]:
-    head = with_(["fx_print", "fx_print_cost"])
+    head = with_(["fx_print", *(b[1] for b in BR.values())])
     out = {}
     for k in BR:
         out[k] = f"{head}\nSELECT * REPLACE (CAST(costs AS DOUBLE) AS costs) FROM ({branch(k)}) x"

@@ -21,6 +21,10 @@ FROM (SELECT channel_name AS channel, planning_context_code, planning_context_na
   count(*) OVER (PARTITION BY camp_id) AS ctx_rows
  FROM fx_map WHERE camp_id IS NOT NULL) x WHERE rn = 1"""
     h = with_(["fx_fixcost"])
+    out["ambiguous_context"] = f"""{with_(["fx_map"])}
+SELECT camp_id, count(*) AS mapping_rows,
+ count(DISTINCT (ifnull(channel_name, ''), ifnull(planning_context_code, ''), ifnull(planning_context_name, ''))) AS contexts
+FROM fx_map WHERE camp_id IS NOT NULL GROUP BY camp_id HAVING count(*) > 1"""
     out["date_spine"] = f"""{h}
 SELECT CAST(g AS DATE) AS datum FROM (SELECT greatest(min(start_date), {d(cfg.fixcost_calendar_start)}) AS lo,
   least(max(end_date), {d(cfg.fixcost_calendar_end)}) AS hi FROM fx_fixcost) b,
@@ -61,7 +65,7 @@ FROM (SELECT budget_origin, CASE WHEN upper(budget_origin) = 'WKZ' THEN 3 ELSE 1
         parts.append(f"SELECT {q(name)} AS rule_set, campaign_name, account_id, {code} AS planning_context_code,"
                      f" {nm} AS planning_context_name FROM (SELECT DISTINCT campaign_name, account_id FROM fx_perf) p")
     out["context_fallback"] = h + "\n" + "\nUNION ALL\n".join(parts)
-    h = with_(["fx_actual", "fx_plan", "fx_fee", "fx_mediaplan", "fx_adition", "fx_adgap", "fx_dooh"], *ob.shared(cfg))
+    h = with_(ob.BINDINGS, *ob.shared(cfg))
     out["actual_vs_plan"] = f"""{h}
 SELECT day AS reporting_date, CAST(class AS INTEGER) AS budget_logic, type AS campaign_type, is_plan,
  CAST(cost AS DOUBLE) AS media_cost, CAST(base AS DOUBLE) AS infra_base, CAST(volume AS DOUBLE) AS impressions

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..config import ReportConfig
 from ..functions import budget as B
-from ..operators.context import arm_value, condensed_context, planning_context, rule_arm
+from ..operators.context import ambiguous_contexts, arm_value, condensed_context, planning_context, rule_arm
 from ..operators.fees import fee_rows, join_fee
 from ..operators.media import effective_cost
 from ..operators.reconcile import last_actual_date, reconcile
@@ -24,6 +24,11 @@ def planning_context_q(cat, cfg: ReportConfig) -> DataFrame:
     return condensed_context(planning_context(cat["planning_context_map"], distinct=False))
 
 
+def ambiguous_context_q(cat, cfg: ReportConfig) -> DataFrame:
+    """Uniqueness report of the planning-context mapping."""
+    return ambiguous_contexts(cat["planning_context_map"])
+
+
 def date_spine_q(cat, cfg: ReportConfig) -> DataFrame:
     """Calendar days spanned by the fix-cost intervals, inside the fix-cost calendar."""
     fx = cat["affiliate_fixcost"].agg(F.min("start_date").alias("lo"), F.max("end_date").alias("hi"))
@@ -141,7 +146,7 @@ def last_actual_date_q(cat, cfg):
 
 
 BUILDERS = {
-    "planning_context": planning_context_q, "date_spine": date_spine_q, "budget_logic": budget_logic_q,
+    "ambiguous_context": ambiguous_context_q, "planning_context": planning_context_q, "date_spine": date_spine_q, "budget_logic": budget_logic_q,
     "budget_share": budget_share_q, "budget_logic_reduced": budget_logic_reduced_q,
     "budget_share_ws": budget_share_ws_q, "budget_from_name": budget_from_name_q,
     "budget_from_attr": budget_from_attr_q, "context_fallback": context_fallback_q,

@@ -47,16 +47,26 @@ SELECT cast(l_shipdate as date) AS reporting_date, {camp('l_partkey')} AS camp_i
   WHEN 3 THEN 'Web Prospecting' WHEN 4 THEN 'Performance Traffic' WHEN 5 THEN 'performance conversion dynamisch' WHEN 6 THEN 'CLT WKZ' END AS campaign_name,
  100 + l_suppkey % 5 AS account_id, 'Acct ' || cast(100 + l_suppkey % 5 as string) AS account_name,
  1 + l_suppkey % 4 AS customer_id, l_suppkey AS adgroup_id, l_partkey AS bid FROM {{lineitem}}""",
-    # planning context; unique per camp_id, a NULL key for every third part (those
-    # campaigns stay unmapped), some NULL channels
+    # planning context; a NULL key for every third part (those campaigns stay unmapped), some
+    # NULL channels, two or three rows for some campaigns
     "fx_map": f"""
 SELECT CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE {camp('p_partkey')} END AS camp_id, 'PC-' || p_brand AS planning_context_code,
  CASE WHEN p_partkey % 2 = 0 THEN 'AWIN' WHEN p_partkey % 5 = 0 THEN 'Private Network' ELSE p_type END AS planning_context_name,
- CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE 'Chan ' || p_type END AS channel_name FROM {{part}}""",
-    # banner -> campaign, with expired rows and '-1' unknowns
+ CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE 'Chan ' || p_type END AS channel_name FROM {{part}}
+UNION ALL
+SELECT {camp('p_partkey')}, 'PX-' || p_brand, CASE WHEN p_partkey % 2 = 0 THEN 'AWIN' ELSE 'Private Network' END, 'Chan A'
+FROM {{part}} WHERE p_partkey % 8 = 5 OR p_partkey % 16 = 2
+UNION ALL
+SELECT {camp('p_partkey')}, 'PX-' || p_brand, CASE WHEN p_partkey % 2 = 0 THEN 'AWIN' ELSE 'Private Network' END, 'Chan A'
+FROM {{part}} WHERE p_partkey % 16 = 5""",
+    # banner -> campaign, with expired rows and '-1' unknowns; some banners have two valid
+    # rows, some campaigns several banners
     "fx_ident": f"""
 SELECT p_partkey AS bid, CASE WHEN p_partkey % 11 = 0 THEN '-1' ELSE {camp('p_partkey')} END AS campaign_id,
- CASE WHEN p_partkey % 4 = 0 THEN timestamp '2000-01-01 00:00:00' ELSE timestamp '2099-01-01 00:00:00' END AS banner_known_until_utc FROM {{part}}""",
+ CASE WHEN p_partkey % 4 = 0 THEN timestamp '2000-01-01 00:00:00' ELSE timestamp '2099-01-01 00:00:00' END AS banner_known_until_utc FROM {{part}}
+UNION ALL
+SELECT CASE WHEN p_partkey % 2 = 0 THEN p_partkey ELSE p_partkey + 100000000 END, {camp('p_partkey')},
+ timestamp '2099-01-01 00:00:00' FROM {{part}} WHERE p_partkey % 6 < 2""",
     # ad-group -> campaign; duplicates on purpose, the operator deduplicates
     "fx_adgroup": """
 SELECT cast(l_shipdate as date) AS date_col, 100 + l_suppkey % 5 AS account_id, l_suppkey AS adgroup_id,
@@ -76,8 +86,11 @@ SELECT {camp('o_custkey')} AS campaign, cast(o_totalprice as decimal(18,2)) AS c
 SELECT event_id AS call_sk, ts - INTERVAL 23 YEAR AS event_created_at_utc, CASE WHEN event_type = 'error' THEN true ELSE false END AS bot FROM {events}""",
     "fx_call_link": """
 SELECT event_id AS call_sk, CASE WHEN event_id % 10 = 0 THEN -1 ELSE event_id % 40 END AS campaign_sk FROM {events}""",
+    # some campaign ids stand in two rows
     "fx_campaign_h": f"""
-SELECT p_partkey AS campaign_sk, {camp('p_partkey')} AS campaign_id FROM {{part}}""",
+SELECT p_partkey AS campaign_sk, {camp('p_partkey')} AS campaign_id FROM {{part}}
+UNION ALL
+SELECT p_partkey + 100000000, {camp('p_partkey')} FROM {{part}} WHERE p_partkey % 5 = 2""",
     # broadcast actuals (TV / radio); mixed-case names carry the _WKZ_ and _VERTRIEB_ markers;
     # every third order has no campaign name
     "fx_actual": """
@@ -93,7 +106,8 @@ SELECT cast(l_shipdate as date) AS planning_date,
  CASE l_orderkey % 3 WHEN 0 THEN 'wkz' WHEN 1 THEN 'Vertrieb' ELSE NULL END AS budget_origin,
  CASE l_linenumber % 3 WHEN 0 THEN 'TV' WHEN 1 THEN 'Webradio' ELSE 'Hörfunk' END AS channel,
  cast(l_extendedprice as decimal(18,2)) AS cost_euro_nnn_planned, cast(l_quantity as bigint) AS gross_contacts_planned FROM {lineitem}""",
-    # agency fees: one row per (month, channel, sub channel); every 5th month has no fee values
+    # agency fees by (month, channel, sub channel), TV twice in every 4th month; every 5th
+    # month has no fee values
     "fx_fee": """
 SELECT cast(ym as string) AS year_month, ch AS channel_branding, sub AS sub_channel_branding,
  CASE WHEN ym % 5 = 0 THEN NULL ELSE cast(cast(ym % 7 as decimal(9,4)) / 100 as decimal(9,4)) END AS fee,
@@ -102,6 +116,7 @@ SELECT cast(ym as string) AS year_month, ch AS channel_branding, sub AS sub_chan
  CASE WHEN ym % 5 = 0 THEN NULL ELSE cast(0.03 as decimal(9,4)) END AS dsp_fee
 FROM (
  SELECT ym, 'TV' AS ch, cast(NULL as string) AS sub FROM m
+ UNION ALL SELECT ym, 'TV', 'Second' FROM m WHERE ym % 4 = 0
  UNION ALL SELECT ym, 'Funk', cast(NULL as string) FROM m
  UNION ALL SELECT ym, 'Digital', 'IO' FROM m
  UNION ALL SELECT ym, 'Digital', 'Programmatic' FROM m
@@ -109,7 +124,7 @@ FROM (
  UNION ALL SELECT ym, '(D)OOH', '(D)OOH' FROM m
  UNION ALL SELECT ym, '(D)OOH', 'Programmatic (D)OOH' FROM m
 ) c""",
-    # digital media plan: placements of 1..60 days; zero volumes and NULL creative types are deliberate
+    # digital media plan: placements of 1..60 days, the last ones past the run's day; zero volumes and NULL creative types are deliberate
     "fx_mediaplan": """
 SELECT 'g' || cast(p_partkey % 50 as string) AS adgap_ids,
  CASE p_partkey % 4 WHEN 0 THEN 'Branding' WHEN 1 THEN 'WKZ' WHEN 2 THEN 'Vertrieb' ELSE 'Intern' END AS campaign_scope,
@@ -117,27 +132,33 @@ SELECT 'g' || cast(p_partkey % 50 as string) AS adgap_ids,
  CASE p_partkey % 6 WHEN 0 THEN 'Addressable TV' WHEN 1 THEN 'Display' WHEN 2 THEN 'olv' WHEN 3 THEN 'Programmatic' WHEN 4 THEN 'Digital Radio' ELSE 'Native' END AS media_type,
  CASE p_partkey % 5 WHEN 0 THEN 'CPM' WHEN 1 THEN 'vCPM' WHEN 2 THEN 'CPC' ELSE 'Fix' END AS media_billing_type,
  CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 17 = 0 THEN 'Sonderkombination' ELSE 'Banner' END AS media_creative_type, p_brand AS client,
- DATE '1997-01-01' + cast(p_partkey % 700 as int) AS placement_start_cet, DATE '1997-01-01' + cast(p_partkey % 700 + p_size as int) AS placement_end_cet,
+ DATE '1997-01-01' + cast(p_partkey * 7 % 1650 as int) AS placement_start_cet, DATE '1997-01-01' + cast(p_partkey * 7 % 1650 + p_size as int) AS placement_end_cet,
  CASE WHEN p_partkey % 19 = 0 THEN 0 ELSE p_partkey % 1000 END AS target_group_size,
  cast(p_retailprice as decimal(18,2)) AS daily_media_cost_nnn_euro FROM {part}""",
     "fx_adition": """
 SELECT CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE 'b' || cast(l_partkey % 60 as string) END AS banner_external_id,
  'b' || cast(l_suppkey % 60 as string) AS campaign_external_id, cast(l_shipdate as date) AS reporting_date,
  cast(l_quantity as bigint) AS clicks, cast(l_quantity * 10 as bigint) AS impressions FROM {lineitem}""",
+    # every 4th ad-gap id belongs to two groups
     "fx_adgap": """
-SELECT DISTINCT 'b' || cast(p_partkey % 60 as string) AS adgap_id, 'g' || cast(p_partkey % 60 % 50 as string) AS adgap_ids FROM {part}""",
+SELECT DISTINCT 'b' || cast(p_partkey % 60 as string) AS adgap_id, 'g' || cast(p_partkey % 60 % 50 as string) AS adgap_ids FROM {part}
+UNION ALL
+SELECT DISTINCT 'b' || cast(p_partkey % 60 as string), 'g' || cast((p_partkey % 60 + 7) % 50 as string) FROM {part} WHERE p_partkey % 60 % 4 = 1""",
     # out-of-home costs
     "fx_dooh": """
 SELECT l_shipdate AS planning_date, CASE l_suppkey % 3 WHEN 0 THEN 'city_wkz_x' WHEN 1 THEN 'city_Vertrieb' ELSE 'city' END AS campaign_name,
  CASE l_linenumber WHEN 1 THEN 'Progr. Media' WHEN 2 THEN 'Versand' WHEN 3 THEN NULL ELSE 'Media' END AS cost_type,
  cast(l_extendedprice as decimal(18,2)) AS cost_euro_nn_without_bonus,
  cast(cast(l_extendedprice as decimal(18,2)) * (1 - cast(l_discount as decimal(4,2))) as decimal(18,4)) AS cost_euro_nnn FROM {lineitem}""",
-    # exchange rates: no rate value on some days, like a weekday-only publication
+    # exchange rates: no rate value on some days, like a weekday-only publication; two rows on
+    # every 5th day of a month
     "fx_rate": """
 SELECT DISTINCT cast(o_orderdate as date) AS reporting_date,
  CASE WHEN extract(day FROM o_orderdate) % 7 = 0 THEN NULL
   ELSE cast(1 + extract(month FROM o_orderdate) / 100.0 as decimal(9,4)) END AS exchange_rate_eur_to_usd
-FROM {orders}""",
+FROM {orders}
+UNION ALL
+SELECT DISTINCT cast(o_orderdate as date), cast(0.5 as decimal(9,4)) FROM {orders} WHERE extract(day FROM o_orderdate) % 5 = 0""",
     # catalogue plan; the project-name regex has match, no-match and prefix-only cases
     "fx_print": """
 SELECT 'init' || cast(p_partkey % 20 as string) AS initiative_name,
@@ -153,6 +174,30 @@ SELECT 'o' || cast(s_suppkey % 60 as string) AS auftrag, CASE s_suppkey % 3 WHEN
  cast(s_acctbal as decimal(18,2)) AS wert_overall FROM {supplier}""",
 }
 
+
+
+def _variant(of: str, **changed: str) -> str:
+    """A table of its own: another binding's rows with some columns computed differently (no rows go)."""
+    columns = {"fx_perf": "reporting_date camp_id impressions clicks cost_euro",
+               "fx_actual": "actual_date end_date campaign_name cost_euro_nnn contacts",
+               "fx_print_cost": "auftrag kostenartenbes wert_overall"}[of].split()
+    return "\nSELECT " + ", ".join(f"{changed[c]} AS {c}" if c in changed else c for c in columns) + f" FROM ({BINDINGS[of]}) v"
+
+
+def _scaled(column: str, by: str) -> str:
+    return f"cast({column} * {by} as decimal(18,2))"
+
+
+# search sources, broadcast actuals and catalogue costs: values differ from table to table
+for _name, _clicks, _cost in (("fx_dsa", "clicks + 1", "2"), ("fx_bing", "clicks + 2", "3"),
+                              ("fx_bing_legacy", "clicks + 3", "5"), ("fx_bing_dsa", "clicks + 4", "7")):
+    BINDINGS[_name] = _variant("fx_perf", clicks=_clicks, cost_euro=_scaled("cost_euro", _cost))
+for _name, _by in (("fx_radio", "2"), ("fx_webradio", "3")):
+    BINDINGS[_name] = _variant("fx_actual", cost_euro_nnn=_scaled("cost_euro_nnn", _by),
+                               contacts=f"cast(contacts + {_by} as decimal(18,4))")
+for _name, _by in (("fx_creative_cost", "2"), ("fx_shipping_cost", "3")):
+    BINDINGS[_name] = _variant("fx_print_cost", wert_overall=_scaled("wert_overall", _by))
+
 # months of the fee table; a CTE of the fee binding
 FEE_MONTHS = """
 SELECT DISTINCT extract(year FROM o_orderdate) * 100 + extract(month FROM o_orderdate) AS ym FROM {orders}"""

@@ -40,16 +40,16 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
     "google_keyword_perf": ("fx_perf", {
         "date_col": "reporting_date", "camp_id": "camp_id", "impressions": "impressions",
         "clicks": "clicks", "cost_euro": "cost_euro"}),
-    "google_dsa_perf": ("fx_perf", {
+    "google_dsa_perf": ("fx_dsa", {
         "date_col": "reporting_date", "camp_id": "camp_id", "impressions": "impressions",
         "clicks": "clicks", "cost_euro": "cost_euro"}),
-    "bing_keyword_perf": ("fx_perf", {
+    "bing_keyword_perf": ("fx_bing", {
         "date_col": "reporting_date", "camp_id": "camp_id", "impressions": "impressions",
         "clicks": "clicks", "cost_euro": "cost_euro"}),
-    "bing_keyword_perf_legacy": ("fx_perf", {
+    "bing_keyword_perf_legacy": ("fx_bing_legacy", {
         "date_col": "reporting_date", "camp_id": "camp_id", "impressions": "impressions",
         "clicks": "clicks", "cost_euro": "cost_euro"}),
-    "bing_dsa_perf": ("fx_perf", {
+    "bing_dsa_perf": ("fx_bing_dsa", {
         "date_col": "reporting_date", "camp_id": "camp_id", "impressions": "impressions",
         "clicks": "clicks", "cost_euro": "cost_euro"}),
     "adition_display_perf": ("fx_perf", {
@@ -96,10 +96,10 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
     "agency_fee": ("fx_fee", {
         "year_month": "year_month", "channel_branding": "channel_branding", "sub_channel_branding": "sub_channel_branding",
         "fee": "fee", "discount": "discount", "managed_fee": "managed_fee", "dsp_fee": "dsp_fee"}),
-    "radio_marketer": ("fx_actual", {
+    "radio_marketer": ("fx_radio", {
         "reporting_start_date": "actual_date", "reporting_end_date": "end_date",
         "bpn_radio_campaign_name": "campaign_name", "cost_euro_nnn": "cost_euro_nnn", "contacts": "contacts"}),
-    "radio_webradio": ("fx_actual", {
+    "radio_webradio": ("fx_webradio", {
         "reporting_date": "actual_date", "bpn_radio_campaign_name": "campaign_name",
         "cost_euro_nnn": "cost_euro_nnn", "impressions": "contacts"}),
     "digital_mediaplan": ("fx_mediaplan", {c: c for c in (
@@ -122,11 +122,46 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
         "pwm_content_number_pages": "content_pages", "pwm_cover_surface_weight": "cover_weight",
         "pwm_cover_number_pages": "cover_pages"}),
     "print_creation_cost": ("fx_print_cost", {"auftrag": "auftrag", "kostenartenbes": "kostenartenbes", "wert_overall": "wert_overall"}),
-    "print_creative_cost": ("fx_print_cost", {"auftrag": "auftrag", "kostenartenbes": "kostenartenbes", "wert_overall": "wert_overall"}),
-    "print_shipping_cost": ("fx_print_cost", {"auftrag": "auftrag", "kostenartenbes": "kostenartenbes", "wert_overall": "wert_overall"}),
+    "print_creative_cost": ("fx_creative_cost", {"auftrag": "auftrag", "kostenartenbes": "kostenartenbes", "wert_overall": "wert_overall"}),
+    "print_shipping_cost": ("fx_shipping_cost", {"auftrag": "auftrag", "kostenartenbes": "kostenartenbes", "wert_overall": "wert_overall"}),
 }
 
 
+# what a source's columns must be, by column name; "number" is any integer or DECIMAL
+_TEXT = """additional_costs adgap_id adgap_ids auftrag banner_external_id bpn_campaign_name bpn_radio_campaign_name
+ budget_origin camp_id campaign campaign_external_id campaign_id campaign_scope channel channel_branding channel_name client
+ cost_type facebook_campaign_name google_campaign_name initiative_name jostvonbrandis_campaign_name kostenartenbes
+ media_billing_type media_creative_type media_type pinterest_campaign_name planning_context_code planning_context_name
+ project_name pwm_opp_wbkz pwm_ppc_wbkz pwm_season_financial_year pwm_shipping_type pwm_wbkz snap_account_name
+ snap_campaign_name sub_channel_branding tiktok_campaign_name tv_flight_name year_month"""
+_DATE = """broadcast_date business_date date_col end_date placement_end_cet placement_start_cet reporting_date
+ reporting_end_date reporting_start_date start_date"""
+_TIME = "banner_known_until_utc event_created_at_utc order_timestamp"
+_REAL = """pwm_content_number_pages pwm_content_surface_weight pwm_cover_number_pages pwm_cover_surface_weight
+ pwm_format_height pwm_format_width"""
+KINDS = {**dict.fromkeys(_TEXT.split(), "string"), **dict.fromkeys(_DATE.split(), "date"),
+         **dict.fromkeys(_TIME.split(), "timestamp"), **dict.fromkeys(_REAL.split(), "double"),
+         "bot": "boolean", "planning_date": "date or timestamp"}
+
+
+def check_source(name: str, df: DataFrame) -> DataFrame:
+    """The source's columns by name; raises if one is missing or of another kind."""
+    types = {c.lower(): t for c, t in df.dtypes}
+    faults = []
+    for column in SOURCES[name][1]:
+        want = KINDS.get(column, "number")
+        have = types.get(column)
+        kind = None if have is None else "timestamp" if have.startswith("timestamp") else \
+            "number" if have.startswith(("decimal", "tinyint", "smallint", "int", "bigint")) else have
+        if kind is None:
+            faults.append(f"{column} is missing")
+        elif kind not in want.split(" or ") and not (want == "double" and kind == "number"):
+            faults.append(f"{column} is {have}, not {want}")
+    if faults:
+        raise ValueError(f"source {name}: " + "; ".join(faults))
+    return df.select(*SOURCES[name][1])
+
+
 class Catalog(Mapping):
     """Lazy, memoizing mapping from logical source name to DataFrame."""
 
@@ -150,8 +185,8 @@ class Catalog(Mapping):
 
 
 def parquet_catalog(spark: SparkSession, root: str) -> Catalog:
-    """Production layout: ``{root}/{logical name}`` parquet datasets."""
-    return Catalog(spark, lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}"))
+    """Production layout: ``{root}/{logical name}`` parquet datasets, checked when a source is first used."""
+    return Catalog(spark, lambda name: check_source(name, spark.read.parquet(f"{root.rstrip('/')}/{name}")))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
