@@ -25,8 +25,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def reconcile(actual: DataFrame, plan: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
-    """Full outer join of per-day actual and plan rows inside [lo, hi].
+def reconcile(actual: DataFrame, plan: DataFrame, lo: dt.date, hi: dt.date,
+              by: tuple[str, ...] = ()) -> DataFrame:
+    """Full outer join of per-day actual and plan rows inside [lo, hi]; ``by``: further columns of both to join on.
 
     actual: a_date, a_name, a_logic, a_type, a_cost, a_volume
     plan:   p_date, p_name, p_logic, p_type, p_cost, p_volume
@@ -35,9 +36,14 @@ def reconcile(actual: DataFrame, plan: DataFrame, lo: dt.date, hi: dt.date) -> D
     """
     a = actual.filter(F.col("a_date").between(F.lit(lo), F.lit(hi)))
     p = plan.filter(F.col("p_date").between(F.lit(lo), F.lit(hi)))
-    j = a.join(p, (F.col("a_date") == F.col("p_date")) & (F.col("a_name") == F.col("p_name")), "full_outer")
+    p = p.withColumnsRenamed({c: f"_p_{c}" for c in by})
+    on = (F.col("a_date") == F.col("p_date")) & (F.col("a_name") == F.col("p_name"))
+    for c in by:
+        on = on & (F.col(c) == F.col(f"_p_{c}"))
+    j = a.join(p, on, "full_outer")
     has_actual = F.col("a_date").isNotNull()
     return j.select(
+        *[F.coalesce(c, f"_p_{c}").alias(c) for c in by],
         F.coalesce("a_date", "p_date").alias("reporting_date"),
         F.coalesce("a_logic", "p_logic").alias("budget_logic"),
         F.coalesce("a_type", "p_type").alias("campaign_type"),

@@ -17,7 +17,7 @@ from .. import fixed_values as fv
 from ..config import ReportConfig
 from ..functions import budget as B
 from ..functions.text import has_upper, lacks
-from ..operators.fees import fee_rows, join_fee
+from ..operators.fees import fee_rows, join_fee, month_key
 from ..operators.media import LEVEL4_KEYS, booked_days, delivered_days, delivered_level4, effective_cost
 from ..operators.reconcile import reconcile
 from ..operators.rollup import activity
@@ -30,7 +30,7 @@ COLUMNS = ("budget_logic", "budget_logic_share", "campaign_type", "is_plan", "ca
            "media_cost", "infrastructure_cost", "cost_euro", "impressions", "reporting_date", "source_system")
 
 
-def _finish(df: DataFrame, channel: str | Column, source: str, camp: Column | None = None) -> DataFrame:
+def _finish(df: DataFrame, channel: str | Column, source: str | Column, camp: Column | None = None) -> DataFrame:
     """Totals per (logic, share, type, plan flag, campaign, channel, day) in report types."""
     return df.select(
         F.col("budget_logic").cast("int").alias("budget_logic"),
@@ -43,16 +43,24 @@ def _finish(df: DataFrame, channel: str | Column, source: str, camp: Column | No
         F.col("infrastructure_cost").cast("double").alias("infrastructure_cost"),
         (F.col("media_cost") + F.col("infrastructure_cost")).cast("double").alias("cost_euro"),
         F.col("impressions").cast("double").alias("impressions"),
-        "reporting_date", F.lit(source).alias("source_system"),
+        "reporting_date", (F.lit(source) if isinstance(source, str) else source).alias("source_system"),
     )
 
 
 # ------------------------------------------------------------ actual vs plan
-def plan_rows(cat, channel: str) -> DataFrame:
-    """Plan per day, upper-cased campaign, budget class, type and channel."""
-    p = cat["bpn_planning"].filter(F.upper(F.col("channel")) == channel)
-    name = F.upper(F.col("bpn_campaign_name"))
-    return (p.groupBy(F.col("planning_date").alias("p_date"), name.alias("p_name"),
+PLAN_CHANNELS = {"bra_tv": fv.PLAN_TV, "bra_radio": fv.PLAN_RADIO, "bra_webradio": fv.PLAN_WEBRADIO}
+
+
+def plan_rows(cat, keys=tuple(PLAN_CHANNELS)) -> DataFrame:
+    """Plan per branch, day, upper-cased campaign, budget class, type and channel."""
+    channel = F.upper(F.col("channel"))
+    branch_of = None
+    for key in keys:
+        hit = channel == PLAN_CHANNELS[key]
+        branch_of = F.when(hit, F.lit(key)) if branch_of is None else branch_of.when(hit, F.lit(key))
+    p = cat["bpn_planning"].filter(channel.isin([PLAN_CHANNELS[k] for k in keys]))
+    return (p.groupBy(branch_of.alias("branch"), F.col("planning_date").alias("p_date"),
+                      F.upper(F.col("bpn_campaign_name")).alias("p_name"),
                       B.logic_from_origin(F.col("budget_origin")).alias("p_logic"),
                       B.type_from_origin(F.col("budget_origin")).alias("p_type"), F.col("channel"))
             .agg(F.sum("cost_euro_nnn_planned").alias("p_cost"), F.sum("gross_contacts_planned").alias("p_volume"))
@@ -82,32 +90,44 @@ def radio_actuals(cat, source: str, date_col: str, volume_col: str, same_day: bo
             .drop("_raw"))
 
 
-def _actual_vs_plan(cat, cfg: ReportConfig, actual: DataFrame, plan_channel: str, fee_channel: str,
-                    fee_case_fold: bool, channel: str, source: str) -> DataFrame:
-    rows = reconcile(actual, plan_rows(cat, plan_channel), cfg.branding_min_date, cfg.yesterday)
-    fees = fee_rows(cat["agency_fee"], fee_channel, fee_case_fold)
-    j = join_fee(rows, "reporting_date", fees)
-    g = (j.groupBy("budget_logic", "campaign_type", "is_plan", "reporting_date")
+BROADCAST = {
+    "bra_tv": (tv_actuals, fv.CH_TV, fv.SRC_TV),
+    "bra_radio": (lambda cat: radio_actuals(cat, "radio_marketer", "reporting_start_date", "contacts", same_day=True),
+                  fv.CH_AUDIO, fv.SRC_RADIO),
+    "bra_webradio": (lambda cat: radio_actuals(cat, "radio_webradio", "reporting_date", "impressions", same_day=False),
+                     fv.CH_AUDIO, fv.SRC_WEBRADIO),
+}
+
+
+def _by_key(key: Column, values: dict) -> Column:
+    """The value of each branch key."""
+    out = None
+    for k, v in values.items():
+        out = F.when(key == k, F.lit(v)) if out is None else out.when(key == k, F.lit(v))
+    return out
+
+
+def broadcast_media(cat, cfg: ReportConfig, keys=tuple(BROADCAST)) -> DataFrame:
+    """TV, radio and webradio: actual against plan with the month's fee, in one join each.
+
+    The branches share the plan and fee tables, so these are read once, with the branch as a key."""
+    actual = union_all([BROADCAST[k][0](cat).withColumn("branch", F.lit(k)) for k in keys])
+    rows = reconcile(actual, plan_rows(cat, keys), cfg.branding_min_date, cfg.yesterday, by=("branch",))
+    named = F.col("channel_branding")
+    applies = F.when(named == fv.FEE_TV, F.array(F.lit("bra_tv"))).when(
+        F.upper(named) == fv.FEE_FUNK, F.array(F.lit("bra_radio"), F.lit("bra_webradio")))
+    fees = cat["agency_fee"].filter((named == fv.FEE_TV) | (F.upper(named) == fv.FEE_FUNK)).select(
+        F.explode(applies).alias("branch"), F.col("year_month").cast("decimal(6,0)").cast("int").alias("_month"), "fee")
+    j = rows.withColumn("_month", month_key(F.col("reporting_date"))).join(fees, ["branch", "_month"], "left")
+    g = (j.groupBy("branch", "budget_logic", "campaign_type", "is_plan", "reporting_date")
          .agg(F.sum("media_cost").alias("media_cost"),
               F.sum(F.col("infra_base") * F.col("fee")).alias("infrastructure_cost"),
               F.sum("impressions").alias("impressions"))
          .withColumn("budget_logic_share", B.share_from_class(F.col("budget_logic")))
          .withColumn("clicks", F.lit(0)))
-    return _finish(g, channel, label(cfg, source))
-
-
-def tv(cat, cfg):
-    return _actual_vs_plan(cat, cfg, tv_actuals(cat), fv.PLAN_TV, fv.FEE_TV, False, fv.CH_TV, fv.SRC_TV)
-
-
-def radio(cat, cfg):
-    a = radio_actuals(cat, "radio_marketer", "reporting_start_date", "contacts", same_day=True)
-    return _actual_vs_plan(cat, cfg, a, fv.PLAN_RADIO, fv.FEE_FUNK, True, fv.CH_AUDIO, fv.SRC_RADIO)
-
-
-def webradio(cat, cfg):
-    a = radio_actuals(cat, "radio_webradio", "reporting_date", "impressions", same_day=False)
-    return _actual_vs_plan(cat, cfg, a, fv.PLAN_WEBRADIO, fv.FEE_FUNK, True, fv.CH_AUDIO, fv.SRC_WEBRADIO)
+    key = F.col("branch")
+    return _finish(g, _by_key(key, {k: BROADCAST[k][1] for k in keys}),
+                   _by_key(key, {k: label(cfg, BROADCAST[k][2]) for k in keys}))
 
 
 # ------------------------------------------------------------------- digital
@@ -201,40 +221,56 @@ def _campaign_multiplier(cat) -> DataFrame:
          .groupBy(F.col("campaign_id").alias("camp_id")).agg(F.count(F.lit(1)).cast("int").alias("_n")))
 
 
-def _inhouse(cat, cfg, facts: DataFrame, *, logic, channel: str, source: str, tool_fee: bool,
-             rates: DataFrame | None = None) -> DataFrame:
-    """facts: reporting_date, camp_id, impressions, clicks, cost; rates (ODIN): a row per day.
+INHOUSE = {  # channel, source, tool fee, class of a campaign id
+    "bra_odin": (fv.CH_DISPLAY_BRANDING, fv.SRC_ODIN, False, B.budget_logic_reduced),
+    "bra_facebook": (fv.CH_SOCIAL_BRANDING, fv.SRC_FACEBOOK, True, B.budget_logic),
+    "bra_pinterest": (fv.CH_SOCIAL_BRANDING, fv.SRC_PINTEREST, False, B.budget_logic),
+    "bra_snapchat": (fv.CH_SOCIAL_BRANDING, fv.SRC_SNAPCHAT, True, B.budget_logic),
+    "bra_youtube": (fv.CH_ONLINE_VIDEO, fv.SRC_GOOGLE_AD, False, B.budget_logic),
+    "bra_tiktok": (fv.CH_SOCIAL_BRANDING, fv.SRC_TIKTOK, False, B.budget_logic),
+}
+
+
+def inhouse(cat, cfg: ReportConfig, keys=tuple(INHOUSE)) -> DataFrame:
+    """In-house display and social: sums per (day, campaign), scaled by the campaign table's row counts.
 
-    Sums are exact (BIGINT, DECIMAL) and are scaled after the aggregation.
+    Facts are summed per branch, brought together and joined with the counts once. Sums are
+    exact (BIGINT, DECIMAL) up to the one division by the exchange rate.
     """
-    g = facts.groupBy("reporting_date", "camp_id").agg(
-        F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"), F.sum("cost").alias("media_cost"))
-    g = g.join(_campaign_multiplier(cat), "camp_id", "left")
+    sums = union_all([
+        FACTS[k](cat, cfg).groupBy("reporting_date", "camp_id").agg(
+            F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"), F.sum("cost").alias("media_cost"))
+        .withColumn("branch", F.lit(k)) for k in keys])
+    key, odin = F.col("branch"), F.col("branch") == "bra_odin"
+    g = sums.join(_campaign_multiplier(cat), "camp_id", "left")
     n = F.coalesce(F.col("_n"), F.lit(1))
-    if rates is not None:
-        g = g.join(rates, "reporting_date", "left")
-        n = n * F.coalesce(F.col("_rates"), F.lit(1))
     spend = F.col("media_cost")
-    if tool_fee:
-        infra = spend * F.lit(fv.TOOL_FEE).cast("decimal(4,3)") * n
-    elif rates is not None:
-        # exact in DECIMAL up to the one division
+    infra = F.when(_by_key(key, {k: INHOUSE[k][2] for k in keys}),
+                   spend * F.lit(fv.TOOL_FEE).cast("decimal(4,3)") * n).cast("double")
+    if "bra_odin" in keys:
+        # days with several rates repeat their rows; the largest rate counts
+        rates = cat["exchange_rates"].groupBy("reporting_date").agg(
+            F.max("exchange_rate_eur_to_usd").alias("_rate"), F.count(F.lit(1)).cast("int").alias("_rates"))
+        g = g.join(rates, "reporting_date", "left")
+        n = n * F.when(odin, F.coalesce(F.col("_rates"), F.lit(1))).otherwise(F.lit(1))
         usd = F.col("impressions") * F.lit(str(Decimal(fv.ODIN_USD_PER_MILLE) / 1000)).cast("decimal(7,6)") * n
-        infra = (spend * F.lit(fv.ODIN_SPEND_FEE).cast("decimal(3,2)") * n).cast("double") \
+        fee = (spend * F.lit(fv.ODIN_SPEND_FEE).cast("decimal(3,2)") * n).cast("double") \
             + usd.cast("double") / F.col("_rate").cast("double")
-    else:
-        infra = F.lit(0)
+        infra = F.when(odin, fee).otherwise(infra)
+    plain = ~_by_key(key, {k: INHOUSE[k][2] or k == "bra_odin" for k in keys})
     camp = F.col("camp_id")
+    logic = None
+    for k in keys:
+        value = INHOUSE[k][3](camp)
+        logic = F.when(key == k, value) if logic is None else logic.when(key == k, value)
     out = g.select(
-        "reporting_date", "camp_id",
-        (F.col("impressions") * n).alias("impressions"), (F.col("clicks") * n).alias("clicks"),
-        (F.col("media_cost") * n).alias("media_cost"), infra.alias("infrastructure_cost"),
-        logic(camp).alias("budget_logic"),
+        "branch", "reporting_date", "camp_id", (F.col("impressions") * n).alias("impressions"),
+        F.when(odin, F.lit(0)).otherwise(F.col("clicks") * n).alias("clicks"), (spend * n).alias("media_cost"),
+        F.when(plain, F.lit(0.0)).otherwise(infra).alias("infrastructure_cost"), logic.alias("budget_logic"),
     ).withColumn("budget_logic_share", B.budget_share_ws(camp, F.col("budget_logic"))) \
         .withColumn("campaign_type", F.lit(fv.TYPE_BRANDING)).withColumn("is_plan", F.lit(False))
-    if rates is not None:
-        out = out.withColumn("clicks", F.lit(0))
-    return _finish(out, channel, label(cfg, source), camp=F.col("camp_id"))
+    return _finish(out, _by_key(key, {k: INHOUSE[k][0] for k in keys}),
+                   _by_key(key, {k: label(cfg, INHOUSE[k][1]) for k in keys}), camp=camp)
 
 
 def odin(cat, cfg):
@@ -242,12 +278,7 @@ def odin(cat, cfg):
            .filter(F.col("reporting_date") >= F.lit(cfg.branding_min_date))
            .filter(activity([F.col("impressions"), F.col("net_revenue_euro")], strict=False))
            .filter(F.col("odin_customer_id") == cfg.odin_branding_customer))
-    # days with several rates repeat their rows; the largest rate counts
-    rates = cat["exchange_rates"].groupBy("reporting_date").agg(
-        F.max("exchange_rate_eur_to_usd").alias("_rate"), F.count(F.lit(1)).cast("int").alias("_rates"))
-    facts = dat.select("reporting_date", "camp_id", "impressions", "clicks", F.col("net_revenue_euro").alias("cost"))
-    return _inhouse(cat, cfg, facts, logic=B.budget_logic_reduced, channel=fv.CH_DISPLAY_BRANDING,
-                    source=fv.SRC_ODIN, tool_fee=False, rates=rates)
+    return dat.select("reporting_date", "camp_id", "impressions", "clicks", F.col("net_revenue_euro").alias("cost"))
 
 
 def _social_excluded(camp: str, name: str) -> Column:
@@ -260,9 +291,7 @@ def facebook(cat, cfg):
            .filter(F.col("reporting_date") >= F.lit(cfg.branding_min_date))
            .filter(F.col("facebook_account_id") == cfg.facebook_branding_account)
            .filter(activity([F.col("impressions"), F.col("cost_euro"), F.col("clicks")], strict=False)))
-    facts = dat.select("reporting_date", "camp_id", "impressions", "clicks", F.col("cost_euro").alias("cost"))
-    return _inhouse(cat, cfg, facts, logic=B.budget_logic, channel=fv.CH_SOCIAL_BRANDING,
-                    source=fv.SRC_FACEBOOK, tool_fee=True)
+    return dat.select("reporting_date", "camp_id", "impressions", "clicks", F.col("cost_euro").alias("cost"))
 
 
 def pinterest(cat, cfg):
@@ -270,10 +299,8 @@ def pinterest(cat, cfg):
            .filter(F.col("reporting_date") >= F.lit(cfg.branding_min_date))
            .filter(activity([F.col("impressions_paid"), F.col("cost_euro"), F.col("clicks_paid")], strict=False))
            .filter(_social_excluded("camp_id", "pinterest_campaign_name")))
-    facts = dat.select("reporting_date", "camp_id", F.col("impressions_paid").alias("impressions"),
+    return dat.select("reporting_date", "camp_id", F.col("impressions_paid").alias("impressions"),
                        F.col("clicks_paid").alias("clicks"), F.col("cost_euro").alias("cost"))
-    return _inhouse(cat, cfg, facts, logic=B.budget_logic, channel=fv.CH_SOCIAL_BRANDING,
-                    source=fv.SRC_PINTEREST, tool_fee=False)
 
 
 def snapchat(cat, cfg):
@@ -281,10 +308,8 @@ def snapchat(cat, cfg):
            .filter(F.col("reporting_date") >= F.lit(cfg.branding_min_date))
            .filter(F.lower(F.col("snap_account_name")) == cfg.snap_branding_account_name)
            .filter(activity([F.col("impressions"), F.col("cost_euro")], strict=False)))
-    facts = dat.select("reporting_date", "camp_id", "impressions", F.lit(0).cast("bigint").alias("clicks"),
+    return dat.select("reporting_date", "camp_id", "impressions", F.lit(0).cast("bigint").alias("clicks"),
                        F.col("cost_euro").alias("cost"))
-    return _inhouse(cat, cfg, facts, logic=B.budget_logic, channel=fv.CH_SOCIAL_BRANDING,
-                    source=fv.SRC_SNAPCHAT, tool_fee=True)
 
 
 def youtube(cat, cfg):
@@ -293,10 +318,8 @@ def youtube(cat, cfg):
            .filter(activity([F.col("impressions"), F.col("cost_euro"), F.col("clicks")], strict=False))
            .filter(F.col("google_account_id").isin(list(cfg.youtube_branding_accounts)))
            .filter(_social_excluded("camp_id", "google_campaign_name")))
-    facts = dat.select(F.col("date_col").alias("reporting_date"), "camp_id", "impressions", "clicks",
+    return dat.select(F.col("date_col").alias("reporting_date"), "camp_id", "impressions", "clicks",
                        F.col("cost_euro").alias("cost"))
-    return _inhouse(cat, cfg, facts, logic=B.budget_logic, channel=fv.CH_ONLINE_VIDEO,
-                    source=fv.SRC_GOOGLE_AD, tool_fee=False)
 
 
 def tiktok(cat, cfg):
@@ -305,22 +328,24 @@ def tiktok(cat, cfg):
            .filter(F.col("tiktok_account_id") == cfg.tiktok_branding_account)
            .filter(activity([F.col("impressions"), F.col("cost_euro"), F.col("clicks")], strict=False))
            .filter(_social_excluded("camp_id", "tiktok_campaign_name")))
-    facts = dat.select("reporting_date", "camp_id", "impressions", "clicks", F.col("cost_euro").alias("cost"))
-    return _inhouse(cat, cfg, facts, logic=B.budget_logic, channel=fv.CH_SOCIAL_BRANDING,
-                    source=fv.SRC_TIKTOK, tool_fee=False)
+    return dat.select("reporting_date", "camp_id", "impressions", "clicks", F.col("cost_euro").alias("cost"))
 
 
-BUILDERS = {"bra_tv": tv, "bra_radio": radio, "bra_webradio": webradio, "bra_digital": digital, "bra_dooh": dooh,
-            "bra_odin": odin, "bra_facebook": facebook, "bra_pinterest": pinterest, "bra_snapchat": snapchat,
-            "bra_youtube": youtube, "bra_tiktok": tiktok}
+FACTS = {"bra_odin": odin, "bra_facebook": facebook, "bra_pinterest": pinterest, "bra_snapchat": snapchat,
+         "bra_youtube": youtube, "bra_tiktok": tiktok}
 
 
 def branch(cat, cfg: ReportConfig, key: str) -> DataFrame:
-    return BUILDERS[key](cat, cfg).select(*COLUMNS)
+    if key in BROADCAST:
+        return broadcast_media(cat, cfg, (key,)).select(*COLUMNS)
+    if key in INHOUSE:
+        return inhouse(cat, cfg, (key,)).select(*COLUMNS)
+    return {"bra_digital": digital, "bra_dooh": dooh}[key](cat, cfg).select(*COLUMNS)
 
 
 def report(cat, cfg: ReportConfig) -> DataFrame:
-    return union_all([branch(cat, cfg, k) for k in KEYS])
+    parts = (broadcast_media(cat, cfg), digital(cat, cfg), dooh(cat, cfg), inhouse(cat, cfg))
+    return union_all([p.select(*COLUMNS) for p in parts])
 
 
 def booked_leg(cat, cfg: ReportConfig) -> DataFrame:

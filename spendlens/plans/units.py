@@ -102,7 +102,7 @@ def context_fallback_q(cat, cfg):
 
 def actual_vs_plan_q(cat, cfg):
     """TV actual against plan rows, before fees and the daily sum."""
-    r = reconcile(branding.tv_actuals(cat), branding.plan_rows(cat, fv.PLAN_TV), cfg.branding_min_date,
+    r = reconcile(branding.tv_actuals(cat), branding.plan_rows(cat, ("bra_tv",)).drop("branch"), cfg.branding_min_date,
                   cfg.yesterday)
     return r.select("reporting_date", "budget_logic", "campaign_type", "is_plan",
                     F.col("media_cost").cast("double").alias("media_cost"),

@@ -37,6 +37,10 @@ FX_SCHEMAS = {
                 "cover_pages double",
     "fx_print_cost": "auftrag string, kostenartenbes string, wert_overall decimal(18,2)",
 }
+# tables of their own with the same columns
+LIKE = {"fx_radio": "fx_actual", "fx_webradio": "fx_actual", "fx_creative_cost": "fx_print_cost",
+        "fx_shipping_cost": "fx_print_cost"}
+FX_SCHEMAS |= {name: FX_SCHEMAS[of] for name, of in LIKE.items()}
 DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE", "double": "DOUBLE"}
 
 
@@ -45,6 +49,7 @@ def _duck_type(t: str) -> str:
 
 
 def run_both(spark, key: str, tables: dict[str, list[tuple]]):
+    tables = tables | {name: tables[of] for name, of in LIKE.items() if of in tables and name not in tables}
     frames = {name: spark.createDataFrame(rows, FX_SCHEMAS[name]) for name, rows in tables.items()}
 
     def load(name):
