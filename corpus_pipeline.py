@@ -2,13 +2,14 @@
 
 Every stage takes all that the one before kept. Stages but the last return the columns of
 documents; rows are told apart by id and text, so of rows repeated in full one is left by
-exact deduplication. Null ids and texts pass where a stage's rule lets them: null texts have no
+exact deduplication, and rows that share an id but differ in text go the same way. Null ids and texts pass where a stage's rule lets them: null texts have no
 letters, so language identification rejects them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendlens.llm.common import stored, table
 from spendlens.llm.decontamination import contamination
@@ -20,28 +21,36 @@ from spendlens.llm.simhash import simhash_components
 
 def _having(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The documents whose id is among ``ids`` (doc_id); a null id matches a null id."""
-    ids = ids.select(ids["doc_id"].alias("_kept")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept"]), "left_semi")
+    return _keyed(docs).join(_keyed(ids.select("doc_id")).drop("doc_id").distinct(), KEY, "left_semi")
+
+
+KEY = ["_id", "_no_id"]
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """Rows with the id as a key that is never null."""
+    return rows.withColumn("_id", F.coalesce("doc_id", F.lit(0).cast("long"))).withColumn("_no_id", F.isnull("doc_id"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is predicted with enough confidence."""
-    return _having(docs, language_id(docs).where("accepted"))
+    return _having(docs, language_id(docs).where("accepted")).drop(*KEY)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return _having(docs, exact_dedup(docs).where("kept")).dropDuplicates(["doc_id", "text"])
+    # the join left equal keys together, so repeated rows are found where they are
+    return _having(docs, exact_dedup(docs).where("kept")).dropDuplicates([*KEY, "text"]).drop(*KEY)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by SimHash fingerprints."""
-    return _having(docs, simhash_components(docs).where("doc_id <=> component_id"))
+    return _having(docs, simhash_components(docs).where("doc_id <=> component_id")).drop(*KEY)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    return _having(docs, contamination(docs, table(spark, sf_dir, "benchmark")).where("not contaminated"))
+    return _having(docs, contamination(docs, table(spark, sf_dir, "benchmark")).where("not contaminated")).drop(*KEY)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
