@@ -56,8 +56,10 @@ def test_unique_mapping_keeps_total_cost(spark, cfg):
     """With a mapping unique per campaign, enrichment does not change the total."""
     from spendlens.operators.rollup import activity
     from spendlens.plans import search
+    from spendlens.sources.catalog import Catalog
 
-    cat = fixture_catalog(spark, SF_SMALL)
+    base = fixture_catalog(spark, SF_SMALL)
+    cat = Catalog(spark, lambda n: base[n].dropDuplicates(["camp_id"]) if n == "planning_context_map" else base[n])
     branch = search.branch(cat, cfg, "sea_google_keyword")
     facts = (cat["google_keyword_perf"].filter(F.col("date_col") >= F.lit(cfg.min_date))
              .filter(activity([F.col("impressions"), F.col("cost_euro"), F.col("clicks")], strict=True)))
