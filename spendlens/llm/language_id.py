@@ -189,24 +189,24 @@ class Predictor:
         return out
 
 
-def training_sample(docs: DataFrame, label_col: str, where, id_col: str, text_col: str,
+def training_sample(docs: DataFrame, marks: DataFrame, where, id_col: str, text_col: str,
                     rows: int, chars: int) -> list[tuple[str, object]]:
-    """(text, label) of at most ``rows`` rows of each label, the first by a hash of the id; texts up to ``chars``
-    characters. Only ids are ranked; texts are fetched for those picked."""
-    usable = docs.where(where & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()
-                        & F.col(text_col).isNotNull() & (F.length(text_col) <= chars))
-    ids = usable.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"), F.xxhash64(id_col).alias("_rank"))
-    picked = None
-    for (label,) in usable.select(label_col).distinct().collect():
-        part = ids.where(F.col("_label") == label).orderBy("_rank", "_id").limit(rows)
-        picked = part if picked is None else picked.union(part)
-    if picked is None:
+    """(text, label) of rows that ``marks`` (_id, _label) marks: of at most ``rows`` ids of each label, the first
+    by a hash of the id; texts of more than ``chars`` characters are left out. Ids are ranked without their
+    texts, and texts are fetched for those picked, so none is shuffled."""
+    marks = marks.where(where & F.col("_label").isNotNull() & F.col("_id").isNotNull()).select(
+        F.col("_id").cast("long").alias("_id"), "_label", F.xxhash64(F.col("_id").cast("long")).alias("_rank"))
+    picked = []
+    for (label,) in marks.select("_label").distinct().collect():
+        picked += marks.where(F.col("_label") == label).orderBy("_rank", "_id").limit(rows).collect()
+    if not picked:
         return []
-    ids = docs.sparkSession.createDataFrame(picked.select("_id").distinct().collect(), "_id long")
-    found = (usable.join(F.broadcast(ids), F.col(id_col) == F.col("_id"))
-             .select(F.xxhash64(id_col).alias("r"), F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t"),
-                     F.col(label_col).alias("y")).collect())
-    return [(r.t, r.y) for r in sorted(found, key=lambda r: (r.r, r.i, r.t, str(r.y)))]
+    # at most ``rows`` times the number of labels
+    ids = docs.sparkSession.createDataFrame(sorted({tuple(r) for r in picked}, key=str), marks.schema)
+    found = (docs.where(F.length(text_col) <= chars)
+             .join(F.broadcast(ids), F.col(id_col).cast("long") == F.col("_id"))
+             .select("_rank", "_id", F.col(text_col).cast("string").alias("t"), F.col("_label").alias("y")).collect())
+    return [(r.t, r.y) for r in sorted(found, key=lambda r: (r[0], r[1], r.t, str(r.y)))]
 
 
 def not_held_out(id_col: str, folds: int, out: int):
@@ -218,8 +218,8 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per input row: doc_id, held_out (never learnt from), lang_pred, score (calibrated confidence),
     accepted."""
     small_batches(docs.sparkSession)
-    sample = training_sample(docs, lang_col, not_held_out(id_col, folds, held_out), id_col, text_col,
-                             sample_rows, SAMPLE_CHARS)
+    marks = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_label"))
+    sample = training_sample(docs, marks, not_held_out("_id", folds, held_out), id_col, text_col, sample_rows, SAMPLE_CHARS)
     model = train([t for t, _ in sample], [str(y) for _, y in sample])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -40,7 +40,7 @@ SPAN = 7
 POWER = 3
 LANDMARKS = 96
 #: Bounds of the training sample: rows of each label, characters of a row, clean sentences in all.
-SAMPLE_ROWS = 1500
+SAMPLE_ROWS = 1200
 SAMPLE_CHARS = 10_000
 CLEAN_SENTENCES = 30_000
 ROUNDS = 3
@@ -183,11 +183,11 @@ def train(texts: list[str], labels: list[int]) -> Model | None:
     kernel = Kernel(landmarks)
     values, vectors = np.linalg.eigh(kernel(landmarks).astype(float))
     keep = values > 1e-4
-    nystrom = vectors[:, keep] / np.sqrt(values[keep])
+    nystrom = (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)
 
     every = sorted(set(in_toxic) | set(in_clean))
     place = {w: i for i, w in enumerate(every)}
-    features = np.concatenate([kernel(every[i:i + 5000]) for i in range(0, len(every), 5000)]) @ nystrom
+    features = np.concatenate([kernel(every[i:i + 5000]) @ nystrom for i in range(0, len(every), 5000)])
 
     def sums(some):
         out = np.zeros((len(some), features.shape[1] + 1))
@@ -252,10 +252,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """One row per input row: doc_id, held_out (never learnt from), score, predicted."""
     spark = docs.sparkSession
     small_batches(spark)
-    marked = labels.select(F.col(id_col).alias("_doc"), F.col(label_col).cast("int").alias("_label")).where("_label in (0, 1)")
-    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).join(marked, "_doc")
-    sample = training_sample(texts, "_label", not_held_out("_doc", folds, held_out), "_doc", "_text",
-                             sample_rows, SAMPLE_CHARS)
+    marks = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).where("_label in (0, 1)")
+    sample = training_sample(docs, marks, not_held_out("_id", folds, held_out), id_col, text_col, sample_rows, SAMPLE_CHARS)
     model = train([t for t, _ in sample], [y for _, y in sample])
     share = sum(y for _, y in sample) / len(sample) if sample else 0.0
     shared = spark.sparkContext.broadcast(model)
