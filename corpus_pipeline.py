@@ -1,13 +1,18 @@
 """The corpus pipeline: stages over ``documents``, each a training-data operator.
 
 Every stage takes all that the one before kept. Stages but the last return the columns of
-documents; rows are told apart by id and text, so of rows repeated in full one is left by
-exact deduplication, and rows that share an id but differ in text go the same way. Null ids and texts pass where a stage's rule lets them: null texts have no
-letters, so language identification rejects them.
+documents. Each row is judged for itself: a stage gives every row of its input a key of its
+own, the operators carry it, and rows are kept by it, so null and repeated ids decide nothing
+about each other. Of rows with equal or linked texts the one of the least id stays, a row with
+a null id only where no other has one. Null texts have no letters, so language identification
+rejects them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,41 +21,54 @@ from spendlens.llm.decontamination import contamination
 from spendlens.llm.exact_dedup import exact_dedup
 from spendlens.llm.language_id import language_id
 from spendlens.llm.sentencepiece_tokens import sentencepiece_tokens
-from spendlens.llm.simhash import simhash_components
+from spendlens.llm.simhash import simhash_firsts
 
 
-def _having(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is among ``ids`` (doc_id); a null id matches a null id."""
-    return _keyed(docs).join(_keyed(ids.select("doc_id")).drop("doc_id").distinct(), KEY, "left_semi")
+KEY = "_pipeline_row"
 
 
-KEY = ["_id", "_no_id"]
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows with a key of their own that every reading gives again: file and place in it, or else it is written."""
+    spark = docs.sparkSession
+    # a table as read; behind a join or an explode, places in files would repeat
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        try:
+            place = docs.metadataColumn("_metadata")
+            placed = docs.select("*", place["file_path"].alias("_file"), place["row_index"].alias("_place"))
+            names = sorted(r[0] for r in placed.select("_file").distinct().collect())  # as many as files
+            files = spark.createDataFrame(list(enumerate(names)), "_number long, _file string")
+            return placed.join(F.broadcast(files), "_file").select(
+                *docs.columns, F.expr("shiftleft(_number, 40) + _place").alias(KEY))
+        except AnalysisException:
+            pass  # a source without places
+    return stored(docs.withColumn(KEY, F.monotonically_increasing_id()), "rows")
 
 
-def _keyed(rows: DataFrame) -> DataFrame:
-    """Rows with the id as a key that is never null."""
-    return rows.withColumn("_id", F.coalesce("doc_id", F.lit(0).cast("long"))).withColumn("_no_id", F.isnull("doc_id"))
+def _having(docs: DataFrame, keys: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows whose key is among what ``keys`` gives for the keyed rows."""
+    keyed = _keyed(docs)
+    return keyed.join(keys(keyed).select(KEY), KEY, "left_semi").select(docs.columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is predicted with enough confidence."""
-    return _having(docs, language_id(docs).where("accepted")).drop(*KEY)
+    return _having(docs, lambda rows: language_id(rows, key_col=KEY).where("accepted"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    # the join left equal keys together, so repeated rows are found where they are
-    return _having(docs, exact_dedup(docs).where("kept")).dropDuplicates([*KEY, "text"]).drop(*KEY)
+    return _having(docs, lambda rows: exact_dedup(rows, key_col=KEY).where("kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by SimHash fingerprints."""
-    return _having(docs, simhash_components(docs).where("doc_id <=> component_id")).drop(*KEY)
+    return _having(docs, lambda rows: simhash_firsts(rows, KEY))
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    return _having(docs, contamination(docs, table(spark, sf_dir, "benchmark")).where("not contaminated")).drop(*KEY)
+    benchmark = table(spark, sf_dir, "benchmark")
+    return _having(docs, lambda rows: contamination(rows, benchmark, key_col=KEY).where("not contaminated"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

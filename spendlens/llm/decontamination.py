@@ -66,14 +66,14 @@ def _context(words: list[bytes], at: int, length: int) -> tuple[bytes, int]:
 _SEEDS = "row_key long, doc_id long, n_words long, length int, hash long, at long, context binary, offset int"
 
 
-def _seeds(window: int, lengths: list[int] | None, bitmap):
+def _seeds(window: int, lengths: list[int] | None, bitmap, keyed: bool = False):
     """For documents (``lengths`` given): a row for each, and one for every kept k-gram that the bitmap knows.
     For items: a row for every kept k-gram of the item's own length."""
 
     def run(batches):
         numbers = WordIds()
         known = None if bitmap is None else np.frombuffer(bitmap.value, np.uint64)
-        key = TaskContext.get().partitionId() << 40
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
             out = [[] for _ in range(8)]
 
@@ -81,7 +81,8 @@ def _seeds(window: int, lengths: list[int] | None, bitmap):
                 for column, value in zip(out, row):
                     column.append(value)
 
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, text, *own in zip(*(c.to_pylist() for c in batch.columns)):
+                key = own[0] if keyed else number
                 words = words_of(text)
                 ids = numbers.of(words)
                 if lengths is None:
@@ -97,7 +98,7 @@ def _seeds(window: int, lengths: list[int] | None, bitmap):
                         hashes, at = hashes[hit], at[hit]
                     for h, a in zip(hashes.view(np.int64).tolist(), at.tolist()):
                         add(key, doc_id, None, length, h, a, *_context(words, a, length))
-                key += 1
+                number += 1
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
                                              names=["row_key", "doc_id", "n_words", "length", "hash", "at", "context", "offset"])
@@ -143,9 +144,11 @@ def _bitmap(items: DataFrame, bits: int) -> bytes:
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                  filter_bits: int = FILTER_BITS) -> DataFrame:
+                  filter_bits: int = FILTER_BITS, key_col: str | None = None) -> DataFrame:
     """One row per document row: doc_id, n_words, n_hit (words inside shared windows), n_items, items_sha256
-    (their ids, sorted as strings, comma-joined), contaminated."""
+    (their ids, sorted as strings, comma-joined), contaminated.
+
+    ``key_col``: a unique long of the documents that is never null; it comes first in the result."""
     spark = docs.sparkSession
     small_batches(spark)
     item_texts = items.select(F.col(item_id_col).cast("long").alias("doc_id"), utf8(F.col(item_text_col)).alias("text"))
@@ -154,8 +157,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                                 F.col("offset").alias("item_offset")).distinct(), "item-seeds")
     lengths = sorted(r.length for r in item_seeds.select("length").distinct().collect())  # at most ``window``
     bitmap = spark.sparkContext.broadcast(_bitmap(item_seeds, filter_bits))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("text"))
-    seeds = stored(texts.mapInArrow(_seeds(window, lengths, bitmap), _SEEDS), "document-seeds")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("text"),
+                        *([F.col(key_col).alias("row_key")] if key_col else []))
+    seeds = stored(texts.mapInArrow(_seeds(window, lengths, bitmap, bool(key_col)), _SEEDS), "document-seeds")
     hits = (seeds.where("hash is not null").join(item_seeds, ["length", "hash"])
             .select("row_key", "item_id", "length", "at", "context", "offset", "item_context", "item_offset")
             .mapInArrow(_extend, "row_key long, item_id long, start long, end long"))
@@ -173,6 +177,6 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     hit = spans.select("row_key", covered.alias("n_hit")).join(found, "row_key")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return seeds.where("n_words is not null").select("row_key", "doc_id", "n_words").join(hit, "row_key", "left").select(
-        "doc_id", "n_words", n_hit.alias("n_hit"),
+        *([F.col("row_key").alias(key_col)] if key_col else []), "doc_id", "n_words", n_hit.alias("n_hit"),
         F.when(F.col("items").isNull(), 0).otherwise(F.size("items")).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))

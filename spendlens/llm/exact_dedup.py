@@ -165,14 +165,15 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, most_bytes: int = 4 << 20
         yield batch()
 
 
-def _first_round(budget: int, normalise: Callable[[bytes], bytes]):
+def _first_round(budget: int, normalise: Callable[[bytes], bytes], keyed: bool):
     """Deduplicates an input partition: a row per record, and one more per distinct content."""
 
     def run(batches):
         start = TaskContext.get().partitionId() << 40
 
         def records():
-            for key, (doc_id, text) in enumerate(_rows_of(batches), start):
+            for key, (doc_id, text, *own) in enumerate(_rows_of(batches), start):
+                key = own[0] if keyed else key
                 content = normalise(text)
                 digest = int.from_bytes(hashlib.sha256(content).digest()[:8], "big")
                 yield digest, key, NO_ID if doc_id is None else doc_id, key, 1, content
@@ -204,11 +205,14 @@ def _second_round(budget: int):
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table_bytes: int = TABLE_BYTES,
-                normalise: Callable[[bytes], bytes] = normalised) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text)."""
+                normalise: Callable[[bytes], bytes] = normalised, key_col: str | None = None) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text).
+
+    ``key_col``: a unique long that is never null; it comes first in the result."""
     small_batches(docs.sparkSession)
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("content"))
-    local = stored(ids.mapInArrow(_first_round(table_bytes, normalise),
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("content"),
+                      *([F.col(key_col).alias("row_key")] if key_col else []))
+    local = stored(ids.mapInArrow(_first_round(table_bytes, normalise, bool(key_col)),
                                   "row_key long, doc_id long, rep_key long, rows long, least long, least_key long, "
                                   "digest string, content binary"), "exact-dedup")
     merged = (local.where("digest is not null")
@@ -218,4 +222,4 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                                       "text_sha256 string"))
     members = local.where("row_key is not null").select("row_key", "doc_id", "rep_key")
     return members.join(merged, "rep_key").select(
-        "doc_id", "keep_id", "group_size", (F.col("row_key") == F.col("keep_key")).alias("kept"), "text_sha256")
+        *([F.col("row_key").alias(key_col)] if key_col else []), "doc_id", "keep_id", "group_size", (F.col("row_key") == F.col("keep_key")).alias("kept"), "text_sha256")

@@ -214,14 +214,17 @@ def not_held_out(id_col: str, folds: int, out: int):
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                folds: int = 4, held_out: int = 2, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+                folds: int = 4, held_out: int = 2, sample_rows: int = SAMPLE_ROWS, key_col: str | None = None) -> DataFrame:
     """One row per input row: doc_id, held_out (never learnt from), lang_pred, score (calibrated confidence),
-    accepted."""
+    accepted.
+
+    ``key_col``: a unique long that is never null; it comes last in the result."""
     small_batches(docs.sparkSession)
     marks = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_label"))
     sample = training_sample(docs, marks, not_held_out("_id", folds, held_out), id_col, text_col, sample_rows, SAMPLE_CHARS)
     model = train([t for t, _ in sample], [str(y) for _, y in sample])
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    keys = [key_col] if key_col else []
 
     def run(batches):
         predictor = Predictor(shared.value) if shared.value else None
@@ -230,10 +233,12 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             rows = predictor.predict(texts) if predictor else [(UNKNOWN, 0.0, False)] * len(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([r[0] for r in rows], pa.string()),
-                 pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.bool_())],
-                names=["doc_id", "held_out", "lang_pred", "score", "accepted"])
+                 pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.bool_()),
+                 *batch.columns[3:]],
+                names=["doc_id", "held_out", "lang_pred", "score", "accepted", *keys])
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.coalesce(~not_held_out(id_col, folds, held_out), F.lit(False)).alias("held_out"),
-                        F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean"))
+                        F.col(text_col).cast("string").alias("text"), *keys)
+            .mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean"
+                        + "".join(f", {k} long" for k in keys)))

@@ -68,7 +68,8 @@ def _fingerprints(words_each: int):
         for batch in batches:
             prints = [fingerprint(t, words_each) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+                [batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64)), *batch.columns[2:]],
+                names=["doc_id", "fp", *batch.schema.names[2:]])
 
     return run
 
@@ -171,6 +172,17 @@ def _link(prefix_bits: int, max_bits: int, at_once: int):
     return run
 
 
+def _components(nodes: DataFrame, max_bits: int, at_once: int) -> DataFrame:
+    """(node, component) of the nodes (fp, node) that have links."""
+    if max_bits % 2:
+        raise ValueError("max_bits must be even: each side covers half of it")
+    # the layout alone depends on the count: longer prefixes make more and smaller groups
+    prefix_bits = max(6, min(24, (nodes.count() // PER_PREFIX).bit_length()))
+    links = (nodes.mapInArrow(_route(prefix_bits, max_bits // 2), "prefix long, fp long, node long")
+             .groupBy("prefix").applyInArrow(_link(prefix_bits, max_bits, at_once), "src long, dst long"))
+    return connected_components(links)
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                        at_once: int = VARIANTS_AT_ONCE) -> DataFrame:
@@ -182,13 +194,27 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("text"))
     prints = stored(texts.mapInArrow(_fingerprints(shingle_words), "doc_id long, fp long"), "simhash")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-nodes")
-    linkable = nodes.where("node is not null")
-    # the layout alone depends on the count: longer prefixes make more and smaller groups
-    prefix_bits = max(6, min(24, (linkable.count() // PER_PREFIX).bit_length()))
-    links = (linkable.mapInArrow(_route(prefix_bits, max_bits // 2), "prefix long, fp long, node long")
-             .groupBy("prefix").applyInArrow(_link(prefix_bits, max_bits, at_once), "src long, dst long"))
-    found = connected_components(links)
+    found = _components(nodes.where("node is not null"), max_bits, at_once)
     named = (nodes.join(found, "node", "left")
              .select("fp", F.coalesce("component", "node").alias("component_id")))
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def simhash_firsts(docs: DataFrame, key_col: str, id_col: str = "doc_id", text_col: str = "text",
+                   shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                   at_once: int = VARIANTS_AT_ONCE) -> DataFrame:
+    """``key_col`` (a unique long, never null) of one row of each group of linked texts: the one of the least id.
+
+    Rows are linked by their texts alone, whatever their ids, so the nodes are the fingerprints themselves; a
+    row with a null id stays only if its whole group has null ids."""
+    small_batches(docs.sparkSession)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("text"),
+                        F.col(key_col).alias("row_key"))
+    prints = texts.mapInArrow(_fingerprints(shingle_words), "doc_id long, fp long, row_key long")
+    row = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "row_key")
+    firsts = stored(prints.groupBy("fp").agg(F.min(row).alias("first")), "simhash-firsts")
+    found = _components(firsts.select("fp", F.col("fp").alias("node")), max_bits, at_once)
+    return (firsts.join(found.withColumnRenamed("node", "fp"), "fp", "left")
+            .groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("first").alias("first"))
+            .select(F.col("first.row_key").alias(key_col)))

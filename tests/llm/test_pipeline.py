@@ -66,6 +66,34 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert [out.count() for _, _, out in stages(spark, no_docs.select(*columns))] == [0] * 5
 
 
+@pytest.mark.parametrize("as_file", [False, True])
+def test_rows_are_judged_by_themselves(spark, small, tmp_path, as_file):
+    """Null and repeated ids: no row is kept or dropped for another's sake."""
+    item = next(r.text for r in small("benchmark").collect() if len(r.text.split()) > 12)
+    words = [f"{a}{b}" for a in "alpha bravo carol delta echo".split() for b in "abcdefgh"]
+    one, two = " ".join(words), " ".join(words[::-1])
+
+    def after(stage, rows):
+        docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+        if as_file:
+            docs.repartition(3).write.parquet(path := f"{tmp_path}/{stage.__name__}")
+            docs = spark.read.parquet(path)
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    english = next(r.text for r in small("documents").where("lang = 'en'").orderBy("doc_id").collect())
+    learnt = [(r.doc_id, r.text) for r in small("documents").where("lang = 'en'").collect()]
+    kept = after(P.language, [*learnt, (None, english), (None, None), (None, "12 34"), (10**9, english), (10**9, "")])
+    assert [r for r in kept if r[0] in (None, 10**9)] == [(10**9, english), (None, english)]
+    assert after(P.exact, [(4, "word"), (None, "word"), (None, "only here"), (None, "only here"), (5, "a b"), (5, "a  b"), (5, "c")]) in [
+        sorted([(4, "word"), (None, "only here"), (5, ab), (5, "c")], key=str) for ab in ("a b", "a  b")]
+    null_only = [one, one + " ", one + "x"]  # linked with each other, and with no row that has an id
+    assert after(P.near, [*((None, o) for o in null_only), (None, two), (7, two), (8, "other words"), (8, two)]) in [
+        sorted([(None, o), (7, two), (8, "other words")], key=str) for o in null_only]
+    assert after(P.clean_of_benchmark, [(None, one), (None, item), (3, two), (3, f"so {item} then")]) == [(3, two), (None, one)]
+
+
 @pytest.mark.parametrize("key", sorted(Q.oracle_sql()))
 def test_queries_equal_their_sql(spark, key):
     con = duckdb.connect()
