@@ -8,8 +8,8 @@ text block is kept from 0.5 on. The weights are trained on labelled pages by gra
 ascent of the likelihood, whose gradient is features less their expectation under the
 marginals. Many pages are inferred together, level by level.
 
-Markup is read to the end whatever it lacks: open elements end with their parent, a block
-start ends an open paragraph, broken character references stay text.
+Markup is read to the end whatever it lacks: open elements, dropped ones too, end with their
+parent, a block start ends an open paragraph, broken character references stay text.
 
 Defined cases: null html is empty; pages without main text give an empty text; an empty
 table gives an empty result; repeated rows are each extracted; further columns are ignored.
@@ -32,6 +32,8 @@ from spendlens.llm.labelled_pages import labelled_pages
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _SILENT = set("script style noscript template head title svg math iframe object canvas select option button textarea "
               "datalist audio video map".split())
+#: Parts of drawings and formulas that may hold blocks of a page.
+_PAGE_INSIDE = set("foreignobject desc title annotation-xml".split())
 _INLINE = set("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small "
               "span strike strong sub sup time tt u var wbr".split())
 _GROUPS = ["article main", "nav menu", "header", "footer", "aside", "form fieldset", "ul ol dl", "li dt dd", "p",
@@ -66,9 +68,10 @@ class Page(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.names, self.label, self.text, self.linked = [-1], ["body"], [()], [None], [""], [0]
-        self.open: list[tuple[str, int]] = [("body", 0)]  # block elements
+        # block and silent elements; one without a node of its own stands with its parent's
+        self.open: list[tuple[str, int]] = [("body", 0)]
         self.inline: list[str] = []
-        self.silent: list[str] = []
+        self.silent = 0  # place of the outermost open element whose content is dropped, if any
         self.links = 0
         self.pieces: list[str] = []
         self.piece_links = 0
@@ -89,70 +92,96 @@ class Page(HTMLParser):
                 self.node("#text", text=text, linked=self.piece_links)
             self.pieces, self.piece_links = [], 0
 
+    def push(self, tag: str, node: int, silent: bool = False) -> None:
+        if silent and not self.silent:
+            self.silent = len(self.open)
+        self.open.append((tag, node))
+
+    def cut(self, at: int) -> None:
+        """Ends the open elements from ``at`` on."""
+        del self.open[at:]
+        if self.silent >= at:
+            self.silent = 0
+
     def handle_starttag(self, tag, attrs):
-        if tag == "body":
-            self.silent = []
-        elif self.silent[-1:] == ["head"] and tag not in _VOID and tag not in _SILENT:
-            self.silent.pop()  # an end tag that may be left out
-        if self.silent:
-            if tag == self.silent[-1]:
-                self.silent.append(tag)
-            return
+        top, up = self.open[-1]
+        if tag == "body" and self.silent:
+            self.cut(self.silent)
+        elif top == "head" and tag not in _VOID and tag not in _SILENT or tag == top and tag in ("option", "button"):
+            self.cut(len(self.open) - 1)  # an end tag that may be left out
         if tag in _SILENT:
-            self.silent.append(tag)
+            self.push(tag, up, True)
             return
-        if tag in _VOID:
-            self.pieces.append(" ")
-            if tag == "hr":
-                self.flush()
+        if tag in _VOID or tag in _INLINE:
+            if not self.silent:
+                if tag in _VOID:
+                    self.pieces.append(" ")
+                    if tag == "hr":
+                        self.flush()
+                elif tag == "a":
+                    self.links += 1
+                    self.inline.append(tag)
             return
-        if tag in _INLINE:
-            if tag == "a":
-                self.links += 1
-                self.inline.append(tag)
+        end = self.ended(tag)
+        if 0 < self.silent < end:
+            if tag not in ("body", "html"):
+                self.cut(end)
+                self.push(tag, self.open[-1][1])
             return
         self.flush()
         if tag not in ("body", "html"):
-            self.ends(tag)
+            if end < len(self.open):
+                self.cut(end)
+                self.links = 0
             attrs = dict(attrs)
             found = " ".join(attrs.get(k) or "" for k in ("class", "id", "role")) if attrs else ""
             names = tuple({_NAMED[n] for n in _SPLIT_NAMES.split(found.lower()) if n in _NAMED}) if found else ()
             if "hidden" in attrs or "display:none" in (attrs.get("style") or "").replace(" ", ""):
-                self.silent.append(tag)
+                self.push(tag, self.open[-1][1], True)
                 return
-            self.open.append((tag, self.node(tag, names, attrs.get("data-y"))))
+            self.push(tag, self.node(tag, names, attrs.get("data-y")))
 
-    def ends(self, tag: str) -> None:
-        """What a start tag closes by itself."""
+    def ended(self, tag: str) -> int:
+        """From where on a start tag ends the open elements by itself."""
         closes = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
                   "th": ("td", "th")}.get(tag, ())
-        for i in range(len(self.open) - 1, 0, -1):
+        end = len(self.open)
+        if self.silent and tag in _GROUP:  # a block of the page is not part of a drawing
+            for i in range(end - 1, self.silent - 1, -1):
+                if self.open[i][0] in ("svg", "math"):
+                    end = i
+                elif self.open[i][0] in _PAGE_INSIDE:
+                    break
+        for i in range(end - 1, 0, -1):
             name = self.open[i][0]
             if name == "p" or name in closes:
-                del self.open[i:]
-                self.links = 0
-            elif closes and name not in ("ul", "ol", "dl", "table", "div", "section", "article"):
+                end = i
+            elif closes and name not in ("ul", "ol", "dl", "table", "div", "section", "article", "template"):
                 continue
             else:
                 break
+        return end
 
     def handle_endtag(self, tag):
-        if self.silent:
-            if tag == self.silent[-1]:
-                self.silent.pop()
-            return
         if tag in _INLINE or tag in _VOID:
+            if self.silent:
+                return
             if tag == "a" and self.links:
                 self.links -= 1
             elif tag == "br":
                 self.pieces.append(" ")
             return
-        self.flush()
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i][0] == tag:
-                del self.open[i:]
+                if 0 < self.silent <= i:
+                    self.cut(i)
+                    return
+                self.flush()
+                self.cut(i)
                 self.links = 0
-                break
+                return
+        if not self.silent:
+            self.flush()
 
     def handle_data(self, data):
         if not self.silent:

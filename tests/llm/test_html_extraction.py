@@ -63,6 +63,27 @@ def test_markup(learnt):
     assert text("") == "" and text("<nav><ul><li><a href=x>Home</a></li></ul></nav>") == ""
 
 
+def test_dropped_elements_without_end_tags(learnt):
+    def text(html):
+        return H.main_texts([html], *learnt)[0]
+
+    body = "<p>One two three four, five six seven eight.<p>Next paragraph of words, it goes on."
+    want = "One two three four, five six seven eight.\n\nNext paragraph of words, it goes on."
+    assert text(f"<article>{body}</article>") == want
+    silent = "select><option>a<option>b", "textarea>Note", "noscript><p>Note", "svg><g><path>", "object><p>Note", "map><area>", "template><li>Note"
+    for start in ("button>Menu", "button>Menu<button>More", *silent):
+        assert text(f"<div><{start}</div><article>{body}</article>") == want, start
+        tag = start.split(">")[0]
+        assert text(f"<div><{start}</{tag}></div><article>{body}</article>") == want, start
+    assert text(f"<article><p hidden>Not this note.{body}</article>") == want
+    assert text(f"<article><p style='display: none'>Not this note.{body}</article>") == want
+    assert text(f"<article><div hidden><ul><li>No<li>No</ul><p>No, not this.</div>{body}</article>") == want
+    assert text(f"<article><svg><path>{body}</article>") == want
+    items = H.Page("<ul><li hidden>No<li>Yes</ul><table><tr><td hidden>No<td>Also<tr hidden><td>No<tr><td>End</table>"
+                   "<ul><li>A<template><li>No</li></template>B</ul>")
+    assert [t for t in items.text if t] == ["Yes", "Also", "End", "AB"]
+
+
 def test_broken_and_long_pages(learnt):
     odd = ["<", "<a", "&", "&#x110000;", "</div></p>", "<p" * 50, "<div>" * 3000 + "deep", "<b>" * 5000 + "x", "\x00<p>퟿",
            "<p>word " * 20_000, "<!-- open", "<script>open", "<ul><li>a<li>b<table><tr><td>c<td>d"]
