@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import small_batches
+from spendlens.llm.common import small_batches, stored
 from spendlens.llm.words import mixed
 
 BUCKETS = 1 << 16
@@ -192,10 +192,14 @@ class Predictor:
 def training_sample(docs: DataFrame, marks: DataFrame, where, id_col: str, text_col: str,
                     rows: int, chars: int) -> list[tuple[str, object]]:
     """(text, label) of rows that ``marks`` (_id, _label) marks: of at most ``rows`` ids of each label, the first
-    by a hash of the id; texts of more than ``chars`` characters are left out. Ids are ranked without their
-    texts, and texts are fetched for those picked, so none is shuffled."""
+    by a hash of the id. Ids without a text, or with texts of more than ``chars`` characters alone, are left out
+    before ranking, so they take no other row's place. Ids are ranked without their texts, and texts are fetched for
+    those picked, so none is shuffled."""
+    usable = docs.where(F.length(text_col) <= chars)
     marks = marks.where(where & F.col("_label").isNotNull() & F.col("_id").isNotNull()).select(
         F.col("_id").cast("long").alias("_id"), "_label", F.xxhash64(F.col("_id").cast("long")).alias("_rank"))
+    ids = usable.select(F.col(id_col).cast("long").alias("_id"))
+    marks = stored(marks.join(ids, "_id", "left_semi").select("_id", "_label", "_rank"), "marks")
     picked = []
     for (label,) in marks.select("_label").distinct().collect():
         picked += marks.where(F.col("_label") == label).orderBy("_rank", "_id").limit(rows).collect()
@@ -203,7 +207,7 @@ def training_sample(docs: DataFrame, marks: DataFrame, where, id_col: str, text_
         return []
     # at most ``rows`` times the number of labels
     ids = docs.sparkSession.createDataFrame(sorted({tuple(r) for r in picked}, key=str), marks.schema)
-    found = (docs.where(F.length(text_col) <= chars)
+    found = (usable
              .join(F.broadcast(ids), F.col(id_col).cast("long") == F.col("_id"))
              .select("_rank", "_id", F.col(text_col).cast("string").alias("t"), F.col("_label").alias("y")).collect())
     return [(r.t, r.y) for r in sorted(found, key=lambda r: (r[0], r[1], r.t, str(r.y)))]

@@ -2,9 +2,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spendlens.llm import language_id as L
 from spendlens.llm import toxicity as T
+from spendlens.llm.language_id import training_sample
 
 
 @pytest.fixture(scope="module")
@@ -121,3 +123,11 @@ def test_changed_insults_are_caught():
     assert min(scorer.score([say("moron"), say("m o r o n"), say("IDIOT!")])) >= 0.7 > clean
     assert min(scorer.score([say("idi.ot"), say("clo-wn"), say("mooron")])) > clean
     assert max(scorer.score(["", "  \n", (neutral[0] + " ") * 5000])) < 0.7
+
+
+def test_sample_quota_goes_to_usable_rows(spark):
+    """Long, null and missing texts take no place in the sample."""
+    docs = spark.createDataFrame([(i, "x" * 50 if i % 10 else "short") for i in range(200)] + [(300, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, "a") for i in range(400)], "_id long, _label string")
+    assert training_sample(docs, marks, F.lit(True), "doc_id", "text", 20, 10) == [("short", "a")] * 20
+    assert training_sample(docs.limit(0), marks, F.lit(True), "doc_id", "text", 20, 10) == []
