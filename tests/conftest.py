@@ -4,9 +4,9 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-SF_SMALL = "/root/testdata/sf0.001"
+# the repository, and the tests' own helpers (support.py), from whatever folder pytest runs
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 
 @pytest.fixture(scope="session")
@@ -30,10 +30,3 @@ def cfg():
     from spendlens.config import testing
 
     return testing()
-
-
-def literal_catalog(spark, frames: dict):
-    """A catalog over in-test DataFrames (edge cases the bindings cannot carry)."""
-    from spendlens.sources.catalog import Catalog
-
-    return Catalog(spark, lambda name: frames[name])

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from spendlens.plans import display, search
 from spendlens.sources.catalog import SOURCES, check_source, fixture_catalog, parquet_catalog
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import literal_catalog
+from support import literal_catalog
 from spendlens import config
 from spendlens.functions import budget as B
 from spendlens.functions.catalog import project_name_corr, season
@@ -196,7 +196,7 @@ def test_single_marker_row_is_in_social_and_branding_views(spark, cfg):
 
 def test_results_do_not_depend_on_session_time_zone(spark, cfg):
     """Timestamp handling (CET click day, banner validity, order day) is zone-independent."""
-    from conftest import SF_SMALL
+    from support import SF_SMALL
     from spendlens.plans import registry
 
     qs = registry.queries(cfg)

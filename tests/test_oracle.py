@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from support import SF_SMALL
 from spendlens.plans import registry
 
 QUERIES = registry.queries()

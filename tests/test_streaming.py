@@ -7,7 +7,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from spendlens.plans import search
 import datetime as dt
 
