@@ -13,6 +13,7 @@ from spendlens.llm.simhash import simhash_components
 from spendlens.llm.html_extraction import main_text
 from spendlens.llm.language_id import language_id
 from spendlens.llm.line_dedup import line_dedup
+from spendlens.llm.quality_rules import quality_rules
 from spendlens.llm.secret_scan import secret_scan
 from spendlens.llm.substring_dedup import substring_dedup
 from spendlens.llm.toxicity import toxicity
@@ -59,6 +60,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 _OP4 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -193,12 +198,39 @@ FROM documents LEFT JOIN per_doc USING (doc_id)
 """
 
 
+_OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT k, i, count(*) OVER (PARTITION BY k, w[i], w[i + 1], w[i + 2]) AS n FROM d, unnest(range(1, len(w) - 1)) AS u(i)
+), repeated AS (
+  SELECT k, count(DISTINCT p) AS n FROM windows, unnest([i, i + 1, i + 2]) AS u(p) WHERE n > 1 GROUP BY k
+), m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+         CAST(len(lines) AS BIGINT) AS n_lines, CAST(length(regexp_replace(t, '[^!?]', '', 'g')) AS BIGINT) AS n_shouts
+  FROM d LEFT JOIN repeated USING (k)
+), f AS (
+  SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
+         + 8 * (10 * n_dup_lines > 3 * n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT
+         + 32 * (word_chars > 16 * n_words)::INT + 64 * (10 * n_shouts > 3 * n_words)::INT AS BIGINT) AS failed
+  FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 > 0 AS base_failed, failed = 0 AS kept,
+       n_lines, n_shouts, failed, CAST(2 AS INTEGER) AS policy_version
+FROM f
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_toxicity, op3_language_id, op4_decontamination, op5_exact_dedup, op6_sentencepiece,
-                                   op7_substring_dedup, op8_secret_scan, op9_line_dedup, op10_html_extraction)}
+                                   op7_substring_dedup, op8_secret_scan, op9_line_dedup, op10_html_extraction, op11_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_decontamination": _OP4, "op5_exact_dedup": _OP5,
             "op7_substring_dedup": _OP7, "op8_secret_scan": _OP8,
-            "op9_line_dedup": _OP9}
+            "op9_line_dedup": _OP9, "op11_quality_rules": _OP11}
