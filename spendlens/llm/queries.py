@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendlens.llm.common import table
+from spendlens.llm.conversation_repair import damaged, repair_report, turns_of
 from spendlens.llm.decontamination import contamination
 from spendlens.llm.exact_dedup import exact_dedup
 from spendlens.llm.simhash import simhash_components
@@ -18,6 +20,7 @@ from spendlens.llm.secret_scan import secret_scan
 from spendlens.llm.substring_dedup import substring_dedup
 from spendlens.llm.toxicity import toxicity
 from spendlens.llm.sentencepiece_tokens import sentencepiece_tokens
+from spendlens.llm.vector_codes import book_digest, vector_codes, with_label_errors
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +67,16 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(damaged(turns_of(table(spark, sf_dir, "conversations"))))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, book = vector_codes(table(spark, sf_dir, "embeddings"))
+    return with_label_errors(coded).select("vec_id", "code", "error", "label_error",
+                                           F.lit(book_digest(book)).alias("codebooks_sha256"))
+
+
 _OP4 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -225,12 +238,109 @@ FROM f
 """
 
 
+_OP12 = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, coalesce(CAST(conv_id AS VARCHAR), ' ') AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations
+), kinds AS (
+  SELECT *, xor(list_reduce(list_transform(string_split(name, ''), lambda x: CAST(ord(x) AS BIGINT)),
+    lambda c, b: list_reduce(range(8), lambda r, i: xor(r >> 1, 3988292384 * (r & 1)), xor(c, b)),
+    CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS kind FROM keyed
+), rows_ AS (
+  SELECT conv, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS u(copy)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS initial,
+         right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS ending FROM rows_
+), judged AS (
+  SELECT *, CASE WHEN ending = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 2
+                 WHEN ending IN ('.', '!', '?') THEN 0 ELSE 3 END AS fault,
+         lag(initial) OVER (PARTITION BY conv ORDER BY i) || initial AS pair FROM placed
+), numbered AS (
+  SELECT *, CASE fault WHEN 0 THEN 0 WHEN 3 THEN 3 ELSE 1000000 END AS w FROM judged
+), walk AS (
+  SELECT conv, CAST(0 AS BIGINT) AS i, {'c': CAST(0 AS BIGINT), 'a': '', 'b': ''} AS s0, {'c': CAST(1000000 AS BIGINT), 'a': '', 'b': ''} AS s1,
+         {'c': CAST(1000000 AS BIGINT), 'a': '', 'b': ''} AS s2, {'c': CAST(1000000 AS BIGINT), 'a': '', 'b': ''} AS s3
+  FROM keyed GROUP BY conv
+  UNION ALL
+  SELECT conv, i, {'c': s0.c + 4, 'a': s0.a || 'D', 'b': s0.b}, list_sort([{'c': s1.c + 4, 'a': s1.a || 'D', 'b': s1.b}, {'c': s0.c + w + CASE initial WHEN 's' THEN 0 ELSE 1000000 END, 'a': s0.a || 'K', 'b': s0.b || chr(10) || role || ':' || text}])[1],
+         list_sort([{'c': t2.c + 4, 'a': t2.a || 'D', 'b': t2.b}, {'c': x.c + w + CASE initial WHEN 'u' THEN 0 ELSE 1000000 END, 'a': x.a || 'K', 'b': x.b || chr(10) || role || ':' || text}, {'c': x.c + w + 3, 'a': x.a || 'R', 'b': x.b || chr(10) || 'user:' || text}])[1],
+         list_sort([{'c': t3.c + 4, 'a': t3.a || 'D', 'b': t3.b}, {'c': t2.c + w + CASE initial WHEN 'a' THEN 0 ELSE 1000000 END, 'a': t2.a || 'K', 'b': t2.b || chr(10) || role || ':' || text}, {'c': t2.c + w + 3, 'a': t2.a || 'R', 'b': t2.b || chr(10) || 'assistant:' || text}])[1]
+  FROM (SELECT *, list_sort([s0, s1, t3])[1] AS x
+        FROM (SELECT *, list_sort([s3, {'c': t2.c + 3, 'a': t2.a || 'I', 'b': t2.b || chr(10) || 'assistant:'}])[1] AS t3
+              FROM (SELECT conv, n.i, s0, s1, s3, role, text, initial, w, list_sort([s2, {'c': s0.c + 3, 'a': s0.a || 'I', 'b': s0.b || chr(10) || 'user:'}, {'c': s1.c + 3, 'a': s1.a || 'I', 'b': s1.b || chr(10) || 'user:'}, {'c': s3.c + 3, 'a': s3.a || 'I', 'b': s3.b || chr(10) || 'user:'}])[1] AS t2
+                    FROM walk JOIN numbered n USING (conv) WHERE n.i = walk.i + 1)))
+), ended AS (
+  SELECT conv, list_sort([s0, f3])[1] AS f
+  FROM (SELECT *, list_sort([s3, {'c': f2.c + 3, 'a': f2.a || 'I', 'b': f2.b || chr(10) || 'assistant:'}])[1] AS f3
+        FROM (SELECT *, list_sort([s2, {'c': s0.c + 3, 'a': s0.a || 'I', 'b': s0.b || chr(10) || 'user:'}, {'c': s1.c + 3, 'a': s1.a || 'I', 'b': s1.b || chr(10) || 'user:'}, {'c': s3.c + 3, 'a': s3.a || 'I', 'b': s3.b || chr(10) || 'user:'}])[1] AS f2
+              FROM walk WHERE i = coalesce((SELECT max(i) FROM numbered n WHERE n.conv = walk.conv), 0)))
+), counts AS (
+  SELECT conv, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 1) AS blank,
+         count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+         count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM numbered GROUP BY conv
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, f.c AS cost, f.a AS audit, sha256(substr(f.b, 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, conv FROM keyed) JOIN ended USING (conv) LEFT JOIN counts USING (conv)
+"""
+
+
+_OP13 = r"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS k, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT k, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS x FROM kept, unnest(range(16)) AS u(p)
+), book0 AS (
+  SELECT p, k AS e, x AS c FROM parts WHERE k < 64
+), near0 AS MATERIALIZED (
+  SELECT k, p, arg_min(e, dist * 256 + e) AS e, min(dist) AS dist FROM (
+    SELECT k, p, e, CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS dist
+    FROM parts JOIN book0 USING (p)) GROUP BY k, p
+), book1 AS MATERIALIZED (
+  SELECT p, e, list(coalesce(m, c) ORDER BY j) AS c FROM (
+    SELECT p, e, j, c[j] AS c FROM book0, unnest(range(1, len(c) + 1)) AS u(j)
+  ) LEFT JOIN (
+    SELECT p, e, j, CAST(floor(sum(x[j]) / count(*)) AS BIGINT) AS m FROM near0 JOIN parts USING (k, p), unnest(range(1, len(x) + 1)) AS u(j)
+    GROUP BY p, e, j
+  ) USING (p, e, j) GROUP BY p, e
+), near1 AS MATERIALIZED (
+  SELECT k, p, arg_min(e, dist * 256 + e) AS e, min(dist) AS dist FROM (
+    SELECT k, p, e, CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS dist
+    FROM parts JOIN book1 USING (p)) GROUP BY k, p
+), book2 AS MATERIALIZED (
+  SELECT p, e, list(coalesce(m, c) ORDER BY j) AS c FROM (
+    SELECT p, e, j, c[j] AS c FROM book1, unnest(range(1, len(c) + 1)) AS u(j)
+  ) LEFT JOIN (
+    SELECT p, e, j, CAST(floor(sum(x[j]) / count(*)) AS BIGINT) AS m FROM near1 JOIN parts USING (k, p), unnest(range(1, len(x) + 1)) AS u(j)
+    GROUP BY p, e, j
+  ) USING (p, e, j) GROUP BY p, e
+), near2 AS MATERIALIZED (
+  SELECT k, p, arg_min(e, dist * 256 + e) AS e, min(dist) AS dist FROM (
+    SELECT k, p, e, CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS dist
+    FROM parts JOIN book2 USING (p)) GROUP BY k, p
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2
+), coded AS (
+  SELECT k, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(dist) AS BIGINT) AS error FROM near2 GROUP BY k
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (k), digest
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_toxicity, op3_language_id, op4_decontamination, op5_exact_dedup, op6_sentencepiece,
-                                   op7_substring_dedup, op8_secret_scan, op9_line_dedup, op10_html_extraction, op11_quality_rules)}
+                                   op7_substring_dedup, op8_secret_scan, op9_line_dedup, op10_html_extraction, op11_quality_rules, op12_conversation_repair, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_decontamination": _OP4, "op5_exact_dedup": _OP5,
             "op7_substring_dedup": _OP7, "op8_secret_scan": _OP8,
-            "op9_line_dedup": _OP9, "op11_quality_rules": _OP11}
+            "op9_line_dedup": _OP9, "op11_quality_rules": _OP11,
+            "op12_conversation_repair": _OP12, "op13_vector_codes": _OP13}
