@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from .spread import explode_days
+from .spread import running_days
 
 PLACEMENT_KEYS = ("adgap_ids", "campaign_scope", "channel", "media_type", "media_billing_type",
                   "media_creative_type", "client", "placement_duration")
@@ -45,19 +45,16 @@ def placements(plan: DataFrame) -> DataFrame:
 def booked_days(plan: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
     """Booked volume and cost per placement day: SUM / duration, over [lo, hi].
 
-    The reference cross-joins the calendar and keeps days inside the placement;
-    here each placement explodes into its own days (no nested-loop join).
+    The reference cross-joins the calendar and keeps days inside the placement; here a placement
+    enters as two changes and the days come from running sums (no nested-loop join, no row per day).
     """
-    days = explode_days(placements(plan), "placement_start_cet", "placement_end_cet", lo, hi, out="datum")
+    days = running_days(placements(plan), list(PLACEMENT_KEYS), "placement_start_cet", "placement_end_cet", lo, hi,
+                        {"_tgs": F.col("target_group_size"), "_cost": F.col("daily_media_cost_nnn_euro")}, out="datum")
     dur = F.nullif(F.col("placement_duration"), F.lit(0)).cast("double")
-    return (
-        days.groupBy("datum", *PLACEMENT_KEYS)
-        .agg(F.sum("target_group_size").alias("_tgs"), F.sum("daily_media_cost_nnn_euro").alias("_cost"))
-        .select("datum", *PLACEMENT_KEYS,
-                (F.col("_tgs").cast("double") / dur).alias("buchungsvolumen"),
-                (F.col("_cost").cast("double") / dur).alias("kosten_nnn"),
-                F.lit(0).cast("bigint").alias("clicks"), F.lit(0).cast("bigint").alias("impressions"))
-    )
+    return days.select("datum", *PLACEMENT_KEYS,
+                       (F.col("_tgs").cast("double") / dur).alias("buchungsvolumen"),
+                       (F.col("_cost").cast("double") / dur).alias("kosten_nnn"),
+                       F.lit(0).cast("bigint").alias("clicks"), F.lit(0).cast("bigint").alias("impressions"))
 
 
 LEVEL4_KEYS = ("adgap_ids", "campaign_scope", "channel", "media_type", "media_billing_type")

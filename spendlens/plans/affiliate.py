@@ -9,14 +9,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..config import ReportConfig
 from ..functions.budget import with_budget
 from ..operators.context import planning_context
-from ..operators.spread import explode_days
+from ..operators.spread import explode_days, running_days
 from .common import CHANNEL_VIEW, label, union_all
 
 KEYS = ("aff_awin_cost", "aff_private_network_cost", "aff_fixcost_daily", "aff_clicks")
@@ -40,35 +40,47 @@ def _with_context(rows: DataFrame, ctx: DataFrame, code: str | None, name: str |
     return j.withColumn("planning_context_code", code_c).withColumn("planning_context_name", name_c)
 
 
-def awin_cost(cat, cfg):
-    src = cat["affiliate_costs_awin"]
-    return (src.select(F.to_date("order_timestamp").alias("reporting_date"), "camp_id",
-                       (F.col("nw_provision_hr") + F.col("nw_networkfee_hr")).alias("cost"))
+def _provisions(cat, cfg: ReportConfig, source: str, cost: Column) -> DataFrame:
+    """Non-zero provisions of the look-back window on the day of their order."""
+    return (cat.days(source, cfg.affiliate_from, cfg.as_of)
+            .select(F.to_date("order_timestamp").alias("reporting_date"), "camp_id", cost.alias("cost"))
             .filter(F.col("cost") != 0)
             .filter(in_window(F.col("reporting_date"), cfg)))
 
 
+def awin_cost(cat, cfg):
+    return _provisions(cat, cfg, "affiliate_costs_awin", F.col("nw_provision_hr") + F.col("nw_networkfee_hr"))
+
+
 def private_network_cost(cat, cfg):
-    src = cat["affiliate_costs_private_network"]
-    return (src.select(F.to_date("order_timestamp").alias("reporting_date"), "camp_id",
-                       F.col("nw_provision_hr").alias("cost"))
-            .filter(F.col("cost") != 0)
-            .filter(in_window(F.col("reporting_date"), cfg)))
+    return _provisions(cat, cfg, "affiliate_costs_private_network", F.col("nw_provision_hr"))
 
 
-def fixcost_daily(cat, cfg):
-    """Fix costs spread evenly over their days, clipped to calendar and look-back window.
+def _fixcosts(cat, cfg: ReportConfig):
+    """Fix costs with their cost per day, and the days that count: calendar and look-back window.
 
     A zero duration gives NULL, so such rows keep their days with a NULL cost. The
     quotient is a DECIMAL: sums do not depend on the order of the rows.
     """
-    lo = max(cfg.fixcost_calendar_start, cfg.affiliate_from)
-    hi = min(cfg.fixcost_calendar_end, cfg.as_of)
     src = cat["affiliate_fixcost"].filter(F.col("additional_costs") == "true")
-    days = explode_days(src, "start_date", "end_date", lo, hi, out="reporting_date")
-    return days.select("reporting_date", F.col("campaign").alias("camp_id"),
-                       (F.col("cost_euro").cast("decimal(18,2)")
-                        / F.nullif(F.col("duration_in_days"), F.lit(0)).cast("decimal(10,0)")).alias("cost"))
+    per_day = (F.col("cost_euro").cast("decimal(18,2)")
+               / F.nullif(F.col("duration_in_days"), F.lit(0)).cast("decimal(10,0)"))
+    rows = src.select(F.col("campaign").alias("camp_id"), "start_date", "end_date", per_day.alias("cost"))
+    return rows, max(cfg.fixcost_calendar_start, cfg.affiliate_from), min(cfg.fixcost_calendar_end, cfg.as_of)
+
+
+def fixcost_daily(cat, cfg):
+    """Fix costs spread evenly over their days: a row per cost and day."""
+    rows, lo, hi = _fixcosts(cat, cfg)
+    return explode_days(rows, "start_date", "end_date", lo, hi, out="reporting_date").select(
+        "reporting_date", "camp_id", "cost")
+
+
+def fixcost_sums(cat, cfg):
+    """The same summed per day and campaign, from two changes per cost instead of a row per day."""
+    rows, lo, hi = _fixcosts(cat, cfg)
+    return running_days(rows, ["camp_id"], "start_date", "end_date", lo, hi, {"cost": F.col("cost")},
+                        out="reporting_date").select("reporting_date", "camp_id", "cost", F.lit(0).cast("bigint").alias("clicks"))
 
 
 def _ts_lit(day: dt.date):
@@ -80,17 +92,19 @@ def cet_date(ts):
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit("CET"), ts.cast("timestamp_ntz")))
 
 
-def clicks(cat, cfg):
-    """Tracked calls without bots on the CET day, of campaigns in the two named contexts.
+def _linked_calls(cat, cfg: ReportConfig) -> tuple[DataFrame, DataFrame]:
+    """Calls without bots on their CET day with their campaign key; and the hub rows of the two named contexts.
 
-    The contexts cut the campaign hub and the hub cuts the link before the one fact-to-fact
-    join (on the call key, unique per call), so that shuffle carries affiliate links only. A
-    plain range on the raw UTC timestamp (one day of margin for the CET offset) lets the
-    Parquet reader skip row groups before the exact CET-day test.
+    The one fact-to-fact join is on the call key, unique per call. Where both facts are tables
+    bucketed by it (``Catalog.colocated``), they are joined bucket by bucket and neither moves.
+    Otherwise the hub cuts the link first, so the shuffle carries affiliate links only. A plain range
+    on the raw UTC timestamp (one day of margin for the CET offset) prunes day partitions and row
+    groups before the exact CET-day test.
     """
     ts = F.col("event_created_at_utc")
-    calls = (cat["tracking_calls"]
-             .filter(ts >= _ts_lit(cfg.affiliate_from - dt.timedelta(days=1)))
+    before = cfg.affiliate_from - dt.timedelta(days=1)
+    calls = (cat.days("tracking_calls", before, cfg.as_of)
+             .filter(ts >= _ts_lit(before))
              .filter(ts < _ts_lit(cfg.as_of + dt.timedelta(days=1)))
              .filter(F.col("bot") == F.lit(False))
              .select("external_call_h_sk", cet_date(ts).alias("reporting_date"))
@@ -98,27 +112,49 @@ def clicks(cat, cfg):
     named = click_context(context(cat, cfg)).select(F.col("camp_id").alias("_named"))
     hub = (cat["campaign_hub"].select("campaign_h_sk", F.col("campaign_id").alias("camp_id"))
            .join(named, F.col("camp_id") == F.col("_named"), "left_semi"))
-    link = cat["tracking_call_campaign_link"].select("external_call_h_sk", "campaign_h_sk").join(hub, "campaign_h_sk")
-    return (calls.join(link.select("external_call_h_sk", "camp_id"), "external_call_h_sk")
-            .select("reporting_date", "camp_id", F.lit(0).cast("decimal(18,2)").alias("cost")))
+    link = cat["tracking_call_campaign_link"].select("external_call_h_sk", "campaign_h_sk")
+    if not cat.colocated("tracking_calls", "tracking_call_campaign_link"):
+        link = link.join(hub.select("campaign_h_sk"), "campaign_h_sk", "left_semi")
+    return calls.join(link, "external_call_h_sk").select("reporting_date", "campaign_h_sk"), hub
+
+
+def clicks(cat, cfg):
+    """Tracked calls of campaigns in the two named contexts, a row per call and campaign."""
+    calls, hub = _linked_calls(cat, cfg)
+    return calls.join(hub, "campaign_h_sk").select("reporting_date", "camp_id", F.lit(0).cast("decimal(18,2)").alias("cost"))
+
+
+def click_sums(cat, cfg):
+    """The same counted per day and campaign: calls are counted per campaign key before they meet the hub."""
+    calls, hub = _linked_calls(cat, cfg)
+    counted = calls.groupBy("reporting_date", "campaign_h_sk").agg(F.count(F.lit(1)).alias("clicks"))
+    return (counted.join(hub, "campaign_h_sk").groupBy("reporting_date", "camp_id")
+            .agg(F.lit(0).cast("decimal(18,2)").alias("cost"), F.sum("clicks").alias("clicks")))
 
 
 def click_context(ctx: DataFrame) -> DataFrame:
     return ctx.filter(F.col("planning_context_name").isin(list(fv.AFF_CLICK_CONTEXT_NAMES)))
 
 
-# branch: rows, source, fallback context, clicks of a row
+def _summed(rows):
+    """Sums per day and campaign of a branch's rows: combined map-side before any join."""
+    return lambda cat, cfg: rows(cat, cfg).groupBy("reporting_date", "camp_id").agg(
+        F.sum("cost").alias("cost"), F.lit(0).cast("bigint").alias("clicks"))
+
+
+# branch: rows, their sums per day and campaign, source, fallback context, clicks of a row
 BRANCHES = {
-    "aff_awin_cost": (awin_cost, fv.SRC_AFF_AWIN, fv.PC_AWIN, 0),
-    "aff_private_network_cost": (private_network_cost, fv.SRC_AFF_PRIVATE_NETWORK, fv.PC_PRIVATE_NETWORK, 0),
-    "aff_fixcost_daily": (fixcost_daily, fv.SRC_AFF_FIXCOST, fv.PC_PRIVATE_NETWORK, 0),
-    "aff_clicks": (clicks, fv.SRC_AFF_CLICKS, None, 1),
+    "aff_awin_cost": (awin_cost, _summed(awin_cost), fv.SRC_AFF_AWIN, fv.PC_AWIN, 0),
+    "aff_private_network_cost": (private_network_cost, _summed(private_network_cost), fv.SRC_AFF_PRIVATE_NETWORK,
+                                 fv.PC_PRIVATE_NETWORK, 0),
+    "aff_fixcost_daily": (fixcost_daily, fixcost_sums, fv.SRC_AFF_FIXCOST, fv.PC_PRIVATE_NETWORK, 0),
+    "aff_clicks": (clicks, click_sums, fv.SRC_AFF_CLICKS, None, 1),
 }
 
 
 def _in_context(cfg: ReportConfig, key: str, rows: DataFrame, ctx: DataFrame) -> DataFrame:
     """rows (reporting_date, camp_id, clicks, cost) with their context, in view columns."""
-    _, source, fallback, _ = BRANCHES[key]
+    _, _, source, fallback, _ = BRANCHES[key]
     if fallback is None:
         j = _with_context(rows, click_context(ctx), None, None, how="inner")
     else:
@@ -132,7 +168,7 @@ def _in_context(cfg: ReportConfig, key: str, rows: DataFrame, ctx: DataFrame) ->
 
 def branch(cat, cfg: ReportConfig, key: str, ctx: DataFrame | None = None) -> DataFrame:
     """A branch's single rows."""
-    rows, _, _, clicks_each = BRANCHES[key]
+    rows, _, _, _, clicks_each = BRANCHES[key]
     return _in_context(cfg, key, rows(cat, cfg).withColumn("clicks", F.lit(clicks_each)),
                        context(cat, cfg) if ctx is None else ctx)
 
@@ -145,11 +181,7 @@ def report(cat, cfg: ReportConfig) -> DataFrame:
     map-side before any join.
     """
     ctx = context(cat, cfg)
-    parts = []
-    for key, (rows, _, _, clicks_each) in BRANCHES.items():
-        daily = rows(cat, cfg).groupBy("reporting_date", "camp_id").agg(
-            F.sum("cost").alias("cost"), (F.count(F.lit(1)) * clicks_each).alias("clicks"))
-        parts.append(_in_context(cfg, key, daily, ctx))
+    parts = [_in_context(cfg, key, sums(cat, cfg), ctx) for key, (_, sums, *_) in BRANCHES.items()]
     keys = ["reporting_date", "planning_context_code", "planning_context_name", "channel", "camp_id", "source_system"]
     agg = union_all(parts).groupBy(*keys).agg(F.sum("clicks").cast("bigint").alias("clicks"),
                                               F.sum("cost_euro").alias("cost_euro"))

@@ -180,7 +180,7 @@ def digital(cat, cfg):
 
 # -------------------------------------------------------------- out of home
 def dooh(cat, cfg):
-    src = cat["dooh_perf"].filter(~F.upper(F.col("cost_type")).isin(list(fv.DOOH_EXCLUDED_COST_TYPES)))
+    src = cat.days("dooh_perf", dt.date(cfg.dooh_min_year, 1, 1), cfg.yesterday).filter(~F.upper(F.col("cost_type")).isin(list(fv.DOOH_EXCLUDED_COST_TYPES)))
     sub = F.when(has_upper(F.col("cost_type"), fv.DOOH_PROGRAMMATIC_MARK), F.lit(fv.DOOH_PROGRAMMATIC)) \
         .otherwise(F.lit(fv.DOOH_PLAIN))
     jvb = (src.groupBy(F.col("planning_date").cast("date").alias("reporting_date"), sub.alias("sub_channel"),

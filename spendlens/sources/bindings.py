@@ -202,9 +202,6 @@ for _name, _by in (("fx_creative_cost", "2"), ("fx_shipping_cost", "3")):
 FEE_MONTHS = """
 SELECT DISTINCT extract(year FROM o_orderdate) * 100 + extract(month FROM o_orderdate) AS ym FROM {orders}"""
 
-BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-
-
 def referenced_tables(sql: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", sql)))
 

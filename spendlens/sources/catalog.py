@@ -5,19 +5,22 @@ Column names follow the source tables the reports were written against
 (lower-cased), so a production catalog only points each name at its table.
 Two catalogs exist:
 
-* ``parquet_catalog(spark, root)``: one parquet dataset per logical name;
+* ``parquet_catalog(spark, root)``: one parquet dataset per logical name
+  (``sources.tables`` has the same over day-partitioned, bucketed tables);
 * ``fixture_catalog(spark, sf_dir)``: the same names, derived by Spark from the
   TPC-H-like test data through the bindings in ``sources.bindings``.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bindings import BASE_TABLES, spark_binding
+from . import contract
+from .bindings import spark_binding
 
 # logical source -> (binding, {source column: binding column or SQL expression})
 SOURCES: dict[str, tuple[str, dict[str, str]]] = {
@@ -127,48 +130,43 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
-# what a source's columns must be, by column name; "number" is any integer or DECIMAL
-_TEXT = """additional_costs adgap_id adgap_ids auftrag banner_external_id bpn_campaign_name bpn_radio_campaign_name
- budget_origin camp_id campaign campaign_external_id campaign_id campaign_scope channel channel_branding channel_name client
- cost_type facebook_campaign_name google_campaign_name initiative_name jostvonbrandis_campaign_name kostenartenbes
- media_billing_type media_creative_type media_type pinterest_campaign_name planning_context_code planning_context_name
- project_name pwm_opp_wbkz pwm_ppc_wbkz pwm_season_financial_year pwm_shipping_type pwm_wbkz snap_account_name
- snap_campaign_name sub_channel_branding tiktok_campaign_name tv_flight_name year_month"""
-_DATE = """broadcast_date business_date date_col end_date placement_end_cet placement_start_cet reporting_date
- reporting_end_date reporting_start_date start_date"""
-_TIME = "banner_known_until_utc event_created_at_utc order_timestamp"
-_REAL = """pwm_content_number_pages pwm_content_surface_weight pwm_cover_number_pages pwm_cover_surface_weight
- pwm_format_height pwm_format_width"""
-KINDS = {**dict.fromkeys(_TEXT.split(), "string"), **dict.fromkeys(_DATE.split(), "date"),
-         **dict.fromkeys(_TIME.split(), "timestamp"), **dict.fromkeys(_REAL.split(), "double"),
-         "bot": "boolean", "planning_date": "date or timestamp"}
+def _kind(type_: str) -> str:
+    """Types that do for each other in a report: whole numbers and DECIMALs, and timestamps with and without zone."""
+    return "number" if type_.startswith(("decimal", "tinyint", "smallint", "int", "bigint")) else \
+        "timestamp" if type_.startswith("timestamp") else type_
+
+
+def columns_of(name: str, df: DataFrame) -> list[str]:
+    """The source's columns, and its partition day where the table has one."""
+    day = contract.day_partition(name)
+    have = {c.lower() for c in df.columns}
+    return [*SOURCES[name][1], *([day] if day and day not in SOURCES[name][1] and day in have else [])]
 
 
 def check_source(name: str, df: DataFrame) -> DataFrame:
-    """The source's columns by name; raises if one is missing or of another kind."""
+    """The source's columns by name; raises if one is missing or of another kind than declared."""
     types = {c.lower(): t for c, t in df.dtypes}
     faults = []
     for column in SOURCES[name][1]:
-        want = KINDS.get(column, "number")
-        have = types.get(column)
-        kind = None if have is None else "timestamp" if have.startswith("timestamp") else \
-            "number" if have.startswith(("decimal", "tinyint", "smallint", "int", "bigint")) else have
-        if kind is None:
+        want, have = contract.declared(name, column), types.get(column)
+        if have is None:
             faults.append(f"{column} is missing")
-        elif kind not in want.split(" or ") and not (want == "double" and kind == "number"):
+        elif _kind(have) != _kind(want) and not (want == "double" and _kind(have) == "number") \
+                and not (column == "planning_date" and _kind(have) in ("date", "timestamp")):
             faults.append(f"{column} is {have}, not {want}")
     if faults:
         raise ValueError(f"source {name}: " + "; ".join(faults))
-    return df.select(*SOURCES[name][1])
+    return df.select(*columns_of(name, df))
 
 
 class Catalog(Mapping):
     """Lazy, memoizing mapping from logical source name to DataFrame."""
 
-    def __init__(self, spark: SparkSession, loader: Callable[[str], DataFrame]):
+    def __init__(self, spark: SparkSession, loader: Callable[[str], DataFrame], buckets: Mapping[str, int] | None = None):
         self.spark = spark
         self._loader = loader
         self._cache: dict[str, DataFrame] = {}
+        self._buckets = buckets or {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in SOURCES:
@@ -183,10 +181,40 @@ class Catalog(Mapping):
     def __len__(self):
         return len(SOURCES)
 
+    def days(self, name: str, lo: dt.date, hi: dt.date | None = None) -> DataFrame:
+        """The source without the day partitions outside [lo, hi], where it is stored by the day of a timestamp.
+
+        Only leaves partitions out: the report still tests the days of single rows. Sources partitioned by a
+        date column need no such cut, since the report's own test prunes them.
+        """
+        df = self[name]
+        if contract.SOURCE_DAY not in df.columns:
+            return df
+        day = F.col(contract.SOURCE_DAY)
+        return df.filter((day >= F.lit(lo)) if hi is None else day.between(F.lit(lo), F.lit(hi)))
+
+    def colocated(self, *names: str) -> bool:
+        """Whether these sources are bucketed by their join key into the same number of buckets."""
+        return len({self._buckets.get(n) for n in names}) == 1 and self._buckets.get(names[0]) is not None
 
-def parquet_catalog(spark: SparkSession, root: str) -> Catalog:
-    """Production layout: ``{root}/{logical name}`` parquet datasets, checked when a source is first used."""
-    return Catalog(spark, lambda name: check_source(name, spark.read.parquet(f"{root.rstrip('/')}/{name}")))
+
+def reader_schema(name: str, types: Mapping[str, str] | None = None) -> str:
+    """The source's columns with their declared types, as a DDL string; ``types`` replaces some."""
+    return ", ".join(f"{c} {(types or {}).get(c) or contract.declared(name, c)}" for c in SOURCES[name][1])
+
+
+def parquet_catalog(spark: SparkSession, root: str, types: Mapping[str, Mapping[str, str]] | None = None) -> Catalog:
+    """Production layout: ``{root}/{logical name}`` parquet datasets, plain or in folders by day partition.
+
+    Schemas are the declared ones (``types``: by source and column, where they differ), so nothing is read
+    when a source is opened. For many day folders prefer tables (``sources.tables``): their folders
+    are listed only as far as a report's days reach.
+    """
+    def load(name: str) -> DataFrame:
+        schema = reader_schema(name, (types or {}).get(name))
+        return check_source(name, spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}"))
+
+    return Catalog(spark, load)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -194,6 +222,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def binding_schema(binding: str) -> str:
+    """Columns and declared types of a stored binding: what the sources on it read."""
+    types = {}
+    for name, (of, columns) in SOURCES.items():
+        if of == binding:
+            types |= {src: contract.declared(name, dst) for dst, src in columns.items()}
+    return ", ".join(f"{c} {t}" for c, t in types.items())
+
+
 def fixture_catalog(spark: SparkSession, sf_dir: str, materialize_dir: str | None = None) -> Catalog:
     """Sources derived from the TPC-H-like tables under ``sf_dir``.
 
@@ -206,21 +243,21 @@ def fixture_catalog(spark: SparkSession, sf_dir: str, materialize_dir: str | Non
     fx: dict[str, DataFrame] = {}
 
     def derive(binding: str) -> DataFrame:
-        df = spark_binding(spark, binding, base_tables())
         if materialize_dir is None:
-            return df
+            return spark_binding(spark, binding, base_tables())
         path = f"{materialize_dir.rstrip('/')}/{binding}"
         if not _exists(spark, f"{path}/_SUCCESS"):
             # files of at most 100k rows, like a stored table: fact-sized sources
             # get several files (the test tables are single row-group files that
             # one task would otherwise scan alone), small dimensions stay one file
-            df.write.mode("overwrite").option("maxRecordsPerFile", 100_000).parquet(path)
-        return spark.read.parquet(path)
+            spark_binding(spark, binding, base_tables()).write.mode("overwrite") \
+                .option("maxRecordsPerFile", 100_000).parquet(path)
+        return spark.read.schema(binding_schema(binding)).parquet(path)
 
     def base_tables():
         if not base:
-            for t in BASE_TABLES:
-                base[t] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet")
+            for t, schema in contract.BASE_TABLES.items():
+                base[t] = spark.read.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{t}.parquet")
         return base
 
     def load(name: str) -> DataFrame:
@@ -230,4 +267,3 @@ def fixture_catalog(spark: SparkSession, sf_dir: str, materialize_dir: str | Non
         return fx[binding].select(*[F.col(src).alias(dst) for dst, src in cols.items()])
 
     return Catalog(spark, load)
-

@@ -16,6 +16,7 @@ def spark():
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="spendlens-warehouse-"))
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.driver.memory", "8g")
