@@ -83,7 +83,16 @@ def type_from_origin(origin: Column) -> Column:
 
 
 def with_budget(df, camp_col: str = "camp_id"):
-    """Append ``budget_logic`` and ``budget_logic_share`` for a channel view."""
-    logic = budget_logic(F.col(camp_col))
-    return df.withColumn("budget_logic", logic).withColumn(
-        "budget_logic_share", budget_share(F.col(camp_col), F.col("budget_logic")))
+    """Append ``budget_logic`` and ``budget_logic_share`` for a channel view.
+
+    Rows that carry the classes of the campaign dimension take those; only campaigns that the
+    dimension doesn't know are classified here.
+    """
+    camp = F.col(camp_col)
+    if "campaign_logic" not in df.columns:
+        return df.withColumn("budget_logic", budget_logic(camp)).withColumn(
+            "budget_logic_share", budget_share(camp, F.col("budget_logic")))
+    known = F.col("campaign_logic").isNotNull()
+    own = budget_logic(camp)
+    return df.withColumn("budget_logic", F.when(known, F.col("campaign_logic")).otherwise(own)).withColumn(
+        "budget_logic_share", F.when(known, F.col("campaign_share")).otherwise(budget_share(camp, F.col("budget_logic"))))

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ReportConfig
+from ..functions.budget import budget_logic, budget_share
 from ..functions.text import has, lacks
 
 CTX_COLUMNS = ("channel", "planning_context_code", "planning_context_name")
@@ -57,6 +58,32 @@ def condensed_context(ctx: DataFrame) -> DataFrame:
     )
 
 
+#: Columns of the campaign dimension beside the condensed context's: budget class and share.
+CLASS_COLUMNS = ("campaign_logic", "campaign_share")
+
+
+def campaign_dimension(ctx: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """The condensed context of all campaigns known from the mapping or the campaign table, with their budget classes.
+
+    Markers are searched once per campaign here, not once per day and campaign in a report's rows.
+    ``campaigns`` has campaign_id; a campaign without mapping rows has NULL context and ``ctx_rows`` 0.
+    """
+    keyed = ctx.filter(F.col("camp_id").isNotNull()).select("camp_id", *CTX_COLUMNS, F.lit(1).alias("_mapped"))
+    others = campaigns.filter(F.col("campaign_id").isNotNull()).select(
+        F.col("campaign_id").alias("camp_id"), *[F.lit(None).cast("string").alias(c) for c in CTX_COLUMNS], F.lit(0).alias("_mapped"))
+    fields = []
+    for c in CTX_COLUMNS:
+        fields += [F.col(c).isNull().alias(f"{c}_null"), F.col(c).alias(c)]
+    logic = budget_logic(F.col("camp_id"))
+    return (
+        keyed.unionAll(others).groupBy("camp_id")
+        .agg(F.sum("_mapped").cast("int").alias("ctx_rows"),
+             F.min(F.when(F.col("_mapped") == 1, F.struct(*fields))).alias("_first"))
+        .select("camp_id", *[F.col(f"_first.{c}").alias(c) for c in CTX_COLUMNS], "ctx_rows", logic.alias("campaign_logic"))
+        .withColumn("campaign_share", budget_share(F.col("camp_id"), F.col("campaign_logic")))
+    )
+
+
 def ambiguous_contexts(mapping: DataFrame) -> DataFrame:
     """Campaign ids with several mapping rows: their facts count once per row, so this is worth a look."""
     return (planning_context(mapping).filter(F.col("camp_id").isNotNull()).groupBy("camp_id")
@@ -124,5 +151,5 @@ def enrich(df: DataFrame, ctx_small: DataFrame, fb: Fallback, arm_col: str = "_a
         j.withColumn("channel", F.coalesce(F.col("channel"), F.lit(fb.channel)))
         .withColumn("planning_context_code", code)
         .withColumn("planning_context_name", name)
-        .withColumn("ctx_rows", F.coalesce(F.col("ctx_rows"), F.lit(1)))
+        .withColumn("ctx_rows", F.greatest(F.coalesce(F.col("ctx_rows"), F.lit(1)), F.lit(1)))
     )

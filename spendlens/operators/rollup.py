@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .context import Fallback, enrich
+from .context import CLASS_COLUMNS, Fallback, enrich
 
 
 def activity(cols: list[Column], strict: bool) -> Column:
@@ -40,7 +40,8 @@ def rollup(
     ``facts`` has reporting_date, camp_id, impressions, clicks (unless
     ``clicks == 'zero'``), cost_euro and, for rule fallbacks, ``_arm``.
     ``clicks``: 'sum', 'sum_or_zero' (COALESCE(SUM, 0)) or 'zero' (constant).
-    Metrics stay exact (BIGINT, DECIMAL); callers cast money at the end.
+    Metrics stay exact (BIGINT, DECIMAL); callers cast money at the end. Where ``ctx_small`` is the
+    campaign dimension, the campaign's classes come along.
     """
     aggs = [F.sum("impressions").alias("impressions"), F.sum("cost_euro").alias("cost_euro")]
     if clicks != "zero":
@@ -62,6 +63,7 @@ def rollup(
         (F.col("impressions") * n).cast("bigint").alias("impressions"),
         clicks_col.cast("bigint").alias("clicks"),
         (F.col("cost_euro") * n).alias("cost_euro"),
+        *[c for c in CLASS_COLUMNS if c in ctx_small.columns],
     )
 
 

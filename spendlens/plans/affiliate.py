@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..config import ReportConfig
 from ..functions.budget import with_budget
-from ..operators.context import planning_context
+from ..operators.context import CLASS_COLUMNS, planning_context
 from ..operators.spread import explode_days, running_days
-from .common import CHANNEL_VIEW, label, union_all
+from .common import CHANNEL_VIEW, campaigns_for, label, union_all
 
 KEYS = ("aff_awin_cost", "aff_private_network_cost", "aff_fixcost_daily", "aff_clicks")
 
@@ -185,5 +185,6 @@ def report(cat, cfg: ReportConfig) -> DataFrame:
     keys = ["reporting_date", "planning_context_code", "planning_context_name", "channel", "camp_id", "source_system"]
     agg = union_all(parts).groupBy(*keys).agg(F.sum("clicks").cast("bigint").alias("clicks"),
                                               F.sum("cost_euro").alias("cost_euro"))
-    out = with_budget(agg.withColumn("impressions", F.lit(0).cast("bigint")))
+    classes = campaigns_for(cat, distinct=True).select("camp_id", *CLASS_COLUMNS)
+    out = with_budget(agg.withColumn("impressions", F.lit(0).cast("bigint")).join(classes, "camp_id", "left"))
     return out.select(*CHANNEL_VIEW).withColumn("cost_euro", F.col("cost_euro").cast("double"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import ReportConfig
 from ..functions.budget import with_budget
-from ..operators.context import condensed_context, planning_context
+from ..operators.context import campaign_dimension, condensed_context, planning_context
 from ..operators.unions import union_all
 
 CHANNEL_VIEW = (
@@ -26,6 +26,11 @@ def context_for(cat, cfg: ReportConfig, distinct: bool) -> DataFrame:
     return condensed_context(planning_context(cat["planning_context_map"], distinct))
 
 
+def campaigns_for(cat, distinct: bool) -> DataFrame:
+    """The campaign dimension of a report: condensed context and budget classes, once per campaign."""
+    return campaign_dimension(planning_context(cat["planning_context_map"], distinct), cat["campaign_persist"])
+
+
 def channel_view(branches: list[DataFrame]) -> DataFrame:
     """Union the branches and classify the budget; money cast to DOUBLE last."""
     u = union_all(branches)

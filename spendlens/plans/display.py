@@ -11,7 +11,7 @@ from .. import fixed_values as fv
 from ..config import ReportConfig
 from ..operators.context import Fallback, rule_arm
 from ..operators.rollup import activity, rollup
-from .common import channel_view, context_for, label
+from .common import campaigns_for, channel_view, context_for, label
 
 KEYS = ("dis_adition", "dis_adition_partner", "dis_google_ace", "dis_gdn", "dis_odin", "dis_bing_audience")
 
@@ -136,5 +136,5 @@ def branch(cat, cfg: ReportConfig, key: str, ctx: DataFrame | None = None) -> Da
 
 
 def report(cat, cfg: ReportConfig) -> DataFrame:
-    ctx = context(cat, cfg)
+    ctx = campaigns_for(cat, distinct=True)
     return channel_view([branch(cat, cfg, k, ctx) for k in KEYS])

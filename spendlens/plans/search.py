@@ -10,7 +10,7 @@ from ..config import ReportConfig
 from ..functions.text import lacks
 from ..operators.context import Fallback
 from ..operators.rollup import activity, rollup
-from .common import channel_view, context_for, label
+from .common import campaigns_for, channel_view, context_for, label
 
 # key -> (source, planning-context fallback, lineage label, legacy date range)
 BRANCHES = {
@@ -41,7 +41,7 @@ def branch(cat, cfg: ReportConfig, key: str, ctx: DataFrame | None = None) -> Da
 
 
 def report(cat, cfg: ReportConfig) -> DataFrame:
-    ctx = context(cat, cfg)
+    ctx = campaigns_for(cat, distinct=False)
     view = channel_view([branch(cat, cfg, k, ctx) for k in BRANCHES])
     # NULL camp_id is dropped here (INSTR of NULL is NULL)
     return view.filter(lacks(F.col("camp_id"), fv.SEA_EXCLUDE_MARK))

@@ -10,7 +10,7 @@ from ..config import ReportConfig
 from ..functions.text import has, has_upper, lacks
 from ..operators.context import Fallback, rule_arm
 from ..operators.rollup import activity, rollup
-from .common import channel_view, context_for, label
+from .common import campaigns_for, channel_view, context_for, label
 
 KEYS = ("soc_facebook", "soc_pinterest", "soc_snapchat", "soc_youtube", "soc_tiktok")
 
@@ -89,7 +89,7 @@ def branch(cat, cfg: ReportConfig, key: str, ctx: DataFrame | None = None) -> Da
 
 
 def report(cat, cfg: ReportConfig) -> DataFrame:
-    ctx = context(cat, cfg)
+    ctx = campaigns_for(cat, distinct=False)
     view = channel_view([branch(cat, cfg, k, ctx) for k in KEYS])
     # NULL camp_id is kept in this view
     return view.filter(lacks(F.col("camp_id"), fv.SOCIAL_EXCLUDE_MARK) | F.col("camp_id").isNull())

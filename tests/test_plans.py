@@ -97,3 +97,28 @@ def test_building_a_plan_runs_no_job(spark, cfg, key):
         assert list(sc.statusTracker().getJobIdsForGroup(group)) == []
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("key", ("report_sea", "report_display", "report_social", "report_affiliate"))
+def test_budget_classes_come_from_the_campaign_dimension(built, key):
+    """Classes are derived in the dimension's subtree; a report row derives its own only where that has none."""
+    plan = built[key]._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    searching = [line for line in plan if "regexp_substr" in line or "RegExpSubStr" in line.replace(" ", "") or "-TW.BC-" in line and "instr" in line]
+    assert searching
+    in_rows = [line for line in searching if "campaign_logic" in line and "reporting_date" in line]
+    for line in in_rows:
+        assert "CASE WHEN isnotnull(campaign_logic" in line
+    assert any("reporting_date" not in line for line in searching)
+
+
+def test_campaigns_unknown_to_the_dimension_are_classified(spark, cfg):
+    """Without campaign table and mapping the classes are the same."""
+    from spendlens.plans import search
+    from spendlens.sources.catalog import Catalog
+
+    base = fixture_catalog(spark, SF_SMALL)
+    bare = Catalog(spark, lambda n: base[n].limit(0) if n == "campaign_persist" else
+                   base[n].filter(F.col("camp_id").like("c1%")) if n == "planning_context_map" else base[n])
+    pick = lambda cat: {r.camp_id: (r.budget_logic, r.budget_logic_share)
+                        for r in search.report(cat, cfg).select("camp_id", "budget_logic", "budget_logic_share").distinct().collect()}
+    assert pick(bare) == pick(base)
