@@ -12,6 +12,8 @@ the partial aggregation: every map task emits one row per (day, campaign).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,39 +29,58 @@ def activity(cols: list[Column], strict: bool) -> Column:
     return total > 0 if strict else total != 0
 
 
-def rollup(
-    facts: DataFrame,
-    ctx_small: DataFrame,
-    fb: Fallback,
-    label: str,
-    *,
-    clicks: str = "sum",
-) -> DataFrame:
-    """Aggregate standardized facts and enrich them with the planning context.
+@dataclass(frozen=True)
+class Branch:
+    """A channel-view branch: standardized facts and how their sums become report rows.
+
+    ``facts`` has reporting_date, camp_id, impressions, clicks (unless ``clicks == 'zero'``), cost_euro and,
+    for rule fallbacks, ``_arm``. ``clicks``: 'sum', 'sum_or_zero' (COALESCE(SUM, 0)) or 'zero' (constant).
+    """
+
+    facts: DataFrame
+    fallback: Fallback
+    label: str
+    clicks: str = "sum"
+
+
+SUM_COLUMNS = ("impressions", "clicks", "cost_euro", "_arm")
+
+
+def day_sums(branch: Branch) -> DataFrame:
+    """The facts summed per day and campaign: reporting_date, camp_id and what the branch has of SUM_COLUMNS.
+
+    Mergeable: sums of parts, added up by ``merged_sums``, are the sums of the whole.
+    """
+    have = branch.facts.columns
+    aggs = [F.sum(c).alias(c) for c in SUM_COLUMNS[:3] if c in have]
+    if branch.fallback.rules is not None:
+        aggs.append(F.min("_arm").alias("_arm"))
+    return branch.facts.groupBy("reporting_date", "camp_id").agg(*aggs)
+
+
+def merged_sums(sums: DataFrame, *keys: str) -> DataFrame:
+    """Day sums of several parts of the facts, per ``keys``, day and campaign."""
+    return sums.groupBy(*keys, "reporting_date", "camp_id").agg(
+        *[(F.min if c == "_arm" else F.sum)(c).alias(c) for c in SUM_COLUMNS if c in sums.columns])
+
+
+def view_rows(sums: DataFrame, ctx_small: DataFrame, branch: Branch) -> DataFrame:
+    """Report rows of a branch from its day sums and the planning context.
 
-    ``facts`` has reporting_date, camp_id, impressions, clicks (unless
-    ``clicks == 'zero'``), cost_euro and, for rule fallbacks, ``_arm``.
-    ``clicks``: 'sum', 'sum_or_zero' (COALESCE(SUM, 0)) or 'zero' (constant).
     Metrics stay exact (BIGINT, DECIMAL); callers cast money at the end. Where ``ctx_small`` is the
     campaign dimension, the campaign's classes come along.
     """
-    aggs = [F.sum("impressions").alias("impressions"), F.sum("cost_euro").alias("cost_euro")]
-    if clicks != "zero":
-        aggs.append(F.sum("clicks").alias("clicks"))
-    if fb.rules is not None:
-        aggs.append(F.min("_arm").alias("_arm"))
-    agg = facts.groupBy("reporting_date", "camp_id").agg(*aggs)
-    e = enrich(agg, ctx_small, fb)
+    e = enrich(sums, ctx_small, branch.fallback)
     n = F.col("ctx_rows")
-    if clicks == "zero":
+    if branch.clicks == "zero":
         clicks_col = F.lit(0).cast("bigint")
-    elif clicks == "sum_or_zero":
+    elif branch.clicks == "sum_or_zero":
         clicks_col = F.coalesce(F.col("clicks") * n, F.lit(0).cast("bigint"))
     else:
         clicks_col = F.col("clicks") * n
     return e.select(
         "reporting_date", "planning_context_code", "planning_context_name", "channel", "camp_id",
-        F.lit(label).alias("source_system"),
+        F.lit(branch.label).alias("source_system"),
         (F.col("impressions") * n).cast("bigint").alias("impressions"),
         clicks_col.cast("bigint").alias("clicks"),
         (F.col("cost_euro") * n).alias("cost_euro"),
@@ -67,6 +88,12 @@ def rollup(
     )
 
 
+def rollup(facts: DataFrame, ctx_small: DataFrame, fb: Fallback, label: str, *, clicks: str = "sum") -> DataFrame:
+    """Aggregate standardized facts and enrich them with the planning context (see ``Branch``)."""
+    branch = Branch(facts, fb, label, clicks)
+    return view_rows(day_sums(branch), ctx_small, branch)
+
+
 def money_to_double(df: DataFrame, cols=("cost_euro",)) -> DataFrame:
     """Cast exact money columns to DOUBLE as the last step of a report."""
     return df.withColumns({c: F.col(c).cast("double") for c in cols if c in df.columns})

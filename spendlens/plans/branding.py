@@ -134,7 +134,8 @@ def broadcast_media(cat, cfg: ReportConfig, keys=tuple(BROADCAST)) -> DataFrame:
 def digital_level4(cat, cfg: ReportConfig) -> DataFrame:
     """Both legs with the month's fee, per (id group, day, billing, media type, scope, channel).
 
-    The delivered leg enters at this grain directly (see delivered_level4).
+    The delivered leg enters at this grain directly (see delivered_level4). The fee joins the sums, since
+    its keys (month, media type) are among theirs.
     """
     lo, hi = cfg.branding_min_date, cfg.yesterday
     booked = booked_days(cat["digital_mediaplan"], lo, hi)
@@ -142,12 +143,15 @@ def digital_level4(cat, cfg: ReportConfig) -> DataFrame:
                                  lo, hi)
     cols = ("datum", *LEVEL4_KEYS, "buchungsvolumen", "kosten_nnn", "clicks", "impressions")
     legs = union_all([booked.select(*cols), delivered.select(*cols)])
-    fees = fee_rows(cat["agency_fee"], fv.FEE_DIGITAL, True)
-    with_fee = join_fee(legs, "datum", fees, sub_channel=F.col("media_type"))
-    return (with_fee.groupBy("adgap_ids", "datum", "media_billing_type", "media_type", "campaign_scope", "channel")
-            .agg(F.max("fee").alias("fee"), F.sum("kosten_nnn").alias("kosten_nnn"),
-                 F.sum("impressions").alias("impressions"), F.sum("buchungsvolumen").alias("buchungsvolumen"),
-                 F.sum("clicks").alias("clicks")))
+    sums = legs.groupBy("datum", *LEVEL4_KEYS).agg(
+        *[F.sum(c).alias(c) for c in ("kosten_nnn", "impressions", "buchungsvolumen", "clicks")])
+    # a month and media type with several fee rows repeats its rows; the largest fee counts
+    fees = (fee_rows(cat["agency_fee"], fv.FEE_DIGITAL, True)
+            .groupBy("fee_month", F.upper("sub_channel_branding").alias("sub_channel_branding")).agg(F.max("fee").alias("fee"), F.count(F.lit(1)).alias("_fees")))
+    joined = join_fee(sums, "datum", fees, sub_channel=F.col("media_type"), cols=("fee", "_fees"))
+    n = F.coalesce(F.col("_fees"), F.lit(1))
+    return joined.select("datum", *LEVEL4_KEYS, "fee",
+                         *[(F.col(c) * n).alias(c) for c in ("kosten_nnn", "impressions", "buchungsvolumen", "clicks")])
 
 
 def digital(cat, cfg):

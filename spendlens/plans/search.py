@@ -9,7 +9,7 @@ from .. import fixed_values as fv
 from ..config import ReportConfig
 from ..functions.text import lacks
 from ..operators.context import Fallback
-from ..operators.rollup import activity, rollup
+from ..operators.rollup import Branch, activity, day_sums, view_rows
 from .common import campaigns_for, channel_view, context_for, label
 
 # key -> (source, planning-context fallback, lineage label, legacy date range)
@@ -26,22 +26,30 @@ def context(cat, cfg: ReportConfig) -> DataFrame:
     return context_for(cat, cfg, distinct=False)
 
 
-def branch(cat, cfg: ReportConfig, key: str, ctx: DataFrame | None = None) -> DataFrame:
+def facts(cat, cfg: ReportConfig, key: str) -> Branch:
+    """A branch's standardized facts and what becomes of their sums."""
     source, (code, name), suffix, legacy = BRANCHES[key]
-    ctx = context(cat, cfg) if ctx is None else ctx
     d = F.col("date_col")
     in_range = d.between(F.lit(cfg.legacy_from), F.lit(cfg.legacy_to)) if legacy else d >= F.lit(cfg.min_date)
-    facts = (
+    rows = (
         cat[source]
         .filter(in_range)
         .filter(activity([F.col("impressions"), F.col("cost_euro"), F.col("clicks")], strict=True))
         .select(d.alias("reporting_date"), "camp_id", "impressions", "clicks", "cost_euro")
     )
-    return rollup(facts, ctx, Fallback(fv.CH_SEA, code, name), label(cfg, suffix))
+    return Branch(rows, Fallback(fv.CH_SEA, code, name), label(cfg, suffix))
+
+
+def branch(cat, cfg: ReportConfig, key: str, ctx: DataFrame | None = None) -> DataFrame:
+    b = facts(cat, cfg, key)
+    return view_rows(day_sums(b), context(cat, cfg) if ctx is None else ctx, b)
+
+
+def view(branches: list[DataFrame]) -> DataFrame:
+    """The report of its branches' rows: NULL camp_id is dropped here (INSTR of NULL is NULL)."""
+    return channel_view(branches).filter(lacks(F.col("camp_id"), fv.SEA_EXCLUDE_MARK))
 
 
 def report(cat, cfg: ReportConfig) -> DataFrame:
     ctx = campaigns_for(cat, distinct=False)
-    view = channel_view([branch(cat, cfg, k, ctx) for k in BRANCHES])
-    # NULL camp_id is dropped here (INSTR of NULL is NULL)
-    return view.filter(lacks(F.col("camp_id"), fv.SEA_EXCLUDE_MARK))
+    return view([branch(cat, cfg, k, ctx) for k in BRANCHES])

@@ -9,7 +9,7 @@ from .. import fixed_values as fv
 from ..config import ReportConfig
 from ..functions.text import has, has_upper, lacks
 from ..operators.context import Fallback, rule_arm
-from ..operators.rollup import activity, rollup
+from ..operators.rollup import Branch, activity, day_sums, view_rows
 from .common import campaigns_for, channel_view, context_for, label
 
 KEYS = ("soc_facebook", "soc_pinterest", "soc_snapchat", "soc_youtube", "soc_tiktok")
@@ -24,7 +24,7 @@ def social_marked(camp: str, name: str):
     return has(F.col(camp), fv.SOCIAL_MARK) | has_upper(F.col(name), fv.PERFORMANCE)
 
 
-def facebook(cat, cfg, ctx):
+def facebook(cat, cfg) -> Branch:
     dat = (cat["facebook_ad_perf"]
            .filter(F.col("reporting_date") >= F.lit(cfg.min_date))
            .filter(social_marked("camp_id", "facebook_campaign_name"))
@@ -32,10 +32,10 @@ def facebook(cat, cfg, ctx):
            .filter(~F.col("facebook_account_id").isin(list(cfg.facebook_excluded_accounts))))
     facts = dat.select("reporting_date", "camp_id", "impressions", "clicks", "cost_euro",
                        rule_arm(fv.FACEBOOK_RULES, F.col("facebook_campaign_name"), None, cfg).alias("_arm"))
-    return rollup(facts, ctx, Fallback(fv.CH_SOCIAL, rules=fv.FACEBOOK_RULES), label(cfg, fv.SRC_FACEBOOK))
+    return Branch(facts, Fallback(fv.CH_SOCIAL, rules=fv.FACEBOOK_RULES), label(cfg, fv.SRC_FACEBOOK))
 
 
-def pinterest(cat, cfg, ctx):
+def pinterest(cat, cfg) -> Branch:
     dat = (cat["pinterest_pin_perf"]
            .filter(F.col("reporting_date") >= F.lit(cfg.min_date))
            .filter(activity([F.col("impressions_paid"), F.col("cost_euro"), F.col("clicks_paid")], strict=True))
@@ -43,21 +43,21 @@ def pinterest(cat, cfg, ctx):
     facts = dat.select("reporting_date", "camp_id", F.col("impressions_paid").alias("impressions"),
                        F.col("clicks_paid").alias("clicks"), "cost_euro",
                        rule_arm(fv.PINTEREST_RULES, F.col("pinterest_campaign_name"), None, cfg).alias("_arm"))
-    return rollup(facts, ctx, Fallback(fv.CH_SOCIAL, rules=fv.PINTEREST_RULES), label(cfg, fv.SRC_PINTEREST))
+    return Branch(facts, Fallback(fv.CH_SOCIAL, rules=fv.PINTEREST_RULES), label(cfg, fv.SRC_PINTEREST))
 
 
-def snapchat(cat, cfg, ctx):
+def snapchat(cat, cfg) -> Branch:
     dat = (cat["snap_ad_perf"]
            .filter(F.col("reporting_date") >= F.lit(cfg.min_date))
            .filter(activity([F.col("impressions"), F.col("cost_euro")], strict=True))
            .filter(social_marked("camp_id", "snap_campaign_name")))
     facts = dat.select("reporting_date", "camp_id", "impressions", "cost_euro",
                        rule_arm(fv.SNAPCHAT_RULES, F.col("snap_campaign_name"), None, cfg).alias("_arm"))
-    return rollup(facts, ctx, Fallback(fv.CH_SOCIAL, rules=fv.SNAPCHAT_RULES), label(cfg, fv.SRC_SNAPCHAT),
+    return Branch(facts, Fallback(fv.CH_SOCIAL, rules=fv.SNAPCHAT_RULES), label(cfg, fv.SRC_SNAPCHAT),
                   clicks="zero")
 
 
-def youtube(cat, cfg, ctx):
+def youtube(cat, cfg) -> Branch:
     name = F.col("google_campaign_name")
     dat = (cat["google_ad_perf"]
            .filter(F.col("date_col") >= F.lit(cfg.min_date))
@@ -66,10 +66,10 @@ def youtube(cat, cfg, ctx):
            .filter(has(F.col("camp_id"), fv.SOCIAL_MARK) | has_upper(name, fv.PERFORMANCE) | has_upper(name, fv.WKZ)))
     facts = dat.select(F.col("date_col").alias("reporting_date"), "camp_id", "impressions", "clicks", "cost_euro")
     code, nm = fv.PC_YOUTUBE
-    return rollup(facts, ctx, Fallback(fv.CH_SOCIAL, code, nm), label(cfg, fv.SRC_GOOGLE_AD))
+    return Branch(facts, Fallback(fv.CH_SOCIAL, code, nm), label(cfg, fv.SRC_GOOGLE_AD))
 
 
-def tiktok(cat, cfg, ctx):
+def tiktok(cat, cfg) -> Branch:
     dat = (cat["tiktok_ad_perf"]
            .filter(F.col("reporting_date") >= F.lit(cfg.min_date))
            .filter(activity([F.col("impressions"), F.col("cost_euro"), F.col("clicks")], strict=True))
@@ -77,19 +77,29 @@ def tiktok(cat, cfg, ctx):
     facts = dat.select("reporting_date", "camp_id", "impressions", "clicks", "cost_euro",
                        rule_arm(fv.TIKTOK_RULES, F.col("tiktok_campaign_name"), F.col("tiktok_account_id"), cfg)
                        .alias("_arm"))
-    return rollup(facts, ctx, Fallback(fv.CH_SOCIAL, rules=fv.TIKTOK_RULES), label(cfg, fv.SRC_TIKTOK))
+    return Branch(facts, Fallback(fv.CH_SOCIAL, rules=fv.TIKTOK_RULES), label(cfg, fv.SRC_TIKTOK))
 
 
-BUILDERS = {"soc_facebook": facebook, "soc_pinterest": pinterest, "soc_snapchat": snapchat,
-            "soc_youtube": youtube, "soc_tiktok": tiktok}
+FACTS = {"soc_facebook": (facebook, "facebook_ad_perf"), "soc_pinterest": (pinterest, "pinterest_pin_perf"),
+         "soc_snapchat": (snapchat, "snap_ad_perf"), "soc_youtube": (youtube, "google_ad_perf"),
+         "soc_tiktok": (tiktok, "tiktok_ad_perf")}
+
+
+def facts(cat, cfg: ReportConfig, key: str) -> Branch:
+    """A branch's standardized facts and what becomes of their sums."""
+    return FACTS[key][0](cat, cfg)
 
 
 def branch(cat, cfg: ReportConfig, key: str, ctx: DataFrame | None = None) -> DataFrame:
-    return BUILDERS[key](cat, cfg, context(cat, cfg) if ctx is None else ctx)
+    b = facts(cat, cfg, key)
+    return view_rows(day_sums(b), context(cat, cfg) if ctx is None else ctx, b)
+
+
+def view(branches: list[DataFrame]) -> DataFrame:
+    """The report of its branches' rows: NULL camp_id is kept in this view."""
+    return channel_view(branches).filter(lacks(F.col("camp_id"), fv.SOCIAL_EXCLUDE_MARK) | F.col("camp_id").isNull())
 
 
 def report(cat, cfg: ReportConfig) -> DataFrame:
     ctx = campaigns_for(cat, distinct=False)
-    view = channel_view([branch(cat, cfg, k, ctx) for k in KEYS])
-    # NULL camp_id is kept in this view
-    return view.filter(lacks(F.col("camp_id"), fv.SOCIAL_EXCLUDE_MARK) | F.col("camp_id").isNull())
+    return view([branch(cat, cfg, k, ctx) for k in KEYS])

@@ -2,8 +2,9 @@
 
 A Structured Streaming file source watches a fact folder; each micro-batch
 yields the set of report days it touches (see ``same_day``, ``cet_day`` and
-``interval_days``; a distinct bounded by the calendar), and the report is rebuilt for exactly those days with dynamic
-partition overwrite. Progress is kept in a checkpoint location in the shared
+``interval_days``; a distinct bounded by the calendar), and the report is rebuilt for exactly those days
+and committed. ``streaming.sums`` does so from stored sums, without reading old facts again, and
+``streaming.changes`` after changes of dimensions. Progress is kept in a checkpoint location in the shared
 folder named by ``spark.checkpoint.dir``, so a restarted job resumes where it
 stopped and a lost executor only repeats its tasks.
 """

@@ -12,7 +12,7 @@ from spendlens.plans import search
 import datetime as dt
 
 from spendlens.session import checkpoint_dir
-from spendlens.sources.sinks import write_report
+from spendlens.sources.sinks import read_report, write_report
 from spendlens.sources.catalog import fixture_catalog
 from spendlens.streaming.refresh import cet_day, interval_days, same_day, start_refresh
 
@@ -29,7 +29,7 @@ def test_refresh_rewrites_only_touched_days(spark, cfg):
     q = start_refresh(spark, facts, perf.schema, same_day("date_col"), lambda: search.report(fixture_catalog(spark, SF_SMALL), cfg),
                       target, name=f"sea-test-{uuid.uuid4().hex}")
     q.awaitTermination(300)
-    out = spark.read.parquet(target)
+    out = read_report(spark, target)
     written = sorted(r.reporting_date for r in out.select("reporting_date").distinct().collect())
     assert written == days[:2]
     expect = full.filter(F.col("reporting_date").isin(days[:2]))
@@ -38,7 +38,7 @@ def test_refresh_rewrites_only_touched_days(spark, cfg):
 
 
 def _days(path, spark):
-    return {str(r.reporting_date): r.n for r in spark.read.parquet(path).groupBy("reporting_date").agg(F.count("*").alias("n")).collect()}
+    return {str(r.reporting_date): r.n for r in read_report(spark, path).groupBy("reporting_date").agg(F.count("*").alias("n")).collect()}
 
 
 def _rows(spark, *days):
