@@ -25,13 +25,13 @@ def season(season_fy: Column) -> Column:
 
 def catalog_weight(shipping_type: Column, h: Column, w: Column, content_weight: Column, content_pages: Column,
                    cover_weight: Column, cover_pages: Column) -> Column:
-    """(area x (content weight x pages/2 + cover weight x pages/2)) x 1.04, +5 for packages.
+    """Area x (content weight x pages + cover weight x pages) / 2 x 1.04, +5 for packages.
 
     NULL if any factor is NULL. The +5 test is case-sensitive on the raw type.
     """
-    content = h / 100 * w / 100 * content_weight * content_pages / 2
-    cover = h / 100 * w / 100 * cover_weight * cover_pages / 2
-    base = (content + cover) * F.lit(float(fv.CATALOG_WEIGHT_FACTOR))
+    area = (h / 100) * (w / 100)
+    paper = content_weight * content_pages + cover_weight * cover_pages
+    base = area * paper / 2 * F.lit(float(fv.CATALOG_WEIGHT_FACTOR))
     return F.when(shipping_type == fv.CATALOG_PACKAGE, base + fv.CATALOG_PACKAGE_EXTRA).otherwise(base)
 
 

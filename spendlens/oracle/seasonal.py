@@ -1,4 +1,7 @@
-"""Oracle SQL for the seasonal catalogue cost report (inner DISTINCTs as written)."""
+"""Oracle SQL for the seasonal catalogue cost report, written from its rules.
+
+A catalogue is offered under three order numbers; each is looked up among the costs of its kind.
+"""
 
 from __future__ import annotations
 
@@ -6,55 +9,56 @@ from .. import fixed_values as fv
 from ..config import ReportConfig
 from .common import q, with_
 
-BR = {
+#: Order number of the plan, cost table, and data source of each kind of cost.
+KINDS = {
     "cst_creation": ("opp_wbkz", "fx_print_cost", fv.CATALOG_SOURCES[0]),
     "cst_creative": ("ppc_wbkz", "fx_creative_cost", fv.CATALOG_SOURCES[1]),
     "cst_shipping": ("wbkz", "fx_shipping_cost", fv.CATALOG_SOURCES[2]),
 }
 
-PROJECT = (f"CASE WHEN regexp_full_match(p.project_name, {q(fv.CATALOG_PROJECT_MATCH)})"
-           f" THEN regexp_replace(p.project_name, {q(fv.CATALOG_PROJECT_PATTERN)}, '\\1') ELSE p.project_name END")
-SEASON = f"CAST(nullif(regexp_extract(p.season_year, {q(fv.CATALOG_SEASON_RE)}, 0), '') AS DECIMAL(18,0))"
-_AREA = "p.height/100*p.width/100"
-_BASE = (f"(({_AREA}*p.content_weight*p.content_pages/2)+({_AREA}*p.cover_weight*p.cover_pages/2))"
-         f"*{fv.CATALOG_WEIGHT_FACTOR}")
-WEIGHT = (f"CASE WHEN p.shipping_type = {q(fv.CATALOG_PACKAGE)} THEN ({_BASE})+{fv.CATALOG_PACKAGE_EXTRA}"
-          f" ELSE {_BASE} END")
+PROJECT = (f"CASE WHEN regexp_full_match(project_name, {q(fv.CATALOG_PROJECT_MATCH)})"
+           f" THEN regexp_replace(project_name, {q(fv.CATALOG_PROJECT_PATTERN)}, '\\1') ELSE project_name END")
+SEASON = f"CAST(nullif(regexp_extract(season_year, {q(fv.CATALOG_SEASON_RE)}, 0), '') AS DECIMAL(18,0))"
+WEIGHT = (f"(height / 100) * (width / 100) * (content_weight * content_pages + cover_weight * cover_pages) / 2"
+          f" * {fv.CATALOG_WEIGHT_FACTOR}"
+          f" + CASE shipping_type WHEN {q(fv.CATALOG_PACKAGE)} THEN {fv.CATALOG_PACKAGE_EXTRA} ELSE 0 END")
 
 
-def branch(key: str) -> str:
-    col, cost_table, source = BR[key]
-    return f"""SELECT DISTINCT p.initiative_name, {PROJECT} AS project_name_corr, lower(p.shipping_type) AS shipping_type,
- {SEASON} AS season, p.season_year AS season_year, {q(source)} AS data_source, p.{col} AS wbkz,
- p.pages_total AS pages_total, p.circulation_plan AS circulation_plan, p.circulation_actual AS circulation_actual,
- c.kostenartenbes AS kostenartenbeschreibung, c.wert_overall AS costs, p.is_test AS is_test,
- {WEIGHT} AS katalog_gewicht_gesamt
-FROM fx_print AS p LEFT JOIN {cost_table} AS c ON p.{col} = c.auftrag"""
+def shared() -> list[str]:
+    """Catalogues with their derived values, all costs with their kind, and the one looked up in the other."""
+    numbers = ", ".join(f"{{'data_source': {q(source)}, 'wbkz': {column}}}" for column, _, source in KINDS.values())
+    costs = " UNION ALL ".join(f"SELECT {q(source)} AS data_source, auftrag AS wbkz, kostenartenbes AS kostenartenbeschreibung,"
+                               f" wert_overall AS costs FROM {table}" for _, table, source in KINDS.values())
+    return [
+        f"""catalogues AS (SELECT *, {PROJECT} AS project_name_corr, {SEASON} AS season, {WEIGHT} AS katalog_gewicht_gesamt
+ FROM fx_print)""",
+        f"orders_ AS (SELECT *, unnest([{numbers}]) AS number FROM catalogues)",
+        f"all_costs AS ({costs})",
+        """offers AS (SELECT o.* EXCLUDE (number, wbkz, shipping_type), lower(o.shipping_type) AS shipping_type,
+ o.number.data_source AS data_source, o.number.wbkz AS wbkz, c.kostenartenbeschreibung, CAST(c.costs AS DOUBLE) AS costs
+ FROM orders_ o LEFT JOIN all_costs c ON c.data_source = o.number.data_source AND c.wbkz = o.number.wbkz)""",
+    ]
 
 
 def sql(cfg: ReportConfig) -> dict[str, str]:
-    head = with_(["fx_print", *(b[1] for b in BR.values())])
+    head = with_(["fx_print", *(k[1] for k in KINDS.values())], *shared())
     out = {}
-    for k in BR:
-        out[k] = f"{head}\nSELECT * REPLACE (CAST(costs AS DOUBLE) AS costs) FROM ({branch(k)}) x"
-    union = "\nUNION ALL\n".join(branch(k) for k in BR)
+    for key, (_, _, source) in KINDS.items():
+        out[key] = f"""{head}
+SELECT DISTINCT initiative_name, project_name_corr, shipping_type, season, season_year, data_source, wbkz, pages_total,
+ circulation_plan, circulation_actual, kostenartenbeschreibung, costs, is_test, katalog_gewicht_gesamt
+FROM offers WHERE data_source = {q(source)}"""
     out["report_seasonal_cost"] = f"""{head}
-SELECT initiative_name, project_name_corr, shipping_type, season_year, data_source, wbkz,
- coalesce(pages_total, 0) AS pages_total, circulation_plan, circulation_actual,
- coalesce(katalog_gewicht_gesamt, 0) AS katalog_gewicht_gesamt, kostenartenbeschreibung, CAST(costs AS DOUBLE) AS costs
-FROM ({union}) u
-WHERE wbkz IS NOT NULL
-GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12"""
-    out["catalog_project"] = f"""{head}
-SELECT project_name, {PROJECT} AS project_name_corr, season_year, {SEASON} AS season
-FROM (SELECT DISTINCT project_name, season_year FROM fx_print) p"""
+SELECT DISTINCT initiative_name, project_name_corr, shipping_type, season_year, data_source, wbkz,
+ ifnull(pages_total, 0) AS pages_total, circulation_plan, circulation_actual,
+ ifnull(katalog_gewicht_gesamt, 0) AS katalog_gewicht_gesamt, kostenartenbeschreibung, costs
+FROM offers WHERE wbkz IS NOT NULL"""
+    out["catalog_project"] = f"{head}\nSELECT DISTINCT project_name, project_name_corr, season_year, season FROM catalogues"
     out["catalog_id"] = f"""{head}
-SELECT project_name_corr, season, shipping_type,
- md5(coalesce('v' || project_name_corr, 'n') || '|' || coalesce('v' || CAST(season AS VARCHAR), 'n') || '|'
-     || coalesce('v' || shipping_type, 'n')) AS id
-FROM (SELECT DISTINCT {PROJECT} AS project_name_corr, {SEASON} AS season, lower(p.shipping_type) AS shipping_type
-      FROM fx_print AS p) x"""
+SELECT *, md5(coalesce('v' || project_name_corr, 'n') || '|' || coalesce('v' || CAST(season AS VARCHAR), 'n') || '|'
+ || coalesce('v' || shipping_type, 'n')) AS id
+FROM (SELECT DISTINCT project_name_corr, season, lower(shipping_type) AS shipping_type FROM catalogues)"""
     out["catalog_weight"] = f"""{head}
-SELECT p.initiative_name, p.project_name, p.shipping_type AS pwm_shipping_type, p.height AS pwm_format_height,
- p.width AS pwm_format_width, {WEIGHT} AS katalog_gewicht_gesamt FROM fx_print AS p"""
+SELECT initiative_name, project_name, shipping_type AS pwm_shipping_type, height AS pwm_format_height,
+ width AS pwm_format_width, katalog_gewicht_gesamt FROM catalogues"""
     return out

@@ -57,13 +57,13 @@ SELECT budget_origin, CAST(budget_logic AS INTEGER) AS budget_logic, campaign_ty
 FROM (SELECT budget_origin, CASE WHEN upper(budget_origin) = 'WKZ' THEN 3 ELSE 1 END AS budget_logic,
   CASE WHEN upper(budget_origin) = 'VERTRIEB' THEN 'VERTRIEB' ELSE 'BRANDING' END AS campaign_type
  FROM (SELECT DISTINCT budget_origin FROM fx_plan) o) x"""
-    h = with_(["fx_perf"])
+    h = with_(["fx_tiktok"])
     parts = []
     for name, rules in RULE_SETS.items():
         code = rule_value_sql(rules, "campaign_name", "account_id", cfg, "code")
         nm = rule_value_sql(rules, "campaign_name", "account_id", cfg, "name")
         parts.append(f"SELECT {q(name)} AS rule_set, campaign_name, account_id, {code} AS planning_context_code,"
-                     f" {nm} AS planning_context_name FROM (SELECT DISTINCT campaign_name, account_id FROM fx_perf) p")
+                     f" {nm} AS planning_context_name FROM (SELECT DISTINCT campaign_name, account_id FROM fx_tiktok) p")
     out["context_fallback"] = h + "\n" + "\nUNION ALL\n".join(parts)
     h = with_(ob.BINDINGS, *ob.shared(cfg))
     out["actual_vs_plan"] = f"""{h}
@@ -71,14 +71,13 @@ SELECT day AS reporting_date, CAST(class AS INTEGER) AS budget_logic, type AS ca
  CAST(cost AS DOUBLE) AS media_cost, CAST(base AS DOUBLE) AS infra_base, CAST(volume AS DOUBLE) AS impressions
 FROM ({ob.reconciled(cfg, "tv_days", fv.PLAN_TV)}) r"""
     out["agency_fee"] = f"""{h}
-SELECT j.reporting_date, j.sub_channel, CAST(j.cost_euro_nnn AS DOUBLE) AS cost_euro_nnn,
- CAST(bba.fee AS DOUBLE) AS fee, CAST(bba.discount AS DOUBLE) AS discount,
- CAST(bba.managed_fee AS DOUBLE) AS managed_fee, CAST(bba.dsp_fee AS DOUBLE) AS dsp_fee
-FROM (SELECT CAST(planning_date AS DATE) AS reporting_date, cost_euro_nnn,
-  CASE WHEN instr(upper(cost_type), 'PROGR.') > 0 THEN 'PROGRAMMATIC (D)OOH' ELSE '(D)OOH' END AS sub_channel
- FROM fx_dooh) j
-LEFT JOIN fx_fee AS bba ON CAST(bba.year_month AS DECIMAL(6)) = CAST(strftime(j.reporting_date, '%Y%m') AS DECIMAL(6))
- AND upper(bba.channel_branding) = '(D)OOH' AND upper(bba.sub_channel_branding) = upper(j.sub_channel)"""
+SELECT day AS reporting_date, sub AS sub_channel, CAST(cost_euro_nnn AS DOUBLE) AS cost_euro_nnn, CAST(fee AS DOUBLE) AS fee,
+ CAST(discount AS DOUBLE) AS discount, CAST(managed_fee AS DOUBLE) AS managed_fee, CAST(dsp_fee AS DOUBLE) AS dsp_fee
+FROM (SELECT CAST(planning_date AS DATE) AS day, cost_euro_nnn,
+  CASE WHEN contains(upper(cost_type), {q(fv.DOOH_PROGRAMMATIC_MARK)}) THEN {q(fv.DOOH_PROGRAMMATIC)} ELSE {q(fv.DOOH_PLAIN)} END AS sub
+ FROM fx_dooh)
+LEFT JOIN fees f ON f.month = year(day) * 100 + month(day) AND upper(f.channel_branding) = {q(fv.FEE_DOOH)}
+ AND upper(f.sub_channel_branding) = sub"""
     out["effective_media_cost"] = f"""{h}
 SELECT reporting_date, campaign_scope, adgap_ids, channel, CAST(kosten_nnn AS DOUBLE) AS kosten_nnn,
  CAST(kosten_nnn_eff AS DOUBLE) AS kosten_nnn_eff, CAST(media_cost AS DOUBLE) AS media_cost, CAST(fee AS DOUBLE) AS fee

@@ -41,7 +41,7 @@ def _finish(df: DataFrame, channel: str | Column, source: str | Column, camp: Co
         F.col("clicks").cast("bigint").alias("clicks"),
         F.col("media_cost").cast("double").alias("media_cost"),
         F.col("infrastructure_cost").cast("double").alias("infrastructure_cost"),
-        (F.col("media_cost") + F.col("infrastructure_cost")).cast("double").alias("cost_euro"),
+        (F.col("total") if "total" in df.columns else F.col("media_cost") + F.col("infrastructure_cost")).cast("double").alias("cost_euro"),
         F.col("impressions").cast("double").alias("impressions"),
         "reporting_date", (F.lit(source) if isinstance(source, str) else source).alias("source_system"),
     )
@@ -249,8 +249,10 @@ def inhouse(cat, cfg: ReportConfig, keys=tuple(INHOUSE)) -> DataFrame:
     g = sums.join(_campaign_multiplier(cat), "camp_id", "left")
     n = F.coalesce(F.col("_n"), F.lit(1))
     spend = F.col("media_cost")
-    infra = F.when(_by_key(key, {k: INHOUSE[k][2] for k in keys}),
-                   spend * F.lit(fv.TOOL_FEE).cast("decimal(4,3)") * n).cast("double")
+    with_tool = _by_key(key, {k: INHOUSE[k][2] for k in keys})
+    tool = spend * F.lit(fv.TOOL_FEE).cast("decimal(4,3)") * n
+    infra = F.when(with_tool, tool).cast("double")
+    exact = spend * n + tool  # money stays DECIMAL up to the cast
     if "bra_odin" in keys:
         # days with several rates repeat their rows; the largest rate counts
         rates = cat["exchange_rates"].groupBy("reporting_date").agg(
@@ -271,6 +273,8 @@ def inhouse(cat, cfg: ReportConfig, keys=tuple(INHOUSE)) -> DataFrame:
         "branch", "reporting_date", "camp_id", (F.col("impressions") * n).alias("impressions"),
         F.when(odin, F.lit(0)).otherwise(F.col("clicks") * n).alias("clicks"), (spend * n).alias("media_cost"),
         F.when(plain, F.lit(0.0)).otherwise(infra).alias("infrastructure_cost"), logic.alias("budget_logic"),
+        F.when(with_tool, exact.cast("double")).when(plain, (spend * n).cast("double"))
+        .otherwise((spend * n).cast("double") + infra).alias("total"),
     ).withColumn("budget_logic_share", B.budget_share_ws(camp, F.col("budget_logic"))) \
         .withColumn("campaign_type", F.lit(fv.TYPE_BRANDING)).withColumn("is_plan", F.lit(False))
     return _finish(out, _by_key(key, {k: INHOUSE[k][0] for k in keys}),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..config import ReportConfig
 from ..operators.context import Fallback, rule_arm
+from ..operators.islands import day_islands
 from ..operators.rollup import activity, rollup
 from .common import campaigns_for, channel_view, context_for, label
 
@@ -98,26 +99,32 @@ def odin(cat, cfg, ctx):
     return rollup(facts, ctx, Fallback(fv.CH_DISPLAY), label(cfg, fv.SRC_ODIN), clicks="sum_or_zero")
 
 
+def adgroup_campaigns(cat, cfg: ReportConfig) -> DataFrame:
+    """Campaigns of the account's ad groups: a row per ad group, campaign and run of days."""
+    rows = cat["bing_adgroup_perf"].filter(
+        F.col("camp_id").isNotNull() & (F.col("bing_account_id") == cfg.bing_audience_account)
+        & (F.col("date_col") >= F.lit(cfg.min_date)))
+    return day_islands(rows.select("date_col", "bing_adgroup_id", F.col("camp_id").alias("adg_camp_id")),
+                       ["bing_adgroup_id", "adg_camp_id"], "date_col")
+
+
 def bing_audience(cat, cfg, ctx):
     """Campaign id from the ad-group report where one exists on that day.
 
-    Both inputs are fact-sized. The ad-group side is deduplicated as in the
-    reference; the performance side is pre-aggregated to (day, ad group,
-    campaign) so that the join shuffles aggregated rows only.
+    Both inputs are fact-sized. The ad-group side becomes intervals of days with the same campaign, a
+    fraction of its rows; the performance side is pre-aggregated to (day, ad group, campaign). They
+    meet on the ad group with the day inside the interval.
     """
-    acct = cfg.bing_audience_account
-    adg = (cat["bing_adgroup_perf"]
-           .filter(F.col("camp_id").isNotNull() & (F.col("bing_account_id") == acct))
-           .select("date_col", "bing_account_id", "bing_adgroup_id", F.col("camp_id").alias("adg_camp_id"))
-           .distinct())
     dat = (cat["bing_ad_perf"]
            .filter(F.col("date_col") >= F.lit(cfg.min_date))
            .filter(activity([F.col("impressions"), F.col("cost_euro"), F.col("clicks")], strict=True))
-           .filter(F.col("bing_account_id") == acct)
-           .groupBy("date_col", "bing_account_id", "bing_adgroup_id", "camp_id")
+           .filter(F.col("bing_account_id") == cfg.bing_audience_account)
+           .groupBy("date_col", "bing_adgroup_id", "camp_id")
            .agg(F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
                 F.sum("cost_euro").alias("cost_euro")))
-    j = dat.join(adg, ["bing_adgroup_id", "date_col", "bing_account_id"], "left")
+    adg = adgroup_campaigns(cat, cfg).withColumnRenamed("bing_adgroup_id", "_adgroup")
+    j = dat.join(adg, (F.col("bing_adgroup_id") == F.col("_adgroup"))
+                 & F.col("date_col").between(F.col("first_day"), F.col("last_day")), "left")
     facts = j.select(
         F.col("date_col").alias("reporting_date"),
         F.coalesce(F.col("adg_camp_id"), F.col("camp_id")).alias("camp_id"),

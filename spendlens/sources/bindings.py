@@ -67,10 +67,12 @@ SELECT p_partkey AS bid, CASE WHEN p_partkey % 11 = 0 THEN '-1' ELSE {camp('p_pa
 UNION ALL
 SELECT CASE WHEN p_partkey % 2 = 0 THEN p_partkey ELSE p_partkey + 100000000 END, {camp('p_partkey')},
  timestamp '2099-01-01 00:00:00' FROM {{part}} WHERE p_partkey % 6 < 2""",
-    # ad-group -> campaign; duplicates on purpose, the operator deduplicates
+    # ad-group -> campaign, reported for a day and the two after it; duplicates on purpose, the operator deduplicates
     "fx_adgroup": """
-SELECT cast(l_shipdate as date) AS date_col, 100 + l_suppkey % 5 AS account_id, l_suppkey AS adgroup_id,
- CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE 'ag' || cast(l_suppkey as string) END AS camp_id FROM {lineitem}""",
+SELECT date_col, account_id, adgroup_id, CASE WHEN adgroup_id % 3 = 0 THEN NULL ELSE 'ag' || cast(adgroup_id as string) END AS camp_id
+FROM (SELECT cast(l_shipdate as date) AS date_col, 100 + l_suppkey % 5 AS account_id, l_suppkey AS adgroup_id FROM {lineitem}
+ UNION ALL SELECT cast(l_shipdate as date) + 1, 100 + l_suppkey % 5, l_suppkey FROM {lineitem}
+ UNION ALL SELECT cast(l_shipdate as date) + 2, 100 + l_suppkey % 5, l_suppkey FROM {lineitem}) a""",
     # affiliate provisions; NULL and zero provisions
     "fx_aff_cost": f"""
 SELECT o_orderdate AS order_timestamp, {camp('o_custkey')} AS camp_id,
@@ -85,7 +87,7 @@ SELECT {camp('o_custkey')} AS campaign, cast(o_totalprice as decimal(18,2)) AS c
     "fx_call": """
 SELECT event_id AS call_sk, ts - INTERVAL 23 YEAR AS event_created_at_utc, CASE WHEN event_type = 'error' THEN true ELSE false END AS bot FROM {events}""",
     "fx_call_link": """
-SELECT event_id AS call_sk, CASE WHEN event_id % 10 = 0 THEN -1 ELSE event_id % 40 END AS campaign_sk FROM {events}""",
+SELECT event_id AS call_sk, CASE WHEN event_id % 10 = 0 THEN -1 ELSE event_id % (SELECT count(*) FROM {part}) + 1 END AS campaign_sk FROM {events}""",
     # some campaign ids stand in two rows
     "fx_campaign_h": f"""
 SELECT p_partkey AS campaign_sk, {camp('p_partkey')} AS campaign_id FROM {{part}}
@@ -124,9 +126,9 @@ FROM (
  UNION ALL SELECT ym, '(D)OOH', '(D)OOH' FROM m
  UNION ALL SELECT ym, '(D)OOH', 'Programmatic (D)OOH' FROM m
 ) c""",
-    # digital media plan: placements of 1..60 days, the last ones past the run's day; zero volumes and NULL creative types are deliberate
+    # digital media plan: ten placements per id group, of 1..60 days, the last ones past the run's day; zero volumes and NULL creative types are deliberate
     "fx_mediaplan": """
-SELECT 'g' || cast(p_partkey % 50 as string) AS adgap_ids,
+SELECT 'g' || cast(cast(floor(p_partkey / 10.0) as bigint) as string) AS adgap_ids,
  CASE p_partkey % 4 WHEN 0 THEN 'Branding' WHEN 1 THEN 'WKZ' WHEN 2 THEN 'Vertrieb' ELSE 'Intern' END AS campaign_scope,
  CASE p_partkey % 4 WHEN 0 THEN 'ATV' WHEN 1 THEN 'OLV' WHEN 2 THEN 'DISPLAY BRANDING' ELSE 'Audio' END AS channel,
  CASE p_partkey % 6 WHEN 0 THEN 'Addressable TV' WHEN 1 THEN 'Display' WHEN 2 THEN 'olv' WHEN 3 THEN 'Programmatic' WHEN 4 THEN 'Digital Radio' ELSE 'Native' END AS media_type,
@@ -136,14 +138,16 @@ SELECT 'g' || cast(p_partkey % 50 as string) AS adgap_ids,
  CASE WHEN p_partkey % 19 = 0 THEN 0 ELSE p_partkey % 1000 END AS target_group_size,
  cast(p_retailprice as decimal(18,2)) AS daily_media_cost_nnn_euro FROM {part}""",
     "fx_adition": """
-SELECT CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE 'b' || cast(l_partkey % 60 as string) END AS banner_external_id,
- 'b' || cast(l_suppkey % 60 as string) AS campaign_external_id, cast(l_shipdate as date) AS reporting_date,
+SELECT CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE 'b' || cast(cast(floor(l_partkey / 8.0) as bigint) as string) END AS banner_external_id,
+ 'b' || cast(l_suppkey as string) AS campaign_external_id, cast(l_shipdate as date) AS reporting_date,
  cast(l_quantity as bigint) AS clicks, cast(l_quantity * 10 as bigint) AS impressions FROM {lineitem}""",
-    # every 4th ad-gap id belongs to two groups
+    # ad-gap ids of eight parts each, so some belong to two groups; every 4th also to a group further on
     "fx_adgap": """
-SELECT DISTINCT 'b' || cast(p_partkey % 60 as string) AS adgap_id, 'g' || cast(p_partkey % 60 % 50 as string) AS adgap_ids FROM {part}
+SELECT DISTINCT 'b' || cast(cast(floor(p_partkey / 8.0) as bigint) as string) AS adgap_id,
+ 'g' || cast(cast(floor(p_partkey / 10.0) as bigint) as string) AS adgap_ids FROM {part}
 UNION ALL
-SELECT DISTINCT 'b' || cast(p_partkey % 60 as string), 'g' || cast((p_partkey % 60 + 7) % 50 as string) FROM {part} WHERE p_partkey % 60 % 4 = 1""",
+SELECT DISTINCT 'b' || cast(cast(floor(p_partkey / 8.0) as bigint) as string), 'g' || cast(cast(floor(p_partkey / 10.0) as bigint) + 2 as string)
+FROM {part} WHERE floor(p_partkey / 8.0) % 4 = 1""",
     # out-of-home costs
     "fx_dooh": """
 SELECT l_shipdate AS planning_date, CASE l_suppkey % 3 WHEN 0 THEN 'city_wkz_x' WHEN 1 THEN 'city_Vertrieb' ELSE 'city' END AS campaign_name,
@@ -176,22 +180,29 @@ SELECT 'o' || cast(s_suppkey % 60 as string) AS auftrag, CASE s_suppkey % 3 WHEN
 
 
 
+_COLUMNS = {"fx_perf": "reporting_date camp_id impressions clicks cost_euro campaign_name account_id account_name customer_id adgroup_id bid",
+            "fx_aff_cost": "order_timestamp camp_id nw_provision_hr nw_networkfee_hr",
+            "fx_actual": "actual_date end_date campaign_name cost_euro_nnn contacts",
+            "fx_print_cost": "auftrag kostenartenbes wert_overall"}
+
+
 def _variant(of: str, **changed: str) -> str:
     """A table of its own: another binding's rows with some columns computed differently (no rows go)."""
-    columns = {"fx_perf": "reporting_date camp_id impressions clicks cost_euro",
-               "fx_actual": "actual_date end_date campaign_name cost_euro_nnn contacts",
-               "fx_print_cost": "auftrag kostenartenbes wert_overall"}[of].split()
-    return "\nSELECT " + ", ".join(f"{changed[c]} AS {c}" if c in changed else c for c in columns) + f" FROM ({BINDINGS[of]}) v"
+    return "\nSELECT " + ", ".join(f"{changed[c]} AS {c}" if c in changed else c for c in _COLUMNS[of].split()) + f" FROM ({BINDINGS[of]}) v"
 
 
 def _scaled(column: str, by: str) -> str:
     return f"cast({column} * {by} as decimal(18,2))"
 
 
-# search sources, broadcast actuals and catalogue costs: values differ from table to table
+# every source is a table of its own, with values that differ from the others'
 for _name, _clicks, _cost in (("fx_dsa", "clicks + 1", "2"), ("fx_bing", "clicks + 2", "3"),
                               ("fx_bing_legacy", "clicks + 3", "5"), ("fx_bing_dsa", "clicks + 4", "7")):
     BINDINGS[_name] = _variant("fx_perf", clicks=_clicks, cost_euro=_scaled("cost_euro", _cost))
+for _name, _by in (("fx_banner", "11"), ("fx_partner", "13"), ("fx_ace", "17"), ("fx_gads", "19"), ("fx_odin", "23"),
+                   ("fx_bing_ads", "29"), ("fx_facebook", "31"), ("fx_pinterest", "37"), ("fx_snap", "41"), ("fx_tiktok", "43")):
+    BINDINGS[_name] = _variant("fx_perf", impressions=f"impressions * {_by}", clicks=f"clicks * {_by}", cost_euro=_scaled("cost_euro", _by))
+BINDINGS["fx_pn_cost"] = _variant("fx_aff_cost", nw_provision_hr=_scaled("nw_provision_hr", "2"))
 for _name, _by in (("fx_radio", "2"), ("fx_webradio", "3")):
     BINDINGS[_name] = _variant("fx_actual", cost_euro_nnn=_scaled("cost_euro_nnn", _by),
                                contacts=f"cast(contacts + {_by} as decimal(18,4))")

@@ -30,7 +30,7 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
     "affiliate_costs_awin": ("fx_aff_cost", {
         "order_timestamp": "order_timestamp", "camp_id": "camp_id",
         "nw_provision_hr": "nw_provision_hr", "nw_networkfee_hr": "nw_networkfee_hr"}),
-    "affiliate_costs_private_network": ("fx_aff_cost", {
+    "affiliate_costs_private_network": ("fx_pn_cost", {
         "order_timestamp": "order_timestamp", "camp_id": "camp_id", "nw_provision_hr": "nw_provision_hr"}),
     "affiliate_fixcost": ("fx_fixcost", {
         "campaign": "campaign", "cost_euro": "cost_euro", "duration_in_days": "duration_in_days",
@@ -55,38 +55,38 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
     "bing_dsa_perf": ("fx_bing_dsa", {
         "date_col": "reporting_date", "camp_id": "camp_id", "impressions": "impressions",
         "clicks": "clicks", "cost_euro": "cost_euro"}),
-    "adition_display_perf": ("fx_perf", {
+    "adition_display_perf": ("fx_banner", {
         "business_date": "reporting_date", "bid": "bid", "dsp_impressions_bidon": "impressions",
         "dsp_clicks": "clicks", "dsp_costs": "cost_euro"}),
     "adition_ad_identifier_map": ("fx_ident", {
         "bid": "bid", "campaign_id": "campaign_id", "banner_known_until_utc": "banner_known_until_utc"}),
-    "adition_partner_perf": ("fx_perf", {
+    "adition_partner_perf": ("fx_partner", {
         "business_date": "reporting_date", "camp_id": "camp_id", "impressions": "impressions",
         "clicks": "clicks", "budget": "cost_euro"}),
-    "google_ads_ad_perf": ("fx_perf", {
+    "google_ads_ad_perf": ("fx_ace", {
         "reporting_date": "reporting_date", "camp_id": "camp_id", "impressions": "impressions",
         "clicks": "clicks", "costs_in_euro": "cost_euro", "google_account_id": "account_id"}),
-    "google_ad_perf": ("fx_perf", {
+    "google_ad_perf": ("fx_gads", {
         "date_col": "reporting_date", "camp_id": "camp_id", "google_campaign_name": "campaign_name",
         "impressions": "impressions", "clicks": "clicks", "cost_euro": "cost_euro", "google_account_id": "account_id"}),
-    "odin_ad_perf": ("fx_perf", {
+    "odin_ad_perf": ("fx_odin", {
         "reporting_date": "reporting_date", "camp_id": "camp_id", "impressions": "impressions",
         "clicks": "clicks", "net_revenue_euro": "cost_euro", "odin_customer_id": "customer_id"}),
-    "bing_ad_perf": ("fx_perf", {
+    "bing_ad_perf": ("fx_bing_ads", {
         "date_col": "reporting_date", "camp_id": "camp_id", "bing_adgroup_id": "adgroup_id",
         "bing_account_id": "account_id", "impressions": "impressions", "clicks": "clicks", "cost_euro": "cost_euro"}),
     "bing_adgroup_perf": ("fx_adgroup", {
         "date_col": "date_col", "bing_account_id": "account_id", "bing_adgroup_id": "adgroup_id", "camp_id": "camp_id"}),
-    "facebook_ad_perf": ("fx_perf", {
+    "facebook_ad_perf": ("fx_facebook", {
         "reporting_date": "reporting_date", "camp_id": "camp_id", "facebook_campaign_name": "campaign_name",
         "impressions": "impressions", "clicks": "clicks", "cost_euro": "cost_euro", "facebook_account_id": "account_id"}),
-    "pinterest_pin_perf": ("fx_perf", {
+    "pinterest_pin_perf": ("fx_pinterest", {
         "reporting_date": "reporting_date", "camp_id": "camp_id", "pinterest_campaign_name": "campaign_name",
         "impressions_paid": "impressions", "clicks_paid": "clicks", "cost_euro": "cost_euro"}),
-    "snap_ad_perf": ("fx_perf", {
+    "snap_ad_perf": ("fx_snap", {
         "reporting_date": "reporting_date", "camp_id": "camp_id", "snap_campaign_name": "campaign_name",
         "snap_account_name": "account_name", "impressions": "impressions", "cost_euro": "cost_euro"}),
-    "tiktok_ad_perf": ("fx_perf", {
+    "tiktok_ad_perf": ("fx_tiktok", {
         "reporting_date": "reporting_date", "camp_id": "camp_id", "tiktok_campaign_name": "campaign_name",
         "tiktok_account_id": "account_id", "impressions": "impressions", "clicks": "clicks", "cost_euro": "cost_euro"}),
     "tv_flights": ("fx_actual", {

@@ -32,9 +32,32 @@ def test_reports_over_stored_sources(spark, cfg, tmp_path):
         assert sorted(build(stored).collect(), key=str) == sorted(build(derived).collect(), key=str)
 
 
-def test_swapped_sources_show(spark, cfg):
-    """Every search source has values of its own."""
+#: Sources that could stand in for each other: one money column of each.
+ALIKE = (
+    {"google_keyword_perf": "cost_euro", "google_dsa_perf": "cost_euro", "bing_keyword_perf": "cost_euro",
+     "bing_keyword_perf_legacy": "cost_euro", "bing_dsa_perf": "cost_euro", "adition_display_perf": "dsp_costs",
+     "adition_partner_perf": "budget", "google_ads_ad_perf": "costs_in_euro", "google_ad_perf": "cost_euro",
+     "odin_ad_perf": "net_revenue_euro", "bing_ad_perf": "cost_euro", "facebook_ad_perf": "cost_euro",
+     "pinterest_pin_perf": "cost_euro", "snap_ad_perf": "cost_euro", "tiktok_ad_perf": "cost_euro"},
+    {"affiliate_costs_awin": "nw_provision_hr", "affiliate_costs_private_network": "nw_provision_hr"},
+    {"tv_flights": "cost_euro_nnn", "radio_marketer": "cost_euro_nnn", "radio_webradio": "cost_euro_nnn"},
+    {"print_creation_cost": "wert_overall", "print_creative_cost": "wert_overall", "print_shipping_cost": "wert_overall"},
+)
+
+
+@pytest.mark.parametrize("alike", ALIKE, ids=lambda a: next(iter(a)))
+def test_swapped_sources_show(spark, alike):
+    """Each has values of its own, so reading another in its place turns a key red."""
     cat = fixture_catalog(spark, SF_SMALL)
-    sums = {n: cat[n].agg(F.sum("cost_euro"), F.sum("clicks")).first()
-            for n in ("google_keyword_perf", "google_dsa_perf", "bing_keyword_perf", "bing_keyword_perf_legacy", "bing_dsa_perf")}
-    assert len(set(sums.values())) == 5
+    sums = {name: cat[name].agg(F.sum(column)).first()[0] for name, column in alike.items()}
+    assert len(set(sums.values())) == len(alike)
+
+
+def test_id_groups_grow_with_the_data(spark):
+    """Group keys of the digital chain and the clicks follow the tables' sizes; what joins stays in proportion."""
+    small, large = (fixture_catalog(spark, f"/root/testdata/{sf}") for sf in ("sf0.001", "sf0.01"))
+    for name, key in (("digital_mediaplan", "adgap_ids"), ("adgap_id_mapping", "adgap_id"), ("tracking_call_campaign_link", "campaign_h_sk")):
+        a, b = (c[name].select(key).distinct().count() for c in (small, large))
+        assert 4 * a < b
+    per_group = [c["digital_mediaplan"].groupBy("adgap_ids").count().agg(F.max("count")).first()[0] for c in (small, large)]
+    assert per_group == [10, 10]
