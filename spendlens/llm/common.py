@@ -53,3 +53,14 @@ def small_batches(spark: SparkSession) -> None:
 def utf8(column) -> F.Column:
     """Text as UTF-8 bytes; null as empty."""
     return F.coalesce(column.cast("string"), F.lit("")).cast("binary")
+
+
+_kept: dict[str, object] = {}
+
+
+def kept_by_worker(name: str, make):
+    """What ``make()`` gives, made once per Python worker and ``name``; the worker keeps the last one only."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]

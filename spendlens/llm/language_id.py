@@ -17,28 +17,33 @@ rows and rows without an id are predicted like others; further columns are ignor
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from spendlens.llm.common import small_batches, stored
+from spendlens.llm.common import kept_by_worker, small_batches
 from spendlens.llm.words import mixed
 
 BUCKETS = 1 << 16
 DIMENSION = 16
 GRAMS = (1, 2, 3, 4)
-#: Bounds of the training sample: rows of each language, characters of a row, sentences in all.
+#: Bounds of the training sample: rows of each language, characters learnt from a row, sentences in all.
 SAMPLE_ROWS = 800
 SAMPLE_CHARS = 20_000
 SAMPLE_SENTENCES = 24_000
+#: Rows of a label up to which longer texts fill up its sample, cut.
+LEAST_ROWS = 100
 EPOCHS = 4
 #: Of correctly predicted texts kept out of training, so many may be rejected.
 REJECTED_RIGHT = 0.001
 UNKNOWN = "und"
 
+#: Candidate runs; characters like fractions and circled digits in them are no letters.
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -63,7 +68,11 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def letters_of(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    """Runs of letters (Unicode's letter categories), lower-cased."""
+    runs = LETTERS.findall(text.lower())
+    if text.isascii():
+        return runs
+    return [w for run in runs for w in ([run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split())]
 
 
 @dataclass
@@ -190,27 +199,36 @@ class Predictor:
 
 
 def training_sample(docs: DataFrame, marks: DataFrame, where, id_col: str, text_col: str,
-                    rows: int, chars: int) -> list[tuple[str, object]]:
-    """(text, label) of rows that ``marks`` (_id, _label) marks: of at most ``rows`` ids of each label, the first
-    by a hash of the id. Ids without a text, or with texts of more than ``chars`` characters alone, are left out
-    before ranking, so they take no other row's place. Ids are ranked without their texts, and texts are fetched for
-    those picked, so none is shuffled."""
-    usable = docs.where(F.length(text_col) <= chars)
-    marks = marks.where(where & F.col("_label").isNotNull() & F.col("_id").isNotNull()).select(
-        F.col("_id").cast("long").alias("_id"), "_label", F.xxhash64(F.col("_id").cast("long")).alias("_rank"))
-    ids = usable.select(F.col(id_col).cast("long").alias("_id"))
-    marks = stored(marks.join(ids, "_id", "left_semi").select("_id", "_label", "_rank"), "marks")
-    picked = []
-    for (label,) in marks.select("_label").distinct().collect():
-        picked += marks.where(F.col("_label") == label).orderBy("_rank", "_id").limit(rows).collect()
+                    rows: int, chars: int, least: int = LEAST_ROWS) -> list[tuple[str, object]]:
+    """(text, label) of rows that ``marks`` (id, y) marks: of at most ``rows`` ids of each label, the first by
+    a hash of the id. Texts of more than ``chars`` characters come after all others and only up to ``least`` rows
+    of their label, cut at a line's or sentence's end, so a label that has long texts alone is learnt, too. Ids
+    without a text are left out before ranking, so they take no other row's place. Ids are ranked without
+    their texts, and texts are fetched for those picked, so none is shuffled. One job ranks the ids of
+    all labels, with the first of each kept map-side."""
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    ids = (texts.where(F.length("t") > 0).select("id", (F.length("t") > chars).alias("long"))
+           .groupBy("id").agg(F.min("long").alias("long")))
+    ranked = (marks.where(where & F.col("y").isNotNull() & F.col("id").isNotNull()).select("id", "y").distinct()
+              .join(ids, "id").select("y", F.struct("long", F.xxhash64("id").alias("rank"), "id").alias("r")))
+    first = F.row_number().over(Window.partitionBy("y").orderBy("r"))  # Spark keeps the first rows of a label map-side
+    picked = (ranked.withColumn("n", first).where(F.col("n") <= rows).where((~F.col("r.long")) | (F.col("n") <= least))
+              .select("r.rank", "r.id", "y").collect())
     if not picked:
         return []
     # at most ``rows`` times the number of labels
-    ids = docs.sparkSession.createDataFrame(sorted({tuple(r) for r in picked}, key=str), marks.schema)
-    found = (usable
-             .join(F.broadcast(ids), F.col(id_col).cast("long") == F.col("_id"))
-             .select("_rank", "_id", F.col(text_col).cast("string").alias("t"), F.col("_label").alias("y")).collect())
-    return [(r.t, r.y) for r in sorted(found, key=lambda r: (r[0], r[1], r.t, str(r.y)))]
+    schema = StructType([StructField("rank", LongType()), StructField("id", LongType()), marks.schema["y"]])
+    few = docs.sparkSession.createDataFrame([tuple(r) for r in picked], schema)
+    found = texts.where(F.length("t") > 0).join(F.broadcast(few), "id").select("rank", "id", "t", "y").collect()
+    return [(shortened(r.t, chars), r.y) for r in sorted(found, key=lambda r: (r[0], r[1], r.t, str(r.y)))]
+
+
+def shortened(text: str, chars: int) -> str:
+    """A text of more than ``chars`` characters, cut after the last line or sentence that ends before."""
+    if len(text) <= chars:
+        return text
+    ends = [m.end() for m in re.finditer(r"[.!?\n]", text[:chars])]
+    return text[:ends[-1] if ends else chars]
 
 
 def not_held_out(id_col: str, folds: int, out: int):
@@ -224,14 +242,14 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``key_col``: a unique long that is never null; it comes last in the result."""
     small_batches(docs.sparkSession)
-    marks = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_label"))
-    sample = training_sample(docs, marks, not_held_out("_id", folds, held_out), id_col, text_col, sample_rows, SAMPLE_CHARS)
+    marks = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("y"))
+    sample = training_sample(docs, marks, not_held_out("id", folds, held_out), id_col, text_col, sample_rows, SAMPLE_CHARS)
     model = train([t for t, _ in sample], [str(y) for _, y in sample])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     keys = [key_col] if key_col else []
 
     def run(batches):
-        predictor = Predictor(shared.value) if shared.value else None
+        predictor = kept_by_worker(name, lambda: Predictor(shared.value)) if shared.value else None
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
             rows = predictor.predict(texts) if predictor else [(UNKNOWN, 0.0, False)] * len(texts)

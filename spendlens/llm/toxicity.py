@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from dataclasses import dataclass
 
@@ -32,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import small_batches
+from spendlens.llm.common import kept_by_worker, small_batches
 from spendlens.llm.language_id import not_held_out, training_sample
 
 DECAY = 0.6
 SPAN = 7
 POWER = 3
 LANDMARKS = 96
-#: Bounds of the training sample: rows of each label, characters of a row, clean sentences in all.
+#: Bounds of the training sample: rows of each label, characters learnt from a row, clean sentences in all.
 SAMPLE_ROWS = 1200
 SAMPLE_CHARS = 10_000
 CLEAN_SENTENCES = 30_000
@@ -93,24 +94,23 @@ class Kernel:
         self.landmarks = landmarks
         owner, gram, weight = subsequences(landmarks)
         norm = np.sqrt(np.bincount(owner, weight ** 2, len(landmarks)))
-        self.row = np.zeros(_CODES ** 3, np.int32)  # 0: in no landmark
-        known, at = np.unique(gram, return_inverse=True)
-        self.row[known] = np.arange(1, len(known) + 1)
-        self.table = np.zeros((len(known) + 1, len(landmarks)), np.float32)
-        self.table[at + 1, owner] = weight / np.maximum(norm[owner], 1e-12)
+        by = np.argsort(gram, kind="stable")
+        # a subsequence's landmarks, one after another
+        self.landmark, self.weight = owner[by], (weight / np.maximum(norm[owner], 1e-12))[by]
+        self.size = np.bincount(gram, minlength=_CODES ** 3)
+        self.first = np.cumsum(self.size) - self.size
 
     def __call__(self, words: list[str]) -> np.ndarray:
         owner, gram, weight = subsequences(words)
         norm = np.sqrt(np.bincount(owner, weight ** 2, len(words)))
-        row = self.row[gram]
-        hit = np.flatnonzero(row)
-        out = np.zeros((len(words), len(self.landmarks)), np.float32)
-        if len(hit):
-            for part in np.array_split(hit, len(hit) // 100_000 + 1):
-                start = np.flatnonzero(np.concatenate([[True], owner[part][1:] != owner[part][:-1]]))
-                sums = np.add.reduceat(self.table[row[part]] * weight[part, None].astype(np.float32), start)
-                np.add.at(out, owner[part][start], sums)
-        return (out / np.maximum(norm, 1e-12)[:, None]).clip(0, 1) ** POWER
+        hit = np.flatnonzero(self.size[gram])
+        sizes = self.size[gram[hit]]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[gram[hit]] - (ends - sizes), sizes)
+        cell = np.repeat(owner[hit] * len(self.landmarks), sizes) + self.landmark[at]
+        out = np.bincount(cell, np.repeat(weight[hit], sizes) * self.weight[at], len(words) * len(self.landmarks))
+        out = out.reshape(len(words), -1) / np.maximum(norm, 1e-12)[:, None]
+        return (out.clip(0, 1) ** POWER).astype(np.float32)
 
 
 @dataclass
@@ -226,21 +226,39 @@ def train(texts: list[str], labels: list[int]) -> Model | None:
 
 
 class Scorer:
-    def __init__(self, model: Model, most: int = 400_000):
+    """Scores texts; keeps the shares of words met before, in two generations of at most ``most`` words each."""
+
+    def __init__(self, model: Model, most: int = 600_000):
         self.model, self.most = model, most
         self.kernel = Kernel(model.landmarks)
         self.share: dict[str, float] = {}
+        self.older: dict[str, float] = {}
 
-    def score(self, texts: list[str]) -> list[float]:
-        docs = [sentences(t) for t in texts]
+    def learn(self, words: set[str]) -> None:
+        """Shares of words (and of them without punctuation at their ends) that the younger generation lacks."""
         if len(self.share) > self.most:
-            self.share.clear()
-        of = {w: w.strip(_EDGES) for w in {w for doc in docs for s in doc for w in s}.difference(self.share)}
-        new = sorted(set(of.values()).difference(self.share))
+            self.share, self.older = {}, self.share
+        of = {}
+        for w in words.difference(self.share):
+            if (share := self.older.get(w)) is None:
+                of[w] = w.strip(_EDGES)
+            else:
+                self.share[w] = share
+        new = []
+        for b in set(of.values()).difference(self.share):
+            if (share := self.older.get(b)) is None:
+                new.append(b)
+            else:
+                self.share[b] = share
+        new.sort()
         for i in range(0, len(new), 2000):
             part = new[i:i + 2000]
             self.share.update(zip(part, (self.kernel(part) @ self.model.weights).tolist()))
         self.share.update({w: self.share[b] for w, b in of.items()})
+
+    def score(self, texts: list[str]) -> list[float]:
+        docs = [sentences(t) for t in texts]
+        self.learn({w for doc in docs for s in doc for w in s})
         m, of = self.model, self.share.__getitem__
         margins = np.array([max([sum(map(of, s)) for s in doc], default=0.0) for doc in docs]) + m.bias
         return (1 / (1 + np.exp(-np.clip(m.slope * margins + m.offset, -30, 30)))).tolist()
@@ -252,14 +270,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """One row per input row: doc_id, held_out (never learnt from), score, predicted."""
     spark = docs.sparkSession
     small_batches(spark)
-    marks = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).where("_label in (0, 1)")
-    sample = training_sample(docs, marks, not_held_out("_id", folds, held_out), id_col, text_col, sample_rows, SAMPLE_CHARS)
+    marks = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
+    sample = training_sample(docs, marks, not_held_out("id", folds, held_out), id_col, text_col, sample_rows, SAMPLE_CHARS)
     model = train([t for t, _ in sample], [y for _, y in sample])
     share = sum(y for _, y in sample) / len(sample) if sample else 0.0
-    shared = spark.sparkContext.broadcast(model)
+    shared, name = spark.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches):
-        scorer = Scorer(shared.value) if shared.value else None
+        scorer = kept_by_worker(name, lambda: Scorer(shared.value)) if shared.value else None
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
             scores = scorer.score(texts) if scorer else [share] * len(texts)

@@ -126,8 +126,50 @@ def test_changed_insults_are_caught():
 
 
 def test_sample_quota_goes_to_usable_rows(spark):
-    """Long, null and missing texts take no place in the sample."""
-    docs = spark.createDataFrame([(i, "x" * 50 if i % 10 else "short") for i in range(200)] + [(300, None)], "doc_id long, text string")
-    marks = spark.createDataFrame([(i, "a") for i in range(400)], "_id long, _label string")
-    assert training_sample(docs, marks, F.lit(True), "doc_id", "text", 20, 10) == [("short", "a")] * 20
+    """Null, empty and missing texts take no place in the sample, long ones none while short ones fill it."""
+    docs = spark.createDataFrame([(i, "One end. " + "x" * 50 if i % 10 else "short") for i in range(200)] + [(300, None), (301, "")],
+                                 "doc_id long, text string")
+    marks = spark.createDataFrame([(i, "a") for i in range(400)] + [(5, "b"), (5, "b"), (None, "c"), (6, None)], "id long, y string")
+    got = training_sample(docs, marks, F.lit(True), "doc_id", "text", 20, 20)
+    assert [t for t, y in got if y == "a"] == ["short"] * 20 and [t for t, y in got if y == "b"] == ["One end."]
+    got = training_sample(docs, marks, F.lit(True), "doc_id", "text", 50, 20, least=25)
+    assert sorted(t for t, y in got if y == "a") == ["One end."] * 5 + ["short"] * 20
     assert training_sample(docs.limit(0), marks, F.lit(True), "doc_id", "text", 20, 10) == []
+
+
+def test_long_texts_alone_are_learnt(spark):
+    """A language whose texts are all long has its place among the learnt ones."""
+    rows = [(i, ("the of and in that. " if i % 2 else "der die und das ist. ") * 3000, "en" if i % 2 else "de") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {(r.lang_pred) for r in L.language_id(docs).collect()} == {"en", "de"}
+
+
+def test_names_that_clash(odd_docs, documents, labels):
+    names = ("_id", "_rank", "_label", "id", "y", "rank", "r", "t", "n", "held_out", "score", "lang_pred", "predicted", "accepted")
+    docs = documents.limit(200).selectExpr("*", *[f"1 as {n}" for n in names])
+    plain = documents.limit(200)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(L.language_id(docs)) == rows(L.language_id(plain))
+    more = labels.selectExpr("*", "1 as _id", "2 as id", "3 as y", "4 as rank")
+    assert rows(T.toxicity(docs, more)) == rows(T.toxicity(plain, labels))
+
+
+def test_characters_that_are_no_letters():
+    for text in ("½ ² ① ⅷ 12 _ ٣", "", "¼²", "ⓐ²"):
+        expect = [w for w in "".join(c if c.isalpha() else " " for c in text.lower()).split()]
+        assert L.letters_of(text) == expect
+    assert L.letters_of("x²y ½été") == ["x", "y", "été"]
+    model = L.train(["the of and in that", "der die und das ist"] * 20, ["en", "de"] * 20)
+    assert [r[0] for r in L.Predictor(model).predict(["½ ² ①", "the ½", "³"])] == ["und", "en", "und"]
+
+
+def test_shares_kept_in_generations():
+    """Words that leave the younger generation come back from the older, and scores don't change."""
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("aeiorstnhl"), rng.integers(2, 9))) for _ in range(400)]
+    texts = [" ".join(rng.choice(words, 30)) + (" moron." if i % 2 else "!") for i in range(60)]
+    model = T.train(texts, [i % 2 for i in range(60)])
+    assert np.allclose([T.Scorer(model, most=20).score([t])[0] for t in texts], T.Scorer(model).score(texts), atol=1e-9)
+    small = T.Scorer(model, most=20)
+    assert np.allclose([small.score([t])[0] for t in texts], T.Scorer(model).score(texts), atol=1e-9)
+    assert len(small.share) + len(small.older) < 600
