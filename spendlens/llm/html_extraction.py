@@ -30,12 +30,14 @@ from spendlens.llm.common import small_batches
 from spendlens.llm.labelled_pages import labelled_pages
 
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_SILENT = set("script style noscript template head title svg math iframe object canvas select option button textarea "
-              "datalist audio video map".split())
-#: Parts of drawings and formulas that may hold blocks of a page.
-_PAGE_INSIDE = set("foreignobject desc title annotation-xml".split())
+#: Markup, scripts, styles, forms and what stands in for players and drawings; everything else may be text.
+_SILENT = set("script style template head title svg iframe canvas select option button textarea datalist audio video".split())
+#: Parts of drawings that may hold blocks of a page.
+_PAGE_INSIDE = set("foreignobject desc title".split())
 _INLINE = set("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small "
-              "span strike strong sub sup time tt u var wbr".split())
+              "span strike strong sub sup time tt u var wbr noscript object map "
+              "math semantics mrow mi mo mn ms mtext mspace msup msub msubsup mfrac msqrt mroot mstyle mover munder munderover "
+              "mfenced mpadded menclose mtable mtr mtd mmultiscripts annotation".split())
 _GROUPS = ["article main", "nav menu", "header", "footer", "aside", "form fieldset", "ul ol dl", "li dt dd", "p",
            "h1 h2", "h3 h4 h5 h6", "table tbody thead tr", "td th", "blockquote pre figure figcaption", "section", "div",
            "dialog"]
@@ -136,9 +138,6 @@ class Page(HTMLParser):
             attrs = dict(attrs)
             found = " ".join(attrs.get(k) or "" for k in ("class", "id", "role")) if attrs else ""
             names = tuple({_NAMED[n] for n in _SPLIT_NAMES.split(found.lower()) if n in _NAMED}) if found else ()
-            if "hidden" in attrs or "display:none" in (attrs.get("style") or "").replace(" ", ""):
-                self.push(tag, self.open[-1][1], True)
-                return
             self.push(tag, self.node(tag, names, attrs.get("data-y")))
 
     def ended(self, tag: str) -> int:
@@ -148,7 +147,7 @@ class Page(HTMLParser):
         end = len(self.open)
         if self.silent and tag in _GROUP:  # a block of the page is not part of a drawing
             for i in range(end - 1, self.silent - 1, -1):
-                if self.open[i][0] in ("svg", "math"):
+                if self.open[i][0] == "svg":
                     end = i
                 elif self.open[i][0] in _PAGE_INSIDE:
                     break

@@ -235,32 +235,52 @@ def not_held_out(id_col: str, folds: int, out: int):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds != out
 
 
-def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                folds: int = 4, held_out: int = 2, sample_rows: int = SAMPLE_ROWS, key_col: str | None = None) -> DataFrame:
-    """One row per input row: doc_id, held_out (never learnt from), lang_pred, score (calibrated confidence),
-    accepted.
-
-    ``key_col``: a unique long that is never null; it comes last in the result."""
-    small_batches(docs.sparkSession)
+def fitted(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int, held_out: int, sample_rows: int):
+    """A function that gives a worker its predictor (None where nothing could be learnt)."""
     marks = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("y"))
     sample = training_sample(docs, marks, not_held_out("id", folds, held_out), id_col, text_col, sample_rows, SAMPLE_CHARS)
     model = train([t for t, _ in sample], [str(y) for _, y in sample])
     shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
-    keys = [key_col] if key_col else []
+    return lambda: kept_by_worker(name, lambda: Predictor(shared.value)) if shared.value else None
+
+
+def predicted(predictor: Predictor | None, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+    return predictor.predict([t or "" for t in texts]) if predictor else [(UNKNOWN, 0.0, False)] * len(texts)
+
+
+def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                folds: int = 4, held_out: int = 2, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """One row per input row: doc_id, held_out (never learnt from), lang_pred, score (calibrated confidence),
+    accepted."""
+    small_batches(docs.sparkSession)
+    predictor = fitted(docs, id_col, text_col, lang_col, folds, held_out, sample_rows)
 
     def run(batches):
-        predictor = kept_by_worker(name, lambda: Predictor(shared.value)) if shared.value else None
+        own = predictor()
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            rows = predictor.predict(texts) if predictor else [(UNKNOWN, 0.0, False)] * len(texts)
+            rows = predicted(own, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([r[0] for r in rows], pa.string()),
-                 pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.bool_()),
-                 *batch.columns[3:]],
-                names=["doc_id", "held_out", "lang_pred", "score", "accepted", *keys])
+                 pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.bool_())],
+                names=["doc_id", "held_out", "lang_pred", "score", "accepted"])
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.coalesce(~not_held_out(id_col, folds, held_out), F.lit(False)).alias("held_out"),
-                        F.col(text_col).cast("string").alias("text"), *keys)
-            .mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean"
-                        + "".join(f", {k} long" for k in keys)))
+                        F.col(text_col).cast("string").alias("text"))
+            .mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean"))
+
+
+def accepted_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                  folds: int = 4, held_out: int = 2, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs``, whole, whose language is predicted with enough confidence: one map, no join."""
+    small_batches(docs.sparkSession)
+    predictor = fitted(docs, id_col, text_col, lang_col, folds, held_out, sample_rows)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        own = predictor()
+        for batch in batches:
+            yield batch.filter(pa.array([r[2] for r in predicted(own, batch.column(at).cast(pa.string()).to_pylist())], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+

@@ -135,8 +135,7 @@ FROM d LEFT JOIN kept USING (doc_id)
 
 _OP8 = r"""
 WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner,
-         coalesce(source, '?null') || '/' || coalesce(lang, '?null') AS repo FROM documents
+  SELECT doc_id, coalesce(text, '') AS text, coalesce('s' || source, '') AS owner, {'s': source, 'l': lang}::VARCHAR AS repo FROM documents
 ), patterns(kind, pattern, grp) AS (
   VALUES ('assign', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2),
          ('access', 'AKIA[A-Z0-9]+', 0), ('hex', '[0-9a-f]{24,}', 0), ('opaque', '[A-Za-z0-9]{16,}', 0)
@@ -159,24 +158,27 @@ WITH d AS (
   SELECT *, stop - size AS start FROM placed
   WHERE CASE kind WHEN 'assign' THEN length(val) >= 6 WHEN 'access' THEN size >= 20 WHEN 'hex' THEN true ELSE looks END
 ), held AS (
-  SELECT val, count(DISTINCT owner) AS owners FROM candidates GROUP BY val
+  SELECT val, count(DISTINCT owner) AS owners, count(DISTINCT repo) AS repos, owners >= 3 OR repos >= 6 AS copied
+  FROM candidates GROUP BY val
 ), spans AS (
-  SELECT DISTINCT doc_id, kind, CASE kind WHEN 'assign' THEN 0 WHEN 'access' THEN 1 ELSE 2 END AS rank, start, stop, owners >= 3 AS copied
+  SELECT DISTINCT doc_id, kind, CASE kind WHEN 'assign' THEN 0 WHEN 'access' THEN 1 ELSE 2 END AS rank, start, stop, copied
   FROM candidates JOIN held USING (val) WHERE kind <> 'opaque'
   UNION ALL
   SELECT DISTINCT doc_id, 'live', 3, stop - length(val), stop, false
-  FROM candidates JOIN held USING (val) WHERE looks AND owners < 3
+  FROM candidates JOIN held USING (val) WHERE looks AND NOT copied
 ), found AS (
   SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
          count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (kind = 'live') AS n_live, count(*) FILTER (copied) AS n_copied,
          string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, rank, stop) FILTER (rank < 3) AS base,
          string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, rank, stop) AS spans
   FROM spans GROUP BY doc_id
+), most AS (
+  SELECT doc_id, max(owners) AS most_owners, max(repos) AS most_repos FROM candidates JOIN held USING (val) GROUP BY doc_id
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
-       coalesce(n_copied, 0) AS n_copied
-FROM d LEFT JOIN found USING (doc_id)
+       coalesce(n_copied, 0) AS n_copied, coalesce(most_owners, 0) AS most_owners, coalesce(most_repos, 0) AS most_repos
+FROM d LEFT JOIN found USING (doc_id) LEFT JOIN most USING (doc_id)
 """
 
 

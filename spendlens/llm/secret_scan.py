@@ -3,11 +3,12 @@
 Candidates are assignments of a password-like name, cloud access keys, long hexadecimal
 runs, and opaque tokens (long runs of letters and digits with several of each). For every
 candidate value the corpus is asked how many owners and repositories hold it: a value that
-many owners have is a widely copied example; one that stays with few owners and looks
-random is live. Values travel as digests, aggregated with partial counts.
+many owners have, or many repositories of fewer owners, is a widely copied example; one that stays
+with few and looks random is live. Values travel as digests, aggregated with partial counts.
 
 The three base kinds are always reported. The method adds a ``live`` span at the value of
-each live-looking candidate that is held by fewer than ``copied_owners`` owners.
+each live-looking candidate that is held by fewer than ``copied_owners`` owners and fewer than
+``copied_repos`` repositories.
 
 Places: a text is split at the matches, so a match starts after all gaps and matches
 before it; a window sums their lengths, which stays linear in very long texts.
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 
 from spendlens.llm.common import stored
 
-#: Owners from which on a value is a widely copied example.
-COPIED_OWNERS = 3
+#: Owners, or repositories, from which on a value is a widely copied example.
+COPIED_OWNERS, COPIED_REPOS = 3, 6
 
 # fixed values: the base patterns; a minimum length inside a pattern of one maximal run drops
 # the same matches as a test afterwards
@@ -55,13 +56,15 @@ def _found(text, kind: str, pattern: str, group: int):
 
 
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                repo_cols: tuple[str, ...] = ("source", "lang"), copied_owners: int = COPIED_OWNERS) -> DataFrame:
+                repo_cols: tuple[str, ...] = ("source", "lang"), copied_owners: int = COPIED_OWNERS,
+                copied_repos: int = COPIED_REPOS) -> DataFrame:
     """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans (base and added),
-    n_live (added spans), n_copied (base spans whose value is widely copied)."""
+    n_live (added spans), n_copied (base spans whose value is widely copied), most_owners and most_repos (of
+    those that hold one of the row's candidate values)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     scan = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-        F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"),
+        F.to_json(F.struct(F.col(owner_col).cast("string").alias("r0"))).alias("owner"),
         F.to_json(F.struct(*[F.col(c).cast("string").alias(f"r{i}") for i, c in enumerate(repo_cols)])).alias("repo"))
     scan = stored(scan.select(
         F.monotonically_increasing_id().alias("row_key"), "doc_id", "owner", "repo",
@@ -82,7 +85,8 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed = stored(placed, "secret-candidates")
     held = (placed.select("digest", "owner", "repo").groupBy("digest", "owner", "repo").agg(F.count("*").alias("n"))
             .groupBy("digest").agg(F.count_distinct("owner").alias("owners"), F.count("*").alias("repos")))
-    judged = placed.join(held, "digest").withColumn("copied", F.col("owners") >= copied_owners)
+    judged = placed.join(held, "digest").withColumn(
+        "copied", (F.col("owners") >= copied_owners) | (F.col("repos") >= copied_repos))
 
     def span(kind, rank, start):
         return F.struct(start.alias("start"), rank.alias("rank"), kind.alias("kind"), F.col("end").alias("end"))
@@ -94,6 +98,7 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = judged.groupBy("row_key").agg(
         F.sort_array(F.collect_list(own)).alias("base"), F.sort_array(F.collect_set(live)).alias("live"),
         F.count_if((F.col("kind") != "opaque") & F.col("copied")).alias("n_copied"),
+        F.max("owners").alias("most_owners"), F.max("repos").alias("most_repos"),
         *[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in ("assign", "access", "hex")])
 
     def joined(spans):
@@ -107,4 +112,5 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "doc_id", *[number(F.col(f"n_{k}")).alias(f"n_{k}") for k in ("assign", "access", "hex")],
         F.sha2(F.coalesce(joined(F.col("base")), F.lit("")).cast("binary"), 256).alias("base_sha256"),
         F.coalesce(joined(F.sort_array(F.concat("base", "live"))), F.lit("")).alias("spans"),
-        number(F.when(F.col("live").isNotNull(), F.size("live"))).alias("n_live"), number(F.col("n_copied")).alias("n_copied"))
+        number(F.when(F.col("live").isNotNull(), F.size("live"))).alias("n_live"),
+        *[number(F.col(c)).alias(c) for c in ("n_copied", "most_owners", "most_repos")])

@@ -158,23 +158,31 @@ class Codec:
                       and not self.model.charsmap and not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.model.pieces))
         self.units = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
         self.known: dict[str, bytes] = {}  # unit without its first marker: ids as int32
-        self.unlike: set[str] = set()  # units on which the two libraries differ
+        self.unlike: set[str] = set()  # units that the two libraries code differently
+        self.decoded_apart: set[str] = set()  # units whose pieces, joined, are not what the decoder gives
         table = [p.replace(MARK, " ").encode() for p in self.model.pieces]
         for i, t in enumerate(self.model.types):
             if t == BYTE:
                 table[i] = bytes([int(self.model.pieces[i][3:-1], 16)])
         self.piece_bytes = table
 
+    def checked(self, ids: list[int], own: list[int]) -> list[int]:
+        """The ids of the tokenizers library, or where it differs those of the model's own."""
+        return ids if ids == own else own
+
     def learn(self, units: list[str]) -> None:
-        """Ids and parity of units not seen yet."""
+        """Ids of units not seen yet, and on which of them coding or decoding differs from the model's own library."""
+        encoded = [e.ids for e in self.plain.encode_batch_fast([MARK + u for u in units], add_special_tokens=False)]
         own = self.own.encode(units, num_threads=1)
         # a text's last space alone: the library takes "" for an empty text
         own = [a if u else [self.own.piece_to_id(MARK)] for u, a in zip(units, own)]
-        encoded = self.plain.encode_batch_fast([MARK + u for u in units], add_special_tokens=False)
-        for unit, a, b in zip(units, own, encoded):
-            self.known[unit] = np.array(a, "<i4").tobytes()
-            if a != b.ids:
+        decoded = self.tokenizer.decode_batch(encoded, skip_special_tokens=False)
+        for unit, ids, a, text in zip(units, encoded, own, decoded):
+            self.known[unit] = np.array(self.checked(ids, a), "<i4").tobytes()
+            if ids != a:
                 self.unlike.add(unit)
+            if text.encode() != b"".join(map(self.piece_bytes.__getitem__, ids))[1:]:
+                self.decoded_apart.add(unit)
 
     def cut(self, text: str) -> list[str]:
         """Units without their first marker."""
@@ -182,30 +190,36 @@ class Codec:
             return [u[1:] for u in self.units(MARK + text.replace(" ", MARK))] if text else []
         return text.split(" ") if text else []
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
-        """Ids (int32, little-endian) and parity of each text."""
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
+        """Ids (int32, little-endian) of each text, parity, and whether its pieces can be joined to decode it."""
         if not self.apart:
             encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [(np.array(a, "<i4").tobytes(), a == b.ids)
+            return [(np.array(self.checked(b.ids, a), "<i4").tobytes(), a == b.ids, False)
                     for a, b in zip(self.own.encode(texts, num_threads=1), encoded)]
         if len(self.known) > KEPT_UNITS:
-            self.known.clear()
-            self.unlike.clear()
+            for kept in (self.known, self.unlike, self.decoded_apart):
+                kept.clear()
         cut = [self.cut(t) for t in texts]
         if new := set().union(*cut).difference(self.known):
             self.learn(list(new))
         ids = self.known.__getitem__
-        return [(b"".join(map(ids, units)), not self.unlike or self.unlike.isdisjoint(units)) for units in cut]
-
-    def decode(self, ids: list[np.ndarray]) -> list[str]:
-        """Texts of id sequences; pieces are joined as bytes, and what is no UTF-8 is left to the library's decoder."""
-        piece, out = self.piece_bytes.__getitem__, []
-        for x in ids:
-            joined = b"".join(map(piece, x.tolist()))
-            try:
-                out.append(joined.decode()[joined[:1] == b" " and self.model.dummy_prefix:])
-            except UnicodeDecodeError:
-                out.append(self.tokenizer.decode(x.tolist(), skip_special_tokens=False))
+        return [(b"".join(map(ids, units)), not self.unlike or self.unlike.isdisjoint(units),
+                 not self.decoded_apart or self.decoded_apart.isdisjoint(units)) for units in cut]
+
+    def decode(self, ids: list[np.ndarray], joinable: list[bool] | None = None) -> list[str]:
+        """Texts of id sequences by the library's decoder. It decodes unit by unit, and for units that were
+        decoded when they were learnt, joining their pieces gives the same without decoding them again."""
+        piece, out = self.piece_bytes.__getitem__, [None] * len(ids)
+        for i, x in enumerate(ids):
+            if joinable is None or joinable[i]:
+                joined = b"".join(map(piece, x.tolist()))
+                try:
+                    out[i] = joined.decode()[joined[:1] == b" " and self.model.dummy_prefix:]
+                except UnicodeDecodeError:
+                    pass
+        left = [i for i, text in enumerate(out) if text is None]
+        for i, text in zip(left, self.tokenizer.decode_batch([ids[i].tolist() for i in left], skip_special_tokens=False)):
+            out[i] = text
         return out
 
 
@@ -224,15 +238,15 @@ def _run(path: str, threads: int, with_ids: bool):
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             encoded = c.encode(texts)
-            ids = [np.frombuffer(x, "<i4") for x, _ in encoded]
-            decoded = c.decode(ids)
+            ids = [np.frombuffer(x, "<i4") for x, _, _ in encoded]
+            decoded = c.decode(ids, [joinable for _, _, joinable in encoded])
             columns = [
                 batch.column(0),
                 pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([hashlib.sha256(x).hexdigest() for x, _ in encoded], pa.string()),
+                pa.array([hashlib.sha256(x).hexdigest() for x, _, _ in encoded], pa.string()),
                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string()),
                 pa.array([t == d for t, d in zip(texts, decoded)], pa.bool_()),
-                pa.array([same for _, same in encoded], pa.bool_()),
+                pa.array([same for _, same, _ in encoded], pa.bool_()),
             ]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip", "parity"]
             if with_ids:

@@ -7,9 +7,12 @@ A passage is any window of ``window`` words that two documents share.
    their least k-grams; those of one document alone are put aside. A window's run is cut out
    as a segment: consecutive windows with the same least k-gram.
 2. Equal segments are brought together first, so copies travel and are searched once.
-   Segments are then trimmed to windows whose hash two documents have. After that a very common
-   passage is the same few segments wherever it stands, and no shard grows with its copies.
-3. Shards. Segments are dealt by their least k-gram, so equal windows lie in one shard. A task
+   After that a very common passage is the same few segments wherever it stands, and no shard
+   grows with its copies. Of k-grams with very many segments only windows whose hash two
+   documents have go on.
+3. Shards. Segments are dealt by their least k-gram, so equal windows lie in one shard. The
+   windows of a k-gram with more segments than a block holds are dealt one by one by their
+   digest, as rows of their own, so no shard grows with a passage's many surroundings. A task
    indexes its shard in blocks of bounded size (suffix order, wavelet matrix) and streams the
    shard's segments through it by backward search. A match of at least ``window`` words lies in
    a class of rows with the same window; the class says which is the smallest document.
@@ -24,7 +27,6 @@ window stay; an empty table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 
 from spendlens.llm.common import small_batches, stored, utf8
 from spendlens.llm.fm_index import FMIndex
-from spendlens.llm.words import WordIds, run_hashes, window_minima
+from spendlens.llm.words import run_hashes, window_minima, word_numbers
 
 WINDOW = 50
 GRAM = 20
@@ -53,7 +55,6 @@ def _survey(window: int, gram: int):
     """Per document: words, digest of all words, its windows' least k-grams."""
 
     def run(batches):
-        numbers = WordIds()
         for batch in batches:
             ids, prints, texts = (c.to_pylist() for c in batch.columns)
             count, sha, grams = [], [], []
@@ -61,7 +62,7 @@ def _survey(window: int, gram: int):
                 words = text.split()
                 count.append(len(words))
                 sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
-                grams.append(np.unique(_least_grams(numbers.of(words), window, gram)[1]).view(np.int64)
+                grams.append(np.unique(_least_grams(word_numbers(text), window, gram)[1]).view(np.int64)
                              if len(words) >= window else [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(count, pa.int64()), pa.array(sha, pa.string()),
@@ -79,7 +80,6 @@ def _cut(window: int, gram: int):
     A segment's content comes along once a task."""
 
     def run(batches):
-        numbers = WordIds()
         seen = set()
         for batch in batches:
             out = [[] for _ in range(7)]
@@ -91,7 +91,7 @@ def _cut(window: int, gram: int):
             for doc_id, fp, text, shared in zip(*(c.to_pylist() for c in batch.columns)):
                 words = text.split()
                 add(doc_id, fp, None, None, None, None, b" ".join(words))
-                at, grams = _least_grams(numbers.of(words), window, gram)
+                at, grams = _least_grams(word_numbers(text), window, gram)
                 edges = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1], [True]]))
                 shared = np.isin(grams[edges[:-1]], np.array(shared, np.int64).view(np.uint64))
                 for a, b, key in zip(edges[:-1][shared].tolist(), edges[1:][shared].tolist(),
@@ -124,10 +124,9 @@ def _numbered(window: int):
 
 def _window_hashes(window: int):
     def run(batches):
-        numbers = WordIds()
         for batch in batches:
             segments, least, most, contents = (c.to_pylist() for c in batch.columns)
-            hashes = [run_hashes(numbers.of(c.split()), window) for c in contents]
+            hashes = [run_hashes(word_numbers(c), window) for c in contents]
             sizes = [len(h) for h in hashes]
             if sum(sizes):
                 yield pa.RecordBatch.from_arrays(
@@ -139,26 +138,23 @@ def _window_hashes(window: int):
     return run
 
 
-def _trim(window: int):
-    """Segments cut to runs of windows that two documents have."""
+def _single(window: int):
+    """Windows of segments, at given places, as segments of their own."""
 
     def run(batches):
         for batch in batches:
             out = []
-            for segment, key, least, content, at in zip(*(c.to_pylist() for c in batch.columns)):
-                words = content.split()
-                at = np.array(at)
-                for windows in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
-                    a, b = int(windows[0]), int(windows[-1])
-                    out.append((segment, a, key, least, b" ".join(words[a:b + window])))
+            for segment, key, least, content, places, words in zip(*(c.to_pylist() for c in batch.columns)):
+                w = content.split()
+                out += [(segment, a, key, least, b" ".join(w[a:a + window]), words) for a in places]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
-                names=["segment", "at", "key", "least", "content"])
+                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()))],
+                names=["segment", "at", "key", "least", "content", "words"])
 
     return run
 
 
-def _first_holders(block: list[tuple[bytes, int]], window: int) -> Iterator[np.ndarray]:
+def _first_holders(block: list[tuple[bytes, int]], window: int) -> list[np.ndarray]:
     """For each (content, smallest document) of a block, in order, the smallest document of each of its windows."""
     words = [c.split() for c, _ in block]
     codes = {w: i for i, w in enumerate(sorted(set().union(*words)), 1)}
@@ -173,72 +169,33 @@ def _first_holders(block: list[tuple[bytes, int]], window: int) -> Iterator[np.n
     return np.split(flat, offset[1:])
 
 
-def _parts(block: list[tuple[bytes, int]], window: int, most_words: int) -> Iterator[list[tuple[int, int, bytes, int]]]:
-    """One key's segments in parts that can be indexed apart: (position in block, first window, content, least).
-
-    More than ``most_words`` of one key are taken window by window, dealt by the windows' hash."""
-    size = sum(c.count(b" ") + 1 for c, _ in block)
-    if size <= most_words:
-        yield [(i, 0, c, least) for i, (c, least) in enumerate(block)]
-        return
-    numbers = WordIds()
-    hashes = [run_hashes(numbers.of(c.split()), window) for c, _ in block]
-    parts = 1 + window * sum(map(len, hashes)) // most_words
-    for part in range(parts):
-        rows = []
-        for i, (h, (c, least)) in enumerate(zip(hashes, block)):
-            mine = np.flatnonzero(h % np.uint64(parts) == part).tolist()
-            words = c.split() if mine else []
-            rows += [(i, a, b" ".join(words[a:a + window]), least) for a in mine]
-        if rows:
-            yield rows
-
-
 def _search(window: int, block_words: int):
-    """Indexes a shard in blocks of whole keys (the input is sorted by key) and streams it through them."""
+    """Indexes a shard in blocks of whole (key, part) groups (the input is sorted by them) and streams it through them."""
 
     def run(batches):
-        def answers(keys: list[tuple[int, list]]):
-            """keys: (key, its segments)."""
-            if len(keys) == 1:
-                key, block = keys[0]
-                for part in _parts(block, window, block_words):
-                    firsts = _first_holders([(c, least) for _, _, c, least in part], window)
-                    for (i, a, _, _), first in zip(part, firsts):
-                        yield key, block[i][0], a, first
-                return
-            rows = [(key, *row) for key, block in keys for row in block]
-            for (key, content, _), first in zip(rows, _first_holders([row[1:] for row in rows], window)):
-                yield key, content, 0, first
-
         def blocks():
             held, size, last = [], 0, None
             for batch in batches:
-                for key, content, least in zip(*(c.to_pylist() for c in batch.columns)):
-                    if key != last:
+                for key, part, content, least in zip(*(c.to_pylist() for c in batch.columns)):
+                    if (key, part) != last:
                         if size >= block_words:
                             yield held
                             held, size = [], 0
-                        held.append((key, []))
-                        last = key
-                    held[-1][1].append((content, least))
+                        last = key, part
+                    held.append((key, content, least))
                     size += content.count(b" ") + 1
             if held:
                 yield held
 
         for held in blocks():
-            big = [k for k in held if sum(c.count(b" ") + 1 for c, _ in k[1]) > block_words]
-            rest = [k for k in held if k not in big] if big else held
-            for keys in [[k] for k in big] + [rest] * bool(rest):
-                found = list(answers(keys))
-                for i in range(0, len(found), 5000):
-                    part = found[i:i + 5000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([r[0] for r in part], pa.int64()),
-                         pa.array([hashlib.sha256(r[1]).hexdigest() for r in part], pa.string()),
-                         pa.array([r[2] for r in part], pa.int32()),
-                         pa.array([r[3] for r in part], pa.list_(pa.int64()))],
-                        names=["key", "trimmed", "offset", "first"])
+            firsts = _first_holders([(content, least) for _, content, least in held], window)
+            for i in range(0, len(held), 5000):
+                part = held[i:i + 5000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key for key, _, _ in part], pa.int64()),
+                     pa.array([hashlib.sha256(content).hexdigest() for _, content, _ in part], pa.string()),
+                     pa.array(firsts[i:i + 5000], pa.list_(pa.int64()))],
+                    names=["key", "trimmed", "first"])
 
     return run
 
@@ -284,23 +241,28 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                            F.max("content").alias("content"))
         .mapInArrow(_numbered(window), "segment long, key long, digest binary, least long, most long, content binary, "
                                        "windows int"), "distinct")
-    windows = stored(distinct.select("segment", "least", "most", "content")
+    # keys with more words than a block: few, or their share of the text would be larger
+    words = F.col("windows") + F.lit(window - 1)
+    wide = stored(distinct.groupBy("key").agg(F.sum(words).alias("words")).where(F.col("words") > block_words), "wide-keys")
+    fitting = distinct.join(wide.select("key"), "key", "left_anti").select(
+        "segment", F.lit(0).alias("at"), "key", "least", "content", F.lit(0).cast("long").alias("words"))
+    many = stored(distinct.join(wide, "key").select("segment", "key", "least", "most", "content", "words"), "wide-segments")
+    windows = stored(many.select("segment", "least", "most", "content")
                      .mapInArrow(_window_hashes(window), "segment long, least long, most long, at int, hash long"), "windows")
     twice = (windows.groupBy("hash").agg(F.min("least").alias("a"), F.max("most").alias("b"))
              .where("a < b").select("hash"))
-    # a segment that two documents have needs no look at its windows
-    places = (windows.where("least = most").join(twice, "hash")
-              .groupBy("segment").agg(F.sort_array(F.collect_list("at")).alias("places"))
-              .union(distinct.where("least < most").select("segment", F.sequence(F.lit(0), F.col("windows") - 1))))
-    trimmed = stored(distinct.join(places, "segment").select("segment", "key", "least", "content", "places")
-                     .mapInArrow(_trim(window), "segment long, at int, key long, least long, content binary")
-                     .withColumn("trimmed", F.sha2("content", 256)), "trimmed")
-    shards = (trimmed.groupBy("key", "trimmed").agg(F.min("least").alias("least"), F.max("content").alias("content"))
-              .repartition("key").sortWithinPartitions("key").select("key", "content", "least"))
-    found = shards.mapInArrow(_search(window, block_words), "key long, trimmed string, offset int, first array<long>")
+    places = windows.join(twice, "hash").groupBy("segment").agg(F.collect_set("at").alias("places"))
+    single = (many.join(places, "segment").select("segment", "key", "least", "content", "places", "words")
+              .mapInArrow(_single(window), "segment long, at int, key long, least long, content binary, words long"))
+    # a wide key's windows are dealt to as many parts as blocks would hold them all
+    parts = F.ceil(F.col("words") * window / block_words)
+    trimmed = stored(fitting.unionByName(single).withColumn("trimmed", F.sha2("content", 256)).withColumn(
+        "part", F.when(F.col("words") == 0, 0).otherwise(F.pmod(F.xxhash64("trimmed"), parts)).cast("long")), "trimmed")
+    shards = (trimmed.groupBy("key", "part", "trimmed").agg(F.min("least").alias("least"), F.max("content").alias("content"))
+              .repartition("key", "part").sortWithinPartitions("key", "part").select("key", "part", "content", "least"))
+    found = shards.mapInArrow(_search(window, block_words), "key long, trimmed string, first array<long>")
     found = (trimmed.select("segment", "at", "key", "trimmed")
-             .join(found, ["key", "trimmed"])
-             .select("segment", (F.col("at") + F.col("offset")).alias("at"), "first"))
+             .join(found, ["key", "trimmed"]).select("segment", "at", "first"))
     found = distinct.select("segment", "key", "digest").join(found, "segment").select("key", "digest", "at", "first")
     starts = (holds.select("doc_id", "fp", "start", "key", "digest").distinct().join(found, ["key", "digest"])
               .select("doc_id", "fp", F.filter(

@@ -35,31 +35,40 @@ from pyspark.sql import functions as F
 
 from spendlens.llm.common import kept_by_worker, small_batches
 from spendlens.llm.language_id import not_held_out, training_sample
+from spendlens.llm.words import word_numbers, word_spans
 
 DECAY = 0.6
 SPAN = 7
 POWER = 3
 LANDMARKS = 96
 #: Bounds of the training sample: rows of each label, characters learnt from a row, clean sentences in all.
-SAMPLE_ROWS = 1200
+SAMPLE_ROWS = 1000
 SAMPLE_CHARS = 10_000
 CLEAN_SENTENCES = 30_000
 ROUNDS = 3
 TOXIC_FROM = 0.7
 
 _SENTENCES = re.compile(r"(?<=[.!?])\s+|\n+")
+_END_MARKS = np.frombuffer(b".!?", np.uint8)
+#: White space beyond ASCII's.
+_SPACES = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _SPELLED = re.compile(r"(?<!\S)\S(?:[ .\-_*]\S){3,}(?!\S)")
 #: Punctuation counts as characters of a word; at its end it does not.
 _EDGES = ".,;:!?\"'()[]{}«»¿¡…"
 _CODES = 64  # characters are hashed to so many classes
 
 
-def sentences(text: str) -> list[set[str]]:
-    """Each sentence's words, as a set: a word that is repeated says no more."""
+def plain(text: str) -> str:
+    """Lower-cased, words spelled letter by letter joined, every white space one that bytes know."""
     text = text.lower()
-    if _SPELLED.search(text):
-        text = _SPELLED.sub(lambda m: m.group()[::2], text)
-    return [set(part.split()) for part in _SENTENCES.split(text)]
+    if _SPACES.search(text):
+        text = _SPACES.sub(" ", text)
+    return _SPELLED.sub(lambda m: m.group()[::2], text) if _SPELLED.search(text) else text
+
+
+def sentences(text: str) -> list[set[str]]:
+    """Words of each sentence that has any, as a set: a word that is repeated says no more."""
+    return [s for part in _SENTENCES.split(plain(text)) if (s := set(part.split()))] or [set()]
 
 
 def bare(sentence: set[str]) -> set[str]:
@@ -83,8 +92,14 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     owners, grams, weights = map(np.concatenate, (owners, grams, weights))
     key = owners * _CODES ** 3 + grams
-    key, back = np.unique(key, return_inverse=True)
-    return key // _CODES ** 3, key % _CODES ** 3, np.bincount(back, weights, len(key))
+    if len(words) * _CODES ** 3 < 1 << 31:
+        key = key.astype(np.int32)  # sorts faster
+    order = np.argsort(key)
+    key, new = key[order].astype(np.int64), np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    first = np.flatnonzero(new)
+    key = key[first]
+    return key // _CODES ** 3, key % _CODES ** 3, np.add.reduceat(weights[order], first)
 
 
 class Kernel:
@@ -226,42 +241,74 @@ def train(texts: list[str], labels: list[int]) -> Model | None:
 
 
 class Scorer:
-    """Scores texts; keeps the shares of words met before, in two generations of at most ``most`` words each."""
+    """Scores texts; keeps the shares of words met before (by their numbers), in two generations of ``most`` words."""
 
     def __init__(self, model: Model, most: int = 600_000):
         self.model, self.most = model, most
         self.kernel = Kernel(model.landmarks)
-        self.share: dict[str, float] = {}
-        self.older: dict[str, float] = {}
+        self.share: dict[int, float] = {}
+        self.older: dict[int, float] = {}
+
+    def known(self, number: int) -> float | None:
+        if (share := self.share.get(number)) is None and (share := self.older.get(number)) is not None:
+            self.share[number] = share
+        return share
+
+    def learn(self, numbers: list[int], words: list[str]) -> None:
+        """Shares of words met for the first time, those of the words without punctuation at their ends."""
+        bare = [w.strip(_EDGES) for w in words]
+        self.share.update((n, 0.0) for n, b in zip(numbers, bare) if not b)
+        some = [(n, b) for n, b in zip(numbers, bare) if b]
+        own = word_numbers(" ".join([b for _, b in some]).encode()).tolist()
+        new = {o: b for o, (_, b) in zip(own, some) if self.known(o) is None}
+        for i in range(0, len(new), 2000):
+            part = [*new][i:i + 2000]
+            self.share.update(zip(part, (self.kernel([new[o] for o in part]) @ self.model.weights).tolist()))
+        self.share.update((n, self.share[o]) for o, (n, _) in zip(own, some))
 
-    def learn(self, words: set[str]) -> None:
-        """Shares of words (and of them without punctuation at their ends) that the younger generation lacks."""
+    def shares(self, data: bytes, spans, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(shares of the distinct words, which of them each word is)."""
         if len(self.share) > self.most:
             self.share, self.older = {}, self.share
-        of = {}
-        for w in words.difference(self.share):
-            if (share := self.older.get(w)) is None:
-                of[w] = w.strip(_EDGES)
-            else:
-                self.share[w] = share
-        new = []
-        for b in set(of.values()).difference(self.share):
-            if (share := self.older.get(b)) is None:
-                new.append(b)
-            else:
-                self.share[b] = share
-        new.sort()
-        for i in range(0, len(new), 2000):
-            part = new[i:i + 2000]
-            self.share.update(zip(part, (self.kernel(part) @ self.model.weights).tolist()))
-        self.share.update({w: self.share[b] for w, b in of.items()})
+        distinct, first, which = np.unique(numbers, return_index=True, return_inverse=True)
+        distinct = distinct.tolist()
+        found = list(map(self.share.get, distinct))
+        missing = [i for i, share in enumerate(found) if share is None and self.known(distinct[i]) is None]
+        if missing:
+            start, end = spans[0][first[missing]].tolist(), spans[1][first[missing]].tolist()
+            self.learn([distinct[i] for i in missing], [data[a:b].decode() for a, b in zip(start, end)])
+        for i, share in enumerate(found):
+            if share is None:
+                found[i] = self.share[distinct[i]]
+        return np.array(found), which
+
+    def margins(self, texts: list[str]) -> np.ndarray:
+        """The highest sentence sum of each text; 0 without words. All texts at once, on their bytes."""
+        out = np.zeros(len(texts))
+        parts = [plain(t).encode() for t in texts]
+        data = b"\n".join(parts)
+        spans = start, end = word_spans(np.frombuffer(data, np.uint8))
+        if not len(start):
+            return out
+        owner = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), start, side="right")
+        share, which = self.shares(data, spans, word_numbers(data, spans))
+        chars = np.frombuffer(data, np.uint8)
+        lines = np.concatenate([[0], np.cumsum(chars == 10)])
+        new = np.ones(len(start), bool)
+        new[1:] = np.isin(chars[end[:-1] - 1], _END_MARKS) | (lines[start[1:]] > lines[end[:-1]])
+        sentence = np.cumsum(new) - 1
+        # a sentence is the set of its words
+        pairs = np.sort(sentence * len(share) + which)
+        pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]]
+        sums = np.bincount(pairs // len(share), share[pairs % len(share)])
+        own = owner[new]
+        firsts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        out[own[firsts]] = np.maximum.reduceat(sums, firsts)
+        return out
 
     def score(self, texts: list[str]) -> list[float]:
-        docs = [sentences(t) for t in texts]
-        self.learn({w for doc in docs for s in doc for w in s})
-        m, of = self.model, self.share.__getitem__
-        margins = np.array([max([sum(map(of, s)) for s in doc], default=0.0) for doc in docs]) + m.bias
-        return (1 / (1 + np.exp(-np.clip(m.slope * margins + m.offset, -30, 30)))).tolist()
+        m = self.model
+        return (1 / (1 + np.exp(-np.clip(m.slope * (self.margins(texts) + m.bias) + m.offset, -30, 30)))).tolist()
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

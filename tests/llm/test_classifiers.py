@@ -173,3 +173,30 @@ def test_shares_kept_in_generations():
     small = T.Scorer(model, most=20)
     assert np.allclose([small.score([t])[0] for t in texts], T.Scorer(model).score(texts), atol=1e-9)
     assert len(small.share) + len(small.older) < 600
+
+
+def test_accepted_rows_are_those_of_the_predictions(odd_docs, no_docs, documents):
+    for docs in (documents, odd_docs):
+        keep = {(r.doc_id, r.score) for r in L.language_id(docs).collect() if r.accepted}
+        got = L.accepted_rows(docs)
+        assert got.schema == docs.schema
+        texts = sorted((str(r.doc_id), r.text) for r in got.collect())
+        want = sorted((str(d.doc_id), d.text) for d, r in zip(docs.collect(), L.language_id(docs).collect()) if r.accepted)
+        assert texts == want and len(texts) == sum(r.accepted for r in L.language_id(docs).collect()) and keep
+    assert L.accepted_rows(no_docs).count() == 0
+
+
+def test_margins_are_those_of_the_sentences():
+    """Scores of all texts at once, on bytes, against sums over each sentence's words."""
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("aeiorstnhlé"), rng.integers(1, 9))) for _ in range(200)] + ["...", "moron,", "(idiot)", "!?"]
+    model = T.train([" ".join(rng.choice(words[:200], 12)) + (" moron." if i % 2 else "!") for i in range(80)], [i % 2 for i in range(80)])
+    gaps = [" ", "  ", "\n", ". ", "! ", "?\n", "\xa0", "\u2003", "\t", ".\x0b"]
+    texts = ["".join(rng.choice(words) + rng.choice(gaps) for _ in range(rng.integers(0, 40))) for _ in range(120)]
+    texts += ["", " \n ", "...", "m o r o n", "x" * 5000, "word " * 3000, "\x00 a. \x00"]
+    scorer = T.Scorer(model)
+    kernel = T.Kernel(model.landmarks)
+    share = lambda w: float((kernel([w]) @ model.weights)[0]) if w else 0.0
+    want = [max(sum(share(w.strip(T._EDGES)) for w in s) for s in T.sentences(t)) for t in texts]
+    assert np.allclose(scorer.margins(texts), want, atol=1e-4)
+    assert np.allclose(scorer.margins(texts), [scorer.margins([t])[0] for t in texts], atol=1e-9)

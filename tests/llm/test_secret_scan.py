@@ -10,9 +10,9 @@ OPAQUE = re.compile("[A-Za-z0-9]{16,}")
 
 
 def slow(rows):
-    """(doc_id, text, owner) rows -> sorted results."""
-    docs, held = [], defaultdict(set)
-    for i, text, owner in rows:
+    """(doc_id, text, owner, lang) rows -> sorted results."""
+    docs, held, repos = [], defaultdict(set), defaultdict(set)
+    for i, text, owner, lang in rows:
         text = text or ""
         found = [("assign", m.start(), m.end(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
         found += [("access", m.start(), m.end(), m[0]) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
@@ -21,25 +21,28 @@ def slow(rows):
         looks = lambda v: len(re.findall("[0-9]", v)) >= 4 and len(re.findall("[A-Za-z]", v)) >= 4
         found = [(*f, looks(f[3])) for f in found if f[0] != "opaque" or looks(f[3])]
         for f in found:
-            held[f[3]].add(owner or "")
+            held[f[3]].add(owner)
+            repos[f[3]].add((owner, lang))
         docs.append((i, found))
     out = []
     order = ["assign", "access", "hex", "live"]
     text_of = lambda spans: ",".join(f"{k}:{a}:{b}" for a, k, b in
                                      sorted(spans, key=lambda s: (s[0], order.index(s[1]), s[2])))
+    copied_value = lambda v: len(held[v]) >= 3 or len(repos[v]) >= 6
     for i, found in docs:
         base = [(a, k, b) for k, a, b, _, _ in found if k != "opaque"]
-        live = {(b - len(v), "live", b) for _, _, b, v, looks in found if looks and len(held[v]) < 3}
-        copied = sum(len(held[v]) >= 3 for k, _, _, v, _ in found if k != "opaque")
+        live = {(b - len(v), "live", b) for _, _, b, v, looks in found if looks and not copied_value(v)}
+        copied = sum(copied_value(v) for k, _, _, v, _ in found if k != "opaque")
         count = lambda kind: sum(k == kind for _, k, _ in base)
         out.append((i, count("assign"), count("access"), count("hex"), hashlib.sha256(text_of(base).encode()).hexdigest(),
-                    text_of(base + list(live)), len(live), copied))
+                    text_of(base + list(live)), len(live), copied, max((len(held[f[3]]) for f in found), default=0),
+                    max((len(repos[f[3]]) for f in found), default=0)))
     return sorted(out, key=str)
 
 
 def check(docs):
     got = sorted(map(tuple, S.secret_scan(docs).collect()), key=str)
-    assert got == slow([tuple(r) for r in docs.select("doc_id", "text", "source").collect()])
+    assert got == slow([tuple(r) for r in docs.select("doc_id", "text", "source", "lang").collect()])
     return got
 
 
@@ -58,3 +61,14 @@ def test_odd_rows(spark, odd_docs, no_docs):
         spark.createDataFrame(more, "doc_id long, text string, lang string, source string"))
     check(docs.withColumn("kind", S.F.lit(1)).withColumn("digest", S.F.lit("x")))
     assert S.secret_scan(no_docs).collect() == []
+
+
+def test_owners_and_repositories(spark):
+    """A null owner is one of its own, apart from an empty one; many repositories of two owners make an example."""
+    key, other, third = "Zx9Yw8Vu7Ts6Rq5P", "Ab1Cd2Ef3Gh4Ij5K", "Qw1Er2Ty3Ui4Op5A"
+    rows = [(1, f"token={key}", None, "en"), (2, f"token={key}", "", "en"), (3, f"token={key}", "a", "en"),
+            *[(10 + i, f"token={other}", "ab"[i % 2], f"l{i // 2}") for i in range(6)],
+            *[(20 + i, f"token={third}", "ab"[i % 2], f"l{i // 2}") for i in range(4)]]
+    docs = spark.createDataFrame([(i, t, lang, owner) for i, t, owner, lang in rows], "doc_id long, text string, lang string, source string")
+    got = {r[0]: r[-4:] for r in check(docs)}
+    assert got[1] == (0, 1, 3, 3) and got[10] == (0, 1, 2, 6) and got[20] == (1, 0, 2, 4)

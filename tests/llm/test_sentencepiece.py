@@ -40,7 +40,7 @@ def test_odd_texts(own, apart):
     codec = S.Codec(S.MODEL_PATH, 1)
     assert codec.apart
     codec.apart = apart
-    for text, (ids, same) in zip(TEXTS, codec.encode(TEXTS)):
+    for text, (ids, same, _) in zip(TEXTS, codec.encode(TEXTS)):
         ids = np.frombuffer(ids, "<i4")
         assert ids.tolist() == own.encode(text) and same
         assert codec.decode([ids]) == [own.decode(ids.tolist())]
@@ -94,6 +94,28 @@ def test_unigram_model(tmp_path):
     codec = S.Codec(str(path), 1)
     assert codec.model.kind == S.UNIGRAM and codec.model.byte_fallback
     for text in ["abc ab a bc", "  abc", "abcabcab c", "xyz é", "ab  ab", ""]:
-        ids, same = codec.encode([text])[0]
+        ids, same, _ = codec.encode([text])[0]
         assert same and np.frombuffer(ids, "<i4").tolist() == own.encode(text)
         assert codec.decode([np.frombuffer(ids, "<i4")]) == [own.decode(own.encode(text))]
+
+
+def test_ids_are_the_tokenizers_librarys():
+    """Ids come from the rebuilt tokenizer; the model's own library only replaces those that differ."""
+    codec, calls = S.Codec(S.MODEL_PATH, 1), []
+    kept = codec.checked
+    codec.checked = lambda ids, own: calls.append((ids, own)) or kept(ids, own)
+    try:
+        codec.encode(["Some new words to learn, naïve ones too: 漢字."])
+    finally:
+        codec.checked = kept
+    assert calls and all(ids == own for ids, own in calls)
+    assert kept([1, 2], [1, 2]) == [1, 2] and kept([1, 2], [3]) == [3]
+
+
+def test_decoding_is_verified_by_unit():
+    codec = S.Codec(S.MODEL_PATH, 1)
+    texts = ["plain words here", "emoji 😀 and \x07 bell", "trailing  spaces  "]
+    encoded = codec.encode(texts)
+    by_decoder = codec.tokenizer.decode_batch([np.frombuffer(x, "<i4").tolist() for x, _, _ in encoded], skip_special_tokens=False)
+    assert codec.decode([np.frombuffer(x, "<i4") for x, _, _ in encoded], [j for _, _, j in encoded]) == by_decoder
+    assert codec.decode([np.frombuffer(x, "<i4") for x, _, _ in encoded], [False] * 3) == by_decoder

@@ -87,3 +87,29 @@ def test_search_ends_where_nothing_matches():
     index = FMIndex([np.array([1, 2, 3, 4])], 2)
     found = [(w.tolist(), a.tolist()) for w, a, _ in index.matches([np.array([2, 3, 4]), np.array([1, 3, 4])], 2)]
     assert found == [([0, 1], [1, 1]), ([0], [0])]
+
+
+def test_wide_keys_are_dealt_window_by_window(spark):
+    """One passage in many surroundings: its key has more words than a block, and results stay the same."""
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(12)]
+    rows = [(i, " ".join([f"a{rng.randrange(30)}" for _ in range(6)] + passage + [f"b{rng.randrange(30)}" for _ in range(6)]))
+            for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for block_words in (40, 300, 10_000):
+        assert got(S.substring_dedup(docs, window=8, gram=3, block_words=block_words)) == slow(rows, 8)
+
+
+def test_word_numbers():
+    from spendlens.llm.words import word_numbers
+
+    rng = random.Random(2)
+    texts = [b"", b" ", b"one", b" one  two\tone\n", "é é 漢字 é".encode(), b"\x00 \x00\x00 \x00", b"a\x1cb a\x85b"]
+    texts += [bytes(rng.choice(b"ab \n\x0b\x0c\r\t\x00") for _ in range(rng.randrange(40))) for _ in range(200)]
+    number = {}
+    for t in texts:
+        words, found = t.split(), word_numbers(t).tolist()
+        assert len(words) == len(found)
+        for w, n in zip(words, found):
+            assert number.setdefault(w, n) == n
+    assert len(set(number.values())) == len(number)
