@@ -2,7 +2,7 @@
 
 Every stage takes all that the one before kept. Stages but the last return the columns of
 documents. Each row is judged for itself: a stage gives every row of its input a key of its
-own, the operators carry it, and rows are kept by it, so null and repeated ids decide nothing
+own, the operators carry it, and rows go by it, so null and repeated ids decide nothing
 about each other. Of rows with equal or linked texts the one of the least id stays, a row with
 a null id only where no other has one. Null texts have no letters, so language identification
 rejects them.
@@ -19,56 +19,65 @@ from pyspark.sql import functions as F
 from spendlens.llm.common import stored, table
 from spendlens.llm.decontamination import contamination
 from spendlens.llm.exact_dedup import exact_dedup
-from spendlens.llm.language_id import language_id
+from spendlens.llm.language_id import accepted_rows
 from spendlens.llm.sentencepiece_tokens import sentencepiece_tokens
 from spendlens.llm.simhash import simhash_firsts
 
 
-KEY = "_pipeline_row"
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """Rows with a key of their own that every reading gives again: file and place in it, or else it is written.
 
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows with a key of their own that every reading gives again: file and place in it, or else it is written."""
-    spark = docs.sparkSession
+    The key's name is one that the table doesn't have."""
+    spark, taken = docs.sparkSession, {c.lower() for c in docs.columns}
+    free = lambda name: next(n for n in (name, *(f"{name}{i}" for i in range(len(taken) + 1))) if n not in taken)
+    key, file, number, place = map(free, ("pipeline_row", "pipeline_file", "pipeline_number", "pipeline_place"))
     # a table as read; behind a join or an explode, places in files would repeat
     if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
         try:
-            place = docs.metadataColumn("_metadata")
-            placed = docs.select("*", place["file_path"].alias("_file"), place["row_index"].alias("_place"))
-            names = sorted(r[0] for r in placed.select("_file").distinct().collect())  # as many as files
-            files = spark.createDataFrame(list(enumerate(names)), "_number long, _file string")
-            return placed.join(F.broadcast(files), "_file").select(
-                *docs.columns, F.expr("shiftleft(_number, 40) + _place").alias(KEY))
+            at = docs.metadataColumn("_metadata")
+            placed = docs.select("*", at["file_path"].alias(file), at["row_index"].alias(place))
+            names = sorted(r[0] for r in placed.select(file).distinct().collect())  # as many as files
+            files = spark.createDataFrame(list(enumerate(names)), f"{number} long, {file} string")
+            return placed.join(F.broadcast(files), file).select(
+                *[F.col(f"`{c}`") for c in docs.columns], F.expr(f"shiftleft({number}, 40) + {place}").alias(key)), key
         except AnalysisException:
             pass  # a source without places
-    return stored(docs.withColumn(KEY, F.monotonically_increasing_id()), "rows")
+    return stored(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), key
+
 
+def _without(docs: DataFrame, keys: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The rows whose key is not among what ``keys`` gives for the keyed rows.
 
-def _having(docs: DataFrame, keys: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The rows whose key is among what ``keys`` gives for the keyed rows."""
-    keyed = _keyed(docs)
-    return keyed.join(keys(keyed).select(KEY), KEY, "left_semi").select(docs.columns)
+    Few rows go, so their keys are written first: then Spark knows how small they are, broadcasts them
+    below its threshold and leaves the texts where they are.
+    """
+    keyed, key = _keyed(docs)
+    gone = stored(keys(keyed, key).select(key), "rejected")
+    return keyed.join(gone, key, "left_anti").select([f"`{c}`" for c in docs.columns])
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is predicted with enough confidence."""
-    return _having(docs, lambda rows: language_id(rows, key_col=KEY).where("accepted"))
+    return accepted_rows(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return _having(docs, lambda rows: exact_dedup(rows, key_col=KEY).where("kept"))
+    return _without(docs, lambda rows, key: exact_dedup(rows, key_col=key).where("not kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by SimHash fingerprints."""
-    return _having(docs, lambda rows: simhash_firsts(rows, KEY))
+    def others(rows, key):
+        return rows.select(key).join(simhash_firsts(rows, key).select(key), key, "left_anti")
+
+    return _without(docs, others)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     benchmark = table(spark, sf_dir, "benchmark")
-    return _having(docs, lambda rows: contamination(rows, benchmark, key_col=KEY).where("not contaminated"))
+    return _without(docs, lambda rows, key: contamination(rows, benchmark, key_col=key).where("contaminated"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
