@@ -41,7 +41,7 @@ from spendlens.llm.words import run_hashes, window_minima, word_numbers
 WINDOW = 50
 GRAM = 20
 #: Words that a task indexes at once.
-BLOCK_WORDS = 300_000
+BLOCK_WORDS = 100_000
 
 
 def _least_grams(ids: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +157,7 @@ def _single(window: int):
 def _first_holders(block: list[tuple[bytes, int]], window: int) -> list[np.ndarray]:
     """For each (content, smallest document) of a block, in order, the smallest document of each of its windows."""
     words = [c.split() for c, _ in block]
-    codes = {w: i for i, w in enumerate(sorted(set().union(*words)), 1)}
+    codes = {w: i for i, w in enumerate(set().union(*words), 1)}
     segments = [np.fromiter(map(codes.__getitem__, w), np.int64, len(w)) for w in words]
     index = FMIndex(segments, window)
     holder = index.least_by_class(np.array([least for _, least in block], np.int64))
@@ -176,26 +176,24 @@ def _search(window: int, block_words: int):
         def blocks():
             held, size, last = [], 0, None
             for batch in batches:
-                for key, part, content, least in zip(*(c.to_pylist() for c in batch.columns)):
+                for key, part, segment, window_id, content, least in zip(*(c.to_pylist() for c in batch.columns)):
                     if (key, part) != last:
                         if size >= block_words:
                             yield held
                             held, size = [], 0
                         last = key, part
-                    held.append((key, content, least))
+                    held.append((segment, window_id, content, least))
                     size += content.count(b" ") + 1
             if held:
                 yield held
 
         for held in blocks():
-            firsts = _first_holders([(content, least) for _, content, least in held], window)
+            firsts = _first_holders([row[2:] for row in held], window)
             for i in range(0, len(held), 5000):
-                part = held[i:i + 5000]
+                segments, windows, _, _ = zip(*held[i:i + 5000])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([key for key, _, _ in part], pa.int64()),
-                     pa.array([hashlib.sha256(content).hexdigest() for _, content, _ in part], pa.string()),
-                     pa.array(firsts[i:i + 5000], pa.list_(pa.int64()))],
-                    names=["key", "trimmed", "first"])
+                    [pa.array(segments, pa.int64()), pa.array(windows, pa.binary()), pa.array(firsts[i:i + 5000], pa.list_(pa.int64()))],
+                    names=["segment", "window", "first"])
 
     return run
 
@@ -244,25 +242,29 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # keys with more words than a block: few, or their share of the text would be larger
     words = F.col("windows") + F.lit(window - 1)
     wide = stored(distinct.groupBy("key").agg(F.sum(words).alias("words")).where(F.col("words") > block_words), "wide-keys")
+    none = lambda kind: F.lit(None).cast(kind)
     fitting = distinct.join(wide.select("key"), "key", "left_anti").select(
-        "segment", F.lit(0).alias("at"), "key", "least", "content", F.lit(0).cast("long").alias("words"))
-    many = stored(distinct.join(wide, "key").select("segment", "key", "least", "most", "content", "words"), "wide-segments")
+        "key", F.lit(0).cast("long").alias("part"), "segment", none("binary").alias("window"), "content", "least")
+    many = distinct.join(wide, "key").select("segment", "key", "least", "most", "content", "words")
     windows = stored(many.select("segment", "least", "most", "content")
                      .mapInArrow(_window_hashes(window), "segment long, least long, most long, at int, hash long"), "windows")
     twice = (windows.groupBy("hash").agg(F.min("least").alias("a"), F.max("most").alias("b"))
              .where("a < b").select("hash"))
     places = windows.join(twice, "hash").groupBy("segment").agg(F.collect_set("at").alias("places"))
-    single = (many.join(places, "segment").select("segment", "key", "least", "content", "places", "words")
-              .mapInArrow(_single(window), "segment long, at int, key long, least long, content binary, words long"))
-    # a wide key's windows are dealt to as many parts as blocks would hold them all
+    # a wide key's windows are dealt to as many parts as blocks would hold them all, equal ones as one
     parts = F.ceil(F.col("words") * window / block_words)
-    trimmed = stored(fitting.unionByName(single).withColumn("trimmed", F.sha2("content", 256)).withColumn(
-        "part", F.when(F.col("words") == 0, 0).otherwise(F.pmod(F.xxhash64("trimmed"), parts)).cast("long")), "trimmed")
-    shards = (trimmed.groupBy("key", "part", "trimmed").agg(F.min("least").alias("least"), F.max("content").alias("content"))
-              .repartition("key", "part").sortWithinPartitions("key", "part").select("key", "part", "content", "least"))
-    found = shards.mapInArrow(_search(window, block_words), "key long, trimmed string, first array<long>")
-    found = (trimmed.select("segment", "at", "key", "trimmed")
-             .join(found, ["key", "trimmed"]).select("segment", "at", "first"))
+    single = stored(
+        many.join(places, "segment").select("segment", "key", "least", "content", "places", "words")
+        .mapInArrow(_single(window), "segment long, at int, key long, least long, content binary, words long")
+        .withColumn("window", F.unhex(F.sha2("content", 256)))
+        .withColumn("part", F.pmod(F.xxhash64("window"), parts).cast("long")), "single")
+    apart = (single.groupBy("key", "part", "window").agg(F.min("least").alias("least"), F.max("content").alias("content"))
+             .select("key", "part", none("long").alias("segment"), "window", "content", "least"))
+    found = stored(fitting.union(apart).repartition("key", "part").sortWithinPartitions("key", "part")
+                   .mapInArrow(_search(window, block_words), "segment long, window binary, first array<long>"), "found")
+    found = (found.where("segment is not null").select("segment", F.lit(0).alias("at"), "first")
+             .union(single.select("segment", "at", "window").join(found.where("window is not null").select("window", "first"), "window")
+                    .select("segment", "at", "first")))
     found = distinct.select("segment", "key", "digest").join(found, "segment").select("key", "digest", "at", "first")
     starts = (holds.select("doc_id", "fp", "start", "key", "digest").distinct().join(found, ["key", "digest"])
               .select("doc_id", "fp", F.filter(
