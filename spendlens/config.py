@@ -16,7 +16,7 @@ D = dt.date
 
 @dataclass(frozen=True)
 class ReportConfig:
-    # lineage label prefix (the reference's ${EXAENV}); built in Python, never
+    # environment prefix of the lineage labels; built in Python, never
     # substituted by spark.sql, which would silently blank an unset variable
     env: str
     # "today" of the run; every CURRENT_DATE of the reference reads this
