@@ -165,6 +165,10 @@ class Codec:
             if t == BYTE:
                 table[i] = bytes([int(self.model.pieces[i][3:-1], 16)])
         self.piece_bytes = table
+        # pieces that the decoder doesn't just join: bytes, controls, and any that it shows otherwise
+        pairs = self.tokenizer.decode_batch([[i, i] for i in range(len(table))], skip_special_tokens=False)
+        self.odd_pieces = {i for i, (t, text) in enumerate(zip(table, pairs))
+                           if (t + t)[t[:1] == b" " and self.model.dummy_prefix:] != text.encode() or self.model.types[i] != NORMAL}
 
     def checked(self, ids: list[int], own: list[int]) -> list[int]:
         """The ids of the tokenizers library, or where it differs those of the model's own."""
@@ -176,11 +180,15 @@ class Codec:
         own = self.own.encode(units, num_threads=1)
         # a text's last space alone: the library takes "" for an empty text
         own = [a if u else [self.own.piece_to_id(MARK)] for u, a in zip(units, own)]
-        decoded = self.tokenizer.decode_batch(encoded, skip_special_tokens=False)
-        for unit, ids, a, text in zip(units, encoded, own, decoded):
+        odd = []
+        for unit, ids, a in zip(units, encoded, own):
             self.known[unit] = np.array(self.checked(ids, a), "<i4").tobytes()
             if ids != a:
                 self.unlike.add(unit)
+            if not self.odd_pieces.isdisjoint(ids):
+                odd.append((unit, ids))
+        decoded = self.tokenizer.decode_batch([ids for _, ids in odd], skip_special_tokens=False)
+        for (unit, ids), text in zip(odd, decoded):
             if text.encode() != b"".join(map(self.piece_bytes.__getitem__, ids))[1:]:
                 self.decoded_apart.add(unit)
 
