@@ -12,7 +12,7 @@ from spendlens import config
 from spendlens.functions import budget as B
 from spendlens.functions.catalog import project_name_corr, season
 from spendlens.operators.spread import explode_days
-from spendlens.plans import affiliate, branding, search, social
+from spendlens.plans import affiliate, branding, search, seasonal, social
 from spendlens.plans.affiliate import cet_date
 
 D = dt.date
@@ -216,3 +216,29 @@ def test_results_do_not_depend_on_session_time_zone(spark, cfg):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert base == other
+
+
+@pytest.mark.parametrize("key", (*seasonal.KEYS, None))
+def test_catalogues_and_costs_are_deduplicated_before_they_meet(spark, cfg, key):
+    """Repeated plan and cost rows don't multiply: no aggregate reads a join; rows without costs stay, once."""
+    plan_columns = ("initiative_name string, project_name string, pwm_shipping_type string, pwm_season_financial_year string, "
+                    "pwm_opp_wbkz string, pwm_ppc_wbkz string, pwm_wbkz string, pwm_pages_total bigint, "
+                    "pwm_circulation_plan bigint, pwm_circulation_actual bigint, pwm_new_test bigint, pwm_format_height double, "
+                    "pwm_format_width double, pwm_content_surface_weight double, pwm_content_number_pages double, "
+                    "pwm_cover_surface_weight double, pwm_cover_number_pages double")
+    row = lambda wbkz, pages: ("i", "Plain", "Mail", "23/24", wbkz, wbkz, wbkz, pages, 1, 1, 0, *[1.0] * 6)
+    plan = spark.createDataFrame([row("o1", 0), row("o1", None), row("o2", 5), row(None, 5)] * 50, plan_columns)
+    cost = spark.createDataFrame([("o1", "Druck", Decimal("2.50")), ("o1", None, None), (None, "Porto", Decimal("1.00"))] * 50,
+                                 "auftrag string, kostenartenbes string, wert_overall decimal(18,2)")
+    cat = literal_catalog(spark, {"print_plan": plan, **dict.fromkeys(
+        ("print_creation_cost", "print_creative_cost", "print_shipping_cost"), cost)})
+    out = seasonal.report(cat, cfg) if key is None else seasonal.branch(cat, cfg, key)
+    got = sorted(((r.wbkz, r.pages_total, r.kostenartenbeschreibung, r.costs) for r in out.collect()), key=str)
+    if key is None:
+        want = [("o1", 0, "Druck", 2.5), ("o1", 0, None, None), ("o2", 5, None, None)] * 3
+    else:
+        want = [("o1", p, *c) for p in (0, None) for c in (("Druck", 2.5), (None, None))] + [("o2", 5, None, None), (None, 5, None, None)]
+    assert got == sorted(want, key=str)
+    lines = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    join = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert not any("Aggregate" in line for line in lines[:join])
