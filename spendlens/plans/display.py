@@ -11,7 +11,7 @@ from .. import fixed_values as fv
 from ..config import ReportConfig
 from ..operators.context import Fallback, rule_arm
 from ..operators.islands import day_islands
-from ..operators.rollup import activity, rollup
+from ..operators.rollup import Branch, activity, rollup, view_rows
 from .common import campaigns_for, channel_view, context_for, label
 
 KEYS = ("dis_adition", "dis_adition_partner", "dis_google_ace", "dis_gdn", "dis_odin", "dis_bing_audience")
@@ -63,10 +63,11 @@ def adition_partner(cat, cfg, ctx):
         F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"), F.sum("budget").alias("cost_euro"))
     j = daily.join(banners, daily["camp_id"] == banners["campaign_id"], "inner")
     n = F.col("_n")
-    facts = j.select(
+    # a campaign has one count, so these are the day sums already
+    sums = j.select(
         "reporting_date", "camp_id", (F.col("impressions") * n).alias("impressions"),
         (F.col("clicks") * n).alias("clicks"), (F.col("cost_euro") * n).alias("cost_euro"))
-    return rollup(facts, ctx, Fallback(fv.CH_DISPLAY), label(cfg, fv.SRC_ADITION_PARTNER))
+    return view_rows(sums, ctx, Branch(sums, Fallback(fv.CH_DISPLAY), label(cfg, fv.SRC_ADITION_PARTNER)))
 
 
 def google_ace(cat, cfg, ctx):

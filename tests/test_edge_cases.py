@@ -12,7 +12,7 @@ from spendlens import config
 from spendlens.functions import budget as B
 from spendlens.functions.catalog import project_name_corr, season
 from spendlens.operators.spread import explode_days
-from spendlens.plans import affiliate, branding, search, seasonal, social
+from spendlens.plans import affiliate, branding, display, registry, search, seasonal, social
 from spendlens.plans.affiliate import cet_date
 
 D = dt.date
@@ -242,3 +242,18 @@ def test_catalogues_and_costs_are_deduplicated_before_they_meet(spark, cfg, key)
     lines = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
     join = next(i for i, line in enumerate(lines) if "Join" in line)
     assert not any("Aggregate" in line for line in lines[:join])
+
+
+def test_partner_sums_are_not_summed_again(spark, cfg):
+    """Partner rows are summed once per day and campaign; every banner row of the campaign repeats the sums."""
+    perf = spark.createDataFrame([(D(1999, 1, 1), "c1", 10, 1, Decimal("2.00")), (D(1999, 1, 1), "c1", 10, 1, Decimal("3.00")),
+                                  (D(1999, 1, 2), "c2", 5, 1, Decimal("1.00")), (D(1999, 1, 2), None, 5, 1, Decimal("1.00"))],
+                                 "business_date date, camp_id string, impressions bigint, clicks bigint, budget decimal(18,2)")
+    banners = spark.createDataFrame([(1, "c1", dt.datetime(2099, 1, 1)), (2, "c1", dt.datetime(2099, 1, 1)), (3, None, dt.datetime(2099, 1, 1))],
+                                    "bid bigint, campaign_id string, banner_known_until_utc timestamp_ntz")
+    mapping = spark.createDataFrame([("x", "C", "N", "c1"), ("y", "C", "N", "c1")], MAP)
+    cat = literal_catalog(spark, {"adition_partner_perf": perf, "adition_ad_identifier_map": banners, "planning_context_map": mapping})
+    out = display.branch(cat, cfg, "dis_adition_partner")
+    assert [(r.camp_id, r.impressions, r.clicks, r.cost_euro) for r in out.collect()] == [("c1", 80, 8, Decimal("20.00"))]
+    lines = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert sum("Aggregate" in line and "sum(impressions" in line for line in lines) == 1
