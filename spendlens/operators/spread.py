@@ -1,7 +1,7 @@
 """Interval -> days: spread a row valid from ``start`` to ``end`` over its days.
 
 ``explode_days`` gives every row's days; ``running_days`` gives sums per key and day without
-making a row per day first.
+making a row per day first, and ``running_spans`` the spans of days with the same sums.
 
 The reference joins a generated calendar to the interval table with
 ``DATUM BETWEEN START AND END`` (a range join; Spark would plan a nested-loop
@@ -37,12 +37,24 @@ def explode_days(df: DataFrame, start: str, end: str, lo: dt.date, hi: dt.date,
 
 def running_days(df: DataFrame, keys: list[str], start: str, end: str, lo: dt.date, hi: dt.date,
                  sums: dict[str, Column], out: str = "day") -> DataFrame:
-    """Sums of the rows that are valid on a day, per key and day of [lo, hi]: keys, ``out``, the sums, ``n_rows``.
+    """Sums of the rows that are valid on a day, per key and day of [lo, hi]: keys, ``out``, the sums, ``n_rows``."""
+    spans = running_spans(df, keys, start, end, lo, hi, sums)
+    return spans.select(*keys, span_days().alias(out), *sums, "n_rows")
+
+
+def span_days() -> Column:
+    """The days of a span, a row each."""
+    return F.explode(F.sequence("first_day", "last_day"))
+
+
+def running_spans(df: DataFrame, keys: list[str], start: str, end: str, lo: dt.date, hi: dt.date,
+                  sums: dict[str, Column]) -> DataFrame:
+    """The same per key and span of days without a change: keys, first_day, last_day, the sums, ``n_rows``.
 
     Difference encoding: an interval becomes two changes, plus its values on its first day and minus on
     the day after its last, so two rows per interval enter the aggregation (map-side) however long it is.
-    Changes are summed per key and day, a running sum gives the state from each change to the next, and
-    only then are days filled in. A key's changes are at most one per day of the calendar, so the window
+    Changes are summed per key and day, a running sum gives the state from each change to the next;
+    days are filled in later. A key's changes are at most one per day of the calendar, so the window
     holds no more than that even for a key that has a third of all rows.
 
     ``sums`` are whole numbers or DECIMALs, so what is added is taken away exactly. As in SUM, NULLs are
@@ -66,7 +78,6 @@ def running_days(df: DataFrame, keys: list[str], start: str, end: str, lo: dt.da
     ordered = Window.partitionBy(*keys).orderBy("_day")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     states = daily.select(
-        *keys, "_day", F.lead("_day").over(ordered).alias("_next"), F.sum("_n").over(so_far).alias("n_rows"),
+        *keys, F.col("_day").alias("first_day"), F.date_sub(F.lead("_day").over(ordered), 1).alias("last_day"), F.sum("_n").over(so_far).alias("n_rows"),
         *[F.when(F.sum(f"_n_{c}").over(so_far) > 0, F.sum(F.coalesce(F.col(c), F.lit(0))).over(so_far)).alias(c) for c in sums])
-    return (states.filter(F.col("n_rows") > 0)
-            .select(*keys, F.explode(F.sequence("_day", F.date_sub("_next", 1))).alias(out), *sums, "n_rows"))
+    return states.filter(F.col("n_rows") > 0).select(*keys, "first_day", "last_day", *sums, "n_rows")

@@ -16,7 +16,7 @@ from .. import fixed_values as fv
 from ..config import ReportConfig
 from ..functions.budget import with_budget
 from ..operators.context import CLASS_COLUMNS, planning_context
-from ..operators.spread import explode_days, running_days
+from ..operators.spread import explode_days, running_days, running_spans, span_days
 from .common import CHANNEL_VIEW, campaigns_for, label, union_all
 
 KEYS = ("aff_awin_cost", "aff_private_network_cost", "aff_fixcost_daily", "aff_clicks")
@@ -83,6 +83,13 @@ def fixcost_sums(cat, cfg):
                         out="reporting_date").select("reporting_date", "camp_id", "cost", F.lit(0).cast("bigint").alias("clicks"))
 
 
+def fixcost_spans(cat, cfg):
+    """The same per campaign and span of days with the same sum."""
+    rows, lo, hi = _fixcosts(cat, cfg)
+    return running_spans(rows, ["camp_id"], "start_date", "end_date", lo, hi, {"cost": F.col("cost")}).select(
+        "first_day", "last_day", "camp_id", "cost", F.lit(0).cast("bigint").alias("clicks"))
+
+
 def _ts_lit(day: dt.date):
     return F.lit(f"{day.isoformat()} 00:00:00").cast("timestamp_ntz")
 
@@ -173,18 +180,50 @@ def branch(cat, cfg: ReportConfig, key: str, ctx: DataFrame | None = None) -> Da
                        context(cat, cfg) if ctx is None else ctx)
 
 
+def _repeated(cost: Column, n: Column) -> Column:
+    """n times a sum: exact where it fits, as the product of wide DECIMALs loses digits of the fraction."""
+    return F.coalesce(cost.try_cast("decimal(27,13)") * n.cast("decimal(10,0)"), (cost * n).cast("decimal(38,13)"))
+
+
+def _summed_in_context(cfg: ReportConfig, key: str, sums: DataFrame, ctx: DataFrame) -> DataFrame:
+    """Sums per campaign and day, or span of days, once per context of the campaign: report rows.
+
+    Mapping rows that differ in their channel only repeat a sum; they are counted on the mapping's side.
+    """
+    _, _, source, fallback, _ = BRANCHES[key]
+    code, name = F.col("planning_context_code"), F.col("planning_context_name")
+    if fallback is not None:
+        code, name = F.coalesce(code, F.lit(fallback[0])), F.coalesce(name, F.lit(fallback[1]))
+    contexts = ((click_context(ctx) if fallback is None else ctx).filter(F.col("camp_id").isNotNull())
+                .groupBy(F.col("camp_id").alias("_ctx_camp"), code.alias("_code"), name.alias("_name"))
+                .agg(F.count(F.lit(1)).cast("int").alias("_rows")))
+    j = sums.join(contexts, sums["camp_id"] == contexts["_ctx_camp"], "inner" if fallback is None else "left")
+    n = F.coalesce(F.col("_rows"), F.lit(1))
+    unmapped = fallback or (None, None)
+    return j.select(
+        *[c for c in ("reporting_date", "first_day", "last_day") if c in sums.columns],
+        F.when(F.col("_rows").isNull(), F.lit(unmapped[0])).otherwise(F.col("_code")).alias("planning_context_code"),
+        F.when(F.col("_rows").isNull(), F.lit(unmapped[1])).otherwise(F.col("_name")).alias("planning_context_name"),
+        F.lit(fv.CH_AFFILIATES).alias("channel"), "camp_id", F.lit(label(cfg, source)).alias("source_system"),
+        F.lit(0).cast("bigint").alias("impressions"), (F.col("clicks") * n).cast("bigint").alias("clicks"),
+        _repeated(F.col("cost"), n).alias("cost_euro"))
+
+
 def report(cat, cfg: ReportConfig) -> DataFrame:
     """Sums per day, context, channel, campaign and source.
 
     Each branch is summed per (day, campaign) first, so the context meets sums, not
     raw rows: a campaign of many rows (or none at all, the NULL key) is combined
-    map-side before any join.
+    map-side before any join. The branches differ in their source and the contexts are counted,
+    so nothing is summed after the joins. Fix costs meet the dimensions as spans; their days come last.
     """
     ctx = context(cat, cfg)
-    parts = [_in_context(cfg, key, sums(cat, cfg), ctx) for key, (_, sums, *_) in BRANCHES.items()]
-    keys = ["reporting_date", "planning_context_code", "planning_context_name", "channel", "camp_id", "source_system"]
-    agg = union_all(parts).groupBy(*keys).agg(F.sum("clicks").cast("bigint").alias("clicks"),
-                                              F.sum("cost_euro").alias("cost_euro"))
     classes = campaigns_for(cat, distinct=True).select("camp_id", *CLASS_COLUMNS)
-    out = with_budget(agg.withColumn("impressions", F.lit(0).cast("bigint")).join(classes, "camp_id", "left"))
-    return out.select(*CHANNEL_VIEW).withColumn("cost_euro", F.col("cost_euro").cast("double"))
+    parts = []
+    for key, (_, sums, *_) in BRANCHES.items():
+        rows = fixcost_spans(cat, cfg) if key == "aff_fixcost_daily" else sums(cat, cfg)
+        part = _summed_in_context(cfg, key, rows, ctx).join(classes, "camp_id", "left")
+        if key == "aff_fixcost_daily":
+            part = part.withColumn("reporting_date", span_days()).drop("first_day", "last_day")
+        parts.append(part)
+    return with_budget(union_all(parts)).select(*CHANNEL_VIEW).withColumn("cost_euro", F.col("cost_euro").cast("double"))

@@ -257,3 +257,28 @@ def test_partner_sums_are_not_summed_again(spark, cfg):
     assert [(r.camp_id, r.impressions, r.clicks, r.cost_euro) for r in out.collect()] == [("c1", 80, 8, Decimal("20.00"))]
     lines = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
     assert sum("Aggregate" in line and "sum(impressions" in line for line in lines) == 1
+
+
+def test_affiliate_contexts_are_counted_and_nothing_is_summed_after_joins(spark, cfg):
+    """Mapping rows that differ in the channel repeat a sum, also where the fallback makes them equal."""
+    day = cfg.as_of - dt.timedelta(days=9)
+    fix = spark.createDataFrame([(camp, Decimal("10.00"), 3, day, day + dt.timedelta(days=2), "true") for camp in ("c1", "c1", "c2", "c3", None)],
+                                "campaign string, cost_euro decimal(18,2), duration_in_days int, start_date date, end_date date, additional_costs string")
+    code, name = affiliate.fv.PC_PRIVATE_NETWORK
+    mapping = spark.createDataFrame([("x", "C", "N", "c1"), ("y", "C", "N", "c1"), ("x", "D", "N", "c1"),
+                                     ("x", None, None, "c2"), ("x", code, name, "c2")], MAP)
+    cost = spark.createDataFrame([], "order_timestamp timestamp_ntz, camp_id string, nw_provision_hr decimal(18,2), nw_networkfee_hr decimal(18,2)")
+    cat = literal_catalog(spark, {
+        "affiliate_fixcost": fix, "planning_context_map": mapping, "affiliate_costs_awin": cost, "affiliate_costs_private_network": cost,
+        "tracking_calls": spark.createDataFrame([], "external_call_h_sk bigint, event_created_at_utc timestamp_ntz, bot boolean"),
+        "tracking_call_campaign_link": spark.createDataFrame([], "external_call_h_sk bigint, campaign_h_sk bigint"),
+        "campaign_hub": spark.createDataFrame([], "campaign_h_sk bigint, campaign_id string"),
+        "campaign_persist": spark.createDataFrame([], "campaign_id string")})
+    out = affiliate.report(cat, cfg)
+    third = 10 / 3
+    got = {(r.camp_id, r.planning_context_code, r.planning_context_name): r.cost_euro for r in out.collect() if r.reporting_date == day}
+    assert got == pytest.approx({("c1", "C", "N"): 4 * third, ("c1", "D", "N"): 2 * third, ("c2", code, name): 2 * third,
+                                 ("c3", code, name): third, (None, code, name): third})
+    assert out.count() == 15
+    lines = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert not any("Aggregate" in line and "source_system" in line for line in lines)
