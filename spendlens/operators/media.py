@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
+from .fees import month_key
 from .spread import running_days
 
 PLACEMENT_KEYS = ("adgap_ids", "campaign_scope", "channel", "media_type", "media_billing_type",
@@ -60,22 +61,27 @@ def booked_days(plan: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
 LEVEL4_KEYS = ("adgap_ids", "campaign_scope", "channel", "media_type", "media_billing_type")
 
 
+def delivery_rows(delivery: DataFrame, adgap_map: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
+    """Delivered clicks and impressions per ad-gap id and day, in the id groups of the id."""
+    ad = (delivery.filter(F.col("reporting_date").between(F.lit(lo), F.lit(hi)))
+          .groupBy(F.coalesce(F.col("banner_external_id"), F.col("campaign_external_id")).alias("adgap_id"),
+                   F.col("reporting_date").alias("datum"))
+          .agg(F.sum("clicks").alias("clicks"), F.sum("impressions").alias("impressions")))
+    return (ad.join(adgap_map.select("adgap_id", "adgap_ids"), "adgap_id", "inner")
+            .select("adgap_ids", "datum", "clicks", "impressions"))
+
+
 def delivery_per_group(delivery: DataFrame, adgap_map: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
     """Delivered clicks and impressions per (ad-gap id group, day).
 
     The fact is aggregated per (ad-gap id, day) first (map-side partial sums),
     then mapped to its id groups through the (small) mapping and summed again.
     """
-    ad = (delivery.filter(F.col("reporting_date").between(F.lit(lo), F.lit(hi)))
-          .groupBy(F.coalesce(F.col("banner_external_id"), F.col("campaign_external_id")).alias("adgap_id"),
-                   F.col("reporting_date").alias("datum"))
-          .agg(F.sum("clicks").alias("clicks"), F.sum("impressions").alias("impressions")))
-    return (ad.join(adgap_map.select("adgap_id", "adgap_ids"), "adgap_id", "inner")
-            .groupBy("adgap_ids", "datum")
+    return (delivery_rows(delivery, adgap_map, lo, hi).groupBy("adgap_ids", "datum")
             .agg(F.sum("clicks").alias("clicks"), F.sum("impressions").alias("impressions")))
 
 
-def _times_placements(per_group: DataFrame, plan: DataFrame, keys) -> DataFrame:
+def _times_placements(per_group: DataFrame, plan: DataFrame) -> DataFrame:
     """Repeat each group's delivery once per matching placement, as a multiplier.
 
     As written, every delivery row joins every placement sharing its id group
@@ -84,10 +90,10 @@ def _times_placements(per_group: DataFrame, plan: DataFrame, keys) -> DataFrame:
     (a dimension aggregate) and the sums multiplied: the
     fact side never fans out.
     """
-    attrs = placements(plan).groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("_n"))
+    attrs = placements(plan).groupBy(*PLACEMENT_KEYS).agg(F.count(F.lit(1)).cast("bigint").alias("_n"))
     j = per_group.join(attrs, "adgap_ids", "inner")
     return j.select(
-        "datum", *keys,
+        "datum", *PLACEMENT_KEYS,
         F.lit(0.0).alias("buchungsvolumen"), F.lit(0.0).alias("kosten_nnn"),
         (F.col("clicks") * F.col("_n")).alias("clicks"), (F.col("impressions") * F.col("_n")).alias("impressions"),
     )
@@ -95,17 +101,7 @@ def _times_placements(per_group: DataFrame, plan: DataFrame, keys) -> DataFrame:
 
 def delivered_days(delivery: DataFrame, adgap_map: DataFrame, plan: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
     """The delivered leg at its written grain: per placement attributes and day."""
-    return _times_placements(delivery_per_group(delivery, adgap_map, lo, hi), plan, PLACEMENT_KEYS)
-
-
-def delivered_level4(delivery: DataFrame, adgap_map: DataFrame, plan: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
-    """The delivered leg already summed to the grain of the next level.
-
-    The next level groups by (id group, day, billing type, media type, scope,
-    channel) and its fee join keys (month, media type) are among those, so the
-    per-placement rows (creative type, client, duration) never need to exist.
-    """
-    return _times_placements(delivery_per_group(delivery, adgap_map, lo, hi), plan, LEVEL4_KEYS)
+    return _times_placements(delivery_per_group(delivery, adgap_map, lo, hi), plan)
 
 
 def effective_cost(kosten: Column, volume: Column, impressions: Column, clicks: Column, billing: Column) -> Column:
@@ -121,3 +117,78 @@ def effective_cost(kosten: Column, volume: Column, impressions: Column, clicks:
         .otherwise(kosten),
         F.lit(0.0),
     )
+
+
+#: Attributes of a fee level row within its (id group, scope, channel).
+FEE_ATTRIBUTES = ("media_type", "media_billing_type")
+
+
+def _total(rows: Column, field: str, type_: str) -> Column:
+    """SUM of a field of array elements: NULLs are skipped, NULL if there is nothing else."""
+    return F.aggregate(rows, F.lit(None).cast(type_), lambda total, r: F.coalesce(total + r[field], total, r[field]))
+
+
+def digital_level3(delivery: DataFrame, adgap_map: DataFrame, plan: DataFrame, fees: DataFrame,
+                   lo: dt.date, hi: dt.date) -> DataFrame:
+    """Both legs with the month's fee per (day, scope, id group, channel): booked and effective cost, volumes, largest fee.
+
+    As written, both legs are summed per (id group, day, LEVEL4_KEYS), where the fee joins (by month and media
+    type) and the effective cost is taken, and summed again without billing and media type. A group's delivery
+    counts once per matching placement (without a date check), so that level has a row per group, day and
+    attribute set of the group's placements. These rows are not shuffled or held: a group's day is one row with
+    its booked sums, the group's attribute sets (a dimension) join it, and the level's rows are made, joined
+    with their fee and summed within it. The work per row grows with the group's attribute sets only.
+
+    ``fees`` has fee_month, sub_channel_branding (upper case), fee and _fees, the number of rows it stands for.
+    """
+    booked = booked_days(plan, lo, hi).groupBy("datum", *LEVEL4_KEYS).agg(
+        F.sum("buchungsvolumen").alias("volume"), F.sum("kosten_nnn").alias("cost"))
+    entry = F.struct(*LEVEL4_KEYS[1:], "volume", "cost")
+    days = (booked.select("adgap_ids", "datum", entry.alias("_entry"), F.lit(None).cast("bigint").alias("clicks"),
+                          F.lit(None).cast("bigint").alias("impressions"), F.lit(False).alias("_delivered"))
+            .unionByName(delivery_rows(delivery, adgap_map, lo, hi).filter(F.col("adgap_ids").isNotNull())
+                         .withColumn("_delivered", F.lit(True)), allowMissingColumns=True)
+            .groupBy("adgap_ids", "datum")
+            .agg(F.sum("clicks").alias("_clicks"), F.sum("impressions").alias("_impressions"),
+                 F.max("_delivered").alias("_delivered"), F.collect_list("_entry").alias("_booked")))
+    sets = placements(plan).groupBy(*LEVEL4_KEYS).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    sets = (sets.groupBy("adgap_ids", "campaign_scope", "channel")
+            .agg(F.collect_list(F.struct(*FEE_ATTRIBUTES, "n")).alias("sets"))
+            .groupBy(F.col("adgap_ids").alias("_group"))
+            .agg(F.collect_list(F.struct("campaign_scope", "channel", "sets")).alias("_scopes")))
+    monthly = (fees.filter(F.col("sub_channel_branding").isNotNull()).groupBy("fee_month")
+               .agg(F.map_from_entries(F.collect_list(F.struct("sub_channel_branding", F.struct("fee", "_fees")))).alias("_month_fees")))
+    rows = (days.join(sets, F.col("adgap_ids").eqNullSafe(F.col("_group"))).withColumn("_scope", F.explode("_scopes"))
+            .join(monthly, month_key(F.col("datum")) == F.col("fee_month"), "left"))
+
+    def level4(s: Column) -> Column:
+        """The row of one attribute set."""
+        same = F.filter("_booked", lambda e: (e["campaign_scope"].eqNullSafe(F.col("_scope.campaign_scope")))
+                        & (e["channel"].eqNullSafe(F.col("_scope.channel")))
+                        & (e["media_type"].eqNullSafe(s["media_type"]))
+                        & (e["media_billing_type"].eqNullSafe(s["media_billing_type"])))
+        return F.struct(s["media_type"].alias("media_type"), s["media_billing_type"].alias("billing"), s["n"].alias("n"),
+                        F.get(same, F.lit(0)).alias("booked"), F.col("_month_fees")[s["media_type"]].alias("fee"))
+
+    def with_sums(r: Column) -> Column:
+        def either(c: Column, none: Column) -> Column:
+            return F.coalesce(c, none)
+
+        times = either(r["fee"]["_fees"], F.lit(1))
+        zero = F.when(F.col("_delivered"), F.lit(0.0))  # a delivery has no cost and no booked volume
+        none = F.when(r["booked"].isNotNull(), F.lit(0).cast("bigint"))  # a booking has no clicks
+        return F.struct(
+            (either(r["booked"]["cost"], zero) * times).alias("cost"), (either(r["booked"]["volume"], zero) * times).alias("volume"),
+            (either(F.col("_clicks") * r["n"], none) * times).alias("clicks"),
+            (either(F.col("_impressions") * r["n"], none) * times).alias("impressions"),
+            r["billing"].alias("billing"), r["fee"]["fee"].alias("fee"))
+
+    there = F.filter(F.transform("_scope.sets", level4), lambda r: F.col("_delivered") | r["booked"].isNotNull())
+    rows = rows.withColumn("_rows", F.transform(there, with_sums)).filter(F.size("_rows") > 0)
+    effective = F.aggregate("_rows", F.lit(0.0), lambda total, r: total + effective_cost(
+        r["cost"], r["volume"], r["impressions"], r["clicks"], r["billing"]))
+    return rows.select(
+        "datum", F.col("_scope.campaign_scope").alias("campaign_scope"), "adgap_ids", F.col("_scope.channel").alias("channel"),
+        _total(F.col("_rows"), "cost", "double").alias("kosten_nnn"), _total(F.col("_rows"), "clicks", "bigint").alias("clicks"),
+        effective.alias("kosten_nnn_eff"), F.array_max(F.transform("_rows", lambda r: r["fee"])).alias("fee"),
+        _total(F.col("_rows"), "impressions", "bigint").alias("impressions"))

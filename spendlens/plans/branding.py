@@ -18,7 +18,7 @@ from ..config import ReportConfig
 from ..functions import budget as B
 from ..functions.text import has_upper, lacks
 from ..operators.fees import fee_rows, join_fee, month_key
-from ..operators.media import LEVEL4_KEYS, booked_days, delivered_days, delivered_level4, effective_cost
+from ..operators.media import booked_days, delivered_days, digital_level3
 from ..operators.reconcile import reconcile
 from ..operators.rollup import activity
 from ..operators.unions import union_all
@@ -131,27 +131,13 @@ def broadcast_media(cat, cfg: ReportConfig, keys=tuple(BROADCAST)) -> DataFrame:
 
 
 # ------------------------------------------------------------------- digital
-def digital_level4(cat, cfg: ReportConfig) -> DataFrame:
-    """Both legs with the month's fee, per (id group, day, billing, media type, scope, channel).
-
-    The delivered leg enters at this grain directly (see delivered_level4). The fee joins the sums, since
-    its keys (month, media type) are among theirs.
-    """
-    lo, hi = cfg.branding_min_date, cfg.yesterday
-    booked = booked_days(cat["digital_mediaplan"], lo, hi)
-    delivered = delivered_level4(cat["bpn_adition_perf"], cat["adgap_id_mapping"], cat["digital_mediaplan"],
-                                 lo, hi)
-    cols = ("datum", *LEVEL4_KEYS, "buchungsvolumen", "kosten_nnn", "clicks", "impressions")
-    legs = union_all([booked.select(*cols), delivered.select(*cols)])
-    sums = legs.groupBy("datum", *LEVEL4_KEYS).agg(
-        *[F.sum(c).alias(c) for c in ("kosten_nnn", "impressions", "buchungsvolumen", "clicks")])
+def digital_sums(cat, cfg: ReportConfig) -> DataFrame:
+    """Both legs with the month's fee, per (day, scope, id group, channel)."""
     # a month and media type with several fee rows repeats its rows; the largest fee counts
     fees = (fee_rows(cat["agency_fee"], fv.FEE_DIGITAL, True)
             .groupBy("fee_month", F.upper("sub_channel_branding").alias("sub_channel_branding")).agg(F.max("fee").alias("fee"), F.count(F.lit(1)).alias("_fees")))
-    joined = join_fee(sums, "datum", fees, sub_channel=F.col("media_type"), cols=("fee", "_fees"))
-    n = F.coalesce(F.col("_fees"), F.lit(1))
-    return joined.select("datum", *LEVEL4_KEYS, "fee",
-                         *[(F.col(c) * n).alias(c) for c in ("kosten_nnn", "impressions", "buchungsvolumen", "clicks")])
+    return digital_level3(cat["bpn_adition_perf"], cat["adgap_id_mapping"], cat["digital_mediaplan"], fees,
+                          cfg.branding_min_date, cfg.yesterday)
 
 
 def digital(cat, cfg):
@@ -160,13 +146,7 @@ def digital(cat, cfg):
     The reference aggregates five times; three of the levels repeat the keys of
     the level below (one row per group), so they are projections here.
     """
-    lvl4 = digital_level4(cat, cfg)
-    eff = effective_cost(F.col("kosten_nnn"), F.col("buchungsvolumen"), F.col("impressions"), F.col("clicks"),
-                         F.col("media_billing_type"))
-    lvl3 = (lvl4.groupBy("datum", "campaign_scope", "adgap_ids", "channel")
-            .agg(F.sum("kosten_nnn").alias("kosten_nnn"), F.sum("clicks").alias("clicks"),
-                 F.sum(eff).alias("kosten_nnn_eff"), F.max("fee").alias("fee"),
-                 F.sum("impressions").alias("impressions")))
+    lvl3 = digital_sums(cat, cfg)
     media = F.when(F.col("kosten_nnn_eff") > F.col("kosten_nnn"), F.col("kosten_nnn")).otherwise(F.col("kosten_nnn_eff"))
     lvl1 = lvl3.select("datum", "campaign_scope", "channel", "clicks", "impressions",
                        media.alias("media_cost"), (media * F.col("fee")).alias("infrastructure_cost"))

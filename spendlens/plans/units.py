@@ -14,7 +14,6 @@ from ..config import ReportConfig
 from ..functions import budget as B
 from ..operators.context import ambiguous_contexts, arm_value, condensed_context, planning_context, rule_arm
 from ..operators.fees import fee_rows, join_fee
-from ..operators.media import effective_cost
 from ..operators.reconcile import last_actual_date, reconcile
 from . import branding
 
@@ -126,12 +125,7 @@ def agency_fee_q(cat, cfg):
 
 def effective_media_cost_q(cat, cfg):
     """Digital per (day, scope, id group, channel): booked, effective and capped cost."""
-    lvl4 = branding.digital_level4(cat, cfg)
-    eff = effective_cost(F.col("kosten_nnn"), F.col("buchungsvolumen"), F.col("impressions"), F.col("clicks"),
-                         F.col("media_billing_type"))
-    lvl3 = (lvl4.groupBy(F.col("datum").alias("reporting_date"), "campaign_scope", "adgap_ids", "channel")
-            .agg(F.sum("kosten_nnn").alias("kosten_nnn"), F.sum(eff).alias("kosten_nnn_eff"),
-                 F.max("fee").alias("fee")))
+    lvl3 = branding.digital_sums(cat, cfg).withColumnRenamed("datum", "reporting_date")
     capped = F.when(F.col("kosten_nnn_eff") > F.col("kosten_nnn"), F.col("kosten_nnn")).otherwise(F.col("kosten_nnn_eff"))
     return lvl3.select("reporting_date", "campaign_scope", "adgap_ids", "channel", "kosten_nnn", "kosten_nnn_eff",
                        capped.alias("media_cost"), F.col("fee").cast("double").alias("fee"))

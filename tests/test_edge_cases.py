@@ -282,3 +282,30 @@ def test_affiliate_contexts_are_counted_and_nothing_is_summed_after_joins(spark,
     assert out.count() == 15
     lines = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
     assert not any("Aggregate" in line and "source_system" in line for line in lines)
+
+
+def test_digital_level_rows_are_not_shuffled(spark, cfg):
+    """Booked and delivered rows of a group meet per attribute set; fees count by month and media type; NULL groups stay."""
+    day = D(1999, 5, 2)
+    columns = ("adgap_ids string, campaign_scope string, channel string, media_type string, media_billing_type string, "
+               "media_creative_type string, client string, placement_start_cet date, placement_end_cet date, "
+               "target_group_size int, daily_media_cost_nnn_euro decimal(18,2)")
+    place = lambda group, media, billing, cost, first=day: (
+        group, "Branding", "OLV", media, billing, "Banner", "c", first, first, 10, Decimal(cost))
+    plan = spark.createDataFrame([place("g", "Display", "CPM", "10.00"), place("g", "Display", "CPM", "30.00"), place("g", "Display", "Fix", "5.00"),
+                                  place("g", "Native", "CPC", "7.00", D(1999, 6, 1)), place(None, "Display", "CPM", "9.00")], columns)
+    delivery = spark.createDataFrame([("b", "x", day, 1, 2), (None, "b", day, 2, 3), ("z", "x", day, 9, 9)],
+                                     "banner_external_id string, campaign_external_id string, reporting_date date, clicks bigint, impressions bigint")
+    cat = literal_catalog(spark, {
+        "digital_mediaplan": plan, "bpn_adition_perf": delivery,
+        "adgap_id_mapping": spark.createDataFrame([("b", "g"), ("z", None)], "adgap_id string, adgap_ids string"),
+        "agency_fee": spark.createDataFrame([("199905", "Digital", "IO", Decimal("0.1000"), None, None, None)] * 2, FEE)})
+    out = registry.builders()["effective_media_cost"](cat, cfg)
+    got = {(r.adgap_ids, r.reporting_date): (r.kosten_nnn, r.kosten_nnn_eff, r.fee) for r in out.collect()}
+    # two fee rows double the sums; CPM: (10 + 30) / 20 x 2 x 5 x 2, the plain one its booked cost, June's placement nothing
+    assert got == {("g", day): (pytest.approx(90.0), pytest.approx(2 * 2 * 5 * 2 + 10.0), pytest.approx(0.1)),
+                   (None, day): (pytest.approx(18.0), pytest.approx(0.0), pytest.approx(0.1)),
+                   ("g", D(1999, 6, 1)): (pytest.approx(7.0), pytest.approx(0.0), None)}
+    lines = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    join = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert not any("Aggregate" in line for line in lines[:join])
