@@ -39,12 +39,7 @@ def running_days(df: DataFrame, keys: list[str], start: str, end: str, lo: dt.da
                  sums: dict[str, Column], out: str = "day") -> DataFrame:
     """Sums of the rows that are valid on a day, per key and day of [lo, hi]: keys, ``out``, the sums, ``n_rows``."""
     spans = running_spans(df, keys, start, end, lo, hi, sums)
-    return spans.select(*keys, span_days().alias(out), *sums, "n_rows")
-
-
-def span_days() -> Column:
-    """The days of a span, a row each."""
-    return F.explode(F.sequence("first_day", "last_day"))
+    return spans.select(*keys, F.explode(F.sequence("first_day", "last_day")).alias(out), *sums, "n_rows")
 
 
 def running_spans(df: DataFrame, keys: list[str], start: str, end: str, lo: dt.date, hi: dt.date,

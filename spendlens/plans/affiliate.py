@@ -16,7 +16,7 @@ from .. import fixed_values as fv
 from ..config import ReportConfig
 from ..functions.budget import with_budget
 from ..operators.context import CLASS_COLUMNS, planning_context
-from ..operators.spread import explode_days, running_days, running_spans, span_days
+from ..operators.spread import explode_days, running_days, running_spans
 from .common import CHANNEL_VIEW, campaigns_for, label, union_all
 
 KEYS = ("aff_awin_cost", "aff_private_network_cost", "aff_fixcost_daily", "aff_clicks")
@@ -84,10 +84,10 @@ def fixcost_sums(cat, cfg):
 
 
 def fixcost_spans(cat, cfg):
-    """The same per campaign and span of days with the same sum."""
+    """The same per campaign and span of days with the same sum, as an array."""
     rows, lo, hi = _fixcosts(cat, cfg)
     return running_spans(rows, ["camp_id"], "start_date", "end_date", lo, hi, {"cost": F.col("cost")}).select(
-        "first_day", "last_day", "camp_id", "cost", F.lit(0).cast("bigint").alias("clicks"))
+        F.sequence("first_day", "last_day").alias("days"), "camp_id", "cost", F.lit(0).cast("bigint").alias("clicks"))
 
 
 def _ts_lit(day: dt.date):
@@ -201,7 +201,7 @@ def _summed_in_context(cfg: ReportConfig, key: str, sums: DataFrame, ctx: DataFr
     n = F.coalesce(F.col("_rows"), F.lit(1))
     unmapped = fallback or (None, None)
     return j.select(
-        *[c for c in ("reporting_date", "first_day", "last_day") if c in sums.columns],
+        *[c for c in ("reporting_date", "days") if c in sums.columns],
         F.when(F.col("_rows").isNull(), F.lit(unmapped[0])).otherwise(F.col("_code")).alias("planning_context_code"),
         F.when(F.col("_rows").isNull(), F.lit(unmapped[1])).otherwise(F.col("_name")).alias("planning_context_name"),
         F.lit(fv.CH_AFFILIATES).alias("channel"), "camp_id", F.lit(label(cfg, source)).alias("source_system"),
@@ -224,6 +224,6 @@ def report(cat, cfg: ReportConfig) -> DataFrame:
         rows = fixcost_spans(cat, cfg) if key == "aff_fixcost_daily" else sums(cat, cfg)
         part = _summed_in_context(cfg, key, rows, ctx).join(classes, "camp_id", "left")
         if key == "aff_fixcost_daily":
-            part = part.withColumn("reporting_date", span_days()).drop("first_day", "last_day")
+            part = part.withColumn("reporting_date", F.explode("days")).drop("days")
         parts.append(part)
     return with_budget(union_all(parts)).select(*CHANNEL_VIEW).withColumn("cost_euro", F.col("cost_euro").cast("double"))
