@@ -22,8 +22,9 @@ import hashlib
 import os
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,10 @@ from spendlens.llm.common import small_batches
 
 #: Default model: the public 32k vocabulary. Any SentencePiece model file will do.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-#: Units a task keeps between batches; the store is emptied beyond it (results do not depend on it).
+#: Units a task keeps between batches; beyond it only those in use stay (results do not depend on it).
 KEPT_UNITS = 400_000
+#: Units encoded in one string; a piece never spans two of them.
+JOINED_UNITS = 64
 MARK = "▁"
 
 # fixed values: types of a piece and of a model in the file format
@@ -158,17 +161,20 @@ class Codec:
                       and not self.model.charsmap and not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.model.pieces))
         self.units = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
         self.known: dict[str, bytes] = {}  # unit without its first marker: ids as int32
+        self.before: dict[str, bytes] = {}  # units known before the store was last renewed
         self.unlike: set[str] = set()  # units that the two libraries code differently
         self.decoded_apart: set[str] = set()  # units whose pieces, joined, are not what the decoder gives
         table = [p.replace(MARK, " ").encode() for p in self.model.pieces]
         for i, t in enumerate(self.model.types):
             if t == BYTE:
                 table[i] = bytes([int(self.model.pieces[i][3:-1], 16)])
-        self.piece_bytes = table
+        self.piece_bytes, self.piece_array = table, pa.array(table, pa.large_binary())
         # pieces that the decoder doesn't just join: bytes, controls, and any that it shows otherwise
         pairs = self.tokenizer.decode_batch([[i, i] for i in range(len(table))], skip_special_tokens=False)
         self.odd_pieces = {i for i, (t, text) in enumerate(zip(table, pairs))
                            if (t + t)[t[:1] == b" " and self.model.dummy_prefix:] != text.encode() or self.model.types[i] != NORMAL}
+        self.is_odd = np.zeros(len(table), bool)
+        self.is_odd[list(self.odd_pieces)] = True
 
     def checked(self, ids: list[int], own: list[int]) -> list[int]:
         """The ids of the tokenizers library, or where it differs those of the model's own."""
@@ -176,21 +182,54 @@ class Codec:
 
     def learn(self, units: list[str]) -> None:
         """Ids of units not seen yet, and on which of them coding or decoding differs from the model's own library."""
+        # a text's last space alone and units with markers of their own could run into the next
+        plain = [u for u in units if u and MARK not in u]
+        encoded = self.plain.encode_batch_fast([MARK + MARK.join(plain[i:i + JOINED_UNITS]) for i in range(0, len(plain), JOINED_UNITS)],
+                                               add_special_tokens=False)
+        own = self.own.encode(plain, num_threads=1)
+        ids = list(chain.from_iterable(e.ids for e in encoded))
+        if self.checked(ids, list(chain.from_iterable(own))) is ids:
+            self.keep(plain, ids, [len(a) for a in own])
+            units = [u for u in units if not u or MARK in u]
+        if units:  # also all, where any of the others differs
+            self.learn_apart(units)
+
+    def learn_apart(self, units: list[str]) -> None:
+        """As ``learn``, each unit encoded by itself."""
         encoded = [e.ids for e in self.plain.encode_batch_fast([MARK + u for u in units], add_special_tokens=False)]
         own = self.own.encode(units, num_threads=1)
         # a text's last space alone: the library takes "" for an empty text
         own = [a if u else [self.own.piece_to_id(MARK)] for u, a in zip(units, own)]
-        odd = []
-        for unit, ids, a in zip(units, encoded, own):
-            self.known[unit] = np.array(self.checked(ids, a), "<i4").tobytes()
-            if ids != a:
-                self.unlike.add(unit)
-            if not self.odd_pieces.isdisjoint(ids):
-                odd.append((unit, ids))
-        decoded = self.tokenizer.decode_batch([ids for _, ids in odd], skip_special_tokens=False)
-        for (unit, ids), text in zip(odd, decoded):
-            if text.encode() != b"".join(map(self.piece_bytes.__getitem__, ids))[1:]:
-                self.decoded_apart.add(unit)
+        self.unlike.update(u for u, ids, a in zip(units, encoded, own) if ids != a)
+        self.keep(units, list(chain.from_iterable(encoded)), list(map(len, encoded)))
+        self.known.update((u, np.array(self.checked(ids, a), "<i4").tobytes()) for u, ids, a in zip(units, encoded, own))
+
+    def keep(self, units: list[str], ids: list[int], sizes: list[int]) -> None:
+        """Notes the units' ids, given one behind the other, and which of the units are decoded otherwise than joined."""
+        flat, ends = np.array(ids, "<i4"), list(accumulate(sizes))
+        starts, buffer = [0, *ends[:-1]], flat.tobytes()
+        self.known.update(zip(units, [buffer[4 * a:4 * b] for a, b in zip(starts, ends)]))
+        odd = np.unique(np.searchsorted(ends, np.flatnonzero(self.is_odd[flat]), "right")).tolist()
+        decoded = self.tokenizer.decode_batch([ids[starts[i]:ends[i]] for i in odd], skip_special_tokens=False)
+        for i, text in zip(odd, decoded):
+            if text.encode() != b"".join(map(self.piece_bytes.__getitem__, ids[starts[i]:ends[i]]))[1:]:
+                self.decoded_apart.add(units[i])
+
+    def renew(self) -> None:
+        """Drops the units that were not used since the last time, so that frequent ones stay known."""
+        self.known, self.before = {}, self.known
+        self.unlike.intersection_update(self.before)
+        self.decoded_apart.intersection_update(self.before)
+
+    def recall(self, units: set[str]) -> None:
+        """Makes all units known: those of the last store are taken over, others are learnt."""
+        new = units.difference(self.known)
+        if self.before:
+            again = new.intersection(self.before)
+            self.known.update(zip(again, map(self.before.__getitem__, again)))
+            new -= again
+        if new:
+            self.learn(list(new))
 
     def cut(self, text: str) -> list[str]:
         """Units without their first marker."""
@@ -205,11 +244,9 @@ class Codec:
             return [(np.array(self.checked(b.ids, a), "<i4").tobytes(), a == b.ids, False)
                     for a, b in zip(self.own.encode(texts, num_threads=1), encoded)]
         if len(self.known) > KEPT_UNITS:
-            for kept in (self.known, self.unlike, self.decoded_apart):
-                kept.clear()
+            self.renew()
         cut = [self.cut(t) for t in texts]
-        if new := set().union(*cut).difference(self.known):
-            self.learn(list(new))
+        self.recall(set().union(*cut))
         ids = self.known.__getitem__
         return [(b"".join(map(ids, units)), not self.unlike or self.unlike.isdisjoint(units),
                  not self.decoded_apart or self.decoded_apart.isdisjoint(units)) for units in cut]
@@ -217,14 +254,17 @@ class Codec:
     def decode(self, ids: list[np.ndarray], joinable: list[bool] | None = None) -> list[str]:
         """Texts of id sequences by the library's decoder. It decodes unit by unit, and for units that were
         decoded when they were learnt, joining their pieces gives the same without decoding them again."""
-        piece, out = self.piece_bytes.__getitem__, [None] * len(ids)
-        for i, x in enumerate(ids):
-            if joinable is None or joinable[i]:
-                joined = b"".join(map(piece, x.tolist()))
-                try:
-                    out[i] = joined.decode()[joined[:1] == b" " and self.model.dummy_prefix:]
-                except UnicodeDecodeError:
-                    pass
+        out, joinable = [None] * len(ids), range(len(ids)) if joinable is None else [i for i, j in enumerate(joinable) if j]
+        tokens = [ids[i] for i in joinable]
+        # all pieces at once, cut where a text ends
+        _, ends, data = self.piece_array.take(pa.array(np.concatenate([np.empty(0, "<i4"), *tokens]))).buffers()
+        ends, data = np.frombuffer(ends, "<i8")[[0, *accumulate(map(len, tokens))]].tolist(), memoryview(data)
+        for i, (a, b) in zip(joinable, pairwise(ends)):
+            joined = data[a:b].tobytes()
+            try:
+                out[i] = joined.decode()[joined[:1] == b" " and self.model.dummy_prefix:]
+            except UnicodeDecodeError:
+                pass
         left = [i for i, text in enumerate(out) if text is None]
         for i, text in zip(left, self.tokenizer.decode_batch([ids[i].tolist() for i in left], skip_special_tokens=False)):
             out[i] = text

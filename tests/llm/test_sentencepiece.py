@@ -119,3 +119,48 @@ def test_decoding_is_verified_by_unit():
     by_decoder = codec.tokenizer.decode_batch([np.frombuffer(x, "<i4").tolist() for x, _, _ in encoded], skip_special_tokens=False)
     assert codec.decode([np.frombuffer(x, "<i4") for x, _, _ in encoded], [j for _, _, j in encoded]) == by_decoder
     assert codec.decode([np.frombuffer(x, "<i4") for x, _, _ in encoded], [False] * 3) == by_decoder
+
+
+def test_new_units_are_encoded_together(own):
+    """Texts whose units are joined to be encoded get the ids that the library gives each text."""
+    class Counting:
+        calls = []
+
+        def encode_batch_fast(self, texts, **options):
+            self.calls.extend(texts)
+            return plain.encode_batch_fast(texts, **options)
+
+    codec = S.Codec(S.MODEL_PATH, 1)
+    plain, codec.plain = codec.plain, Counting()
+    texts = [" ".join(f"{a}{b}é{k}" for b in "xyz" for k in range(20)) + "  " + a for a in "abcdefgh"] + TEXTS
+    for text, (ids, same, _) in zip(texts, codec.encode(texts)):
+        assert np.frombuffer(ids, "<i4").tolist() == own.encode(text) and same
+    assert len(Counting.calls) < len(codec.known) / 10
+
+
+def test_units_that_differ_are_told_apart(own):
+    class Other:
+        """A library that codes one unit otherwise."""
+        piece_to_id = own.piece_to_id
+
+        def encode(self, units, num_threads):
+            return [[7] if u == "w33" else ids for u, ids in zip(units, own.encode(units, num_threads=num_threads))]
+
+    codec = S.Codec(S.MODEL_PATH, 1)
+    codec.own = Other()
+    texts = [f"w{i} and  other words " for i in range(100)]
+    for i, (text, (ids, same, _)) in enumerate(zip(texts, codec.encode(texts))):
+        assert same == (i != 33)
+        expected = own.encode(text)
+        assert np.frombuffer(ids, "<i4").tolist() == ([7] + expected[len(own.encode("w33")):] if i == 33 else expected)
+
+
+def test_units_in_use_are_learnt_once(monkeypatch):
+    monkeypatch.setattr(S, "KEPT_UNITS", 4)
+    codec, learnt = S.Codec(S.MODEL_PATH, 1), []
+    learn = codec.learn
+    codec.learn = lambda units: learnt.extend(units) or learn(units)
+    for i in range(30):
+        codec.encode([f"often used {i}a {i}b"])
+    assert learnt.count("often") == learnt.count("used") == 1
+    assert len(codec.known) + len(codec.before) <= 14
