@@ -10,8 +10,10 @@ Jaccard similarity of at least 0.8 with it; lines are judged on the input.
   before they are shuffled.
 * Prefix filter. Lines that similar share a token among each other's first
   n - ceil(0.8 n) + 1; only tokens that two lines hold are followed.
-* First round. Each line is verified against the earliest line of each of its prefix tokens.
-  That settles copies and dense groups with as many pairs as postings.
+* Copies. A line with the words of the earliest line of one of its prefix tokens (by a hash) is
+  removed unverified, and no line is held against it: that earlier line stands for it.
+* First round. Each other line is verified against the earliest line of each of its prefix tokens.
+  That settles dense groups with as many pairs as postings.
 * Second round. Lines not settled are joined with all earlier lines of their tokens, under
   the length and the positional filter, and verified. Nothing is capped.
 
@@ -34,10 +36,13 @@ SIMILARITY = 0.8
 WORD_BUCKETS = 1 << 16
 COMMON_SHARE = 1 / (1 << 11)
 _LAST = (1 << 63) - 1
+_LINE = ["doc_id", "line", "whole"]
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(F.translate(line, "\t\r\x0b\x0c", "    "), " "), lambda w: w != "")
+    for space in "\t\r\x0b\x0c":
+        line = F.replace(line, F.lit(space), F.lit(" "))
+    return F.array_remove(F.split(line, " "), "")
 
 
 def _bucket(word_hash: Column) -> Column:
@@ -45,25 +50,29 @@ def _bucket(word_hash: Column) -> Column:
 
 
 def _with_tokens(lines: DataFrame, n: int, common: list[int]) -> DataFrame:
-    """The set of a line's shingle hashes, each led by how many common words the shingle has; rarest first."""
-    hashed = lines.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).drop("words")
-    hashes, count = F.col("hashes"), F.size("hashes")
-    counted = hashed.withColumn("known", F.transform(hashes, lambda h: F.when(_bucket(h).isin(common), 1).otherwise(0))) \
-        if common else hashed.withColumn("known", F.transform(hashes, lambda h: F.lit(0)))
-
-    def token(parts: list[Column], known: Column) -> Column:
-        return F.shiftrightunsigned(F.xxhash64(*parts), 4) + F.shiftleft(known.cast("long"), 60)
+    """The set of a line's shingle hashes, each led by how many common words the shingle has; rarest first.
 
-    def shingle(i: Column) -> Column:
-        known = F.get("known", i)
+    ``whole`` is a hash of the line's words in order: rows that repeat an id have other lines under one number."""
+    hashes, count = F.col("hashes"), F.size("hashes")
+    hashed = lines.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).drop("words").withColumn(
+        "whole", F.xxhash64("hashes"))
+    if common:  # the lowest bit says whether a word is common
+        hashed = hashed.withColumn("hashes", F.transform(hashes, lambda h: F.when(
+            _bucket(h).isin(common), h.bitwiseOR(1)).otherwise(h.bitwiseAND(-2))))
+
+    def token(shingle: Column) -> Column:
+        mixed = F.shiftrightunsigned(F.xxhash64(shingle), 4)
+        if not common:
+            return mixed
+        known = shingle["0"].bitwiseAND(1)
         for k in range(1, n):
-            known = known + F.get("known", i + k)
-        return token([F.get(hashes, i + k) for k in range(n)], known)
+            known = known + shingle[str(k)].bitwiseAND(1)
+        return mixed + F.shiftleft(known, 60)
 
-    whole = F.array(token([hashes, count], F.lit(0)))
-    shingles = F.transform(F.sequence(F.lit(0), F.greatest(count - n, F.lit(0))), shingle)
-    return counted.select("doc_id", "line", F.sort_array(F.array_distinct(
-        F.when(count >= n, shingles).otherwise(whole))).alias("tokens"))
+    whole = F.array(F.shiftrightunsigned(F.xxhash64(hashes, count), 4))
+    rows = F.arrays_zip(*[F.slice(hashes, k + 1, F.greatest(count - n + 1, F.lit(0))).alias(str(k)) for k in range(n)])
+    return hashed.select("doc_id", "line", "whole", F.sort_array(F.array_distinct(
+        F.when(count >= n, F.transform(rows, token)).otherwise(whole))).alias("tokens"))
 
 
 def _least_overlap(x: Column) -> Column:
@@ -72,10 +81,10 @@ def _least_overlap(x: Column) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(doc_id, line) of pairs' lines that reach the similarity with (a_doc, a_line)."""
-    a = sets.select(F.col("doc_id").alias("a_doc"), F.col("line").alias("a_line"), F.col("tokens").alias("a"))
+    """(doc_id, line) of pairs' lines that reach the similarity with (a_doc, a_line, a_whole)."""
+    a = sets.select(F.col("doc_id").alias("a_doc"), F.col("line").alias("a_line"), F.col("whole").alias("a_whole"), F.col("tokens").alias("a"))
     shared = F.size(F.array_intersect("a", "tokens"))
-    return (pairs.join(sets, ["doc_id", "line"]).join(a, ["a_doc", "a_line"])
+    return (pairs.join(sets, _LINE).join(a, ["a_doc", "a_line", "a_whole"])
             .where(shared >= (F.size("a") + F.size("tokens") - shared) * F.lit(similarity) - F.lit(1e-9))
             .select("doc_id", "line").distinct())
 
@@ -94,26 +103,31 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     sized = _with_tokens(worded, shingle_words, common).withColumn("size", F.size("tokens"))
     prefix = F.col("size") - _least_overlap(F.col("size") * F.lit(similarity)) + 1
-    postings = sized.select("doc_id", "line", "size", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("at", "token"))
-    held = postings.groupBy("token").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"))
+    # written, since the words are dear: read for the counts, and for the lines of tokens held twice
+    postings = stored(sized.select(*_LINE, "size", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("at", "token")), "prefix-tokens")
+    held = postings.groupBy("token").agg(F.min(F.struct(*_LINE)).alias("first"), F.count("*").alias("n"))
     shared = stored(postings.join(held.where("n > 1").drop("n"), "token"), "line-postings")
 
-    ids = shared.select("doc_id", "line").distinct()
-    # whole lines are fetched once, for those that share a token
-    bodies = stored(lines.join(ids, ["doc_id", "line"], "left_semi").dropDuplicates(["doc_id", "line"]), "line-bodies")
+    is_later = "struct(first.doc_id, first.line) < struct(doc_id, line)"
+    copies = stored(shared.where(is_later).where("first.whole = whole").select(*_LINE).distinct(), "line-copies")
+    shared = stored(shared.join(copies, _LINE, "left_anti"), "uncopied-postings")
+    later = shared.where(is_later)
+    # whole lines are fetched once, for those of a token that two lines hold
+    ids = shared.join(later.select("token").distinct(), "token", "left_semi").select("doc_id", "line").distinct()
+    bodies = stored(lines.join(ids, ["doc_id", "line"], "left_semi").dropDuplicates(["doc_id", "line", "body"]), "line-bodies")
     sets = _with_tokens(bodies.select("doc_id", "line", _words(F.col("body")).alias("words")), shingle_words, [])
-    later = shared.where("first < struct(doc_id, line)")
-    settled = stored(_verified(later.select("doc_id", "line", F.col("first.doc_id").alias("a_doc"),
-                                            F.col("first.line").alias("a_line")).distinct(), sets, similarity), "settled")
-    probe = later.join(settled, ["doc_id", "line"], "left_anti").select("token", "doc_id", "line", "size", "at")
-    earlier = shared.select("token", F.col("doc_id").alias("a_doc"), F.col("line").alias("a_line"),
+    settled = stored(_verified(later.select(*_LINE, F.col("first.doc_id").alias("a_doc"), F.col("first.line").alias("a_line"),
+                                            F.col("first.whole").alias("a_whole")).distinct(), sets, similarity), "settled")
+    settled = copies.select("doc_id", "line").union(settled).distinct()
+    probe = later.join(settled, ["doc_id", "line"], "left_anti").select("token", *_LINE, "size", "at")
+    earlier = shared.select("token", F.col("doc_id").alias("a_doc"), F.col("line").alias("a_line"), F.col("whole").alias("a_whole"),
                             F.col("size").alias("a_size"), F.col("at").alias("a_at"))
     least = _least_overlap((F.col("size") + F.col("a_size")) * F.lit(similarity / (1 + similarity)))
     pairs = (probe.join(earlier, "token")
              .where("struct(a_doc, a_line) < struct(doc_id, line)")
              .where(F.least("size", "a_size") >= F.greatest("size", "a_size") * F.lit(similarity) - F.lit(1e-9))
              .where(F.least(F.col("size") - F.col("at"), F.col("a_size") - F.col("a_at")) >= least)
-             .select("doc_id", "line", "a_doc", "a_line").distinct())
+             .select(*_LINE, "a_doc", "a_line", "a_whole").distinct())
     return settled.union(_verified(pairs, sets, similarity))
 
 

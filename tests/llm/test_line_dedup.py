@@ -70,6 +70,26 @@ def test_common_shingle_in_many_lines(spark):
     assert {r[0] for r in found if r[2]} == {2000 + i for i in range(20)}
 
 
+def test_rows_that_repeat_an_id_have_lines_of_their_own(spark):
+    """Under one number, a copy and the original of a later line."""
+    one, two, three = ("alpha beta gamma delta epsilon " + w for w in ("one", "two words", "and three more"))
+    docs = spark.createDataFrame([(3, one), (5, one), (5, two), (7, two), (None, three), (None, two + " x y z"), (None, one)] +
+                                 [(20 + i, f"{i} {three}") for i in range(4)], "doc_id long, text string").repartition(4)
+    assert got(docs) == slow(rows_of(docs))
+
+
+def test_copies_are_not_verified(spark, monkeypatch):
+    """Prefix tokens are written once; of lines that only have copies, no text is fetched again."""
+    kept, stored = [], D.stored
+    monkeypatch.setattr(D, "stored", lambda df, label, **o: kept.append((label, stored(df, label, **o))) or kept[-1][1])
+    docs = spark.createDataFrame([(i, "the very same line of words\n" + " ".join(f"w{i // 2}{c}" for c in "abcdefgh")) for i in range(40)],
+                                 "doc_id long, text string")
+    assert got(docs) == slow(rows_of(docs))
+    tables = dict(kept)
+    assert tables["line-copies"].count() == 39 + 20 and tables["line-bodies"].count() == 0
+    assert "prefix-tokens" in tables
+
+
 def test_lines_are_taken_out(spark):
     docs = spark.createDataFrame([(1, "a\nb\na\nc", "x"), (2, "b", "x"), (3, None, "x"), (4, "new", "x")],
                                  "doc_id long, text string, line string")
