@@ -8,11 +8,15 @@ Jaccard similarity of at least 0.8 with it; lines are judged on the input.
   more than a fixed share of all words (so there are at most 1 / share common buckets); a token
   is the rarer the fewer common words it has. Every word is counted; the counts are combined
   before they are shuffled.
-* Prefix filter. Lines that similar share a token among each other's first
-  n - ceil(0.8 n) + 1; only tokens that two lines hold are followed.
-* Copies. A line with the words of the earliest line of one of its prefix tokens (by a hash) is
-  removed unverified, and no line is held against it: that earlier line stands for it.
-* First round. Each other line is verified against the earliest line of each of its prefix tokens.
+* Copies. A line with the words of an earlier line (by a hash) is removed unverified, and no line
+  is held against it: that earlier line stands for it.
+* Grams. A first prefix filter orders tokens by their rarest word, so that the prefix is the tokens
+  of a few words, and all tokens of a word hold one of two grams of three words. Lines that similar
+  share two grams; those that share fewer with lines of other words are left. Only grams and the
+  lines' hashes are shuffled, once.
+* Prefix filter, on the others, with their whole lines. Lines that similar share a token among each
+  other's first n - ceil(0.8 n) + 1; only tokens that two lines hold are followed.
+* First round. Each line is verified against the earliest line of each of its prefix tokens.
   That settles dense groups with as many pairs as postings.
 * Second round. Lines not settled are joined with all earlier lines of their tokens, under
   the length and the positional filter, and verified. Nothing is capped.
@@ -33,15 +37,27 @@ from spendlens.llm.common import stored
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 #: Words are counted in so many buckets, and are common from this share of all words on.
-WORD_BUCKETS = 1 << 16
+WORD_BUCKETS = 1 << 14
 COMMON_SHARE = 1 / (1 << 11)
+#: So many grams of a line must be in lines of other words.
+SHARED_GRAMS = 2
 _LAST = (1 << 63) - 1
+#: A word's place in its line, in the low bits.
+_PLACE_BITS = 24
+_PLACES = (1 << _PLACE_BITS) - 1
 _LINE = ["doc_id", "line", "whole"]
 
 
-def _words(line: Column) -> Column:
+def _plain(text: Column) -> Column:
+    """Null as empty, and each white space but the end of a line as a space."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    spaced = text
     for space in "\t\r\x0b\x0c":
-        line = F.replace(line, F.lit(space), F.lit(" "))
+        spaced = F.replace(spaced, F.lit(space), F.lit(" "))
+    return F.when(text.rlike("[\\t\\r\\x0b\\x0c]"), spaced).otherwise(text)
+
+
+def _words(line: Column) -> Column:
     return F.array_remove(F.split(line, " "), "")
 
 
@@ -49,13 +65,15 @@ def _bucket(word_hash: Column) -> Column:
     return word_hash.bitwiseAND(WORD_BUCKETS - 1).cast("int")
 
 
-def _with_tokens(lines: DataFrame, n: int, common: list[int]) -> DataFrame:
-    """The set of a line's shingle hashes, each led by how many common words the shingle has; rarest first.
+def _hashed(lines: DataFrame) -> DataFrame:
+    """Words as hashes, and ``whole``, a hash of the line's words in order: rows that repeat an id have other lines under one number."""
+    return lines.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).drop("words").withColumn("whole", F.xxhash64("hashes"))
+
 
-    ``whole`` is a hash of the line's words in order: rows that repeat an id have other lines under one number."""
+def _with_tokens(lines: DataFrame, n: int, common: list[int]) -> DataFrame:
+    """The set of a line's shingle hashes, each led by how many common words the shingle has; rarest first."""
     hashes, count = F.col("hashes"), F.size("hashes")
-    hashed = lines.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).drop("words").withColumn(
-        "whole", F.xxhash64("hashes"))
+    hashed = _hashed(lines)
     if common:  # the lowest bit says whether a word is common
         hashed = hashed.withColumn("hashes", F.transform(hashes, lambda h: F.when(
             _bucket(h).isin(common), h.bitwiseOR(1)).otherwise(h.bitwiseAND(-2))))
@@ -80,6 +98,54 @@ def _least_overlap(x: Column) -> Column:
     return F.ceil(x - F.lit(1e-9)).cast("int")
 
 
+def _rarest_grams(lines: DataFrame, n: int, similarity: float, tiers: list[int]) -> DataFrame:
+    """doc_id, line, whole, ``grams`` (hashes) and ``asks``: each of two similar lines of other words shares so many of its grams.
+
+    The words of the lowest tier (by bucket) are taken until the shingles they are in are as many as the prefix filter
+    asks for, and more. Words that a line has more than once are taken as they come, but their shingles, which may be
+    the same, are not counted. A shingle holds the gram that begins with its taken word, or the one that ends with it;
+    a gram is in n - gram + 1 shingles. Of two lines, that whose taken words end first shares all but n - ceil(0.8 n) of its
+    shingles, and the other has taken their words, too. Lines with too few shingles to count take all words, and ask for one."""
+    gram, words = (n + 2) // 2, F.size("hashes")
+    count = words - n + 1
+    tier = F.split(F.lit(",".join(map(str, tiers))), ",").cast("array<int>")
+    placed = F.transform("hashes", lambda h, i: F.shiftleft(F.coalesce(F.get(tier, _bucket(h)), F.lit(0)).cast("long"), 58).bitwiseOR(
+        F.shiftleft(F.shiftrightunsigned(h, 30), _PLACE_BITS)).bitwiseOR(i.cast("long")))
+    needed = count - _least_overlap(count * F.lit(similarity)) + 1 + (SHARED_GRAMS - 1) * (n - gram + 1)
+    ranked = _hashed(lines).withColumns({"ranked": F.when(count >= 1, F.sort_array(placed)), "needed": needed})
+
+    def word(k: Column) -> Column:
+        return F.coalesce(F.shiftright(F.get("ranked", k), _PLACE_BITS), F.lit(-1))
+
+    def once(r: Column) -> Column:
+        """Of the r rarest places, those of words that the line has once."""
+        return F.filter(F.slice("ranked", F.lit(1), r), lambda _, k: (word(k) != word(k - 1)) & (word(k) != word(k + 1)))
+
+    def place(s: Column) -> Column:
+        return s.bitwiseAND(_PLACES).cast("int")
+
+    def shingles(r: Column) -> Column:
+        """How many shingles hold one of those places."""
+        def add(seen: Column, at: Column) -> Column:
+            new = F.least(at, count - 1) - F.greatest(at - (n - 1), seen["last"] + 1) + 1
+            return F.struct(at.alias("last"), (seen["n"] + F.greatest(new, F.lit(0))).alias("n"))
+
+        return F.aggregate(F.sort_array(F.transform(once(r), place)), F.struct(F.lit(-1).alias("last"), F.lit(0).alias("n")), add)["n"]
+
+    least = F.ceil(F.col("needed") / F.lit(n)).cast("int")
+    enough = F.when(words > _PLACES, F.lit(None).cast("int"))
+    for r in (least, least + 1, 2 * least + 1, 4 * least + 2):
+        enough = enough.when(shingles(r) >= F.col("needed"), r)
+    taken = ranked.withColumn("r", F.when(F.col("ranked").isNotNull(), enough)).withColumn("cut", F.array_max(once(F.col("r"))))
+    at = taken.withColumn("at", F.when(F.col("cut").isNull(), F.sequence(F.lit(0), words - 1)).otherwise(
+        F.transform(F.filter(F.slice("ranked", F.lit(1), F.col("r")), lambda s: s <= F.col("cut")), place)))
+    starts = F.concat(F.filter("at", lambda i: i <= words - gram), F.transform(
+        F.filter("at", lambda i: i >= gram - 1), lambda i: i - (gram - 1)))
+    of_words = F.transform(F.array_distinct(starts), lambda i: F.xxhash64(*[F.get("hashes", i + k) for k in range(gram)]))
+    return at.select("doc_id", "line", "whole", F.when(F.col("cut").isNull(), 1).otherwise(SHARED_GRAMS).alias("asks"), F.when(count >= 1, F.array_distinct(of_words)).otherwise(
+        F.array().cast("array<long>")).alias("grams"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """(doc_id, line) of pairs' lines that reach the similarity with (a_doc, a_line, a_whole)."""
     a = sets.select(F.col("doc_id").alias("a_doc"), F.col("line").alias("a_line"), F.col("whole").alias("a_whole"), F.col("tokens").alias("a"))
@@ -91,44 +157,71 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
 def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS,
                   similarity: float = SIMILARITY, common_share: float = COMMON_SHARE) -> DataFrame:
-    """(doc_id, line): the lines, counted from 0, that an earlier line is similar to."""
-    lines = (docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc_id"),
-                         F.posexplode(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n")).alias("line", "body")))
-    worded = lines.select("doc_id", "line", _words(F.col("body")).alias("words")).where("size(words) > 0")
-
-    counts = stored(worded.select(F.explode("words").alias("word")).select(_bucket(F.xxhash64("word")).alias("bucket"))
-                    .groupBy("bucket").agg(F.count("*").alias("n")), "word-counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    common = [r.bucket for r in counts.where(F.col("n") > total * common_share).collect()]  # at most 1 / share
-
-    sized = _with_tokens(worded, shingle_words, common).withColumn("size", F.size("tokens"))
+    """(doc_id, line): the lines, counted from 0, that an earlier line is similar to.
+
+    Each step's shuffle files go when its table is written."""
+    spark, name = docs.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        return _similar_lines(docs, id_col, text_col, shingle_words, similarity, common_share)
+    finally:
+        spark.conf.set(name, before)
+
+
+def _similar_lines(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, similarity: float, common_share: float) -> DataFrame:
+    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc_id"), _plain(F.col(text_col)).alias("text"))
+    counts = (plain.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("word")).where("word <> ''")
+              .select(_bucket(F.xxhash64("word")).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n")).collect())
+    often = common_share * sum(r.n for r in counts)
+    common = [r.bucket for r in counts if r.n > often]  # at most 1 / share
+    tiers = [0] * WORD_BUCKETS
+    for r in counts:
+        tiers[r.bucket] = min(31, int(16 * r.n / often).bit_length())
+
+    lines = plain.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "body")).where("trim(body) <> ''")
+    worded = lines.select("doc_id", "line", _words(F.col("body")).alias("words"))
+    # written, since the words are dear: read for the copies, and for the grams of two lines
+    lines = stored(_rarest_grams(worded, shingle_words, similarity, tiers), "prefix-tokens")
+    named = lines.select(*_LINE).repartition("whole")
+    first = named.groupBy("whole").agg(F.min(F.struct("doc_id", "line")).alias("first"))
+    copies = stored(named.join(first, "whole").where("first < struct(doc_id, line)").select("doc_id", "line").distinct(), "line-copies")
+    grams = lines.select("whole", F.explode("grams").alias("gram")).where("gram is not null").repartition("gram")
+    held = grams.groupBy("gram").agg(F.min("whole").alias("least"), F.max("whole").alias("most")).where("least <> most")
+    near = stored(grams.join(held.select("gram").hint("shuffle_hash"), "gram", "left_semi").distinct()
+                  .groupBy("whole").agg(F.count("*").alias("shares")), "near-lines")
+
+    # whole lines are fetched once, for those that share a gram
+    asked = (lines.select(*_LINE, "asks").join(near, "whole").where("shares >= asks").groupBy("whole").agg(F.min(F.struct("doc_id", "line")).alias("first"))
+             .groupBy("first.doc_id").agg(F.collect_set("first.line").alias("asked")))
+    bodies = (docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc_id"), F.col(text_col).alias("text"))
+              .join(asked, "doc_id").select("doc_id", "asked", F.split(_plain(F.col("text")), "\n").alias("parts"))
+              .select("doc_id", F.explode(F.transform("asked", lambda i: F.struct(i.alias("line"), F.get("parts", i).alias("body")))).alias("l"))
+              .select("doc_id", "l.line", "l.body").where("trim(body) <> ''").dropDuplicates())
+    sets = stored(_with_tokens(bodies.select("doc_id", "line", _words(F.col("body")).alias("words")),
+                               shingle_words, common), "line-bodies")
+    sized = sets.withColumn("size", F.size("tokens"))
     prefix = F.col("size") - _least_overlap(F.col("size") * F.lit(similarity)) + 1
-    # written, since the words are dear: read for the counts, and for the lines of tokens held twice
-    postings = stored(sized.select(*_LINE, "size", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("at", "token")), "prefix-tokens")
-    held = postings.groupBy("token").agg(F.min(F.struct(*_LINE)).alias("first"), F.count("*").alias("n"))
-    shared = stored(postings.join(held.where("n > 1").drop("n"), "token"), "line-postings")
-
-    is_later = "struct(first.doc_id, first.line) < struct(doc_id, line)"
-    copies = stored(shared.where(is_later).where("first.whole = whole").select(*_LINE).distinct(), "line-copies")
-    shared = stored(shared.join(copies, _LINE, "left_anti"), "uncopied-postings")
-    later = shared.where(is_later)
-    # whole lines are fetched once, for those of a token that two lines hold
-    ids = shared.join(later.select("token").distinct(), "token", "left_semi").select("doc_id", "line").distinct()
-    bodies = stored(lines.join(ids, ["doc_id", "line"], "left_semi").dropDuplicates(["doc_id", "line", "body"]), "line-bodies")
-    sets = _with_tokens(bodies.select("doc_id", "line", _words(F.col("body")).alias("words")), shingle_words, [])
-    settled = stored(_verified(later.select(*_LINE, F.col("first.doc_id").alias("a_doc"), F.col("first.line").alias("a_line"),
-                                            F.col("first.whole").alias("a_whole")).distinct(), sets, similarity), "settled")
-    settled = copies.select("doc_id", "line").union(settled).distinct()
+    postings = sized.select(*_LINE, "size", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("at", "token"))
+    postings = postings.repartition("token")
+    held = postings.groupBy("token").agg(F.min(F.struct(*_LINE, "size", "at")).alias("first"), F.count("*").alias("n"))
+    shared = stored(postings.join(held.where("n > 1").drop("n").hint("shuffle_hash"), "token"), "line-postings")
+    later = shared.where("struct(first.doc_id, first.line) < struct(doc_id, line)")
+
+    def may_reach(pairs: DataFrame) -> DataFrame:
+        least = _least_overlap((F.col("size") + F.col("a_size")) * F.lit(similarity / (1 + similarity)))
+        return (pairs.where(F.least("size", "a_size") >= F.greatest("size", "a_size") * F.lit(similarity) - F.lit(1e-9))
+                .where(F.least(F.col("size") - F.col("at"), F.col("a_size") - F.col("a_at")) >= least)
+                .select(*_LINE, "a_doc", "a_line", "a_whole").distinct())
+
+    firsts = may_reach(later.select("*", F.col("first.doc_id").alias("a_doc"), F.col("first.line").alias("a_line"), F.col("first.whole").alias("a_whole"),
+                                    F.col("first.size").alias("a_size"), F.col("first.at").alias("a_at")))
+    settled = stored(_verified(firsts, sets, similarity), "settled")
     probe = later.join(settled, ["doc_id", "line"], "left_anti").select("token", *_LINE, "size", "at")
     earlier = shared.select("token", F.col("doc_id").alias("a_doc"), F.col("line").alias("a_line"), F.col("whole").alias("a_whole"),
                             F.col("size").alias("a_size"), F.col("at").alias("a_at"))
-    least = _least_overlap((F.col("size") + F.col("a_size")) * F.lit(similarity / (1 + similarity)))
-    pairs = (probe.join(earlier, "token")
-             .where("struct(a_doc, a_line) < struct(doc_id, line)")
-             .where(F.least("size", "a_size") >= F.greatest("size", "a_size") * F.lit(similarity) - F.lit(1e-9))
-             .where(F.least(F.col("size") - F.col("at"), F.col("a_size") - F.col("a_at")) >= least)
-             .select(*_LINE, "a_doc", "a_line", "a_whole").distinct())
-    return settled.union(_verified(pairs, sets, similarity))
+    pairs = may_reach(probe.join(earlier, "token").where("struct(a_doc, a_line) < struct(doc_id, line)"))
+    return copies.union(settled).union(stored(_verified(stored(pairs, "line-pairs"), sets, similarity), "verified")).distinct()
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
