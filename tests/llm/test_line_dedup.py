@@ -90,6 +90,26 @@ def test_copies_are_not_verified(spark, monkeypatch):
     assert "prefix-tokens" in tables
 
 
+def test_a_line_is_written_once_with_few_grams(spark, monkeypatch):
+    """One row per line, fewer grams than the prefix filter's 21 tokens; near lines are fetched."""
+    kept, stored = [], D.stored
+    monkeypatch.setattr(D, "stored", lambda df, label, **o: kept.append((label, stored(df, label, **o))) or kept[-1][1])
+    lines = [[f"w{i}x{k}" for k in range(104)] for i in range(30)]
+    for i in range(10):
+        lines[i][40:45] = "five words that they share".split()
+        lines[20 + i] = lines[10 + i][:60] + [f"other{i}"] + lines[10 + i][61:]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(lines)], "doc_id long, text string").repartition(3)
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup)
+    found = got(docs)
+    assert found == slow(rows_of(docs)) and [r[0] for r in found if r[2]] == list(range(20, 30))
+    assert spark.conf.get(cleanup) == before
+    tables = dict(kept)
+    assert tables["prefix-tokens"].count() == 30
+    assert tables["prefix-tokens"].selectExpr("max(size(grams))").first()[0] < 21
+    assert {r.doc_id for r in tables["line-bodies"].collect()} >= set(range(10, 30))
+
+
 def test_lines_are_taken_out(spark):
     docs = spark.createDataFrame([(1, "a\nb\na\nc", "x"), (2, "b", "x"), (3, None, "x"), (4, "new", "x")],
                                  "doc_id long, text string, line string")
