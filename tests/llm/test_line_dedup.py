@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from spendlens.llm import line_dedup as D
 
@@ -110,6 +111,46 @@ def test_a_line_is_written_once_with_few_grams(spark, monkeypatch):
     assert {r.doc_id for r in tables["line-bodies"].collect()} >= set(range(10, 30))
 
 
+def test_versions_of_a_line_that_are_not_similar_are_not_paired(spark, monkeypatch):
+    """Lines of one group hold the same prefix tokens; sizes and places of tokens don't tell them apart, their bitmaps do."""
+    kept, stored = [], D.stored
+    monkeypatch.setattr(D, "stored", lambda df, label, **o: kept.append((label, stored(df, label, **o))) or kept[-1][1])
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for i in range(80):
+        w = list(base)
+        for k in rng.sample(range(60), 3 if i % 8 else 1):
+            w[k] = rng.choice(base)
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = got(docs)
+    assert found == slow(rows_of(docs)) and any(r[2] for r in found)
+    tables = dict(kept)
+    assert tables["line-bodies"].count() == 80
+    assert tables["line-pairs"].count() < 80  # 3,137 of the 3,160 pairs before
+
+
+@pytest.mark.parametrize("n", [1, 40, 300, 3000])
+def test_bitmaps_differ_in_no_more_bits_than_sets_in_tokens(spark, n):
+    rng = random.Random(n)
+    a = [rng.getrandbits(63) for _ in range(n)]
+    rows = [(a, a[k:] + [rng.getrandbits(63) for _ in range(m)]) for k in (0, n // 10, n) for m in (0, 1, n)]
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>")
+    bits = df.select("a", "b", F.array(*D._bitmap(F.col("a"))).alias("x"), F.array(*D._bitmap(F.col("b"))).alias("y")).collect()
+    apart = [sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(r.x, r.y)) for r in bits]
+    assert all(d <= len(set(r.a) ^ set(r.b)) for d, r in zip(apart, bits)) and apart[0] == 0 and (n > 1 or max(apart) == 2)
+
+
+def test_a_sieve_keeps_what_is_wanted(spark, monkeypatch):
+    rows, wanted = spark.range(5000).selectExpr("id", "id % 7 k"), spark.range(0, 5000, 50)
+    kept = {r.id for r in D._sieved(rows, F.col("id"), wanted, F.col("id")).collect()}
+    assert kept >= set(range(0, 5000, 50)) and len(kept) < 200
+    monkeypatch.setattr(D, "SIEVE_LONGS", 1)
+    assert {r.id for r in D._sieved(rows, F.col("id"), wanted, F.col("id")).collect()} >= set(range(0, 5000, 50))
+    assert D._sieved(rows, F.col("id"), wanted.limit(0), F.col("id")).count() == 0
+
+
 def test_lines_are_taken_out(spark):
     docs = spark.createDataFrame([(1, "a\nb\na\nc", "x"), (2, "b", "x"), (3, None, "x"), (4, "new", "x")],
                                  "doc_id long, text string, line string")
